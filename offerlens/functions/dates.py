@@ -19,7 +19,7 @@ def parse_date(c: str | Column) -> Column:
     """``pd.to_datetime(s, format='%d/%m/%Y', errors='coerce')`` -> DATE, bad -> null."""
     s = col_(c)
     ok = s.rlike(f"^[{DIGIT}]{{1,2}}/[{DIGIT}]{{1,2}}/[{DIGIT}]{{4}}$")
-    return F.when(ok, F.try_to_date(s, F.lit(DATE_FORMAT)))
+    return F.when(ok, F.try_to_date(s, DATE_FORMAT))
 
 
 def days_since(date: str | Column, as_of: str | dt.date) -> Column:

@@ -137,3 +137,306 @@ SELECT contract_type, avg(salary_avg) AS salary_avg FROM dash
 WHERE salary_avg IS NOT NULL GROUP BY contract_type""")
 def avg_salary_by_contract(spark, sf):
     return R.avg_salary_by(_dash(spark, sf), "contract_type")
+
+
+@query("avg_salary_by_cluster", f""", {dash_cte()}
+SELECT cluster, avg(salary_avg) AS salary_avg FROM dash
+WHERE salary_avg IS NOT NULL GROUP BY cluster""")
+def avg_salary_by_cluster(spark, sf):
+    return R.avg_salary_by(_dash(spark, sf), "cluster")
+
+
+@query("count_by_contract", f""", {dash_cte()}
+SELECT contract_type, count(*) AS nb FROM dash GROUP BY contract_type""")
+def count_by_contract(spark, sf):
+    return R.count_by(_dash(spark, sf), "contract_type")
+
+
+@query("count_by_salary_class", f""", {dash_cte()}
+SELECT salary_category, count(*) AS nb FROM dash GROUP BY salary_category""")
+def count_by_salary_class(spark, sf):
+    return R.count_by(_dash(spark, sf), "salary_category")
+
+
+@query("count_by_cluster", f""", {dash_cte()}
+SELECT cluster, count(*) AS nb FROM dash GROUP BY cluster""")
+def count_by_cluster(spark, sf):
+    return R.count_by(_dash(spark, sf), "cluster")
+
+
+@query("kpis", f""", {dash_cte()}
+SELECT count(*) AS n_offers, round_even(avg(salary_avg), 0) AS mean_salary,
+  round_even(avg(CAST(remote AS DOUBLE)) * 100.0, 1) AS remote_pct FROM dash""")
+def kpis(spark, sf):
+    return R.kpis(_dash(spark, sf))
+
+
+@query("filter_options", f""", {dash_cte()}
+SELECT DISTINCT 'category' AS "column", category AS value FROM dash
+UNION SELECT DISTINCT 'contract_type', contract_type FROM dash
+UNION SELECT DISTINCT 'cluster', CAST(cluster AS VARCHAR) FROM dash
+UNION SELECT DISTINCT 'salary_category', salary_category FROM dash""")
+def filter_options(spark, sf):
+    return R.filter_options(_dash(spark, sf))
+
+
+# Dashboard selection used by the filtered report (the user's dropdown state).
+FILTER_SELECTION = dict(categories=["BUILDING", "MACHINERY", "AUTOMOBILE"], contracts=["CDI", "Stage"],
+                        clusters=[0, 1, 2, 3, 5, -1], salary_classes=["Bas", "Haut", "Inconnu"])
+
+
+@query("filtered_offers", f""", {dash_cte()}
+SELECT * FROM dash WHERE category IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE')
+  AND contract_type IN ('CDI', 'Stage') AND cluster IN (0, 1, 2, 3, 5, -1)
+  AND salary_category IN ('Bas', 'Haut', 'Inconnu')""")
+def filtered_offers(spark, sf):
+    d = _dash(spark, sf).select("offer_id", "category", "contract_type", "salary_category", "cluster",
+                                "remote", "salary_avg")
+    return R.filtered_offers(d, **FILTER_SELECTION)
+
+
+@query("filtered_kpis_empty_filters", f""", {dash_cte()}
+SELECT count(*) AS n_offers, round_even(avg(salary_avg), 0) AS mean_salary,
+  round_even(avg(CAST(remote AS DOUBLE)) * 100.0, 1) AS remote_pct FROM dash""")
+def filtered_kpis_empty_filters(spark, sf):
+    """Empty selections mean 'no filter' (the dashboard's initial state)."""
+    return R.kpis(R.filtered_offers(_dash(spark, sf), categories=[], contracts=None, clusters=[],
+                                    salary_classes=[]))
+
+
+@query("dashboard_reports", f""", {dash_cte()}
+SELECT 'contract_type' AS report, contract_type AS key, count(*) AS nb, avg(salary_avg) AS salary_avg
+FROM dash GROUP BY contract_type
+UNION ALL SELECT 'salary_category', salary_category, count(*), avg(salary_avg) FROM dash GROUP BY salary_category
+UNION ALL SELECT 'cluster', CAST(cluster AS VARCHAR), count(*), avg(salary_avg) FROM dash GROUP BY cluster""")
+def dashboard_reports(spark, sf):
+    return R.dashboard_reports(_dash(spark, sf))
+
+
+@query("class_distribution", f""", {ml_cte()}
+SELECT salary_category, n, round_even(n * 100.0 / sum(n) OVER (), 1) AS pct
+FROM (SELECT salary_category, count(*) AS n FROM ml GROUP BY salary_category)""")
+def class_distribution(spark, sf):
+    return R.class_distribution(_ml(spark, sf))
+
+
+@query("target_guard", f""", {ml_cte()}
+SELECT count(*) AS n_rows, count(salary_avg) AS n_salaried, count(salary_category) AS n_labeled,
+  list_sort(list_distinct(list(salary_category))) AS classes,
+  count(salary_avg) >= 50 AS enough_salaries,
+  list_sort(list_distinct(list(salary_category))) = ['Bas', 'Haut', 'Moyen'] AS classes_ok
+FROM ml""")
+def target_guard(spark, sf):
+    from offerlens.operators.salary import target_guard as tg
+    return tg(_ml(spark, sf))
+
+
+@query("salary_summary", f""", {ml_cte()}
+SELECT count(*) AS n_rows, count(salary_avg) AS n_salaried, median(salary_avg) AS median_salary,
+  count(salary_avg) / count(*) AS share_salaried FROM ml""")
+def salary_summary(spark, sf):
+    from offerlens.operators.salary import salary_summary as ss
+    return ss(_ml(spark, sf))
+
+
+@query("labeled_only", f", {ml_cte()}\nSELECT offer_id, salary_category FROM ml WHERE salary_category IS NOT NULL")
+def labeled_only(spark, sf):
+    from offerlens.operators.quality import labeled_only as lo
+    return lo(_ml(spark, sf)).select("offer_id", "salary_category")
+
+
+@query("export_projection", f", {ml_cte()}\nSELECT offer_id, {', '.join(etl.ML_COLUMNS)} FROM ml")
+def export_projection(spark, sf):
+    return _ml(spark, sf).select("offer_id", *etl.ML_COLUMNS)
+
+
+# --------------------------------------------------------------------------
+# Location (L1-L4)
+# --------------------------------------------------------------------------
+
+@query("location_v2", f"""
+SELECT offer_id, location, l.ville AS ville, l.departement AS departement
+FROM (SELECT offer_id, location, {Dk.location_v2('location')} AS l FROM offers)""")
+def location_v2(spark, sf):
+    from offerlens.functions.geo import location_v2 as f
+    l2 = f("location")
+    return FX.offers(spark, sf).select("offer_id", "location", l2["ville"].alias("ville"),
+                                       l2["departement"].alias("departement"))
+
+
+@query("location_v3", f"""
+SELECT offer_id, location, l.city AS city, l.department AS department
+FROM (SELECT offer_id, location, {Dk.location_v3('location')} AS l FROM offers)""")
+def location_v3(spark, sf):
+    from offerlens.functions.geo import location_v3 as f
+    l3 = f("location")
+    return FX.offers(spark, sf).select("offer_id", "location", l3["city"].alias("city"),
+                                       l3["department"].alias("department"))
+
+
+@query("department_num", f""", {ml_cte()}
+SELECT offer_id, department, {Dk.department_num('department')} AS department_num FROM ml""")
+def department_num(spark, sf):
+    from offerlens.functions.geo import department_num as f
+    return _ml(spark, sf).select("offer_id", "department", f("department").alias("department_num"))
+
+
+# --------------------------------------------------------------------------
+# Experience
+# --------------------------------------------------------------------------
+
+@query("experience_v2", f"""
+SELECT offer_id, experience, x.experience_encoded AS experience_encoded,
+  x.experience_label AS experience_label, x.experience_raw AS experience_raw
+FROM (SELECT offer_id, experience, {Dk.experience_v2('experience')} AS x FROM offers)""")
+def experience_v2(spark, sf):
+    from offerlens.functions.experience import experience_v2 as f
+    x = f("experience")
+    return FX.offers(spark, sf).select("offer_id", "experience", *[x[c].alias(c) for c in
+                                       ("experience_encoded", "experience_label", "experience_raw")])
+
+
+for _v in ("v1", "v3"):
+    def _exp_years(spark, sf, _v=_v):
+        from offerlens.functions.experience import experience_years as f
+        return FX.offers(spark, sf).select("offer_id", "experience",
+                                           f("experience", _v).alias("experience_years"))
+    query(f"experience_years_{_v}",
+          f"SELECT offer_id, experience, {Dk.experience_years('experience', _v)} AS experience_years "
+          f"FROM offers")(_exp_years)
+
+
+# --------------------------------------------------------------------------
+# Dates (D1-D3)
+# --------------------------------------------------------------------------
+
+@query("parse_date", f"SELECT offer_id, published_date, {Dk.parse_date('published_date')} AS date_publication FROM offers")
+def parse_date(spark, sf):
+    from offerlens.functions.dates import parse_date as f
+    return FX.offers(spark, sf).select("offer_id", "published_date", f("published_date").alias("date_publication"))
+
+
+@query("days_since", f"""SELECT offer_id, {Dk.days_since(Dk.parse_date('published_date'), AS_OF)} AS days_since_publication
+FROM offers""")
+def days_since(spark, sf):
+    from offerlens.functions.dates import days_since as f, parse_date as p
+    return FX.offers(spark, sf).select("offer_id", f(p("published_date"), AS_OF).alias("days_since_publication"))
+
+
+@query("age_range", f"""SELECT min(d) AS min_days, max(d) AS max_days FROM
+(SELECT {Dk.days_since(Dk.parse_date('published_date'), AS_OF)} AS d FROM offers)""")
+def age_range(spark, sf):
+    from offerlens.functions.dates import days_since as f, parse_date as p
+    d = FX.offers(spark, sf).select(f(p("published_date"), AS_OF).alias("d"))
+    return d.agg(F.min("d").alias("min_days"), F.max("d").alias("max_days"))
+
+
+@query("published_date_extract", """SELECT offer_id,
+  CASE WHEN regexp_matches(concat('Publiée le ', published_date, ' par ', category), 'Publiée le ([0-9]{2}/[0-9]{2}/[0-9]{4})')
+  THEN regexp_extract(concat('Publiée le ', published_date, ' par ', category), 'Publiée le ([0-9]{2}/[0-9]{2}/[0-9]{4})', 1)
+  ELSE 'N/A' END AS date_pub FROM offers""")
+def published_date_extract(spark, sf):
+    """Date block text of a listing ('Publiée le dd/MM/yyyy par ...')."""
+    from offerlens.functions.dates import published_date_extract as f
+    o = FX.offers(spark, sf)
+    block = F.concat(F.lit("Publiée le "), F.col("published_date"), F.lit(" par "), F.col("category"))
+    return o.select("offer_id", f(block).alias("date_pub"))
+
+
+# --------------------------------------------------------------------------
+# Cleaning and flags
+# --------------------------------------------------------------------------
+
+for _v in ("v1", "v2", "v3"):
+    def _clean(spark, sf, _v=_v):
+        from offerlens.functions.text import clean_text
+        t = FX.offer_texts(spark, sf)
+        return t.select("offer_id", clean_text("title", _v).alias("title_clean"),
+                        clean_text("description", _v).alias("description_clean"))
+    query(f"clean_text_{_v}",
+          f"SELECT offer_id, {Dk.clean_text('title', _v)} AS title_clean, "
+          f"{Dk.clean_text('description', _v)} AS description_clean FROM offer_texts")(_clean)
+
+
+@query("clean_text_cluster", f"""SELECT offer_id, text_clean FROM (
+SELECT offer_id, {Dk.clean_cluster_text(Dk.text_all(Dk.clean_text('title', 'v3'), Dk.clean_text('description', 'v3')))} AS text_clean
+FROM offer_texts) WHERE length(text_clean) > 0""")
+def clean_text_cluster(spark, sf):
+    from offerlens.functions.text import clean_cluster_text, clean_text, text_all
+    t = FX.offer_texts(spark, sf)
+    x = t.select("offer_id", clean_cluster_text(text_all(clean_text("title", "v3"),
+                                                          clean_text("description", "v3"))).alias("text_clean"))
+    return x.where(F.length("text_clean") > 0)
+
+
+@query("text_all", f""", {ml_cte()}
+SELECT offer_id, {Dk.text_all('title_clean', 'description_clean')} AS text_all FROM ml""")
+def text_all(spark, sf):
+    from offerlens.functions.text import text_all as f
+    return _ml(spark, sf).select("offer_id", f("title_clean", "description_clean").alias("text_all"))
+
+
+@query("bad_text_report", f"""SELECT count_if(contains({Dk.clean_text('description', 'v2')}, 'ces traceurs sont nécessaires')) AS n_tracker_text,
+  count(*) AS n_rows FROM offer_texts""")
+def bad_text_report(spark, sf):
+    from offerlens.functions.text import clean_text, has_tracker_text
+    from offerlens.operators.quality import bad_text_report as f
+    t = FX.offer_texts(spark, sf)
+    return f(t.select(has_tracker_text(clean_text("description", "v2")).alias("has_tracker_text")))
+
+
+@query("remote_flag", f"""SELECT offer_id,
+  {Dk.flag(Dk.contains_any(Dk.clean_text('title', 'v2'), ['télétravail', 'remote', 'distanciel']) + ' OR ' + Dk.contains_any(Dk.clean_text('description', 'v2'), ['télétravail', 'remote', 'distanciel']))} AS remote_possible,
+  {Dk.flag(Dk.contains_any("concat(' ', " + Dk.clean_text('title', 'v1') + ", ' ', " + Dk.clean_text('description', 'v1') + ")", ['télétravail', 'remote', 'distanciel', 'hybride']))} AS remote_v1,
+  coalesce({Dk.contains_any("lower(concat_ws(' ', title, description))", ['télétravail', 'remote', 'home office', 'hybride'])}, false) AS remote_card
+FROM offer_texts""")
+def remote_flag(spark, sf):
+    from offerlens.functions import text as T
+    t = FX.offer_texts(spark, sf)
+    return t.select("offer_id",
+                    T.remote_flag_v2(T.clean_text("title", "v2"), T.clean_text("description", "v2")).alias("remote_possible"),
+                    T.remote_flag_v1(T.clean_text("title", "v1"), T.clean_text("description", "v1")).alias("remote_v1"),
+                    T.remote_flag_card(F.concat_ws(" ", "title", "description")).alias("remote_card"))
+
+
+@query("urgent_flag", f"""SELECT offer_id,
+  {Dk.flag(Dk.contains_any(Dk.clean_text('title', 'v2'), ['urgent', 'immédiat', 'rapidement']) + ' OR ' + Dk.contains_any(Dk.clean_text('description', 'v2'), ['urgent', 'immédiat', 'rapidement', 'dès que possible']))} AS urgent
+FROM offer_texts""")
+def urgent_flag(spark, sf):
+    from offerlens.functions import text as T
+    t = FX.offer_texts(spark, sf)
+    return t.select("offer_id", T.urgent_flag(T.clean_text("title", "v2"), T.clean_text("description", "v2")).alias("urgent"))
+
+
+_STR_COLS = ["category", "title", "company", "contract_type", "salary", "location", "experience",
+             "education", "published_date", "description", "url"]
+
+
+@query("null_markers", "SELECT offer_id, " + ", ".join(f"{Dk.null_marker(c)} AS {c}" for c in _STR_COLS)
+       + " FROM offers")
+def null_markers(spark, sf):
+    from offerlens.operators.quality import null_markers as f
+    return f(FX.offers(spark, sf).select("offer_id", *_STR_COLS))
+
+
+@query("fill_defaults_cols", "SELECT offer_id, " + ", ".join(
+    f"coalesce({Dk.null_marker(c)}, {Dk.q(etl.V2_DEFAULTS[c])}) AS {c}" if c in etl.V2_DEFAULTS
+    else f"{Dk.null_marker(c)} AS {c}" for c in _STR_COLS) + " FROM offers")
+def fill_defaults_cols(spark, sf):
+    from offerlens.operators.quality import fill_defaults, null_markers as nm
+    return fill_defaults(nm(FX.offers(spark, sf).select("offer_id", *_STR_COLS)), etl.V2_DEFAULTS)
+
+
+@query("drop_sparse_columns", """SELECT offer_id, category, title, company, contract_type, salary, location,
+  experience, education, published_date, description, remote, cluster, url, scraped_at, sparse_note
+FROM (SELECT *, CASE WHEN offer_id % 3 = 0 THEN 'rare' END AS sparse_note,
+  CASE WHEN offer_id % 10 = 0 THEN 'x' END AS "Source" FROM offers)""")
+def drop_sparse_columns(spark, sf):
+    """A listed column ('Source') and a mostly-null one are dropped; a column with
+    a third of values survives (share < 0.7 is kept)."""
+    from offerlens.operators.quality import drop_sparse_columns as f
+    o = FX.offers(spark, sf).select(
+        "*", F.when(F.col("offer_id") % 3 == 0, F.lit("rare")).alias("sparse_note"),
+        F.when(F.col("offer_id") % 10 == 0, F.lit("x")).alias("Source"),
+        F.when(F.col("offer_id") % 10 == 1, F.lit("y")).alias("mostly_empty"))
+    return f(o)

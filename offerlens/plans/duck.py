@@ -219,3 +219,39 @@ def parse_date(e: str) -> str:
 def experience_phrase(e: str) -> str:
     p = f"(?i)[{DIGIT}]+[{WS}]*(?:ans?|années?)[{WS}]*(?:d'expérience|expérience|exp)"
     return f"nullif(regexp_extract({e}, {q(p)}, 0), '')"
+
+
+def null_marker(e: str) -> str:
+    from offerlens.operators.quality import NULL_MARKERS
+    return f"CASE WHEN {e} IN ({', '.join(q(m) for m in NULL_MARKERS)}) THEN NULL ELSE {e} END"
+
+
+def _skill_alt(patterns: list[str]) -> tuple[str, bool]:
+    """Engine-neutral alternation for one skill; True when it needs the
+    'tableau de' masked text (the one real lookahead of the dictionary)."""
+    from offerlens.functions.regex import boundary_free
+    masked = False
+    alts = []
+    for p in patterns:
+        p = p.replace("(?!script)", "")  # vacuous after \b
+        if "(?!" in p:
+            p = p.split("(?!")[0]
+            masked = True
+        p = boundary_free(p).replace(r"\s", f"[{WS}]")
+        alts.append(f"(?:{p})")
+    return "|".join(alts), masked
+
+
+def skills_list(e: str) -> str:
+    from offerlens.functions.skills import SKILLS
+    t = f"concat(' ', lower({e}), ' ')"
+    tm = f"regexp_replace({t}, {q(f'tableau[{WS}]+de')}, ' ', 'g')"
+    items = []
+    for skill, pats in SKILLS.items():
+        alt, masked = _skill_alt(pats)
+        items.append(f"CASE WHEN regexp_matches({tm if masked else t}, {q(alt)}) THEN {q(skill)} END")
+    return f"list_filter([{', '.join(items)}], lambda x: x IS NOT NULL)"
+
+
+def days_since(e: str, as_of: str) -> str:
+    return f"CAST(DATE '{as_of}' - {e} AS INTEGER)"
