@@ -440,3 +440,132 @@ def drop_sparse_columns(spark, sf):
         F.when(F.col("offer_id") % 10 == 0, F.lit("x")).alias("Source"),
         F.when(F.col("offer_id") % 10 == 1, F.lit("y")).alias("mostly_empty"))
     return f(o)
+
+
+# --------------------------------------------------------------------------
+# v2 enriched table, skills, distributions
+# --------------------------------------------------------------------------
+
+_ENRICHED_OUT = ["offer_id", "url", "title", "company", "location", "contract_type", "education", "experience",
+                 "published_date", "salary", "description", "titre_clean", "entreprise_clean",
+                 "description_clean", "ville", "departement", "experience_encoded", "experience_label",
+                 "experience_raw", "salary_min", "salary_max", "salary_avg", "salary_estimated", "salary_unit",
+                 "salary_category", "skills", "skills_list", "nb_skills", "date_publication",
+                 "days_since_publication", "remote_possible", "urgent"]
+
+
+def enr_cte() -> str:
+    cols = ", ".join(
+        f"coalesce({Dk.null_marker(c)}, {Dk.q(etl.V2_DEFAULTS[c])}) AS {c}" if c in etl.V2_DEFAULTS
+        else f"{Dk.null_marker(c)} AS {c}" for c in _STR_COLS)
+    return f"""enr0 AS (SELECT offer_id, cluster, {cols} FROM offers),
+enr1 AS (SELECT *, {Dk.clean_text('title', 'v2')} AS titre_clean, {Dk.clean_text('company', 'v2')} AS entreprise_clean,
+  {Dk.clean_text('description', 'v2')} AS description_clean FROM enr0),
+enr2 AS (SELECT *, {Dk.location_v2('location')} AS loc, {Dk.parse_salary('salary', 'v2')} AS sal,
+  {Dk.experience_v2('experience')} AS ex, {Dk.skills_list("concat(titre_clean, ' ', description_clean)")} AS skills_list,
+  {Dk.parse_date('published_date')} AS date_publication,
+  {Dk.flag(Dk.contains_any('titre_clean', ['télétravail', 'remote', 'distanciel']) + ' OR ' + Dk.contains_any('description_clean', ['télétravail', 'remote', 'distanciel']))} AS remote_possible,
+  {Dk.flag(Dk.contains_any('titre_clean', ['urgent', 'immédiat', 'rapidement']) + ' OR ' + Dk.contains_any('description_clean', ['urgent', 'immédiat', 'rapidement', 'dès que possible']))} AS urgent
+  FROM enr1),
+enr AS (SELECT offer_id, cluster, url, title, company, location, contract_type, education, experience, published_date,
+  salary, description, titre_clean, entreprise_clean, description_clean, loc.ville AS ville,
+  loc.departement AS departement, ex.experience_encoded AS experience_encoded,
+  ex.experience_label AS experience_label, ex.experience_raw AS experience_raw,
+  sal.salary_min AS salary_min, sal.salary_max AS salary_max, sal.salary_avg AS salary_avg,
+  sal.salary_estimated AS salary_estimated, sal.salary_unit AS salary_unit,
+  {Dk.fixed_bins('sal.salary_avg')} AS salary_category,
+  CASE WHEN len(skills_list) > 0 THEN array_to_string(skills_list, ', ') ELSE 'aucune' END AS skills,
+  skills_list, CAST(len(skills_list) AS INTEGER) AS nb_skills, date_publication,
+  {Dk.days_since('date_publication', AS_OF)} AS days_since_publication, remote_possible, urgent
+  FROM enr2)"""
+
+
+def _enr(spark: SparkSession, sf: str) -> DataFrame:
+    return etl.offers_enriched(FX.offers(spark, sf), AS_OF, keep=("cluster",))
+
+
+@query("offers_enriched", f", {enr_cte()}\nSELECT {', '.join(_ENRICHED_OUT)} FROM enr")
+def offers_enriched(spark, sf):
+    return _enr(spark, sf).select(*_ENRICHED_OUT)
+
+
+@query("experience_distribution", f""", {enr_cte()}
+SELECT experience_encoded, count(*) AS n, arg_min(experience_label, offer_id) AS experience_label
+FROM enr GROUP BY experience_encoded""")
+def experience_distribution(spark, sf):
+    e = _enr(spark, sf)
+    return (e.groupBy("experience_encoded")
+            .agg(F.count(F.lit(1)).alias("n"), F.min_by("experience_label", "offer_id").alias("experience_label"))
+            .orderBy("experience_encoded"))
+
+
+@query("quality_report", f""", {enr_cte()}
+SELECT count(*) AS n_rows, count(salary_avg) AS n_salary,
+  round_even(count(salary_avg) * 100.0 / count(*), 1) AS pct_salary,
+  count_if(nb_skills > 0) AS n_skills, round_even(count_if(nb_skills > 0) * 100.0 / count(*), 1) AS pct_skills,
+  sum(remote_possible) AS n_remote, sum(urgent) AS n_urgent, count(DISTINCT ville) AS n_cities,
+  count(DISTINCT entreprise_clean) AS n_companies, avg(nb_skills) AS mean_skills,
+  count(experience_encoded) AS n_experience FROM enr""")
+def quality_report(spark, sf):
+    from offerlens.operators.quality import quality_report as f
+    return f(_enr(spark, sf))
+
+
+@query("geo_cardinality", f""", {enr_cte()}
+SELECT count(DISTINCT ville) AS n_ville, count(DISTINCT departement) AS n_departement,
+  count(DISTINCT entreprise_clean) AS n_entreprise_clean FROM enr""")
+def geo_cardinality(spark, sf):
+    from offerlens.operators.quality import geo_cardinality as f
+    return f(_enr(spark, sf))
+
+
+@query("value_counts", """SELECT experience, count(*) AS n FROM offers WHERE experience IS NOT NULL
+GROUP BY experience ORDER BY n DESC, experience LIMIT 20""")
+def value_counts(spark, sf):
+    return R.value_counts(FX.offers(spark, sf), "experience", 20)
+
+
+_PROFILE = ["salary_min", "salary_max", "nb_skills", "days_since_publication", "urgent", "remote_possible",
+            "experience_encoded"]
+
+
+@query("cluster_profile", f""", {enr_cte()}
+SELECT cluster, {', '.join(f'avg({c}) AS {c}' for c in _PROFILE)} FROM enr
+WHERE cluster IS NOT NULL GROUP BY cluster""")
+def cluster_profile(spark, sf):
+    return R.cluster_profile(_enr(spark, sf), _PROFILE)
+
+
+def _texts_skills(spark, sf):
+    from offerlens.functions.skills import with_skills
+    from offerlens.functions.text import clean_text
+    t = FX.offer_texts(spark, sf).select("offer_id", "title", "description")
+    txt = F.concat(clean_text("title", "v2"), F.lit(" "), clean_text("description", "v2"))
+    return with_skills(t, txt).select("offer_id", "skills_list")
+
+
+_TXT = f"concat({Dk.clean_text('title', 'v2')}, ' ', {Dk.clean_text('description', 'v2')})"
+
+
+@query("skills_extract", f"SELECT offer_id, {Dk.skills_list(_TXT)} AS skills_list FROM offer_texts")
+def skills_extract(spark, sf):
+    return _texts_skills(spark, sf)
+
+
+@query("skills_summary", f"""SELECT offer_id, CAST(len(s) AS INTEGER) AS nb_skills,
+  CASE WHEN len(s) > 0 THEN array_to_string(s, ', ') ELSE 'aucune' END AS skills
+FROM (SELECT offer_id, {Dk.skills_list(_TXT)} AS s FROM offer_texts)""")
+def skills_summary(spark, sf):
+    from offerlens.functions.skills import skills_string
+    s = _texts_skills(spark, sf)
+    return s.select("offer_id", F.size("skills_list").alias("nb_skills"), skills_string("skills_list").alias("skills"))
+
+
+@query("top_skills", f"""SELECT skill, count(*) AS n FROM
+(SELECT unnest({Dk.skills_list(_TXT)}) AS skill FROM offer_texts)
+GROUP BY skill ORDER BY n DESC, skill LIMIT 15""")
+def top_skills(spark, sf):
+    # explode_outer: a plain explode makes Catalyst infer size(skills_list) > 0
+    # and push that filter, with the whole skill expression, into the scan.
+    s = _texts_skills(spark, sf).select(F.explode_outer("skills_list").alias("skill"))
+    return R.value_counts(s, "skill", 15)

@@ -244,7 +244,8 @@ def _skill_alt(patterns: list[str]) -> tuple[str, bool]:
 
 def skills_list(e: str) -> str:
     from offerlens.functions.skills import SKILLS
-    t = f"concat(' ', lower({e}), ' ')"
+    from offerlens.functions.skills import FOLD_FROM, FOLD_TO
+    t = f"concat(' ', translate(lower({e}), {q(FOLD_FROM)}, {q(FOLD_TO)}), ' ')"
     tm = f"regexp_replace({t}, {q(f'tableau[{WS}]+de')}, ' ', 'g')"
     items = []
     for skill, pats in SKILLS.items():

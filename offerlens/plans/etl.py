@@ -67,7 +67,8 @@ V2_DEFAULTS = {
 }
 
 
-def offers_enriched(df: DataFrame, as_of: str | dt.date, key: str = "offer_id") -> DataFrame:
+def offers_enriched(df: DataFrame, as_of: str | dt.date, key: str = "offer_id",
+                    keep: tuple[str, ...] = ()) -> DataFrame:
     """v2: null markers, defaults, clean, location v2, salary v2, experience
     v2, skills, dates, fixed salary bins, remote and urgent flags."""
     x = Q.fill_defaults(Q.null_markers(df), V2_DEFAULTS)
@@ -80,7 +81,7 @@ def offers_enriched(df: DataFrame, as_of: str | dt.date, key: str = "offer_id")
     loc = G.location_v2("location")
     sal = M.parse_salary("salary", "v2")
     exp = X.experience_v2("experience")
-    skills = K.extract_skills(F.concat(F.col("titre_clean"), F.lit(" "), F.col("description_clean")))
+    x = K.with_skills(x, F.concat(F.col("titre_clean"), F.lit(" "), F.col("description_clean")))
     pub = D.parse_date("published_date")
     x = x.select(
         "*",
@@ -91,7 +92,6 @@ def offers_enriched(df: DataFrame, as_of: str | dt.date, key: str = "offer_id")
         sal["salary_min"].alias("salary_min"), sal["salary_max"].alias("salary_max"),
         sal["salary_avg"].alias("salary_avg"), sal["salary_estimated"].alias("salary_estimated"),
         sal["salary_unit"].alias("salary_unit"),
-        skills.alias("skills_list"),
         pub.alias("date_publication"),
         T.remote_flag_v2("titre_clean", "description_clean").alias("remote_possible"),
         T.urgent_flag("titre_clean", "description_clean").alias("urgent"),
@@ -106,7 +106,7 @@ def offers_enriched(df: DataFrame, as_of: str | dt.date, key: str = "offer_id")
         K.skills_string("skills_list").alias("skills"), "skills_list",
         F.size("skills_list").alias("nb_skills"),
         "date_publication", D.days_since("date_publication", as_of).alias("days_since_publication"),
-        "remote_possible", "urgent",
+        "remote_possible", "urgent", *keep,
     )
 
 

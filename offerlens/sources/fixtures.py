@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlens.sources.tables import table
+from offerlens.sources.tables import spread, table
 
 SPARK_DATE = "date_format(o_orderdate, 'dd/MM/yyyy')"
 DUCK_DATE = "strftime(o_orderdate, '%d/%m/%Y')"
@@ -94,7 +94,7 @@ TITLE_PATTERN = r"^[^.!?\n]*"
 
 
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders"), "o_orderkey")
     c = table(spark, sf_dir, "customer")
     # customer is ~10x smaller than orders; AQE picks broadcast only when its
     # runtime size is under the threshold, otherwise a shuffle join on the key.
@@ -104,7 +104,7 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def offer_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"), "doc_id")
     return d.select(
         F.col("doc_id").alias("offer_id"),
         F.regexp_extract("text", TITLE_PATTERN, 0).alias("title"),

@@ -14,3 +14,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-repartition a scan on ``key`` when it has fewer splits than cores.
+
+    CPU-heavy per-row work (regexes over whole documents, HTML parsing) is
+    bound by the number of scan tasks.  A small file in one Parquet row group
+    is one task; on a cluster reading many files the scan already has far
+    more splits than cores and this is a no-op (no extra shuffle).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, key)
+    return df
