@@ -107,10 +107,21 @@ def category_match(links: DataFrame, wanted: list[str], text: str = "text", href
     return m.groupBy(text).agg(F.max_by(href, F.struct(*[F.col(c) for c in order])).alias(href))
 
 
-def fill_defaults(found: DataFrame, defaults: DataFrame, name: str = "name", minimum: int = 4) -> DataFrame:
+def fill_defaults(found: DataFrame, defaults: DataFrame, name: str = "name", minimum: int = 4,
+                  by: str | None = None) -> DataFrame:
     """Add default entries whose name is absent, only when fewer than
-    ``minimum`` were found: anti join + union, gated by a one-row count."""
-    need = found.agg((F.count(F.lit(1)) < minimum).alias("__need"))
-    missing = (defaults.join(found.select(name), name, "left_anti")
-               .crossJoin(F.broadcast(need)).where("__need").drop("__need"))
+    ``minimum`` were found: anti join + union, gated by a count.
+
+    Without ``by`` the gate is one global row (broadcast).  With ``by`` each
+    group (e.g. a page) is completed on its own: the gate is a per-group count
+    joined on the group key; groups with nothing found always get defaults.
+    """
+    if by is None:
+        need = found.agg((F.count(F.lit(1)) < minimum).alias("__need"))
+        missing = (defaults.join(found.select(name), name, "left_anti")
+                   .crossJoin(F.broadcast(need)).where("__need").drop("__need"))
+        return found.unionByName(missing)
+    need = found.groupBy(by).agg((F.count(F.lit(1)) < minimum).alias("__need"))
+    missing = (defaults.join(found.select(by, name), [by, name], "left_anti")
+               .join(need, by, "left").where(F.coalesce(F.col("__need"), F.lit(True))).drop("__need"))
     return found.unionByName(missing)

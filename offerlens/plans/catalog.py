@@ -569,3 +569,189 @@ def top_skills(spark, sf):
     # and push that filter, with the whole skill expression, into the scan.
     s = _texts_skills(spark, sf).select(F.explode_outer("skills_list").alias("skill"))
     return R.value_counts(s, "skill", 15)
+
+
+# --------------------------------------------------------------------------
+# Listing cards (H8-H20, H23), lines (H5, H6)
+# --------------------------------------------------------------------------
+
+def _cards(spark, sf):
+    return FX.offer_cards(spark, sf)
+
+
+_JOB_ID_SQL = "coalesce(nullif(regexp_extract(url, '/emplois/([0-9]+)\\.html', 1), ''), concat('unknown_', md5(url)))"
+
+
+@query("job_id_from_url", f"SELECT offer_id, url, {_JOB_ID_SQL} AS job_id FROM offer_cards")
+def job_id_from_url(spark, sf):
+    from offerlens.operators.cards import job_id_from_url as f
+    return _cards(spark, sf).select("offer_id", "url", f("url").alias("job_id"))
+
+
+def _tc_sql(only_title: bool = False) -> str:
+    s = lambda e: Dk.ustrip(e)
+    has_title = "(title_p IS NOT NULL AND title_p <> '')"
+    has_company = "(company_p IS NOT NULL AND company_p <> '')"
+    attr_set = "(title_attr IS NOT NULL AND title_attr <> '')"
+    dash = f"({attr_set} AND contains(title_attr, ' - '))"
+    parts = "string_split(title_attr, ' - ')"
+    title = (f"CASE WHEN {has_title} THEN title_p WHEN {dash} THEN {s(parts + '[1]')} "
+             f"WHEN {attr_set} THEN title_attr ELSE title_p END AS title")
+    if only_title:
+        return title
+    return (title + ", "
+            f"CASE WHEN {has_title} THEN company_p WHEN {dash} THEN "
+            f"(CASE WHEN NOT {has_company} AND len({parts}) >= 2 THEN {s(parts + '[2]')} ELSE company_p END) "
+            f"ELSE company_p END AS company")
+
+
+@query("title_company_split", f"SELECT offer_id, {_tc_sql()} FROM offer_cards")
+def title_company_split(spark, sf):
+    from offerlens.operators.cards import title_company
+    tc = title_company("title_p", "company_p", "title_attr")
+    return _cards(spark, sf).select("offer_id", tc["title"].alias("title"), tc["company"].alias("company"))
+
+
+def _route_sql() -> str:
+    from offerlens.operators.cards import CONTRACTS
+    st = f"list_transform(tags, lambda x: {Dk.ustrip('x')})"
+    cl = ", ".join(Dk.q(c) for c in CONTRACTS)
+    return (f"list_filter({st}, lambda x: contains(x, ' - ') AND regexp_matches(x, '[0-9]'))[-1] AS location, "
+            f"list_filter({st}, lambda x: x IN ({cl}))[-1] AS contract_type, "
+            f"{Dk.ustrip(chr(40) + 'list_filter(bold, lambda x: contains(x, ' + Dk.q('€') + ') OR contains(lower(x), ' + Dk.q('k') + '))[1])')} AS salary, "
+            f"coalesce(tags[1], 'N/A') AS tag0, coalesce(tags[2], 'N/A') AS tag1")
+
+
+@query("tag_routing", f"SELECT offer_id, {_route_sql()} FROM offer_cards")
+def tag_routing(spark, sf):
+    from offerlens.operators.cards import route_tags
+    r = route_tags("tags", "bold")
+    return _cards(spark, sf).select("offer_id", *[r[c].alias(c) for c in
+                                    ("location", "contract_type", "salary", "tag0", "tag1")])
+
+
+@query("short_description", """SELECT offer_id, substr(card_text, 1, 300) AS short_description,
+  coalesce(full_description, substr(card_text, 1, 300)) AS description FROM offer_cards""")
+def short_description(spark, sf):
+    from offerlens.operators.cards import short_description as f
+    c = _cards(spark, sf)
+    return c.select("offer_id", f("card_text").alias("short_description"),
+                    F.coalesce("full_description", f("card_text")).alias("description"))
+
+
+@query("experience_phrase", f"SELECT offer_id, {Dk.experience_phrase('card_text')} AS experience FROM offer_cards")
+def experience_phrase(spark, sf):
+    from offerlens.functions.text import experience_phrase as f
+    return _cards(spark, sf).select("offer_id", f("card_text").alias("experience"))
+
+
+@query("offer_dedup", f"""SELECT job_id, offer_id, title, scraped_at FROM (
+  SELECT {_JOB_ID_SQL} AS job_id, offer_id, {_tc_sql(True)}, scraped_at FROM offer_cards
+) WHERE title IS NOT NULL AND title <> ''
+QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY scraped_at, offer_id) = 1""")
+def offer_dedup(spark, sf):
+    from offerlens.operators.cards import job_id_from_url as jid, offer_dedup as dd, title_company
+    c = _cards(spark, sf)
+    cards = c.select(jid("url").alias("job_id"), "offer_id",
+                     title_company("title_p", "company_p", "title_attr")["title"].alias("title"), "scraped_at")
+    return dd(cards)
+
+
+# Wanted categories and defaults of the category step (user configuration).
+WANTED = ["the", "ion", "ent"]
+DEFAULT_CATEGORIES = [("Emploi Commerce", "/emploi/domaine_commerce.html"),
+                      ("Emploi Distribution", "/emploi/domaine_distribution.html"),
+                      ("Emploi Comptabilité", "/emploi/domaine_comptabilite.html"),
+                      ("Emploi Ressources Humaines", "/emploi/domaine_ressources-humaines.html")]
+_A_HREF = '<a href="([^"]*)">([^<]*)</a>'
+
+
+def _links(spark, sf):
+    """(page_id, pos, href, text) of every anchor of every page (in-row regex)."""
+    from offerlens.sources.tables import spread, table
+    p = spread(table(spark, sf, "pages"), "page_id")
+    z = F.arrays_zip(F.regexp_extract_all("html", F.lit(_A_HREF), 1).alias("href"),
+                     F.regexp_extract_all("html", F.lit(_A_HREF), 2).alias("text"))
+    return (p.select("page_id", F.posexplode_outer(z).alias("pos", "l"))
+            .where(F.col("l").isNotNull())
+            .select("page_id", "pos", F.col("l.href").alias("href"), F.col("l.text").alias("text")))
+
+
+_LINKS_SQL = f"""links AS (SELECT page_id, unnest(regexp_extract_all(html, {Dk.q(_A_HREF)}, 1)) AS href,
+  unnest(regexp_extract_all(html, {Dk.q(_A_HREF)}, 2)) AS text,
+  unnest(generate_series(0, len(regexp_extract_all(html, {Dk.q(_A_HREF)}, 1)) - 1)) AS pos FROM pages)"""
+_MATCH_SQL = (f"{Dk.ustrip('text')} <> '' AND href IS NOT NULL AND ("
+              + " OR ".join(f"contains(lower({Dk.ustrip('text')}), {Dk.q(w)})" for w in WANTED) + ")")
+
+
+@query("page_links", f", {_LINKS_SQL}\nSELECT DISTINCT page_id, href FROM links")
+def page_links(spark, sf):
+    return _links(spark, sf).select("page_id", "href").distinct()
+
+
+@query("category_match", f""", {_LINKS_SQL}
+SELECT {Dk.ustrip('text')} AS text, arg_max(href, (page_id, pos)) AS href FROM links
+WHERE {_MATCH_SQL} GROUP BY {Dk.ustrip('text')}""")
+def category_match(spark, sf):
+    from offerlens.operators.cards import category_match as f
+    return f(_links(spark, sf), WANTED)
+
+
+_DEFAULTS_SQL = "[" + ", ".join(f"{{'name': {Dk.q(n)}, 'url': {Dk.q(u)}}}" for n, u in DEFAULT_CATEGORIES) + "]"
+
+
+@query("fill_defaults", f""", {_LINKS_SQL},
+found AS (SELECT DISTINCT page_id, {Dk.ustrip('text')} AS name FROM links WHERE {_MATCH_SQL}),
+pages_n AS (SELECT page_id, count(*) AS n FROM found GROUP BY page_id),
+dflt AS (SELECT p.page_id, unnest({_DEFAULTS_SQL}) AS d FROM pages p)
+SELECT page_id, name, 'found' AS origin FROM found
+UNION ALL
+SELECT dflt.page_id, d.name, 'default' FROM dflt LEFT JOIN pages_n USING (page_id)
+WHERE coalesce(n, 0) < 4 AND NOT EXISTS (SELECT 1 FROM found f WHERE f.page_id = dflt.page_id AND f.name = d.name)""")
+def fill_defaults(spark, sf):
+    """Per page: categories found among its links; when fewer than 4, the
+    defaults not already found are added (anti join + union)."""
+    from offerlens.operators.cards import fill_defaults as f
+    from offerlens.sources.tables import table
+    from offerlens.functions.text import ustrip
+    links = _links(spark, sf)
+    low = F.lower(ustrip("text"))
+    found = (links.where((ustrip("text") != "") & F.col("href").isNotNull() &
+                         F.exists(F.array(*[F.lit(w) for w in WANTED]), lambda w: F.contains(low, w)))
+             .select("page_id", ustrip("text").alias("name")).distinct())
+    dflt = table(spark, sf, "pages").select(
+        "page_id", F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(u).alias("url"))
+                                       for n, u in DEFAULT_CATEGORIES])).alias("d")).select("page_id", "d.name")
+    out = f(found.withColumn("origin", F.lit("found")), dflt.withColumn("origin", F.lit("default")),
+            name="name", minimum=4, by="page_id")
+    return out.select("page_id", "name", "origin")
+
+
+@query("line_dedup", """, l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+    unnest(generate_series(1, len(string_split(text, chr(10))))) AS i FROM documents),
+k AS (SELECT doc_id, line, i, """ + Dk.ustrip("line") + """ AS k FROM l),
+f AS (SELECT *, min(i) OVER (PARTITION BY doc_id, k) AS first_i FROM k)
+SELECT d.doc_id, coalesce((SELECT string_agg(line, chr(10) ORDER BY i) FROM f
+  WHERE f.doc_id = d.doc_id AND k <> '' AND i = first_i), '') AS text_dedup FROM documents d""")
+def line_dedup(spark, sf):
+    from offerlens.operators.lines import dedup_lines
+    from offerlens.sources.tables import spread, table
+    d = spread(table(spark, sf, "documents"), "doc_id").select("doc_id", "text")
+    return dedup_lines(d, "text", "text_dedup").select("doc_id", "text_dedup")
+
+
+def _bp_sql(e: str) -> str:
+    from offerlens.operators.lines import BOILERPLATE, NO_DESCRIPTION
+    has = lambda x: "(" + " OR ".join(f"contains(lower({x}), {Dk.q(p)})" for p in BOILERPLATE) + ")"
+    res = (f"array_to_string(list_filter(list_transform(string_split({e}, chr(10)), lambda l: {Dk.ustrip('l')}), "
+           f"lambda l: length(l) > 0 AND NOT {has('l')}), chr(10))")
+    return (f"coalesce(CASE WHEN {has(e)} AND length({e}) < 200 THEN NULL "
+            f"WHEN length({e}) > 100 AND length({res}) > 100 THEN {res} END, {Dk.q(NO_DESCRIPTION)})")
+
+
+@query("boilerplate_lines", f"SELECT offer_id, {_bp_sql('description')} AS description FROM offer_texts")
+def boilerplate_lines(spark, sf):
+    from offerlens.operators.lines import NO_DESCRIPTION, remove_boilerplate
+    t = FX.offer_texts(spark, sf)
+    return t.select("offer_id", F.coalesce(remove_boilerplate("description"), F.lit(NO_DESCRIPTION)).alias("description"))

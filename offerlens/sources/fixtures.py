@@ -127,4 +127,45 @@ def offer_texts_sql() -> str:
 def with_fixtures(sql: str) -> str:
     """Prefix an oracle query with the fixture CTEs it may reference."""
     return (f"WITH offers AS ({offers_sql()}),\n"
-            f"offer_texts AS ({offer_texts_sql()})\n{sql}")
+            f"offer_texts AS ({offer_texts_sql()}),\n"
+            f"offer_cards AS ({offer_cards_sql()})\n{sql}")
+
+
+# Listing cards: one per offer, with the fields a listing page exposes.
+# ``{ARR}`` is the engine's array constructor, ``{COMPACT}`` drops nulls.
+CARD_COLUMNS: list[tuple[str, str]] = [
+    ("offer_id", "offer_id"),
+    ("url", "url"),
+    ("title_p", "CASE offer_id % 3 WHEN 0 THEN NULL WHEN 1 THEN title ELSE '' END"),
+    ("company_p", "CASE WHEN offer_id % 5 < 2 THEN company END"),
+    ("title_attr", "CASE offer_id % 4 WHEN 0 THEN NULL WHEN 1 THEN title "
+                   "ELSE concat(coalesce(title, 'Poste'), ' - ', coalesce(company, 'Entreprise'), "
+                   "CASE WHEN offer_id % 8 = 2 THEN ' - Paris' ELSE '' END) END"),
+    ("tags", "{COMPACT}({ARR}(CASE WHEN offer_id % 6 = 0 THEN ' Lyon 3e - 69 ' END, location, contract_type, "
+             "CASE WHEN offer_id % 5 = 0 THEN 'Temps plein' END, education))"),
+    ("bold", "{COMPACT}({ARR}(category, CASE WHEN offer_id % 4 = 0 THEN 'Télétravail partiel' END, salary, "
+             "CASE WHEN offer_id % 7 = 0 THEN ' 40k€ ' END))"),
+    ("card_text", "concat_ws(' ', title, company, location, contract_type, salary, experience, description)"),
+    ("full_description", "CASE WHEN offer_id % 4 = 3 THEN NULL ELSE description END"),
+    ("scraped_at", "scraped_at"),
+]
+
+
+def _card_sql(dialect: str) -> list[str]:
+    out = []
+    for n, e in CARD_COLUMNS:
+        if dialect == "spark":
+            e = e.replace("{ARR}", "array").replace("{COMPACT}", "array_compact")
+        elif e.startswith("{COMPACT}("):
+            e = e.replace("{ARR}", "list_value").replace("{COMPACT}", "list_filter")
+            e = e[:-1] + ", lambda v: v IS NOT NULL)"
+        out.append(f"{e} AS {n}")
+    return out
+
+
+def offer_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return offers(spark, sf_dir).selectExpr(*_card_sql("spark"))
+
+
+def offer_cards_sql() -> str:
+    return f"SELECT {', '.join(_card_sql('duck'))} FROM offers"
