@@ -755,3 +755,138 @@ def boilerplate_lines(spark, sf):
     from offerlens.operators.lines import NO_DESCRIPTION, remove_boilerplate
     t = FX.offer_texts(spark, sf)
     return t.select("offer_id", F.coalesce(remove_boilerplate("description"), F.lit(NO_DESCRIPTION)).alias("description"))
+
+
+# --------------------------------------------------------------------------
+# Joins and set operations (J2, J6), sources and sinks
+# --------------------------------------------------------------------------
+
+@query("cluster_writeback", f""", {ml_cte()},
+txt AS (SELECT offer_id, cluster, {Dk.clean_cluster_text(Dk.text_all('title_clean', 'description_clean'))} AS text_clean FROM ml),
+labels AS (SELECT offer_id, cluster FROM txt WHERE length(text_clean) > 0)
+SELECT m.offer_id, coalesce(l.cluster, -1) AS cluster FROM ml m LEFT JOIN labels l USING (offer_id)""")
+def cluster_writeback(spark, sf):
+    """Labels computed for rows with text (here the given cluster column
+    stands in for the model output) are written back to every row; rows
+    without text get -1.  A left join on the key: no row order is assumed."""
+    from offerlens.functions.text import clean_cluster_text, text_all as ta
+    from offerlens.operators.joins import write_back
+    ml = _ml(spark, sf)
+    txt = ml.select("offer_id", "cluster", clean_cluster_text(ta("title_clean", "description_clean")).alias("t"))
+    labels = txt.where(F.length("t") > 0).select("offer_id", "cluster")
+    return write_back(ml.select("offer_id"), labels, "offer_id", "cluster", -1)
+
+
+@query("append_batches", """SELECT offer_id, title, description, 'orders' AS origin FROM offers
+UNION ALL SELECT offer_id, title, description, 'documents' AS origin FROM offer_texts""")
+def append_batches(spark, sf):
+    from offerlens.operators.joins import append
+    a = FX.offers(spark, sf).select("offer_id", "title", "description", F.lit("orders").alias("origin"))
+    b = FX.offer_texts(spark, sf).select("offer_id", "title", "description", F.lit("documents").alias("origin"))
+    return append([a, b])
+
+
+@query("scan_csv_roundtrip", "SELECT offer_id, title, description, lang, source FROM offer_texts")
+def scan_csv_roundtrip(spark, sf):
+    """Whole documents (multi-line, quotes, accents) written as CSV to the
+    shared folder and scanned back with a declared schema."""
+    from offerlens.session import scratch_path
+    from offerlens.sources import io
+    path = scratch_path(spark, "csv")
+    io.write_csv(FX.offer_texts(spark, sf), path)
+    return io.read_csv(spark, path, "offer_id BIGINT, title STRING, description STRING, lang STRING, source STRING")
+
+
+_JSON_COLS = ["offer_id", "title", "skills_list", "salary_avg", "salary_estimated", "date_publication", "ville"]
+
+
+@query("sink_json_roundtrip", f", {enr_cte()}\nSELECT {', '.join(_JSON_COLS)} FROM enr")
+def sink_json_roundtrip(spark, sf):
+    """Enriched offers (arrays, dates, booleans, accents) as JSON lines and back."""
+    from offerlens.session import scratch_path
+    from offerlens.sources import io
+    path = scratch_path(spark, "json")
+    io.write_json(_enr(spark, sf).select(*_JSON_COLS), path)
+    return io.read_json(spark, path, "offer_id BIGINT, title STRING, skills_list ARRAY<STRING>, salary_avg DOUBLE, "
+                                     "salary_estimated BOOLEAN, date_publication DATE, ville STRING")
+
+
+# --------------------------------------------------------------------------
+# Feature preparation
+# --------------------------------------------------------------------------
+
+def _clf_base(spark, sf):
+    """Labeled offers with department_num, imputed experience and remote."""
+    from offerlens.functions.geo import department_num as dn
+    from offerlens.operators.features import fill_zero, impute_median
+    from offerlens.operators.quality import labeled_only as lo
+    x = lo(_ml(spark, sf)).withColumn("department_num", dn("department"))
+    return fill_zero(impute_median(x, ["experience_years"]), ["remote"])
+
+
+def clf_cte() -> str:
+    return ml_cte() + f""",
+clf0 AS (SELECT *, {Dk.department_num('department')} AS department_num FROM ml WHERE salary_category IS NOT NULL),
+clf AS (SELECT * REPLACE (coalesce(experience_years, (SELECT median(experience_years) FROM clf0)) AS experience_years,
+  coalesce(remote, 0) AS remote) FROM clf0)"""
+
+
+@query("impute_median", f""", {clf_cte()}
+SELECT offer_id, department_num, experience_years, remote FROM clf""")
+def impute_median(spark, sf):
+    return _clf_base(spark, sf).select("offer_id", "department_num", "experience_years", "remote")
+
+
+_NUM = ["department_num", "experience_years", "remote"]
+
+
+def _std_sql(c: str) -> str:
+    z = (f"({c} - (SELECT avg({c}) FROM clf)) / nullif((SELECT stddev_pop({c}) FROM clf), 0)")
+    return f"round_even(coalesce({z}, 0.0), 9) AS std_{c}"
+
+
+@query("standardize", f", {clf_cte()}\nSELECT offer_id, {', '.join(_std_sql(c) for c in _NUM)} FROM clf")
+def standardize(spark, sf):
+    from offerlens.operators.features import standardize as st
+    return st(_clf_base(spark, sf), _NUM, digits=9).select("offer_id", *[f"std_{c}" for c in _NUM])
+
+
+# Value lists of the one-hot oracle: the fixture's categories, contracts, units.
+_ONE_HOT_SQL = {"category": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+                "contract_type": ["CDD", "CDI", "Stage"], "salary_unit": ["annual", "hourly", "monthly"]}
+
+
+@query("one_hot", f", {clf_cte()}\nSELECT offer_id, " + ", ".join(
+    f'coalesce(CAST({c} = {Dk.q(v)} AS INTEGER), 0) AS "{c}_{v}"' for c, vs in _ONE_HOT_SQL.items() for v in vs)
+    + " FROM clf")
+def one_hot(spark, sf):
+    from offerlens.operators.features import one_hot as oh
+    b = _clf_base(spark, sf)
+    x = oh(b, list(_ONE_HOT_SQL))
+    return x.select("offer_id", *[c for c in x.columns if c not in b.columns])
+
+
+@query("classif_prepared", f""", {clf_cte()}
+SELECT offer_id, category, contract_type, remote, experience_years, department, department_num, salary_unit,
+  salary_category, {', '.join(_std_sql(c) for c in _NUM)}, """ + ", ".join(
+    f'coalesce(CAST({c} = {Dk.q(v)} AS INTEGER), 0) AS "{c}_{v}"' for c, vs in _ONE_HOT_SQL.items() for v in vs)
+    + " FROM clf")
+def classif_prepared(spark, sf):
+    """The prepared classification table: base columns, standardised numbers
+    and one-hot columns side by side in ONE projection (the reference glued
+    separate frames by row position)."""
+    from offerlens.operators.features import one_hot as oh, standardize as st
+    b = _clf_base(spark, sf)
+    base = ["offer_id", "category", "contract_type", "remote", "experience_years", "department", "department_num",
+            "salary_unit", "salary_category"]
+    x = oh(st(b, _NUM, digits=9), list(_ONE_HOT_SQL))
+    return x.select(*base, *[f"std_{c}" for c in _NUM], *[c for c in x.columns if c not in b.columns
+                                                          and not c.startswith("std_")])
+
+
+@query("stratified_split", f""", {clf_cte()}
+SELECT salary_category, count(*) AS n, CAST(round(count(*) * 0.2) AS BIGINT) AS n_test FROM clf GROUP BY salary_category""")
+def stratified_split(spark, sf):
+    from offerlens.operators.features import split_counts, stratified_split as ss
+    b = _clf_base(spark, sf).select("offer_id", "salary_category")
+    return split_counts(ss(b, "salary_category", "offer_id", 0.2, 42), "salary_category")
