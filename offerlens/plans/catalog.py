@@ -890,3 +890,71 @@ def stratified_split(spark, sf):
     from offerlens.operators.features import split_counts, stratified_split as ss
     b = _clf_base(spark, sf).select("offer_id", "salary_category")
     return split_counts(ss(b, "salary_category", "offer_id", 0.2, 42), "salary_category")
+
+
+# --------------------------------------------------------------------------
+# Pages (H1-H4, H21, H22)
+# --------------------------------------------------------------------------
+
+def _blocks(spark, sf):
+    from offerlens.sources.html import page_blocks
+    from offerlens.sources.tables import spread, table
+    return page_blocks(spread(table(spark, sf, "pages"), "page_id"))
+
+
+@query("page_blocks")
+def page_blocks(spark, sf):
+    """One row per element of every page (stdlib parser in mapInPandas)."""
+    return _blocks(spark, sf)
+
+
+@query("page_main_text")
+def page_main_text(spark, sf):
+    from offerlens.operators.pages import main_text
+    return main_text(_blocks(spark, sf))
+
+
+@query("page_sections")
+def page_sections(spark, sf):
+    from offerlens.operators.pages import sections
+    return sections(_blocks(spark, sf))
+
+
+@query("page_text_fallback")
+def page_text_fallback(spark, sf):
+    from offerlens.operators.pages import text_fallback
+    return text_fallback(_blocks(spark, sf))
+
+
+@query("page_description_collected")
+def page_description_collected(spark, sf):
+    from offerlens.operators.pages import collected_description
+    return collected_description(_blocks(spark, sf))
+
+
+@query("page_cards")
+def page_cards(spark, sf):
+    """Card segmentation; the driver's pages have no offer cards, so a generic
+    list-item rule is appended after the collector's own rules."""
+    from offerlens.operators.pages import CARD_RULES, page_cards as pc
+    return pc(_blocks(spark, sf), CARD_RULES + [("li", [])])
+
+
+def _decode(e: str) -> str:
+    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "©"),
+                 ("&middot;", "·"), ("&nbsp;", " "), ("&amp;", "&")):
+        e = f"replace({e}, {Dk.q(a)}, {Dk.q(b)})"
+    return e
+
+
+def _first_tag_sql(tag: str) -> str:
+    rx = f"<{tag}>([^<]*)</{tag}>"
+    return (f"CASE WHEN regexp_matches(html, {Dk.q(rx)}) THEN "
+            f"{Dk.ustrip(_decode(f'regexp_extract(html, {Dk.q(rx)}, 1)'))} END")
+
+
+@query("page_fields", f"""SELECT page_id, {_first_tag_sql('title')} AS page_title, {_first_tag_sql('h1')} AS h1,
+  CAST(NULL AS VARCHAR) AS link_title FROM pages""")
+def page_fields(spark, sf):
+    from offerlens.operators.pages import page_fields as pf
+    return pf(_blocks(spark, sf))
