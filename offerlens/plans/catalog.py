@@ -958,3 +958,93 @@ def _first_tag_sql(tag: str) -> str:
 def page_fields(spark, sf):
     from offerlens.operators.pages import page_fields as pf
     return pf(_blocks(spark, sf))
+
+
+# --------------------------------------------------------------------------
+# Text features and clustering (C1-C7, A11 on embeddings)
+# --------------------------------------------------------------------------
+
+def _cluster_texts(spark, sf):
+    """Documents as cluster text (v3 clean of title + description, digits
+    removed), non-empty only."""
+    from offerlens.functions.text import clean_cluster_text, clean_text, text_all as ta
+    t = FX.offer_texts(spark, sf)
+    x = t.select("offer_id", "lang", clean_cluster_text(ta(clean_text("title", "v3"), clean_text("description", "v3")))
+                 .alias("text_clean"))
+    return x.where(F.length("text_clean") > 0)
+
+
+_CT_SQL = (f"(SELECT offer_id, lang, text_clean FROM (SELECT offer_id, lang, "
+           f"{Dk.clean_cluster_text(Dk.text_all(Dk.clean_text('title', 'v3'), Dk.clean_text('description', 'v3')))} AS text_clean "
+           f"FROM offer_texts) WHERE length(text_clean) > 0)")
+_TOKEN_SQL = "'[\\p{L}\\p{N}_]{2,}'"
+
+
+def _tfidf_sql(max_features: int) -> str:
+    return f""", ct AS {_CT_SQL},
+toks AS (SELECT offer_id, regexp_extract_all(lower(text_clean), {_TOKEN_SQL}, 0) AS t FROM ct),
+grams AS (SELECT offer_id, list_concat(t, list_transform(generate_series(1, len(t) - 1),
+  lambda i: concat(t[i], ' ', t[i + 1]))) AS g FROM toks),
+tf AS (SELECT offer_id, term, count(*) AS tf FROM (SELECT offer_id, unnest(g) AS term FROM grams) GROUP BY offer_id, term),
+nd AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM ct),
+voc AS (SELECT term, ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf FROM
+  (SELECT term, count(*) AS df, sum(tf) AS cf FROM tf GROUP BY term HAVING count(*) >= 2
+   ORDER BY cf DESC, term LIMIT {max_features}), nd),
+w AS (SELECT offer_id, term, tf * idf AS raw FROM tf JOIN voc USING (term)),
+wn AS (SELECT offer_id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY offer_id)) AS tfidf FROM w)"""
+
+
+@query("tfidf", _tfidf_sql(30000) + "\nSELECT offer_id, term, round_even(tfidf, 9) AS tfidf FROM wn")
+def tfidf(spark, sf):
+    """Long-format TF-IDF of the document texts (1-2-grams, min_df 2, 30,000 terms)."""
+    from offerlens.models.tfidf import tfidf_long
+    w, _ = tfidf_long(_cluster_texts(spark, sf), "offer_id", "text_clean", 2, 30000)
+    return w.select("offer_id", "term", F.bround("tfidf", 9).alias("tfidf"))
+
+
+@query("cluster_top_terms", _tfidf_sql(30000) + """,
+sizes AS (SELECT lang, count(*) AS n FROM ct GROUP BY lang),
+m AS (SELECT lang, term, sum(tfidf) / any_value(n) AS mean_tfidf FROM wn JOIN ct USING (offer_id) JOIN sizes USING (lang)
+  GROUP BY lang, term)
+SELECT lang, term, round_even(mean_tfidf, 9) AS mean_tfidf, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY mean_tfidf DESC, term) AS rank FROM m) WHERE rank <= 15""")
+def cluster_top_terms(spark, sf):
+    """Top 15 terms per cluster by mean TF-IDF (the reference's intent; its
+    code indexed the vocabulary with SVD positions).  Labels given: language."""
+    from offerlens.models.tfidf import mean_terms_by_cluster, tfidf_long
+    ct = _cluster_texts(spark, sf)
+    w, _ = tfidf_long(ct, "offer_id", "text_clean", 2, 30000)
+    top = mean_terms_by_cluster(w, ct.select("offer_id", "lang"), "offer_id", "lang", 15)
+    return top.select("lang", "term", F.bround("mean_tfidf", 9).alias("mean_tfidf"), "rank")
+
+
+def _emb(spark, sf):
+    from offerlens.sources.tables import table
+    return table(spark, sf, "embeddings")
+
+
+@query("silhouette", """, e AS (SELECT vec_id, label, embedding FROM embeddings),
+d AS (SELECT a.vec_id, a.label AS ca, b.label AS cb,
+  list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda z: (CAST(z[1] AS DOUBLE) - CAST(z[2] AS DOUBLE)) ^ 2)) AS dd
+  FROM e a, e b WHERE a.vec_id <> b.vec_id),
+sizes AS (SELECT label, count(*) AS n FROM e GROUP BY label),
+m AS (SELECT vec_id, ca, cb, sum(dd) AS s FROM d GROUP BY vec_id, ca, cb),
+ab AS (SELECT m.vec_id, max(CASE WHEN ca = cb THEN s / (sz.n - 1) END) AS a,
+  min(CASE WHEN ca <> cb THEN s / sz.n END) AS b, max(CASE WHEN ca = cb THEN 1 ELSE 0 END) AS has_own
+  FROM m JOIN sizes sz ON sz.label = m.cb GROUP BY m.vec_id)
+SELECT round_even(avg(CASE WHEN has_own = 0 OR b IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END), 9) AS silhouette,
+  count(*) AS n FROM (SELECT e.vec_id, a, b, coalesce(has_own, 0) AS has_own FROM e LEFT JOIN ab USING (vec_id))""")
+def silhouette(spark, sf):
+    """Mean silhouette (squared Euclidean) of the embeddings under their labels."""
+    from offerlens.models.clusters import silhouette_sq
+    return silhouette_sq(_emb(spark, sf), "embedding", "label", 9)
+
+
+@query("embedding_profile", """SELECT label, count(*) AS n,
+  round_even(avg(list_sum(list_transform(embedding, lambda v: CAST(v AS DOUBLE) * v))), 9) AS mean_sq_norm
+FROM embeddings GROUP BY label""")
+def embedding_profile(spark, sf):
+    """Per-cluster profile of the embeddings (size, mean squared norm)."""
+    e = _emb(spark, sf).select("label", F.aggregate(F.col("embedding").cast("array<double>"), F.lit(0.0),
+                                                     lambda acc, v: acc + v * v).alias("sq"))
+    return e.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.bround(F.avg("sq"), 9).alias("mean_sq_norm"))
