@@ -1048,3 +1048,206 @@ def embedding_profile(spark, sf):
     e = _emb(spark, sf).select("label", F.aggregate(F.col("embedding").cast("array<double>"), F.lit(0.0),
                                                      lambda acc, v: acc + v * v).alias("sq"))
     return e.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.bround(F.avg("sq"), 9).alias("mean_sq_norm"))
+
+
+# --------------------------------------------------------------------------
+# Models: classification (C8-C14, F5, F6) and clustering
+# --------------------------------------------------------------------------
+
+def _clf_split(spark, sf):
+    from offerlens.functions.text import text_all as ta
+    from offerlens.operators.features import stratified_split as ss
+    b = _clf_base(spark, sf).withColumn("text_all", ta("title_clean", "description_clean"))
+    s = ss(b, "salary_category", "offer_id", 0.2, 42)
+    return s.where(~F.col("is_test")), s.where(F.col("is_test"))
+
+
+def _clf_query(model: str):
+    def fn(spark, sf):
+        from offerlens.models.classify import classification_report, fit_predict
+        train, test = _clf_split(spark, sf)
+        return classification_report(fit_predict(train, test, model))
+    return fn
+
+
+for _k, _m in (("clf_logreg", "LogisticRegression"), ("clf_forest", "RandomForest"), ("clf_svm", "LinearSVC"),
+               ("clf_gbt", "GradientBoosting")):
+    query(_k)(_clf_query(_m))
+
+
+@query("model_comparison")
+def model_comparison(spark, sf):
+    from offerlens.models.classify import compare_models
+    train, test = _clf_split(spark, sf)
+    return compare_models(spark, train, test)
+
+
+def _report_sql(src: str) -> str:
+    return f""", p AS ({src}),
+conf AS (SELECT y, p, count(*) AS n FROM p GROUP BY y, p),
+sup AS (SELECT y AS cls, sum(n) AS support FROM conf GROUP BY y),
+prd AS (SELECT p AS cls, sum(n) AS predicted FROM conf GROUP BY p),
+tp AS (SELECT y AS cls, n AS tp FROM conf WHERE y = p),
+per AS (SELECT cls AS "row", coalesce(coalesce(tp, 0) / nullif(coalesce(predicted, 0), 0), 0.0) AS precision,
+  coalesce(coalesce(tp, 0) / nullif(support, 0), 0.0) AS recall, support
+  FROM sup FULL JOIN prd USING (cls) LEFT JOIN tp USING (cls) WHERE support > 0),
+per2 AS (SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0.0) AS f1_score FROM per),
+tot AS (SELECT sum(support) AS total, avg(precision) AS mp, avg(recall) AS mr, avg(f1_score) AS mf,
+  sum(precision * support) / sum(support) AS wp, sum(recall * support) / sum(support) AS wr,
+  sum(f1_score * support) / sum(support) AS wf FROM per2)
+SELECT "row", round_even(precision, 9) AS precision, round_even(recall, 9) AS recall,
+  round_even(f1_score, 9) AS f1_score, support FROM per2
+UNION ALL SELECT 'accuracy', NULL, NULL, round_even((SELECT sum(tp) FROM tp) / total, 9), total FROM tot
+UNION ALL SELECT 'macro avg', round_even(mp, 9), round_even(mr, 9), round_even(mf, 9), total FROM tot
+UNION ALL SELECT 'weighted avg', round_even(wp, 9), round_even(wr, 9), round_even(wf, 9), total FROM tot"""
+
+
+_BASELINE_SQL = ("CASE salary_unit WHEN 'hourly' THEN 'Bas' WHEN 'monthly' THEN 'Moyen' "
+                 "WHEN 'annual' THEN 'Haut' END")
+
+
+@query("classification_report", f", {ml_cte()}" + _report_sql(
+    f"SELECT salary_category AS y, {_BASELINE_SQL} AS p FROM ml WHERE salary_category IS NOT NULL"))
+def classification_report(spark, sf):
+    """Report of a salary-unit baseline rule against the quantile classes
+    (predictions given, so SQL can check the report arithmetic)."""
+    from offerlens.models.classify import classification_report as cr
+    ml = _ml(spark, sf).where(F.col("salary_category").isNotNull())
+    pred = ml.select("salary_category", F.expr(_BASELINE_SQL).alias("prediction"))
+    r = cr(pred)
+    return r.select("row", *[F.bround(c, 9).alias(c) for c in ("precision", "recall", "f1_score")], "support")
+
+
+def _offer_cluster_texts(spark, sf):
+    from offerlens.functions.text import clean_cluster_text, text_all as ta
+    ml = _ml(spark, sf)
+    return ml.select("offer_id", clean_cluster_text(ta("title_clean", "description_clean")).alias("text_clean"))
+
+
+@query("svd_scores")
+def svd_scores(spark, sf):
+    """TF-IDF (30,000 terms) of the offer texts reduced to 200 SVD scores."""
+    from offerlens.models.clusters import svd_scores as sv
+    from offerlens.models.tfidf import tfidf_vectors
+    t = _offer_cluster_texts(spark, sf).where(F.length("text_clean") > 0)
+    m = tfidf_vectors(t, "text_clean", out="tfidf", max_features=30000)
+    return sv(m.transform(t).select("offer_id", "tfidf"), "offer_id", "tfidf", k=200)
+
+
+@query("kmeans_text")
+def kmeans_text(spark, sf):
+    """Offer texts -> TF-IDF -> SVD(200) -> k-means k=8 (best of 10 seeds);
+    clusters written back to every offer, -1 without text."""
+    from pyspark.ml.functions import array_to_vector
+    from offerlens.models.clusters import kmeans_best, svd_scores as sv
+    from offerlens.models.tfidf import tfidf_vectors
+    from offerlens.operators.joins import write_back
+    from offerlens.session import scratch_path
+    allx = _offer_cluster_texts(spark, sf)
+    t = allx.where(F.length("text_clean") > 0)
+    m = tfidf_vectors(t, "text_clean", out="tfidf", max_features=30000)
+    scores = sv(m.transform(t).select("offer_id", "tfidf"), "offer_id", "tfidf", k=200)
+    # cut the lineage once (10 k-means fits read it): a table in the shared folder
+    path = scratch_path(spark, "svd")
+    scores.write.parquet(path)
+    feats = spark.read.parquet(path).select("offer_id", array_to_vector("svd").alias("features"))
+    km = kmeans_best(feats, "features", k=8, seed=42, n_init=10)
+    labels = km.transform(feats).select("offer_id", F.col("cluster").cast("int").alias("cluster"))
+    return write_back(allx.select("offer_id"), labels, "offer_id", "cluster", -1)
+
+
+_EVAL = ["salary_min", "salary_max", "nb_skills", "days_since_publication", "urgent", "remote_possible",
+         "experience_encoded"]
+
+
+def _eval_features(spark, sf):
+    from offerlens.operators.features import impute_median as im, standardize as st
+    from offerlens.models.clusters import assemble
+    e = _enr(spark, sf).select("offer_id", "cluster", *[F.col(c).cast("double").alias(c) for c in _EVAL])
+    x = st(im(e, _EVAL), _EVAL)
+    return assemble(x, [f"std_{c}" for c in _EVAL])
+
+
+@query("elbow")
+def elbow(spark, sf):
+    """Inertia for k = 2..11 on the standardised offer features."""
+    from offerlens.models.clusters import elbow as eb
+    f = _eval_features(spark, sf).select("features").cache()
+    return eb(spark, f, "features", range(2, 12), 42)
+
+
+@query("pca2")
+def pca2(spark, sf):
+    from offerlens.models.clusters import pca2 as p2
+    return p2(_eval_features(spark, sf), "features", "offer_id", 2)
+
+
+@query("silhouette_offers")
+def silhouette_offers(spark, sf):
+    """Silhouette (squared Euclidean) of the standardised offer features under
+    the offers' cluster labels (the evaluation script's setting)."""
+    from pyspark.ml.functions import vector_to_array
+    from offerlens.models.clusters import silhouette_sq
+    f = _eval_features(spark, sf).select("cluster", vector_to_array("features").alias("x"))
+    return silhouette_sq(f, "x", "cluster", 9)
+
+
+# --------------------------------------------------------------------------
+# Streaming ingest
+# --------------------------------------------------------------------------
+
+_CARD_STREAM_SCHEMA = "job_id STRING, offer_id BIGINT, title STRING, scraped_at TIMESTAMP, arrival INT"
+
+
+def _stage_arrivals(spark, sf):
+    """Cards of every offer, staged once in the shared folder, partitioned by
+    arrival (the year they were collected)."""
+    from offerlens.operators.cards import job_id_from_url as jid, title_company
+    from offerlens.session import scratch_path
+    c = FX.offer_cards(spark, sf)
+    cards = c.select(jid("url").alias("job_id"), "offer_id",
+                     title_company("title_p", "company_p", "title_attr")["title"].alias("title"), "scraped_at",
+                     F.year("scraped_at").alias("arrival"))
+    base = scratch_path(spark, "stream")
+    cards.write.partitionBy("arrival").parquet(f"{base}/staged")
+    arrivals = sorted(r[0] for r in spark.read.parquet(f"{base}/staged").select("arrival").distinct().collect())
+    return base, arrivals  # arrivals: calendar years, a short list
+
+
+def _arrive(spark, base, arrival):
+    """New files land in the source folder (one write per arrival)."""
+    from pyspark.sql.types import _parse_datatype_string
+    schema = _parse_datatype_string(_CARD_STREAM_SCHEMA)
+    (spark.read.schema(schema).parquet(f"{base}/staged").where(F.col("arrival") == arrival)
+     .write.mode("append").parquet(f"{base}/source"))
+    return schema
+
+
+@query("stream_offer_ingest", f"""SELECT job_id, offer_id, title, scraped_at FROM (
+  SELECT {_JOB_ID_SQL} AS job_id, offer_id, {_tc_sql(True)}, scraped_at FROM offer_cards
+) WHERE title IS NOT NULL AND title <> ''
+QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY scraped_at, offer_id) = 1""")
+def stream_offer_ingest(spark, sf):
+    """Cards arrive year by year; after each arrival the streaming query
+    processes the new files (availableNow) and appends first-seen offers.
+    The final sink equals the batch first-seen dedup."""
+    from offerlens.streaming.ingest import ingest_first_seen
+    base, arrivals = _stage_arrivals(spark, sf)
+    schema = None
+    for a in arrivals:
+        schema = _arrive(spark, base, a)
+        ingest_first_seen(spark, f"{base}/source", schema, f"{base}/sink", f"{base}/ckpt")
+    return spark.read.parquet(f"{base}/sink").select("job_id", "offer_id", "title", "scraped_at")
+
+
+@query("stream_dedup", f"""SELECT job_id, min(year(scraped_at)) AS arrival FROM
+  (SELECT {_JOB_ID_SQL} AS job_id, scraped_at FROM offer_cards) GROUP BY job_id""")
+def stream_dedup(spark, sf):
+    """Built-in stateful dropDuplicates over the same arrivals; the arrival
+    of the kept row is the first one in which the id was seen."""
+    from offerlens.streaming.ingest import stream_dedup as sd
+    base, arrivals = _stage_arrivals(spark, sf)
+    for a in arrivals:
+        schema = _arrive(spark, base, a)
+        sd(spark, f"{base}/source", schema, f"{base}/sink", f"{base}/ckpt", "job_id")
+    return spark.read.parquet(f"{base}/sink").select("job_id", "arrival")
