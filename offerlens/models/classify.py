@@ -5,7 +5,7 @@ vocabulary and idf, numeric means / population standard deviations, the
 category indexes, and the model.  The four reference models map to MLlib:
 
 * logistic regression -> multinomial ``LogisticRegression`` with an L2 weight
-  equal to sklearn's C=1 (``regParam = 1 / n_train``)
+  equal to sklearn's C=1 (``regParam = 1 / n_train``) and its tolerance 1e-4
 * random forest       -> ``RandomForestClassifier`` (200 trees, sqrt features)
 * linear SVM          -> ``OneVsRest(LinearSVC)`` (LinearSVC is binary only)
 * gradient boosting   -> ``OneVsRest(GBTClassifier)`` (GBT is binary only)
@@ -35,12 +35,17 @@ def make_classifier(name: str, n_train: int, seed: int = 42):
         return LogisticRegression(family="multinomial", maxIter=2000, tol=1e-4, regParam=1.0 / max(n_train, 1),
                                   elasticNetParam=0.0, standardization=False)
     if name == "RandomForest":
+        # cacheNodeIds / maxMemoryInMB only change how deep trees are grown
+        # (fewer passes over the data), not the trees themselves
         return RandomForestClassifier(numTrees=200, seed=seed, featureSubsetStrategy="sqrt", maxDepth=30,
-                                      minInstancesPerNode=1)
+                                      minInstancesPerNode=1, cacheNodeIds=True, maxMemoryInMB=1024)
     if name == "LinearSVC":
-        return OneVsRest(classifier=LinearSVC(maxIter=1000, regParam=1.0 / max(n_train, 1)))
+        # one binary model per class, trained concurrently
+        return OneVsRest(classifier=LinearSVC(maxIter=1000, tol=1e-4, regParam=1.0 / max(n_train, 1)),
+                         parallelism=3)
     if name == "GradientBoosting":
-        return OneVsRest(classifier=GBTClassifier(maxIter=100, maxDepth=3, stepSize=0.1, seed=seed))
+        return OneVsRest(classifier=GBTClassifier(maxIter=100, maxDepth=3, stepSize=0.1, seed=seed),
+                         parallelism=3)
     raise ValueError(f"unknown model {name!r}")
 
 

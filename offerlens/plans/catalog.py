@@ -1251,3 +1251,15 @@ def stream_dedup(spark, sf):
         schema = _arrive(spark, base, a)
         sd(spark, f"{base}/source", schema, f"{base}/sink", f"{base}/ckpt", "job_id")
     return spark.read.parquet(f"{base}/sink").select("job_id", "arrival")
+
+
+@query("ingest_report", f"""SELECT count(*) AS n_rows, count(DISTINCT job_id) AS n_ids,
+  count(description) AS n_descriptions, avg(length(description)) AS mean_description_length
+FROM (SELECT {_JOB_ID_SQL} AS job_id, coalesce(full_description, substr(card_text, 1, 300)) AS description
+  FROM offer_cards)""")
+def ingest_report(spark, sf):
+    """Collection summary: cards, distinct ids, descriptions and their mean length."""
+    from offerlens.operators.cards import job_id_from_url as jid, short_description as sd
+    c = _cards(spark, sf).select(jid("url").alias("job_id"),
+                                 F.coalesce("full_description", sd("card_text")).alias("description"))
+    return R.ingest_report(c)
