@@ -1263,3 +1263,35 @@ def ingest_report(spark, sf):
     c = _cards(spark, sf).select(jid("url").alias("job_id"),
                                  F.coalesce("full_description", sd("card_text")).alias("description"))
     return R.ingest_report(c)
+
+
+# --------------------------------------------------------------------------
+# v1 ETL (P1, P2, P5, M2, K4, X2, A10)
+# --------------------------------------------------------------------------
+
+def v1_cte() -> str:
+    sal = Dk.parse_salary("salaire", "v1")
+    return f""", s0 AS (SELECT offer_id, coalesce(title, '') AS titre, coalesce(description, '') AS description,
+  coalesce(company, '') AS company, salary AS salaire, experience FROM offers),
+s1 AS (SELECT *, {Dk.clean_text('titre', 'v1')} AS titre_clean, {Dk.clean_text('description', 'v1')} AS description_clean,
+  {Dk.clean_text('company', 'v1')} AS company_clean, {sal} AS sal FROM s0),
+v1 AS (SELECT offer_id, titre, description, company, salaire, experience, titre_clean, description_clean, company_clean,
+  sal.salary_min AS salary_min, sal.salary_max AS salary_max, sal.salary_avg AS salary_avg,
+  {Dk.flag(Dk.contains_any("concat(' ', titre_clean, ' ', description_clean)", ['télétravail', 'remote', 'distanciel', 'hybride']))} AS remote,
+  {Dk.experience_years('experience', 'v1')} AS experience_years FROM s1)"""
+
+
+@query("offers_structured_v1", v1_cte() + "\nSELECT * FROM v1")
+def offers_structured_v1(spark, sf):
+    """The v1 ETL: clean (v1), salary v1, remote with 'hybride', experience years v1."""
+    return etl.offers_structured(FX.offers(spark, sf))
+
+
+@query("v1_nonnull_counts", v1_cte() + """
+SELECT count(salary_avg) AS n_salary, sum(remote) AS n_remote, count(experience_years) AS n_experience,
+  count(*) AS n_rows FROM v1""")
+def v1_nonnull_counts(spark, sf):
+    """Counts reported after each v1 step (salaries, remote, experience)."""
+    v = etl.offers_structured(FX.offers(spark, sf))
+    return v.agg(F.count("salary_avg").alias("n_salary"), F.sum("remote").alias("n_remote"),
+                 F.count("experience_years").alias("n_experience"), F.count(F.lit(1)).alias("n_rows"))
