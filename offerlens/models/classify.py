@@ -70,11 +70,11 @@ def fit_predict(train: DataFrame, test: DataFrame, model: str, key: str = "offer
     def prep(d):
         return d.select(key, LABEL, TEXT, *NUMERIC,
                         *[F.coalesce(F.col(c), F.lit(NULL_CATEGORY)).alias(c) for c in CATEGORICAL])
-    from offerlens.session import shared_dir
-    shared_dir(train.sparkSession)  # checkpoints go to the cluster's shared folder
-    # Cut the lineage once: every stage fit and optimizer iteration reads the
-    # materialised rows instead of re-running the upstream plan.
-    train, test = prep(train).checkpoint(), prep(test).checkpoint()
+    from offerlens.session import materialize
+    # Cut the lineage once (tables in the shared folder): every stage fit and
+    # optimizer iteration reads the written rows instead of re-running the
+    # upstream plan.
+    train, test = materialize(prep(train), "train"), materialize(prep(test), "test")
     n_train = train.count()
     train, test = _standardize_with(train, [test], NUMERIC)
     text_model = tfidf_vectors(train, TEXT, out="text_vec", min_df=2, max_features=vocab_size)
@@ -88,7 +88,7 @@ def fit_predict(train: DataFrame, test: DataFrame, model: str, key: str = "offer
     clf = make_classifier(model, n_train, seed)
     clf.setFeaturesCol("features").setLabelCol("label").setPredictionCol("pred_idx")
     feats = Pipeline(stages=[*idx, ohe, label, asm]).fit(train)
-    train_f = feats.transform(train).select(key, LABEL, "label", "features").checkpoint()
+    train_f = materialize(feats.transform(train).select(key, LABEL, "label", "features"), "train_features")
     model = clf.fit(train_f)
     test_f = feats.transform(test)
     fitted = PipelineModel(stages=[model])

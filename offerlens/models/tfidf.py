@@ -45,12 +45,21 @@ def vocabulary(tf: DataFrame, n_docs: DataFrame, min_df: int = 2, max_features:
 
 
 def tfidf_long(df: DataFrame, key: str, text: str, min_df: int = 2, max_features: int | None = 30000,
-               ngram_max: int = 2) -> tuple[DataFrame, DataFrame]:
-    """Returns (weights (key, term, tfidf), vocabulary (term, df, idf))."""
-    toks = df.select(key, F.explode_outer(terms(F.col(text), ngram_max)).alias("term")).where(
-        F.col("term").isNotNull())
+               ngram_max: int = 2, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Returns (weights (key, term, tfidf), vocabulary (term, df, idf)).
+
+    The per-document term arrays feed three aggregates (document count,
+    vocabulary, weights).  With ``materialize`` they are computed once and
+    written once as a table in the shared folder (``spark.checkpoint.dir``),
+    so the text cleaning and tokenisation run a single time.
+    """
+    docs = df.select(key, terms(F.col(text), ngram_max).alias("terms"))
+    if materialize:
+        from offerlens.session import materialize as mat
+        docs = mat(docs, "terms")
+    toks = docs.select(key, F.explode_outer("terms").alias("term")).where(F.col("term").isNotNull())
     tf = toks.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
-    n_docs = df.agg(F.count(F.lit(1)).cast("double").alias("n"))
+    n_docs = docs.agg(F.count(F.lit(1)).cast("double").alias("n"))
     vocab = vocabulary(tf, n_docs, min_df, max_features)
     # the vocabulary holds at most max_features rows: broadcast is bounded
     w = tf.join(F.broadcast(vocab.select("term", "idf")) if max_features else vocab.select("term", "idf"), "term")

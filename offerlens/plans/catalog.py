@@ -966,12 +966,15 @@ def page_fields(spark, sf):
 
 def _cluster_texts(spark, sf):
     """Documents as cluster text (v3 clean of title + description, digits
-    removed), non-empty only."""
+    removed), non-empty only.  The cleaned texts are written once as a table:
+    a filter on the cleaned column would otherwise be pushed (with the whole
+    cleaning expression) below the scan's repartition and evaluated twice."""
     from offerlens.functions.text import clean_cluster_text, clean_text, text_all as ta
+    from offerlens.session import materialize
     t = FX.offer_texts(spark, sf)
     x = t.select("offer_id", "lang", clean_cluster_text(ta(clean_text("title", "v3"), clean_text("description", "v3")))
                  .alias("text_clean"))
-    return x.where(F.length("text_clean") > 0)
+    return materialize(x, "cluster_texts").where(F.length("text_clean") > 0)
 
 
 _CT_SQL = (f"(SELECT offer_id, lang, text_clean FROM (SELECT offer_id, lang, "
@@ -998,7 +1001,7 @@ wn AS (SELECT offer_id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY offer
 def tfidf(spark, sf):
     """Long-format TF-IDF of the document texts (1-2-grams, min_df 2, 30,000 terms)."""
     from offerlens.models.tfidf import tfidf_long
-    w, _ = tfidf_long(_cluster_texts(spark, sf), "offer_id", "text_clean", 2, 30000)
+    w, _ = tfidf_long(_cluster_texts(spark, sf), "offer_id", "text_clean", 2, 30000, materialize=False)
     return w.select("offer_id", "term", F.bround("tfidf", 9).alias("tfidf"))
 
 
@@ -1013,7 +1016,7 @@ def cluster_top_terms(spark, sf):
     code indexed the vocabulary with SVD positions).  Labels given: language."""
     from offerlens.models.tfidf import mean_terms_by_cluster, tfidf_long
     ct = _cluster_texts(spark, sf)
-    w, _ = tfidf_long(ct, "offer_id", "text_clean", 2, 30000)
+    w, _ = tfidf_long(ct, "offer_id", "text_clean", 2, 30000, materialize=False)
     top = mean_terms_by_cluster(w, ct.select("offer_id", "lang"), "offer_id", "lang", 15)
     return top.select("lang", "term", F.bround("mean_tfidf", 9).alias("mean_tfidf"), "rank")
 
@@ -1119,9 +1122,12 @@ def classification_report(spark, sf):
 
 
 def _offer_cluster_texts(spark, sf):
-    from offerlens.functions.text import clean_cluster_text, text_all as ta
-    ml = _ml(spark, sf)
-    return ml.select("offer_id", clean_cluster_text(ta("title_clean", "description_clean")).alias("text_clean"))
+    """Cluster text of every offer: v3 clean of title and description, joined,
+    digits removed (the salary classes are not needed here)."""
+    from offerlens.functions.text import clean_cluster_text, clean_text, text_all as ta
+    o = FX.offers(spark, sf)
+    return o.select("offer_id", clean_cluster_text(ta(clean_text("title", "v3"), clean_text("description", "v3")))
+                    .alias("text_clean"))
 
 
 @query("svd_scores")
@@ -1142,15 +1148,13 @@ def kmeans_text(spark, sf):
     from offerlens.models.clusters import kmeans_best, svd_scores as sv
     from offerlens.models.tfidf import tfidf_vectors
     from offerlens.operators.joins import write_back
-    from offerlens.session import scratch_path
+    from offerlens.session import materialize
     allx = _offer_cluster_texts(spark, sf)
     t = allx.where(F.length("text_clean") > 0)
     m = tfidf_vectors(t, "text_clean", out="tfidf", max_features=30000)
     scores = sv(m.transform(t).select("offer_id", "tfidf"), "offer_id", "tfidf", k=200)
     # cut the lineage once (10 k-means fits read it): a table in the shared folder
-    path = scratch_path(spark, "svd")
-    scores.write.parquet(path)
-    feats = spark.read.parquet(path).select("offer_id", array_to_vector("svd").alias("features"))
+    feats = materialize(scores, "svd").select("offer_id", array_to_vector("svd").alias("features"))
     km = kmeans_best(feats, "features", k=8, seed=42, n_init=10)
     labels = km.transform(feats).select("offer_id", F.col("cluster").cast("int").alias("cluster"))
     return write_back(allx.select("offer_id"), labels, "offer_id", "cluster", -1)
@@ -1172,8 +1176,7 @@ def _eval_features(spark, sf):
 def elbow(spark, sf):
     """Inertia for k = 2..11 on the standardised offer features."""
     from offerlens.models.clusters import elbow as eb
-    f = _eval_features(spark, sf).select("features").cache()
-    return eb(spark, f, "features", range(2, 12), 42)
+    return eb(spark, _eval_features(spark, sf), "features", range(2, 12), 42)
 
 
 @query("pca2")

@@ -59,3 +59,14 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder (never a local temp dir)."""
     return f"{shared_dir(spark)}/offerlens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as a Parquet table in the shared folder and read it
+    back: one job, columnar and compressed, and the lineage is cut (a lost
+    executor re-reads the files instead of recomputing the plan).
+    ``DataFrame.checkpoint()`` would compute the plan twice unless cached."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
