@@ -1135,7 +1135,8 @@ def svd_scores(spark, sf):
     """TF-IDF (30,000 terms) of the offer texts reduced to 200 SVD scores."""
     from offerlens.models.clusters import svd_scores as sv
     from offerlens.models.tfidf import tfidf_vectors
-    t = _offer_cluster_texts(spark, sf).where(F.length("text_clean") > 0)
+    from offerlens.session import materialize
+    t = materialize(_offer_cluster_texts(spark, sf), "offer_texts_clean").where(F.length("text_clean") > 0)
     m = tfidf_vectors(t, "text_clean", out="tfidf", max_features=30000)
     return sv(m.transform(t).select("offer_id", "tfidf"), "offer_id", "tfidf", k=200)
 
@@ -1149,7 +1150,8 @@ def kmeans_text(spark, sf):
     from offerlens.models.tfidf import tfidf_vectors
     from offerlens.operators.joins import write_back
     from offerlens.session import materialize
-    allx = _offer_cluster_texts(spark, sf)
+    # cleaned texts written once: the non-empty filter then reads a stored column
+    allx = materialize(_offer_cluster_texts(spark, sf), "offer_texts_clean")
     t = allx.where(F.length("text_clean") > 0)
     m = tfidf_vectors(t, "text_clean", out="tfidf", max_features=30000)
     scores = sv(m.transform(t).select("offer_id", "tfidf"), "offer_id", "tfidf", k=200)

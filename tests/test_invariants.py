@@ -135,3 +135,20 @@ def test_html_blocks_noise_and_nesting(spark):
     d = main_text(b).first()["description"]
     assert "menu" not in d and "cookies" not in d and "pied" not in d
     assert d.split("\n") == [body, body + " encore."]
+
+
+def test_svd_scores_match_numpy(spark, sf):
+    """Scores A*V have column norms equal to the singular values of A."""
+    from pyspark.ml.functions import vector_to_array
+    from offerlens.models.clusters import svd_scores
+    from offerlens.models.tfidf import tfidf_vectors
+    t = C._cluster_texts(spark, sf).select("offer_id", "text_clean")
+    m = tfidf_vectors(t, "text_clean", out="v", max_features=300)
+    a = m.transform(t).select("offer_id", "v")
+    dense = {r["offer_id"]: r["x"] for r in a.select("offer_id", vector_to_array("v").alias("x")).collect()}
+    A = np.array([dense[k] for k in sorted(dense)])
+    sv = np.linalg.svd(A, compute_uv=False)
+    s = svd_scores(a, "offer_id", "v", k=5).collect()
+    S = np.array([r["svd"] for r in sorted(s, key=lambda r: r["offer_id"])])
+    assert S.shape == (len(dense), 5)
+    assert np.allclose(np.linalg.norm(S, axis=0), sv[:5], rtol=1e-6)
