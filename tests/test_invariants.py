@@ -152,3 +152,26 @@ def test_svd_scores_match_numpy(spark, sf):
     S = np.array([r["svd"] for r in sorted(s, key=lambda r: r["offer_id"])])
     assert S.shape == (len(dense), 5)
     assert np.allclose(np.linalg.norm(S, axis=0), sv[:5], rtol=1e-6)
+
+
+def test_stream_batch_retry_is_idempotent(spark):
+    """Re-running a micro-batch (executor loss, restart) leaves the sink unchanged."""
+    from pyspark.sql.types import _parse_datatype_string
+    from offerlens.session import scratch_path
+    from offerlens.streaming.ingest import _merge_batch, _with_batch
+    schema = _parse_datatype_string("job_id STRING, offer_id BIGINT, title STRING, scraped_at TIMESTAMP")
+    sink = scratch_path(spark, "idem")
+    spark.createDataFrame([], _with_batch(schema)).write.partitionBy("batch_id").parquet(sink)
+    import datetime as dt
+    t = dt.datetime(2020, 1, 1)
+    b0 = spark.createDataFrame([("a", 1, "x", t), ("a", 2, "y", t + dt.timedelta(1)), ("b", 3, "", t)], schema)
+    b1 = spark.createDataFrame([("a", 4, "z", t), ("c", 5, "w", t)], schema)
+    merge = _merge_batch(sink, schema, "job_id", ["scraped_at", "offer_id"], "title")
+    merge(b0, 0)
+    merge(b1, 1)
+    first = sorted(tuple(r) for r in spark.read.parquet(sink).select("job_id", "offer_id", "batch_id").collect())
+    merge(b1, 1)  # retry of batch 1
+    merge(b0, 0)  # retry of batch 0
+    again = sorted(tuple(r) for r in spark.read.parquet(sink).select("job_id", "offer_id", "batch_id").collect())
+    assert first == [("a", 1, 0), ("c", 5, 1)]
+    assert again == first
