@@ -16,6 +16,11 @@ from offerlens.operators.lines import BOILERPLATE, NO_DESCRIPTION, dedup_lines,
 from offerlens.functions.text import ustrip
 from offerlens.sources.html import class_has, class_is
 
+# Tags each rule reads (pass to ``page_blocks(pages, tags=...)``).
+MAIN_TEXT_TAGS = {"div", "article", "section", "body"}
+FIELD_TAGS = {"title", "h1", "a"}
+FALLBACK_TAGS = {"main", "body"}
+
 MIN_PART = 100
 MIN_MAIN = 200
 MIN_LINE = 30
@@ -72,7 +77,13 @@ def body_lines_text(text: Column, phrases: list[str] = BOILERPLATE) -> Column:
     return F.when(F.length(res) > MIN_PART, res)
 
 
-def main_text(blocks: DataFrame) -> DataFrame:
+def _page_ids(blocks: DataFrame, pages: DataFrame | None) -> DataFrame:
+    """Every page once: from the pages table when given (pages without any
+    emitted element still get a row), else from the blocks."""
+    return pages.select("page_id") if pages is not None else blocks.select("page_id").distinct()
+
+
+def main_text(blocks: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     """Detail-page description: first selector whose first element survives
     the boilerplate rules; else the body-lines fallback; else 'Non renseignée'.
     Noise elements (header/footer/nav, cookie/banner classes) are removed."""
@@ -82,8 +93,7 @@ def main_text(blocks: DataFrame) -> DataFrame:
             .withColumn("clean", remove_boilerplate(F.col("text"))).where(F.col("clean").isNotNull())
             .groupBy("page_id").agg(F.min_by("clean", "prio").alias("selected")))
     body = b.where(_tag("body")).groupBy("page_id").agg(F.min_by("text", "pos").alias("body_text"))
-    pages = blocks.select("page_id").distinct()
-    return (pages.join(cand, "page_id", "left").join(body, "page_id", "left")
+    return (_page_ids(blocks, pages).join(cand, "page_id", "left").join(body, "page_id", "left")
             .select("page_id", F.coalesce("selected", body_lines_text(F.col("body_text")),
                                           F.lit(NO_DESCRIPTION)).alias("description")))
 
@@ -111,14 +121,14 @@ def sections(blocks: DataFrame, words: list[str] = SECTION_WORDS) -> DataFrame:
             .select("page_id", "hpos", "spos", F.concat(F.col("htext"), F.lit(":\n"), ustrip("stext")).alias("part")))
 
 
-def text_fallback(blocks: DataFrame) -> DataFrame:
+def text_fallback(blocks: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     """Whole-page fallbacks: ``main`` text over 200 chars, and body lines."""
     main = (blocks.where(_tag("main")).groupBy("page_id").agg(F.min_by("text", "pos").alias("t"))
             .select("page_id", F.when(F.length("t") > MIN_MAIN, F.col("t")).alias("main_text")))
     body = (blocks.where(_tag("body") & ~F.col("noise")).groupBy("page_id")
             .agg(F.min_by("text", "pos").alias("t"))
             .select("page_id", body_lines_text(F.col("t")).alias("body_text")))
-    return blocks.select("page_id").distinct().join(main, "page_id", "left").join(body, "page_id", "left")
+    return _page_ids(blocks, pages).join(main, "page_id", "left").join(body, "page_id", "left")
 
 
 def collected_description(blocks: DataFrame) -> DataFrame:
@@ -190,11 +200,11 @@ def _enclosing(blocks: DataFrame, links: DataFrame, word: str, max_depth: int =
     return out.distinct().select("page_id", F.lit(0).alias("rule"), "pos")
 
 
-def page_fields(blocks: DataFrame) -> DataFrame:
+def page_fields(blocks: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     """Per page: the ``title`` text, the first ``h1`` text, the first link's
     title attribute; null when absent."""
     first = lambda cond, col, name: (blocks.where(cond).groupBy("page_id")
                                      .agg(F.min_by(col, "pos").alias(name)))
     parts = [first(_tag("title"), "text", "page_title"), first(_tag("h1"), "text", "h1"),
              first(_tag("a") & F.col("title_attr").isNotNull(), "title_attr", "link_title")]
-    return reduce(lambda a, b: a.join(b, "page_id", "left"), parts, blocks.select("page_id").distinct())
+    return reduce(lambda a, b: a.join(b, "page_id", "left"), parts, _page_ids(blocks, pages))

@@ -896,10 +896,15 @@ def stratified_split(spark, sf):
 # Pages (H1-H4, H21, H22)
 # --------------------------------------------------------------------------
 
-def _blocks(spark, sf):
+def _pages(spark, sf):
+    from offerlens.sources.tables import table
+    return table(spark, sf, "pages").select("page_id")
+
+
+def _blocks(spark, sf, tags=None):
     from offerlens.sources.html import page_blocks
     from offerlens.sources.tables import spread, table
-    return page_blocks(spread(table(spark, sf, "pages"), "page_id"))
+    return page_blocks(spread(table(spark, sf, "pages"), "page_id"), tags)
 
 
 @query("page_blocks")
@@ -910,8 +915,8 @@ def page_blocks(spark, sf):
 
 @query("page_main_text")
 def page_main_text(spark, sf):
-    from offerlens.operators.pages import main_text
-    return main_text(_blocks(spark, sf))
+    from offerlens.operators.pages import MAIN_TEXT_TAGS, main_text
+    return main_text(_blocks(spark, sf, MAIN_TEXT_TAGS), _pages(spark, sf))
 
 
 @query("page_sections")
@@ -922,8 +927,8 @@ def page_sections(spark, sf):
 
 @query("page_text_fallback")
 def page_text_fallback(spark, sf):
-    from offerlens.operators.pages import text_fallback
-    return text_fallback(_blocks(spark, sf))
+    from offerlens.operators.pages import FALLBACK_TAGS, text_fallback
+    return text_fallback(_blocks(spark, sf, FALLBACK_TAGS), _pages(spark, sf))
 
 
 @query("page_description_collected")
@@ -956,8 +961,8 @@ def _first_tag_sql(tag: str) -> str:
 @query("page_fields", f"""SELECT page_id, {_first_tag_sql('title')} AS page_title, {_first_tag_sql('h1')} AS h1,
   CAST(NULL AS VARCHAR) AS link_title FROM pages""")
 def page_fields(spark, sf):
-    from offerlens.operators.pages import page_fields as pf
-    return pf(_blocks(spark, sf))
+    from offerlens.operators.pages import FIELD_TAGS, page_fields as pf
+    return pf(_blocks(spark, sf, FIELD_TAGS), _pages(spark, sf))
 
 
 # --------------------------------------------------------------------------
