@@ -102,22 +102,24 @@ def sections(blocks: DataFrame, words: list[str] = SECTION_WORDS) -> DataFrame:
     """h2/h3 headings holding a keyword: the first 5 following siblings of the
     heading's parent whose text exceeds 50 chars, as 'heading:\\ntext'.
 
-    Siblings are found by a join on (page, parent) - page-local - and the
-    first five per heading by ``row_number``, bounded by 5 per heading.
+    No heading is paired with all later siblings: every block gets its
+    index among its parent's children (``row_number`` per (page, parent)),
+    and each heading is joined on equal keys to the indexes right after its
+    parent's, so at most 5 rows per heading are ever produced.
     """
     low = F.lower(ustrip("text"))
     heads = (blocks.where(F.col("tag").isin("h2", "h3") &
                           F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(low, w)))
              .select("page_id", F.col("pos").alias("hpos"), F.col("text").alias("htext"),
                      F.col("parent").alias("hparent")))
-    par = blocks.select("page_id", F.col("pos").alias("hparent"), F.col("parent").alias("gparent"))
-    sib = blocks.select("page_id", F.col("parent").alias("gparent"), F.col("pos").alias("spos"),
-                        F.col("text").alias("stext"))
-    j = (heads.join(par, ["page_id", "hparent"]).join(sib, ["page_id", "gparent"])
-         .where(F.col("spos") > F.col("hparent")))
-    w = Window.partitionBy("page_id", "hpos").orderBy("spos")
-    return (j.withColumn("k", F.row_number().over(w)).where(F.col("k") <= MAX_SIBLINGS)
-            .where(F.length(ustrip("stext")) > MIN_SECTION)
+    sib = (blocks.select("page_id", F.col("parent").alias("gparent"), F.col("pos").alias("spos"),
+                         F.col("text").alias("stext"))
+           .withColumn("si", F.row_number().over(Window.partitionBy("page_id", "gparent").orderBy("spos"))))
+    par = sib.select("page_id", F.col("spos").alias("hparent"), "gparent", F.col("si").alias("hsi"))
+    j = (heads.join(par, ["page_id", "hparent"])
+         .withColumn("si", F.explode(F.sequence(F.col("hsi") + 1, F.col("hsi") + MAX_SIBLINGS)))
+         .join(sib, ["page_id", "gparent", "si"]))
+    return (j.where(F.length(ustrip("stext")) > MIN_SECTION)
             .select("page_id", "hpos", "spos", F.concat(F.col("htext"), F.lit(":\n"), ustrip("stext")).alias("part")))
 
 

@@ -175,3 +175,35 @@ def test_stream_batch_retry_is_idempotent(spark):
     again = sorted(tuple(r) for r in spark.read.parquet(sink).select("job_id", "offer_id", "batch_id").collect())
     assert first == [("a", 1, 0), ("c", 5, 1)]
     assert again == first
+
+
+def test_sections_match_brute_force(spark):
+    """Heading sections (first 5 following siblings of the heading's parent,
+    kept when over 50 chars) against a direct Python walk of the blocks."""
+    from offerlens.operators.pages import MAX_SIBLINGS, MIN_SECTION, SECTION_WORDS, sections
+    from offerlens.sources.html import page_blocks
+    long_ = "Texte de section suffisamment long pour dépasser le seuil de cinquante caractères"
+    html1 = ("<html><body><div><div><h2>Description du poste</h2></div>"
+             + "".join(f"<p>{long_} {i}</p>" for i in range(3)) + "<p>court</p>"
+             + "".join(f"<p>{long_} b{i}</p>" for i in range(4))
+             + "<div><h3>Votre profil</h3><span>x</span></div>" + f"<p>{long_} fin</p></div>"
+             + "<section><h2>Autre chose</h2></section><p>" + long_ + "</p></body></html>")
+    html2 = ("<html><body><main><div><h2>Missions</h2></div>"
+             + "".join(f"<div>{long_} m{i}</div>" for i in range(8)) + "</main></body></html>")
+    pages = spark.createDataFrame([(1, html1), (2, html2)], "page_id BIGINT, html STRING")
+    b = page_blocks(pages)
+    got = sorted(tuple(r) for r in sections(b).select("page_id", "hpos", "spos", "part").collect())
+    rows = b.collect()
+    want = []
+    for h in rows:
+        low = h["text"].strip().lower()
+        if h["tag"] not in ("h2", "h3") or not any(w in low for w in SECTION_WORDS):
+            continue
+        par = [r for r in rows if r["page_id"] == h["page_id"] and r["pos"] == h["parent"]]
+        if not par:
+            continue
+        sibs = sorted((r for r in rows if r["page_id"] == h["page_id"] and r["parent"] == par[0]["parent"]
+                       and r["pos"] > par[0]["pos"]), key=lambda r: r["pos"])[:MAX_SIBLINGS]
+        want += [(h["page_id"], h["pos"], s["pos"], h["text"] + ":\n" + s["text"].strip())
+                 for s in sibs if len(s["text"].strip()) > MIN_SECTION]
+    assert got == sorted(want) and len(got) >= 6
