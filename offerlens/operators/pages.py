@@ -183,22 +183,20 @@ def page_cards(blocks: DataFrame, rules: list[tuple[str, list[str]]] = CARD_RULE
     return cards.unionByName(groups)
 
 
-def _enclosing(blocks: DataFrame, links: DataFrame, word: str, max_depth: int = 12) -> DataFrame:
-    """Nearest ancestor div with class ``word`` of each link (else the link):
-    walks up the parent chain with bounded self-joins on (page, pos)."""
-    par = blocks.select("page_id", F.col("pos").alias("cur"), F.col("parent").alias("up"),
-                        (_tag("div") & class_has("cls", word)).alias("hit"))
-    cur = links.select("page_id", F.col("pos").alias("link"), F.col("parent").alias("cur"))
-    found = None
-    for _ in range(max_depth):
-        step = cur.join(par, ["page_id", "cur"], "left")
-        hit = step.where(F.col("hit")).select("page_id", "link", F.col("cur").alias("pos"))
-        found = hit if found is None else found.unionByName(hit)
-        cur = step.where(~F.coalesce(F.col("hit"), F.lit(True)) & (F.col("up") >= 0)).select(
-            "page_id", "link", F.col("up").alias("cur"))
-    missing = links.select("page_id", F.col("pos").alias("link")).join(found.select("page_id", "link"),
+def _enclosing(blocks: DataFrame, links: DataFrame, word: str) -> DataFrame:
+    """Nearest ancestor div with class ``word`` of each link (else the link).
+
+    Each link block carries its ancestor positions: exploding them gives
+    (page, ancestor) keys, one equi-join with the matching divs finds every
+    enclosing one at any depth, and the nearest is the deepest (largest
+    position).  Rows are bounded by links x nesting depth; no walk, no cap.
+    """
+    hits = blocks.where(_tag("div") & class_has("cls", word)).select("page_id", F.col("pos").alias("anc"))
+    anc = links.select("page_id", F.col("pos").alias("link"), F.explode_outer("ancestors").alias("anc"))
+    near = (anc.join(hits, ["page_id", "anc"]).groupBy("page_id", "link").agg(F.max("anc").alias("pos")))
+    missing = links.select("page_id", F.col("pos").alias("link")).join(near.select("page_id", "link"),
                                                                        ["page_id", "link"], "left_anti")
-    out = found.select("page_id", "pos").unionByName(missing.select("page_id", F.col("link").alias("pos")))
+    out = near.select("page_id", "pos").unionByName(missing.select("page_id", F.col("link").alias("pos")))
     return out.distinct().select("page_id", F.lit(0).alias("rule"), "pos")
 
 

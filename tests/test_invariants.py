@@ -207,3 +207,32 @@ def test_sections_match_brute_force(spark):
         want += [(h["page_id"], h["pos"], s["pos"], h["text"] + ":\n" + s["text"].strip())
                  for s in sibs if len(s["text"].strip()) > MIN_SECTION]
     assert got == sorted(want) and len(got) >= 6
+
+
+def test_card_fallback_enclosing_any_depth(spark):
+    """Pages without a winning card rule: each offer link maps to its nearest
+    enclosing tw-group div however deep it is nested (checked against a
+    Python walk up the parent links), or to itself."""
+    from offerlens.operators.pages import page_cards
+    from offerlens.sources.html import page_blocks
+    deep = "<div>" * 15 + "<a href='/fr-fr/emplois/1.html'>o1</a>" + "</div>" * 15
+    html = ("<html><body><div class='tw-group x'><div class='tw-group'>" + deep + "</div>"
+            "<span><a href='/fr-fr/emplois/2.html'>o2</a></span></div>"
+            "<p><a href='/fr-fr/emplois/3.html'>o3</a></p><a href='/autre'>x</a></body></html>")
+    pages = spark.createDataFrame([(7, html)], "page_id BIGINT, html STRING")
+    b = page_blocks(pages)
+    got = sorted(tuple(r) for r in page_cards(b).select("page_id", "pos").collect())
+    rows = {r["pos"]: r for r in b.collect()}
+    want = set()
+    for r in rows.values():
+        if r["tag"] != "a" or "/fr-fr/emplois/" not in (r["href"] or ""):
+            continue
+        j, hit = r["parent"], r["pos"]
+        while j in rows:
+            if rows[j]["tag"] == "div" and "tw-group" in (rows[j]["cls"] or ""):
+                hit = j
+                break
+            j = rows[j]["parent"]
+        want.add((7, hit))
+    assert got == sorted(want) and len(want) == 3
+    assert max(r["depth"] for r in rows.values()) > 15
