@@ -1162,7 +1162,7 @@ def kmeans_text(spark, sf):
     scores = sv(m.transform(t).select("offer_id", "tfidf"), "offer_id", "tfidf", k=200)
     # cut the lineage once (10 k-means fits read it): a table in the shared folder
     feats = materialize(scores, "svd").select("offer_id", array_to_vector("svd").alias("features"))
-    km = kmeans_best(feats, "features", k=8, seed=42, n_init=10)
+    km = kmeans_best(feats, "features", k=8, seed=42, n_init=10, key="offer_id")
     labels = km.transform(feats).select("offer_id", F.col("cluster").cast("int").alias("cluster"))
     return write_back(allx.select("offer_id"), labels, "offer_id", "cluster", -1)
 
@@ -1183,7 +1183,7 @@ def _eval_features(spark, sf):
 def elbow(spark, sf):
     """Inertia for k = 2..11 on the standardised offer features."""
     from offerlens.models.clusters import elbow as eb
-    return eb(spark, _eval_features(spark, sf), "features", range(2, 12), 42)
+    return eb(spark, _eval_features(spark, sf), "features", range(2, 12), 42, key="offer_id")
 
 
 @query("pca2")
