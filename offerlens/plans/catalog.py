@@ -816,11 +816,17 @@ def sink_json_roundtrip(spark, sf):
 # --------------------------------------------------------------------------
 
 def _clf_base(spark, sf):
-    """Labeled offers with department_num, imputed experience and remote."""
+    """Labeled offers with department_num, imputed experience and remote.
+
+    The labeled rows are written once as a table in the shared folder: the
+    median, the standardisation statistics, the one-hot value lists and the
+    final projection each need a pass, and without the table every pass
+    would re-run the offer join and all the parsing expressions."""
     from offerlens.functions.geo import department_num as dn
     from offerlens.operators.features import fill_zero, impute_median
     from offerlens.operators.quality import labeled_only as lo
-    x = lo(_ml(spark, sf)).withColumn("department_num", dn("department"))
+    from offerlens.session import materialize
+    x = materialize(lo(_ml(spark, sf)).withColumn("department_num", dn("department")), "clf_base")
     return fill_zero(impute_median(x, ["experience_years"]), ["remote"])
 
 
