@@ -33,7 +33,12 @@ def _merge_batch(sink: str, schema: StructType, key: str, order: list[str], titl
         kept = batch.where(F.col(title).isNotNull() & (F.col(title) != F.lit("")))
         firsts = first_seen(kept, key, order)
         seen = spark.read.schema(_with_batch(schema)).parquet(sink).where(F.col("batch_id") < batch_id)
-        new = firsts.join(seen.select(key), key, "left_anti").withColumn("batch_id", F.lit(batch_id).cast("long"))
+        # Sink ids that occur in this batch: a semi join whose build side is
+        # the batch's keys, so Spark can broadcast them (its own size check,
+        # sort-merge beyond it) and stream the sink's id column through the
+        # hash table instead of shuffling every id already ingested.
+        hits = seen.select(key).join(firsts.select(key), key, "left_semi")
+        new = firsts.join(hits, key, "left_anti").withColumn("batch_id", F.lit(batch_id).cast("long"))
         (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(sink))
     return merge
