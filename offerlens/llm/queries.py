@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from .sentencepiece_codec import op1_sentencepiece
 from .token_counts import op10_token_counts
+from .token_records import op3_token_records
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op3_token_records": op3_token_records,
     "op10_token_counts": op10_token_counts,
 }
 
