@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from .sentencepiece_codec import op1_sentencepiece
+from .simhash import op9_simhash
 from .token_counts import op10_token_counts
 from .token_records import op3_token_records
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_token_records": op3_token_records,
+    "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
 }
 
