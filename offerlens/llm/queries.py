@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from . import mixing, quality
+from .mixing import op4_mixing
+from .quality import op5_quality
 from .sentencepiece_codec import op1_sentencepiece
 from .simhash import op9_simhash
 from .token_counts import op10_token_counts
@@ -10,8 +13,13 @@ from .token_records import op3_token_records
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_token_records": op3_token_records,
+    "op4_mixing": op4_mixing,
+    "op5_quality": op5_quality,
     "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_mixing": mixing.ORACLE_SQL,
+    "op5_quality": quality.ORACLE_SQL,
+}
