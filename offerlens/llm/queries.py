@@ -9,12 +9,16 @@ from .sentencepiece_codec import op1_sentencepiece
 from .simhash import op9_simhash
 from .token_counts import op10_token_counts
 from .token_records import op3_token_records
+from .toxicity import op6_toxicity
+from .url_filter import op8_url_filter
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_token_records": op3_token_records,
     "op4_mixing": op4_mixing,
     "op5_quality": op5_quality,
+    "op6_toxicity": op6_toxicity,
+    "op8_url_filter": op8_url_filter,
     "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
 }
