@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import mixing, quality
+from . import embedding_dedup, mixing, quality
+from .embedding_dedup import op2_embedding_dedup
 from .mixing import op4_mixing
 from .quality import op5_quality
 from .sentencepiece_codec import op1_sentencepiece
@@ -14,6 +15,7 @@ from .url_filter import op8_url_filter
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_token_records": op3_token_records,
     "op4_mixing": op4_mixing,
     "op5_quality": op5_quality,
@@ -24,6 +26,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_embedding_dedup": embedding_dedup.ORACLE_SQL,
     "op4_mixing": mixing.ORACLE_SQL,
     "op5_quality": quality.ORACLE_SQL,
 }
