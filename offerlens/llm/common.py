@@ -53,3 +53,30 @@ def add_columns(df: DataFrame, fields: StructType, source: str, fn: Callable[[li
                 yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(v, k) for v, k in zip(new, kinds))], names=names)
 
     return base.mapInArrow(run, StructType(base.schema.fields + fields.fields))
+
+
+class Scratch:
+    """Tables that an operator writes to the shared folder and gives back when they are no longer read."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        from ..session import scratch_path
+        self.spark, self.root, self.n = spark, scratch_path(spark, name), 0
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """``df`` written and read back: computed once, its lineage cut."""
+        self.n += 1
+        path = f"{self.root}/{self.n:03d}"
+        df.write.parquet(path)
+        back = self.spark.read.schema(df.schema).parquet(path)
+        back._scratch = path
+        return back
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete kept tables; the shuffle files of plans that nothing refers to any more go with them."""
+        import gc
+        jvm = self.spark._jvm
+        for t in tables:
+            path = jvm.org.apache.hadoop.fs.Path(t._scratch)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        gc.collect()
+        jvm.System.gc()

@@ -8,6 +8,7 @@ from .mixing import op4_mixing
 from .quality import op5_quality
 from .sentencepiece_codec import op1_sentencepiece
 from .simhash import op9_simhash
+from .suffix_dedup import op7_suffix_dedup
 from .token_counts import op10_token_counts
 from .token_records import op3_token_records
 from .toxicity import op6_toxicity
@@ -20,6 +21,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_quality": op5_quality,
     "op6_toxicity": op6_toxicity,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_url_filter": op8_url_filter,
     "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
