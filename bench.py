@@ -22,7 +22,7 @@ HEADLINE = [
     "avg_salary_by_contract", "dashboard_reports", "offers_enriched", "quality_report", "skills_extract",
     "top_skills", "clean_text_v2", "line_dedup", "boilerplate_lines", "offer_dedup", "tag_routing",
     "page_main_text", "page_fields", "classif_prepared", "stratified_split", "tfidf", "cluster_top_terms",
-    "silhouette", "kmeans_text", "stream_offer_ingest",
+    "silhouette_sq", "svd_scores", "elbow", "page_cards", "page_description_collected", "model_comparison", "kmeans_text", "stream_offer_ingest",
 ]
 
 
@@ -34,6 +34,7 @@ def main() -> None:
 
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("offerlens-bench")
              .config("spark.sql.shuffle.partitions", str(cpus))
+             .config("spark.offerlens.spreadPartitions", str(cpus))
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.ui.enabled", "false")

@@ -50,7 +50,7 @@ def clean_text(c: str | Column, variant: str = "v2") -> Column:
 
 def clean_cluster_text(c: str | Column) -> Column:
     """Clustering clean: lower, digits -> space, collapse whitespace, strip."""
-    x = F.regexp_replace(F.lower(col_(c)), f"[{DIGIT}]+", " ")
+    x = F.regexp_replace(F.lower(col_(c)), r"\p{Nd}+", " ")
     return ustrip(collapse_ws(x))
 
 

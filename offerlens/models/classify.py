@@ -13,7 +13,9 @@ category indexes, and the model.  The four reference models map to MLlib:
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from typing import NamedTuple
+
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, OneVsRest,
                                        RandomForestClassifier)
 from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexer, VectorAssembler
@@ -41,7 +43,8 @@ def make_classifier(name: str, n_train: int, seed: int = 42):
                                       minInstancesPerNode=1, cacheNodeIds=True, maxMemoryInMB=1024)
     if name == "LinearSVC":
         # one binary model per class, trained concurrently
-        return OneVsRest(classifier=LinearSVC(maxIter=1000, tol=1e-4, regParam=1.0 / max(n_train, 1)),
+        return OneVsRest(classifier=LinearSVC(maxIter=1000, tol=1e-4, regParam=1.0 / max(n_train, 1),
+                                              standardization=False),
                          parallelism=3)
     if name == "GradientBoosting":
         return OneVsRest(classifier=GBTClassifier(maxIter=100, maxDepth=3, stepSize=0.1, seed=seed),
@@ -63,17 +66,23 @@ def _standardize_with(train: DataFrame, others: list[DataFrame], cols: list[str]
     return out
 
 
-def fit_predict(train: DataFrame, test: DataFrame, model: str, key: str = "offer_id",
-                vocab_size: int = 20000, seed: int = 42) -> DataFrame:
-    """Fit the feature pipeline and ``model`` on ``train``; predict ``test``.
-    Returns (key, salary_category, prediction)."""
+class Features(NamedTuple):
+    """Feature tables of one split, for any number of classifiers."""
+
+    train: DataFrame        # key, salary_category, label, features
+    test: DataFrame
+    labels: list[str]
+    n_train: int
+
+
+def prepare_features(train: DataFrame, test: DataFrame, key: str = "offer_id", vocab_size: int = 20000) -> Features:
+    """TF-IDF, standardised numbers and one-hot categories, fitted on ``train``
+    and written once for both sides: every estimator and optimizer iteration
+    reads the written rows."""
     def prep(d):
         return d.select(key, LABEL, TEXT, *NUMERIC,
                         *[F.coalesce(F.col(c), F.lit(NULL_CATEGORY)).alias(c) for c in CATEGORICAL])
     from offerlens.session import materialize
-    # Cut the lineage once (tables in the shared folder): every stage fit and
-    # optimizer iteration reads the written rows instead of re-running the
-    # upstream plan.
     train, test = materialize(prep(train), "train"), materialize(prep(test), "test")
     n_train = train.count()
     train, test = _standardize_with(train, [test], NUMERIC)
@@ -82,19 +91,25 @@ def fit_predict(train: DataFrame, test: DataFrame, model: str, key: str = "offer
     idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in CATEGORICAL]
     ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in CATEGORICAL], outputCols=[f"{c}_ohe" for c in CATEGORICAL],
                         handleInvalid="keep", dropLast=True)  # unseen -> all zeros
-    label = StringIndexer(inputCol=LABEL, outputCol="label")
+    label = StringIndexer(inputCol=LABEL, outputCol="label", handleInvalid="keep")
     asm = VectorAssembler(inputCols=["text_vec", *[f"std_{c}" for c in NUMERIC], *[f"{c}_ohe" for c in CATEGORICAL]],
                           outputCol="features")
-    clf = make_classifier(model, n_train, seed)
-    clf.setFeaturesCol("features").setLabelCol("label").setPredictionCol("pred_idx")
     feats = Pipeline(stages=[*idx, ohe, label, asm]).fit(train)
-    train_f = materialize(feats.transform(train).select(key, LABEL, "label", "features"), "train_features")
-    model = clf.fit(train_f)
-    test_f = feats.transform(test)
-    fitted = PipelineModel(stages=[model])
-    out = fitted.transform(test_f)
-    labels = feats.stages[len(idx) + 1].labels
-    back = IndexToString(inputCol="pred_idx", outputCol="prediction", labels=labels)
+    cols = [key, LABEL, "label", "features"]
+    return Features(materialize(feats.transform(train).select(*cols), "train_features"),
+                    materialize(feats.transform(test).select(*cols), "test_features"),
+                    feats.stages[len(idx) + 1].labels, n_train)
+
+
+def fit_predict(train: DataFrame, test: DataFrame, model: str, key: str = "offer_id",
+                vocab_size: int = 20000, seed: int = 42, features: Features | None = None) -> DataFrame:
+    """Fit ``model`` on ``train`` (or on ready ``features``); predict ``test``.
+    Returns (key, salary_category, prediction)."""
+    f = features or prepare_features(train, test, key, vocab_size)
+    clf = make_classifier(model, f.n_train, seed)
+    clf.setFeaturesCol("features").setLabelCol("label").setPredictionCol("pred_idx")
+    out = clf.fit(f.train).transform(f.test)
+    back = IndexToString(inputCol="pred_idx", outputCol="prediction", labels=f.labels)
     return back.transform(out).select(key, LABEL, "prediction")
 
 
@@ -137,10 +152,10 @@ def classification_report(pred: DataFrame, y: str = LABEL, p: str = "prediction"
 
 def compare_models(spark: SparkSession, train: DataFrame, test: DataFrame, models=MODELS,
                    key: str = "offer_id") -> DataFrame:
-    """(model, accuracy) for each model, fitted on the same split."""
-    res = []
+    """(model, accuracy) for each model, fitted on the same split and features."""
+    features, res = prepare_features(train, test, key), []
     for m in models:
-        pr = fit_predict(train, test, m, key)
+        pr = fit_predict(train, test, m, key, features=features)
         acc = pr.agg(F.avg((F.col(LABEL) == F.col("prediction")).cast("double")).alias("a")).first()["a"]
         res.append((m, float(acc)))
     return spark.createDataFrame(res, "model STRING, accuracy DOUBLE")

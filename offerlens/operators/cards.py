@@ -97,14 +97,24 @@ def category_match(links: DataFrame, wanted: list[str], text: str = "text", href
     """Links whose (stripped) text contains any wanted category, ignoring case;
     one href per text, the last one seen (dict overwrite).  ``wanted`` is a
     short user list, tested in-row with ``exists`` (no join)."""
+    m = _wanted_links(links, wanted, text, href, href_marker)
+    return m.groupBy(text).agg(F.max_by(href, F.struct(*[F.col(c) for c in order])).alias(href))
+
+
+def category_links_found(links: DataFrame, wanted: list[str], href_marker: str | None = None) -> DataFrame:
+    """(page_id, name, url): every page's matching categories, per name the last link (dict overwrite)."""
+    m = _wanted_links(links, wanted, "text", "href", href_marker)
+    return m.groupBy("page_id", F.col("text").alias("name")).agg(F.max_by("href", "pos").alias("url"))
+
+
+def _wanted_links(links: DataFrame, wanted: list[str], text: str, href: str, href_marker: str | None) -> DataFrame:
     t = ustrip(F.col(text))
     low = F.lower(t)
     cond = (t != F.lit("")) & F.col(href).isNotNull() & F.exists(
         F.array(*[F.lit(w.lower()) for w in wanted]), lambda w: F.contains(low, w))
     if href_marker:
         cond = cond & F.contains(F.col(href), F.lit(href_marker))
-    m = links.where(cond).withColumn(text, t)
-    return m.groupBy(text).agg(F.max_by(href, F.struct(*[F.col(c) for c in order])).alias(href))
+    return links.where(cond).withColumn(text, t)
 
 
 def fill_defaults(found: DataFrame, defaults: DataFrame, name: str = "name", minimum: int = 4,

@@ -12,8 +12,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_ONE_HOT_VALUES = 1000
-
 
 def impute_median(df: DataFrame, cols: list[str]) -> DataFrame:
     """Nulls -> the column's exact median (pandas ``median``).  MLlib's
@@ -43,33 +41,26 @@ def standardize(df: DataFrame, cols: list[str], prefix: str = "std_", digits: in
     return out.drop(*[f"__mu_{c}" for c in cols], *[f"__sd_{c}" for c in cols])
 
 
-def category_values(df: DataFrame, cols: list[str], max_values: int = MAX_ONE_HOT_VALUES) -> dict[str, list]:
-    """Sorted distinct non-null values per column, in one aggregate.
+def one_hot(df: DataFrame, cols: list[str] | dict[str, list], values: dict[str, list] | None = None) -> DataFrame:
+    """``pd.get_dummies``: one INT column ``<col>_<value>`` per listed value; a
+    null, or a value that is not listed, gives zeros.
 
-    The result drives the output schema, so it must come to the driver; it
-    is bounded: more than ``max_values`` values in a column raises instead of
-    building an unbounded projection.
-    """
-    row = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in cols]).first()
-    out = {}
-    for c in cols:
-        vals = list(row[c] or [])
-        if len(vals) > max_values:
-            raise ValueError(f"{c}: {len(vals)} distinct values > {max_values}; not one-hot encodable")
-        out[c] = vals
-    return out
-
-
-def one_hot(df: DataFrame, cols: list[str], values: dict[str, list] | None = None,
-            max_values: int = MAX_ONE_HOT_VALUES) -> DataFrame:
-    """``pd.get_dummies``: one INT column ``<col>_<value>`` per sorted value;
-    a null gives zeros in every column of its prefix."""
-    vals = values or category_values(df, cols, max_values)
+    The output schema depends on the values, so the wide form takes them as
+    an argument; for a column of any cardinality use ``one_hot_long``."""
+    vals = values or cols
     extra = [F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}_{v}")
              for c in cols for v in vals[c]]
     return df.select("*", *extra)
 
 
+def one_hot_long(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    """One-hot in long form: a row (key, column, value) for every 1 of the wide
+    form.  Any number of distinct values, no pass to find them, no shuffle."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
+    return (df.select(key, F.explode(F.filter(pairs, lambda p: p["value"].isNotNull())).alias("p"))
+            .select(key, "p.column", "p.value"))
+
+
 def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float = 0.2, seed: int = 42,
                      out: str = "is_test", bucket_bits: int = 20) -> DataFrame:
     """Exact stratified split: in each class, the ``round(f * n)`` rows with
@@ -92,8 +83,8 @@ def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float =
     boundary = (cum.where((F.col("__cum") >= F.col("__k")) & (F.col("__cum") - F.col("__c") < F.col("__k")))
                 .select(label, F.col("__b").alias("__bstar"), (F.col("__k") - F.col("__cum") + F.col("__c"))
                         .alias("__need")))
-    # one row per class: bounded by the number of classes
-    x2 = x.join(F.broadcast(boundary), label, "left")
+    # one row per class; its size decides how it is joined
+    x2 = x.join(boundary, label, "left")
     in_b = x2.where(F.col("__b") == F.col("__bstar"))
     ranked = in_b.withColumn("__rn", F.row_number().over(
         Window.partitionBy(label).orderBy("__h", key))).withColumn(out, F.col("__rn") <= F.col("__need"))

@@ -102,30 +102,29 @@ def sections(blocks: DataFrame, words: list[str] = SECTION_WORDS) -> DataFrame:
     """h2/h3 headings holding a keyword: the first 5 following siblings of the
     heading's parent whose text exceeds 50 chars, as 'heading:\\ntext'.
 
-    No heading is paired with all later siblings: every block gets its
-    index among its parent's children (``row_number`` per (page, parent)),
-    and each heading is joined on equal keys to the indexes right after its
-    parent's, so at most 5 rows per heading are ever produced.
+    Texts are rendered ones.  The parser gives every element its place among
+    its parent's elements, so each heading is joined on equal keys to the
+    places right after its parent's: at most 5 rows per heading.  Only
+    headings, their parents' keys and the siblings' own rows are shuffled.
     """
-    low = F.lower(ustrip("text"))
+    low = F.lower(ustrip("rendered"))
     heads = (blocks.where(F.col("tag").isin("h2", "h3") &
                           F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(low, w)))
-             .select("page_id", F.col("pos").alias("hpos"), F.col("text").alias("htext"),
-                     F.col("parent").alias("hparent")))
-    sib = (blocks.select("page_id", F.col("parent").alias("gparent"), F.col("pos").alias("spos"),
-                         F.col("text").alias("stext"))
-           .withColumn("si", F.row_number().over(Window.partitionBy("page_id", "gparent").orderBy("spos"))))
-    par = sib.select("page_id", F.col("spos").alias("hparent"), "gparent", F.col("si").alias("hsi"))
+             .select("page_id", F.col("pos").alias("hpos"), F.col("rendered").alias("htext"), F.col("parent").alias("hparent")))
+    par = blocks.select("page_id", F.col("pos").alias("hparent"), F.col("parent").alias("gparent"), F.col("sibling").alias("hsi"))
+    sib = (blocks.where(F.length(ustrip("rendered")) > MIN_SECTION)
+           .select("page_id", F.col("parent").alias("gparent"), F.col("sibling").alias("si"), F.col("pos").alias("spos"),
+                   F.col("rendered").alias("stext")))
     j = (heads.join(par, ["page_id", "hparent"])
          .withColumn("si", F.explode(F.sequence(F.col("hsi") + 1, F.col("hsi") + MAX_SIBLINGS)))
          .join(sib, ["page_id", "gparent", "si"]))
-    return (j.where(F.length(ustrip("stext")) > MIN_SECTION)
-            .select("page_id", "hpos", "spos", F.concat(F.col("htext"), F.lit(":\n"), ustrip("stext")).alias("part")))
+    return j.select("page_id", "hpos", "spos", F.concat(F.col("htext"), F.lit(":\n"), ustrip("stext")).alias("part"))
 
 
 def text_fallback(blocks: DataFrame, pages: DataFrame | None = None) -> DataFrame:
-    """Whole-page fallbacks: ``main`` text over 200 chars, and body lines."""
-    main = (blocks.where(_tag("main")).groupBy("page_id").agg(F.min_by("text", "pos").alias("t"))
+    """Whole-page fallbacks: rendered ``main`` text over 200 chars, and body
+    lines (of the text without noise)."""
+    main = (blocks.where(_tag("main")).groupBy("page_id").agg(F.min_by("rendered", "pos").alias("t"))
             .select("page_id", F.when(F.length("t") > MIN_MAIN, F.col("t")).alias("main_text")))
     body = (blocks.where(_tag("body") & ~F.col("noise")).groupBy("page_id")
             .agg(F.min_by("text", "pos").alias("t"))
@@ -139,8 +138,8 @@ def collected_description(blocks: DataFrame) -> DataFrame:
     over 200 chars; parts joined by a blank line, then duplicate lines
     removed (first occurrence kept)."""
     parts = (blocks.withColumn("prio", _priority(all_match_rules())).where(F.col("prio").isNotNull())
-             .where(F.length(ustrip("text")) > MIN_PART)
-             .select("page_id", F.struct("prio", "pos", ustrip("text").alias("t")).alias("p")))
+             .where(F.length(ustrip("rendered")) > MIN_PART)
+             .select("page_id", F.struct("prio", "pos", ustrip("rendered").alias("t")).alias("p")))
     sel = parts.groupBy("page_id").agg(F.array_sort(F.collect_list("p")).alias("ps"))
     sec = (sections(blocks).select("page_id", F.struct("hpos", "spos", "part").alias("p"))
            .groupBy("page_id").agg(F.array_sort(F.collect_list("p")).alias("ss")))
@@ -155,22 +154,24 @@ def collected_description(blocks: DataFrame) -> DataFrame:
     return dedup_lines(x, "raw", "description").select("page_id", "description")
 
 
-# Card selectors of the collector, in order (tag, class words).
-CARD_RULES = [("div", ["tw-group", "tw-h-full", "tw-overflow-hidden", "tw-bg-white", "tw-rounded-sm"]),
-              ("article", ["job-card"]), ("div", ["job-card"])]
+# Card selectors of the collector, in order (tag, class words, part of data-testid).
+CARD_RULES = [("div", ["tw-group", "tw-h-full", "tw-overflow-hidden", "tw-bg-white", "tw-rounded-sm"], None),
+              ("article", ["job-card"], None), ("div", ["job-card"], None), ("article", [], "job")]
 CARD_MIN = 5
 
 
-def page_cards(blocks: DataFrame, rules: list[tuple[str, list[str]]] = CARD_RULES,
+def page_cards(blocks: DataFrame, rules: list[tuple[str, list[str], str | None]] = CARD_RULES,
                link_marker: str = "/fr-fr/emplois/") -> DataFrame:
     """Card segmentation per page: the first rule with more than 5 matches
-    gives the cards; otherwise each distinct enclosing ``tw-group`` div of an
+    gives the cards; otherwise each distinct outermost ``tw-group`` div around an
     offer link (or the link itself).  Output (page_id, rule, pos)."""
     preds = []
-    for tag, words in rules:
+    for tag, words, testid in rules:
         c = _tag(tag)
         for w in words:
             c = c & class_is("cls", w)
+        if testid:
+            c = c & class_has("data_testid", testid)
         preds.append(c)
     preds.append(_tag("a") & F.coalesce(F.contains("href", F.lit(link_marker)), F.lit(False)))
     m = blocks.withColumn("rule", _priority(preds)).where(F.col("rule").isNotNull())
@@ -184,22 +185,71 @@ def page_cards(blocks: DataFrame, rules: list[tuple[str, list[str]]] = CARD_RULE
 
 
 def _enclosing(blocks: DataFrame, links: DataFrame, word: str) -> DataFrame:
-    """Nearest ancestor div with class ``word`` of each link (else the link).
+    """Outermost ancestor div with class ``word`` of each link (else the link):
+    the first node of the ancestor path in document order.
 
     Each link block carries its ancestor positions: exploding them gives
     (page, ancestor) keys, one equi-join with the matching divs finds every
-    enclosing one at any depth, and the nearest is the deepest (largest
-    position).  Rows are bounded by links x nesting depth; no walk, no cap.
+    enclosing one at any depth, and the outermost is the smallest position.  Rows are bounded by links x nesting depth; no walk, no cap.
     """
     hits = blocks.where(_tag("div") & class_has("cls", word)).select("page_id", F.col("pos").alias("anc"))
     anc = links.select("page_id", F.col("pos").alias("link"), F.explode_outer("ancestors").alias("anc"))
-    near = (anc.join(hits, ["page_id", "anc"]).groupBy("page_id", "link").agg(F.max("anc").alias("pos")))
+    near = (anc.join(hits, ["page_id", "anc"]).groupBy("page_id", "link").agg(F.min("anc").alias("pos")))
     missing = links.select("page_id", F.col("pos").alias("link")).join(near.select("page_id", "link"),
                                                                        ["page_id", "link"], "left_anti")
     out = near.select("page_id", "pos").unionByName(missing.select("page_id", F.col("link").alias("pos")))
     return out.distinct().select("page_id", F.lit(0).alias("rule"), "pos")
 
 
+CARD_TAGS = {"p", "div", "a", "article"}
+# Classes of a card's fields.
+TAG_CLASSES = ["tw-readonly", "tw-tag-secondary-s"]
+SALARY_CLASS, DATE_CLASS = "tw-typo-s-bold", "tw-text-grey-500"
+
+
+def card_fields(blocks: DataFrame, cards: DataFrame, link_marker: str = "/fr-fr/emplois/") -> DataFrame:
+    """A row per card: url, title and company (first two ``h3`` paragraphs), tags, salary, date, whole text.
+
+    Every element below a card meets it by an equi-join on (page, ancestor); the
+    first match of each field is a conditional minimum in one aggregation."""
+    own = cards.select("page_id", F.col("pos").alias("card")).distinct()
+    h3 = blocks.where(_tag("h3")).select("page_id", F.col("pos").alias("h3"))
+    inside = blocks.where(F.col("tag").isin(*CARD_TAGS)).withColumn("card", F.explode(F.concat("ancestors", F.array("pos"))))
+    x = inside.join(own, ["page_id", "card"])
+    para = (blocks.where(_tag("p")).withColumn("h3", F.explode("ancestors")).join(h3, ["page_id", "h3"])
+            .select("page_id", "pos", F.lit(True).alias("in_h3")).distinct())
+    x = x.join(para, ["page_id", "pos"], "left")
+    of = lambda cond: F.when(cond, F.struct("pos", "rendered"))
+    tag = _tag("div") & class_is("cls", TAG_CLASSES[0]) & class_is("cls", TAG_CLASSES[1])
+    link = _tag("a") & F.coalesce(F.contains("href", F.lit(link_marker)), F.lit(False))
+    g = x.groupBy("page_id", "card").agg(
+        F.min(F.when(link, F.struct("pos", "href")))["href"].alias("url"),
+        F.slice(F.array_sort(F.collect_list(of(F.col("in_h3").isNotNull()))), 1, 2).alias("ps"),
+        F.array_sort(F.collect_list(of(tag))).alias("ts"),
+        F.min(of(_tag("div") & class_is("cls", SALARY_CLASS)))["rendered"].alias("salary"),
+        F.min(of(_tag("div") & class_is("cls", DATE_CLASS)))["rendered"].alias("published"),
+        F.min(of(F.col("pos") == F.col("card")))["rendered"].alias("card_text"))
+    return g.select("page_id", F.col("card").alias("pos"), "url", F.get("ps", F.lit(0))["rendered"].alias("title_p"),
+                    F.get("ps", F.lit(1))["rendered"].alias("company_p"), F.transform("ts", lambda t: t["rendered"]).alias("tags"),
+                    "salary", "published", "card_text")
+
+
+def category_links(blocks: DataFrame, heading: str = "On a classé tous nos jobs") -> DataFrame:
+    """(page_id, pos, href, text): links in the section that holds the heading (its outermost ``section`` or
+    classed ``div``); on pages without it all links.  ``category_match`` tests the address."""
+    a = blocks.where(_tag("a")).select("page_id", "pos", "href", F.col("rendered").alias("text"), "ancestors")
+    boxes = blocks.where(_tag("section") | (_tag("div") & F.col("cls").isNotNull())).select("page_id", F.col("pos").alias("box"))
+    head = blocks.where(F.contains("rendered", F.lit(heading)) & ~F.col("tag").isin("html", "body")).groupBy("page_id").agg(F.max_by("ancestors", "pos").alias("above"))
+    section = head.select("page_id", F.explode("above").alias("box")).join(boxes, ["page_id", "box"]).groupBy("page_id").agg(F.min("box").alias("box"))
+    return (a.join(section, "page_id", "left").where(F.col("box").isNull() | F.array_contains("ancestors", F.col("box")))
+            .select("page_id", "pos", "href", "text"))
+
+
+def offer_links(blocks: DataFrame) -> DataFrame:
+    """Distinct (page_id, href) of the offer titles of result pages."""
+    return blocks.where(_tag("a") & (F.col("data_cy") == "offerTitle") & F.col("href").isNotNull()).select("page_id", "href").distinct()
+
+
 def page_fields(blocks: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     """Per page: the ``title`` text, the first ``h1`` text, the first link's
     title attribute; null when absent."""

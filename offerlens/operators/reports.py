@@ -76,10 +76,12 @@ def kpis(df: DataFrame, salary: str = "salary_avg", remote: str = "remote") -> D
 
 
 def filter_options(df: DataFrame, cols=("category", "contract_type", "cluster", "salary_category")) -> DataFrame:
-    """Sorted distinct values of each filter column, as (column, value) rows."""
-    parts = [df.select(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")).distinct()
-             for c in cols if c in df.columns]
-    return reduce(DataFrame.unionByName, parts).orderBy("column", "value")
+    """Sorted distinct values of each filter column, as (column, value) rows.
+    One scan: a row's values become (column, value) pairs, and the distinct
+    pairs are found before the shuffle."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+                      for c in cols if c in df.columns])
+    return df.select(F.explode(pairs).alias("p")).select("p.*").distinct().orderBy("column", "value")
 
 
 def ingest_report(df: DataFrame, id_col: str = "job_id", text_col: str = "description") -> DataFrame:

@@ -84,10 +84,20 @@ def _ml(spark: SparkSession, sf: str) -> DataFrame:
     return etl.offers_ml(FX.offers(spark, sf), keep=("cluster",))
 
 
+def _base(spark: SparkSession, sf: str) -> DataFrame:
+    """Parsed offers without the quantile class: one scan."""
+    return etl.offers_ml_base(FX.offers(spark, sf), keep=("cluster",))
+
+
 def _dash(spark: SparkSession, sf: str) -> DataFrame:
     return R.dashboard_fill(_ml(spark, sf))
 
 
+def _dash_base(spark: SparkSession, sf: str) -> DataFrame:
+    """Dashboard rows of the reports that read no salary class."""
+    return R.dashboard_fill(_base(spark, sf))
+
+
 # --------------------------------------------------------------------------
 # Salary (M1-M8)
 # --------------------------------------------------------------------------
@@ -136,20 +146,20 @@ def salary_bins_quantile(spark, sf):
 SELECT contract_type, avg(salary_avg) AS salary_avg FROM dash
 WHERE salary_avg IS NOT NULL GROUP BY contract_type""")
 def avg_salary_by_contract(spark, sf):
-    return R.avg_salary_by(_dash(spark, sf), "contract_type")
+    return R.avg_salary_by(_dash_base(spark, sf), "contract_type")
 
 
 @query("avg_salary_by_cluster", f""", {dash_cte()}
 SELECT cluster, avg(salary_avg) AS salary_avg FROM dash
 WHERE salary_avg IS NOT NULL GROUP BY cluster""")
 def avg_salary_by_cluster(spark, sf):
-    return R.avg_salary_by(_dash(spark, sf), "cluster")
+    return R.avg_salary_by(_dash_base(spark, sf), "cluster")
 
 
 @query("count_by_contract", f""", {dash_cte()}
 SELECT contract_type, count(*) AS nb FROM dash GROUP BY contract_type""")
 def count_by_contract(spark, sf):
-    return R.count_by(_dash(spark, sf), "contract_type")
+    return R.count_by(_dash_base(spark, sf), "contract_type")
 
 
 @query("count_by_salary_class", f""", {dash_cte()}
@@ -161,14 +171,14 @@ def count_by_salary_class(spark, sf):
 @query("count_by_cluster", f""", {dash_cte()}
 SELECT cluster, count(*) AS nb FROM dash GROUP BY cluster""")
 def count_by_cluster(spark, sf):
-    return R.count_by(_dash(spark, sf), "cluster")
+    return R.count_by(_dash_base(spark, sf), "cluster")
 
 
 @query("kpis", f""", {dash_cte()}
 SELECT count(*) AS n_offers, round_even(avg(salary_avg), 0) AS mean_salary,
   round_even(avg(CAST(remote AS DOUBLE)) * 100.0, 1) AS remote_pct FROM dash""")
 def kpis(spark, sf):
-    return R.kpis(_dash(spark, sf))
+    return R.kpis(_dash_base(spark, sf))
 
 
 @query("filter_options", f""", {dash_cte()}
@@ -200,7 +210,7 @@ SELECT count(*) AS n_offers, round_even(avg(salary_avg), 0) AS mean_salary,
   round_even(avg(CAST(remote AS DOUBLE)) * 100.0, 1) AS remote_pct FROM dash""")
 def filtered_kpis_empty_filters(spark, sf):
     """Empty selections mean 'no filter' (the dashboard's initial state)."""
-    return R.kpis(R.filtered_offers(_dash(spark, sf), categories=[], contracts=None, clusters=[],
+    return R.kpis(R.filtered_offers(_dash_base(spark, sf), categories=[], contracts=None, clusters=[],
                                     salary_classes=[]))
 
 
@@ -236,7 +246,7 @@ SELECT count(*) AS n_rows, count(salary_avg) AS n_salaried, median(salary_avg) A
   count(salary_avg) / count(*) AS share_salaried FROM ml""")
 def salary_summary(spark, sf):
     from offerlens.operators.salary import salary_summary as ss
-    return ss(_ml(spark, sf))
+    return ss(_base(spark, sf))
 
 
 @query("labeled_only", f", {ml_cte()}\nSELECT offer_id, salary_category FROM ml WHERE salary_category IS NOT NULL")
@@ -278,7 +288,7 @@ def location_v3(spark, sf):
 SELECT offer_id, department, {Dk.department_num('department')} AS department_num FROM ml""")
 def department_num(spark, sf):
     from offerlens.functions.geo import department_num as f
-    return _ml(spark, sf).select("offer_id", "department", f("department").alias("department_num"))
+    return _base(spark, sf).select("offer_id", "department", f("department").alias("department_num"))
 
 
 # --------------------------------------------------------------------------
@@ -373,7 +383,7 @@ def clean_text_cluster(spark, sf):
 SELECT offer_id, {Dk.text_all('title_clean', 'description_clean')} AS text_all FROM ml""")
 def text_all(spark, sf):
     from offerlens.functions.text import text_all as f
-    return _ml(spark, sf).select("offer_id", f("title_clean", "description_clean").alias("text_all"))
+    return _base(spark, sf).select("offer_id", f("title_clean", "description_clean").alias("text_all"))
 
 
 @query("bad_text_report", f"""SELECT count_if(contains({Dk.clean_text('description', 'v2')}, 'ces traceurs sont nécessaires')) AS n_tracker_text,
@@ -658,73 +668,66 @@ def offer_dedup(spark, sf):
 
 
 # Wanted categories and defaults of the category step (user configuration).
-WANTED = ["the", "ion", "ent"]
-DEFAULT_CATEGORIES = [("Emploi Commerce", "/emploi/domaine_commerce.html"),
-                      ("Emploi Distribution", "/emploi/domaine_distribution.html"),
-                      ("Emploi Comptabilité", "/emploi/domaine_comptabilite.html"),
-                      ("Emploi Ressources Humaines", "/emploi/domaine_ressources-humaines.html")]
-_A_HREF = '<a href="([^"]*)">([^<]*)</a>'
+WANTED = ["commerce", "distribution", "comptabilité", "ressources humaines"]
+DEFAULT_CATEGORIES = [("Emploi Commerce", "/fr-fr/emploi/domaine_commerce.html"),
+                      ("Emploi Distribution", "/fr-fr/emploi/domaine_distribution.html"),
+                      ("Emploi Comptabilité", "/fr-fr/emploi/domaine_comptabilite.html"),
+                      ("Emploi Ressources Humaines", "/fr-fr/emploi/domaine_ressources-humaines.html")]
+CATEGORY_MARKER = "/domaine_"
 
 
-def _links(spark, sf):
-    """(page_id, pos, href, text) of every anchor of every page (in-row regex)."""
-    from offerlens.sources.tables import spread, table
-    p = spread(table(spark, sf, "pages"), "page_id")
-    z = F.arrays_zip(F.regexp_extract_all("html", F.lit(_A_HREF), 1).alias("href"),
-                     F.regexp_extract_all("html", F.lit(_A_HREF), 2).alias("text"))
-    return (p.select("page_id", F.posexplode_outer(z).alias("pos", "l"))
-            .where(F.col("l").isNotNull())
-            .select("page_id", "pos", F.col("l.href").alias("href"), F.col("l.text").alias("text")))
+def _planted(spark, sf, tags=None):
+    """Blocks of the pages planted from orders."""
+    from offerlens.sources.html import page_blocks
+    return page_blocks(FX.offer_pages(spark, sf), tags)
+
 
+def _category_links(spark, sf):
+    from offerlens.operators.pages import category_links
+    return category_links(_planted(spark, sf, {"a", "section", "div", "h4"}))
 
-_LINKS_SQL = f"""links AS (SELECT page_id, unnest(regexp_extract_all(html, {Dk.q(_A_HREF)}, 1)) AS href,
-  unnest(regexp_extract_all(html, {Dk.q(_A_HREF)}, 2)) AS text,
-  unnest(generate_series(0, len(regexp_extract_all(html, {Dk.q(_A_HREF)}, 1)) - 1)) AS pos FROM pages)"""
-_MATCH_SQL = (f"{Dk.ustrip('text')} <> '' AND href IS NOT NULL AND ("
-              + " OR ".join(f"contains(lower({Dk.ustrip('text')}), {Dk.q(w)})" for w in WANTED) + ")")
 
+# What the planted pages hold, written from the order key alone.
+_KEYS_SQL = "k AS (SELECT o_orderkey AS k FROM orders)"
+_PLANTED_LINKS_SQL = "links AS (" + " UNION ALL ".join(
+    f"SELECT k AS page_id, 'Emploi {c}' AS name, concat('/fr-fr/emploi/domaine_{i}.html?p=', k) AS url FROM k WHERE k % 5 > {i}"
+    for i, c in enumerate(["Commerce", "Distribution", "Comptabilité", "Ressources Humaines"])) + ")"
 
-@query("page_links", f", {_LINKS_SQL}\nSELECT DISTINCT page_id, href FROM links")
+
+@query("page_links", f""", {_KEYS_SQL}
+SELECT k AS page_id, concat('/fr-fr/emplois/', k, '.html') AS href FROM k
+UNION ALL SELECT k, concat('/fr-fr/emplois/', k + 1, '.html') FROM k WHERE k % 2 = 0""")
 def page_links(spark, sf):
-    return _links(spark, sf).select("page_id", "href").distinct()
+    from offerlens.operators.pages import offer_links
+    return offer_links(_planted(spark, sf, {"a"}))
 
 
-@query("category_match", f""", {_LINKS_SQL}
-SELECT {Dk.ustrip('text')} AS text, arg_max(href, (page_id, pos)) AS href FROM links
-WHERE {_MATCH_SQL} GROUP BY {Dk.ustrip('text')}""")
+@query("category_match", f""", {_KEYS_SQL}, {_PLANTED_LINKS_SQL}
+SELECT name AS text, arg_max(url, page_id) AS href FROM links GROUP BY name""")
 def category_match(spark, sf):
     from offerlens.operators.cards import category_match as f
-    return f(_links(spark, sf), WANTED)
+    return f(_category_links(spark, sf), WANTED, href_marker=CATEGORY_MARKER)
 
 
 _DEFAULTS_SQL = "[" + ", ".join(f"{{'name': {Dk.q(n)}, 'url': {Dk.q(u)}}}" for n, u in DEFAULT_CATEGORIES) + "]"
 
 
-@query("fill_defaults", f""", {_LINKS_SQL},
-found AS (SELECT DISTINCT page_id, {Dk.ustrip('text')} AS name FROM links WHERE {_MATCH_SQL}),
-pages_n AS (SELECT page_id, count(*) AS n FROM found GROUP BY page_id),
-dflt AS (SELECT p.page_id, unnest({_DEFAULTS_SQL}) AS d FROM pages p)
-SELECT page_id, name, 'found' AS origin FROM found
-UNION ALL
-SELECT dflt.page_id, d.name, 'default' FROM dflt LEFT JOIN pages_n USING (page_id)
-WHERE coalesce(n, 0) < 4 AND NOT EXISTS (SELECT 1 FROM found f WHERE f.page_id = dflt.page_id AND f.name = d.name)""")
+@query("fill_defaults", f""", {_KEYS_SQL}, {_PLANTED_LINKS_SQL},
+dflt AS (SELECT k AS page_id, unnest({_DEFAULTS_SQL}) AS d FROM k WHERE k % 5 < 4)
+SELECT page_id, name, url, 'found' AS origin FROM links
+UNION ALL SELECT page_id, d.name, d.url, 'default' FROM dflt
+WHERE NOT EXISTS (SELECT 1 FROM links l WHERE l.page_id = dflt.page_id AND l.name = d.name)""")
 def fill_defaults(spark, sf):
-    """Per page: categories found among its links; when fewer than 4, the
-    defaults not already found are added (anti join + union)."""
-    from offerlens.operators.cards import fill_defaults as f
-    from offerlens.sources.tables import table
-    from offerlens.functions.text import ustrip
-    links = _links(spark, sf)
-    low = F.lower(ustrip("text"))
-    found = (links.where((ustrip("text") != "") & F.col("href").isNotNull() &
-                         F.exists(F.array(*[F.lit(w) for w in WANTED]), lambda w: F.contains(low, w)))
-             .select("page_id", ustrip("text").alias("name")).distinct())
-    dflt = table(spark, sf, "pages").select(
+    """Per page: categories found among its links, name and address; when
+    fewer than 4, the defaults not already found are added."""
+    from offerlens.operators.cards import category_links_found, fill_defaults as f
+    found = category_links_found(_category_links(spark, sf), WANTED, CATEGORY_MARKER)
+    dflt = FX.offer_pages(spark, sf).select(
         "page_id", F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(u).alias("url"))
-                                       for n, u in DEFAULT_CATEGORIES])).alias("d")).select("page_id", "d.name")
+                                       for n, u in DEFAULT_CATEGORIES])).alias("d")).select("page_id", "d.name", "d.url")
     out = f(found.withColumn("origin", F.lit("found")), dflt.withColumn("origin", F.lit("default")),
             name="name", minimum=4, by="page_id")
-    return out.select("page_id", "name", "origin")
+    return out.select("page_id", "name", "url", "origin")
 
 
 @query("line_dedup", """, l AS (
@@ -771,7 +774,7 @@ def cluster_writeback(spark, sf):
     without text get -1.  A left join on the key: no row order is assumed."""
     from offerlens.functions.text import clean_cluster_text, text_all as ta
     from offerlens.operators.joins import write_back
-    ml = _ml(spark, sf)
+    ml = _base(spark, sf)
     txt = ml.select("offer_id", "cluster", clean_cluster_text(ta("title_clean", "description_clean")).alias("t"))
     labels = txt.where(F.length("t") > 0).select("offer_id", "cluster")
     return write_back(ml.select("offer_id"), labels, "offer_id", "cluster", -1)
@@ -857,7 +860,7 @@ def standardize(spark, sf):
     return st(_clf_base(spark, sf), _NUM, digits=9).select("offer_id", *[f"std_{c}" for c in _NUM])
 
 
-# Value lists of the one-hot oracle: the fixture's categories, contracts, units.
+# Value lists of the one-hot columns: the fixture's categories, contracts, units.
 _ONE_HOT_SQL = {"category": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
                 "contract_type": ["CDD", "CDI", "Stage"], "salary_unit": ["annual", "hourly", "monthly"]}
 
@@ -868,7 +871,7 @@ _ONE_HOT_SQL = {"category": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD",
 def one_hot(spark, sf):
     from offerlens.operators.features import one_hot as oh
     b = _clf_base(spark, sf)
-    x = oh(b, list(_ONE_HOT_SQL))
+    x = oh(b, _ONE_HOT_SQL)
     return x.select("offer_id", *[c for c in x.columns if c not in b.columns])
 
 
@@ -885,7 +888,7 @@ def classif_prepared(spark, sf):
     b = _clf_base(spark, sf)
     base = ["offer_id", "category", "contract_type", "remote", "experience_years", "department", "department_num",
             "salary_unit", "salary_category"]
-    x = oh(st(b, _NUM, digits=9), list(_ONE_HOT_SQL))
+    x = oh(st(b, _NUM, digits=9), _ONE_HOT_SQL)
     return x.select(*base, *[f"std_{c}" for c in _NUM], *[c for c in x.columns if c not in b.columns
                                                           and not c.startswith("std_")])
 
@@ -925,30 +928,66 @@ def page_main_text(spark, sf):
     return main_text(_blocks(spark, sf, MAIN_TEXT_TAGS), _pages(spark, sf))
 
 
-@query("page_sections")
+# The planted line as a browser shows it, and its parts between inline tags.
+_SHOWN = FX.LONG_LINE.replace("<b>", "").replace("</b>", "")
+_PART_A, _PART_B = FX.LONG_LINE.split("<b>Python</b>")
+_SECTION_SQL = f"concat('Profil recherché:', chr(10), {Dk.q(_SHOWN)}, ' ', k, '.')"
+_MAIN_SQL = f"concat('En-tête utile', chr(10), {Dk.q(_SHOWN)}, '.', chr(10), {Dk.q(_SHOWN)}, ' ', k, '.')"
+
+
+@query("page_sections", f", {_KEYS_SQL}\nSELECT k AS page_id, {_SECTION_SQL} AS part FROM k WHERE k % 3 = 1")
 def page_sections(spark, sf):
     from offerlens.operators.pages import sections
-    return sections(_blocks(spark, sf))
+    return sections(_planted(spark, sf)).select("page_id", "part")
 
 
-@query("page_text_fallback")
+@query("page_text_fallback", f""", {_KEYS_SQL}
+SELECT k AS page_id, CASE WHEN k % 3 = 2 THEN {_MAIN_SQL} END AS main_text,
+  concat(CASE WHEN k % 3 = 2 THEN concat({Dk.q(_PART_A.strip())}, chr(10), {Dk.q(_PART_B.strip())}, '.', chr(10)) ELSE '' END,
+    {Dk.q(_PART_A.strip())}, chr(10), {Dk.q(_PART_B.strip())}, ' ', k, '.') AS body_text FROM k""")
 def page_text_fallback(spark, sf):
     from offerlens.operators.pages import FALLBACK_TAGS, text_fallback
-    return text_fallback(_blocks(spark, sf, FALLBACK_TAGS), _pages(spark, sf))
+    return text_fallback(_planted(spark, sf, FALLBACK_TAGS), FX.offer_pages(spark, sf).select("page_id"))
 
 
-@query("page_description_collected")
+@query("page_description_collected", f""", {_KEYS_SQL}
+SELECT k AS page_id, CASE k % 3 WHEN 0 THEN concat({Dk.q(_SHOWN)}, ' ', k, '.', chr(10), 'Encore Python ici.')
+  WHEN 1 THEN {_SECTION_SQL} ELSE {_MAIN_SQL} END AS description FROM k""")
 def page_description_collected(spark, sf):
     from offerlens.operators.pages import collected_description
-    return collected_description(_blocks(spark, sf))
+    return collected_description(_planted(spark, sf))
 
 
-@query("page_cards")
+@query("page_cards", f""", {_KEYS_SQL}
+SELECT k AS page_id, CAST(CASE k % 4 WHEN 0 THEN 1 WHEN 1 THEN 4 ELSE 0 END AS INTEGER) AS rule,
+  CAST(CASE k % 4 WHEN 0 THEN 6 WHEN 1 THEN 6 WHEN 2 THEN 3 ELSE 1 END AS BIGINT) AS n_cards FROM k""")
 def page_cards(spark, sf):
-    """Card segmentation; the driver's pages have no offer cards, so a generic
-    list-item rule is appended after the collector's own rules."""
-    from offerlens.operators.pages import CARD_RULES, page_cards as pc
-    return pc(_blocks(spark, sf), CARD_RULES + [("li", [])])
+    """Cards per page and the rule that found them (0: outermost group or link)."""
+    from offerlens.operators.pages import page_cards as pc
+    cards = pc(_planted(spark, sf, {"div", "article", "a"}))
+    return cards.groupBy("page_id", "rule").agg(F.count(F.lit(1)).alias("n_cards"))
+
+
+@query("page_offers", f""", {_KEYS_SQL},
+n AS (SELECT k * 10 + j AS n FROM k, range(6) AS r(j) WHERE k % 4 IN (0, 1) OR (k % 4 = 2 AND j = 0))
+SELECT CAST(n AS VARCHAR) AS job_id, concat('Poste ', n) AS title, concat('Société ', n % 7) AS company, 'Lyon - 69' AS location,
+  'CDI' AS contract_type, concat(1500 + n % 900, ' € / mois') AS salary, concat('il y a ', n % 9 + 1, ' jours') AS published,
+  concat('Poste ', n, chr(10), 'Société ', n % 7, chr(10), 'Lyon - 69', chr(10), 'CDI', chr(10), 1500 + n % 900, ' € / mois', chr(10),
+    'il y a ', n % 9 + 1, ' jours') AS short_description
+FROM n""")
+def page_offers(spark, sf):
+    """Pages to offers: cards, their fields, routed tags, first seen per job id."""
+    from offerlens.operators import cards as K1
+    from offerlens.operators.pages import card_fields, page_cards as pc
+    from offerlens.session import materialize
+    blocks = materialize(_planted(spark, sf, {"div", "article", "a", "h3", "p"}), "page-blocks")
+    f = card_fields(blocks, pc(blocks))
+    none = F.lit(None).cast("string")
+    tc, r = K1.title_company("title_p", "company_p", none), K1.route_tags("tags", F.array_compact(F.array("salary")))
+    offers = f.select(K1.job_id_from_url("url").alias("job_id"), tc["title"].alias("title"), tc["company"].alias("company"),
+                      r["location"].alias("location"), r["contract_type"].alias("contract_type"), r["salary"].alias("salary"),
+                      "published", K1.short_description("card_text").alias("short_description"), "page_id", "pos")
+    return K1.offer_dedup(offers, order=("page_id", "pos")).drop("page_id", "pos")
 
 
 def _decode(e: str) -> str:
@@ -1037,7 +1076,7 @@ def _emb(spark, sf):
     return table(spark, sf, "embeddings")
 
 
-@query("silhouette", """, e AS (SELECT vec_id, label, embedding FROM embeddings),
+@query("silhouette_sq", """, e AS (SELECT vec_id, label, embedding FROM embeddings),
 d AS (SELECT a.vec_id, a.label AS ca, b.label AS cb,
   list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda z: (CAST(z[1] AS DOUBLE) - CAST(z[2] AS DOUBLE)) ^ 2)) AS dd
   FROM e a, e b WHERE a.vec_id <> b.vec_id),
@@ -1048,7 +1087,7 @@ ab AS (SELECT m.vec_id, max(CASE WHEN ca = cb THEN s / (sz.n - 1) END) AS a,
   FROM m JOIN sizes sz ON sz.label = m.cb GROUP BY m.vec_id)
 SELECT round_even(avg(CASE WHEN has_own = 0 OR b IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END), 9) AS silhouette,
   count(*) AS n FROM (SELECT e.vec_id, a, b, coalesce(has_own, 0) AS has_own FROM e LEFT JOIN ab USING (vec_id))""")
-def silhouette(spark, sf):
+def silhouette_sq_labels(spark, sf):
     """Mean silhouette (squared Euclidean) of the embeddings under their labels."""
     from offerlens.models.clusters import silhouette_sq
     return silhouette_sq(_emb(spark, sf), "embedding", "label", 9)
@@ -1133,10 +1172,10 @@ def classification_report(spark, sf):
 
 
 def _offer_cluster_texts(spark, sf):
-    """Cluster text of every offer: v3 clean of title and description, joined,
-    digits removed (the salary classes are not needed here)."""
+    """Cluster text of every offer text (one per document): v3 clean of title
+    and description, joined, digits removed."""
     from offerlens.functions.text import clean_cluster_text, clean_text, text_all as ta
-    o = FX.offers(spark, sf)
+    o = FX.offer_texts(spark, sf)
     return o.select("offer_id", clean_cluster_text(ta(clean_text("title", "v3"), clean_text("description", "v3")))
                     .alias("text_clean"))
 

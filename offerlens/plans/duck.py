@@ -40,7 +40,7 @@ def clean_text(e: str, variant: str = "v2") -> str:
 
 
 def clean_cluster_text(e: str) -> str:
-    return ustrip(collapse_ws(f"regexp_replace(lower({e}), '[{DIGIT}]+', ' ', 'g')"))
+    return ustrip(collapse_ws(f"regexp_replace(lower({e}), '\\p{{Nd}}+', ' ', 'g')"))
 
 
 def text_all(t: str, d: str) -> str:

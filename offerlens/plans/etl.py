@@ -22,6 +22,7 @@ from offerlens.functions import text as T
 from offerlens.operators import quality as Q
 from offerlens.operators.salary import with_salary_class
 
+# The exported columns and their order.
 ML_COLUMNS = ["category", "title_clean", "description_clean", "company_clean", "contract_type", "city",
               "department", "remote", "experience_years", "salary_min", "salary_max", "salary_avg",
               "salary_unit", "salary_category"]
@@ -30,15 +31,14 @@ ML_COLUMNS = ["category", "title_clean", "description_clean", "company_clean", "
 COMPANY_DEFAULT_V3 = "Entreprise non précisée"
 
 
-def offers_ml(df: DataFrame, key: str = "offer_id", title: str = "title",
-              description: str = "description", approx_quantiles: bool = False,
-              keep: tuple[str, ...] = ()) -> DataFrame:
-    """v3: text clean, salary v3, experience years, remote int, location v3,
-    quantile salary classes; the 14 exported columns plus the key (and any
-    ``keep`` columns passed through)."""
+def offers_ml_base(df: DataFrame, key: str = "offer_id", title: str = "title",
+                   description: str = "description", keep: tuple[str, ...] = ()) -> DataFrame:
+    """v3 without the quantile classes: text clean, salary v3, experience
+    years, remote int, location v3.  One projection of one scan; reports that
+    read no class start here."""
     sal = M.parse_salary("salary", "v3")
     loc = G.location_v3("location")
-    base = df.select(
+    return df.select(
         F.col(key), *keep, "category",
         T.clean_text(title, "v3").alias("title_clean"),
         T.clean_text(description, "v3").alias("description_clean"),
@@ -50,6 +50,14 @@ def offers_ml(df: DataFrame, key: str = "offer_id", title: str = "title",
         sal["salary_min"].alias("salary_min"), sal["salary_max"].alias("salary_max"),
         sal["salary_avg"].alias("salary_avg"), sal["salary_unit"].alias("salary_unit"),
     )
+
+
+def offers_ml(df: DataFrame, key: str = "offer_id", title: str = "title",
+              description: str = "description", approx_quantiles: bool = False,
+              keep: tuple[str, ...] = ()) -> DataFrame:
+    """v3: ``offers_ml_base`` and the quantile salary classes; the 14 exported
+    columns plus the key (and any ``keep`` columns passed through)."""
+    base = offers_ml_base(df, key, title, description, keep)
     return with_salary_class(base, approx=approx_quantiles).select(key, *ML_COLUMNS, *keep)
 
 

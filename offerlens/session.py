@@ -8,6 +8,7 @@ convenience for scripts, tests and the bench.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -25,6 +26,7 @@ def get_spark(app: str = "offerlens", master: str | None = None,
     return (
         builder
         .config("spark.sql.shuffle.partitions", str(parts))
+        .config("spark.offerlens.spreadPartitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -41,13 +43,17 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors: the one named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a distributed file system folder and is
-    only read.  When it is unset (local tests) a scratch folder is created
-    once per session and registered, so later calls agree.
+    only read; where it is unset there, this raises, as a machine's own folder
+    would be written by each executor for itself.  In a single process
+    (``local[n]``: tests, bench) a scratch folder is created once per session
+    and registered, so later calls agree.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="offerlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)

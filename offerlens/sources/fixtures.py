@@ -103,6 +103,51 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
                           for name, expr in OFFER_COLUMNS])
 
 
+# Pages planted from orders: category links, offer links, cards, headings, inline tags, attributes in other orders
+# and quotes, noise marks that only look like noise. What they hold follows from the order key alone.
+_CATEGORIES = ["Commerce", "Distribution", "Comptabilité", "Ressources Humaines"]
+LONG_LINE = "Nous recherchons une personne motivée qui maîtrise <b>Python</b> et SQL, aime le travail en équipe et parle anglais"
+
+
+def _category_sql(i: int, name: str) -> str:
+    return (f"CASE WHEN o_orderkey % 5 > {i} THEN concat('<a class=\"tw-link\" href=\"/fr-fr/emploi/domaine_{i}.html?p=', "
+            f"o_orderkey, '\">Emploi <b>{name}</b></a> ') ELSE '' END")
+
+
+def _card_sql(n: str, cls: str) -> str:
+    return (f"concat('<div class=\"{cls}\"><a href=', chr(39), '/fr-fr/emplois/', {n}, '.html', chr(39), '><h3><p>Poste <b>', {n}, "
+            f"'</b></p><p>Société ', {n} % 7, '</p></h3></a><div class=\"tw-readonly tw-tag-secondary-s\">Lyon - 69</div>"
+            f"<div class=\"tw-tag-secondary-s tw-readonly\">CDI</div><div class=\"x tw-typo-s-bold\">', 1500 + {n} % 900, "
+            f"' € / mois</div><div class=\"tw-text-grey-500\">il y a ', {n} % 9 + 1, ' jours</div></div>')")
+
+
+_GROUP = "tw-group tw-h-full tw-overflow-hidden tw-bg-white tw-rounded-sm"
+OFFER_PAGE = (
+    "concat('<html><head><title>Offre ', o_orderkey, '</title></head><body>"
+    "<header id=\"banner-offre\">Entête</header><nav><a href=\"/accueil\">Emploi Commerce</a></nav>"
+    "<section class=\"liens\"><h4>On a classé tous nos jobs !</h4>', "
+    + ", ".join(_category_sql(i, c) for i, c in enumerate(_CATEGORIES)) +
+    ", '<a href=\"/aide\">Emploi Commerce aide</a></section>', "
+    "'<a class=\"t\" data-cy=\"offerTitle\" href=', chr(39), '/fr-fr/emplois/', o_orderkey, '.html', chr(39), '>Poste <i>A</i></a>', "
+    "CASE WHEN o_orderkey % 2 = 0 THEN concat('<a href=\"/fr-fr/emplois/', o_orderkey + 1, '.html\" data-cy=\"offerTitle\">Poste B</a>') ELSE '' END, "
+    "CASE o_orderkey % 3 "
+    f"WHEN 0 THEN concat('<div id=\"banner-x\" class=\"Cookie-Chef tw-prose\"><p>{LONG_LINE} ', o_orderkey, '.</p><p>Encore <b>Python</b> ici.</p></div>') "
+    f"WHEN 1 THEN concat('<div><div><h2>Profil <b>recherché</b></h2></div><p>Court.</p><p>{LONG_LINE} ', o_orderkey, '.</p><p>Autre.</p></div>') "
+    f"ELSE concat('<main><header>En-tête utile</header><p>{LONG_LINE}.</p><p>{LONG_LINE} ', o_orderkey, '.</p></main>') END, "
+    "CASE o_orderkey % 4 "
+    "WHEN 0 THEN concat(" + ", ".join(_card_sql(f"(o_orderkey * 10 + {j})", _GROUP) for j in range(6)) + ") "
+    "WHEN 1 THEN concat(" + ", ".join(
+        f"'<article data-testid=\"x-job-{j}\">', {_card_sql(f'(o_orderkey * 10 + {j})', 'card')}, '</article>'" for j in range(6)) + ") "
+    "WHEN 2 THEN concat('<div class=\"tw-group a\"><div class=\"tw-group b\">', " + _card_sql("(o_orderkey * 10)", "card") + ", '</div></div>') "
+    "ELSE '' END, '</body></html>')")
+
+
+def offer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Planted pages, one per order."""
+    o = spread(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
+    return o.select(F.col("o_orderkey").alias("page_id"), F.expr(OFFER_PAGE).alias("html"))
+
+
 def offer_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = spread(table(spark, sf_dir, "documents"), "doc_id")
     return d.select(

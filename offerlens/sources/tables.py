@@ -16,15 +16,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-repartition a scan on ``key`` when it has fewer splits than cores.
+SPREAD_CONF = "spark.offerlens.spreadPartitions"
+
+
+def spread(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Hash-repartition a scan on ``key`` into an explicit number of partitions.
 
     CPU-heavy per-row work (regexes over whole documents, HTML parsing) is
-    bound by the number of scan tasks.  A small file in one Parquet row group
-    is one task; on a cluster reading many files the scan already has far
-    more splits than cores and this is a no-op (no extra shuffle).
+    bound by the number of scan tasks, and a small file in one Parquet row
+    group is one task.  The caller says how far to spread, as an argument or
+    by the session setting ``spark.offerlens.spreadPartitions``; without
+    either the scan's own splits stay (a cluster reading many files).
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, key)
-    return df
+    n = partitions or int(df.sparkSession.conf.get(SPREAD_CONF, "0"))
+    return df.repartition(n, key) if n else df

@@ -196,7 +196,7 @@ def test_sections_match_brute_force(spark):
     rows = b.collect()
     want = []
     for h in rows:
-        low = h["text"].strip().lower()
+        low = h["rendered"].strip().lower()
         if h["tag"] not in ("h2", "h3") or not any(w in low for w in SECTION_WORDS):
             continue
         par = [r for r in rows if r["page_id"] == h["page_id"] and r["pos"] == h["parent"]]
@@ -204,13 +204,13 @@ def test_sections_match_brute_force(spark):
             continue
         sibs = sorted((r for r in rows if r["page_id"] == h["page_id"] and r["parent"] == par[0]["parent"]
                        and r["pos"] > par[0]["pos"]), key=lambda r: r["pos"])[:MAX_SIBLINGS]
-        want += [(h["page_id"], h["pos"], s["pos"], h["text"] + ":\n" + s["text"].strip())
-                 for s in sibs if len(s["text"].strip()) > MIN_SECTION]
+        want += [(h["page_id"], h["pos"], s["pos"], h["rendered"] + ":\n" + s["rendered"].strip())
+                 for s in sibs if len(s["rendered"].strip()) > MIN_SECTION]
     assert got == sorted(want) and len(got) >= 6
 
 
 def test_card_fallback_enclosing_any_depth(spark):
-    """Pages without a winning card rule: each offer link maps to its nearest
+    """Pages without a winning card rule: each offer link maps to its outermost
     enclosing tw-group div however deep it is nested (checked against a
     Python walk up the parent links), or to itself."""
     from offerlens.operators.pages import page_cards
@@ -231,8 +231,64 @@ def test_card_fallback_enclosing_any_depth(spark):
         while j in rows:
             if rows[j]["tag"] == "div" and "tw-group" in (rows[j]["cls"] or ""):
                 hit = j
-                break
             j = rows[j]["parent"]
         want.add((7, hit))
-    assert got == sorted(want) and len(want) == 3
+    assert got == sorted(want) and len(want) == 2
     assert max(r["depth"] for r in rows.values()) > 15
+
+
+def test_rendered_text_and_noise_marks(spark):
+    """Line breaks at block elements and br only; ids count as noise for cookies alone, case matters."""
+    from offerlens.sources.html import page_blocks
+    html = ("<body><div id='banner-offre' class='Cookie-Chef'><p>un <b>deux</b>\n trois<br>quatre</p><p>cinq</p><script>x</script></div>"
+            "<div id='cookie-x'>a</div><div class='my-consent'>b</div></body>")
+    rows = page_blocks(spark.createDataFrame([(1, html), (2, None), (3, "")], "page_id BIGINT, html STRING")).collect()
+    div = [r for r in rows if r.tag == "div"]
+    assert [r.noise for r in div] == [False, True, True]
+    assert div[0].rendered == "un deux trois\nquatre\ncinq"
+    assert div[0].text == "un\ndeux\ntrois\nquatre\ncinq"
+    body = next(r for r in rows if r.tag == "body")
+    assert body.rendered.endswith("cinq\na\nb") and body.text.endswith("cinq")
+
+
+def test_one_hot_long_takes_any_cardinality(spark):
+    from offerlens.operators.features import one_hot_long
+    df = spark.range(5000).selectExpr("id", "cast(id as string) a", "if(id % 2 = 0, 'x', null) b")
+    got = one_hot_long(df, "id", ["a", "b"])
+    assert got.count() == 7500 and got.where("column = 'a'").select("value").distinct().count() == 5000
+
+
+def test_svd_refuses_more_dimensions_than_features(spark):
+    import pytest
+    from pyspark.ml.linalg import Vectors
+    from offerlens.models.clusters import svd_scores
+    df = spark.createDataFrame([(1, Vectors.dense([1.0, 2.0])), (2, Vectors.sparse(2, {1: 3.0}))], ["id", "v"])
+    with pytest.raises(ValueError):
+        svd_scores(df, "id", "v", k=3)
+    assert len(svd_scores(df, "id", "v", k=2).first()["svd"]) == 2
+
+
+def test_silhouette_with_many_clusters(spark, sf, monkeypatch):
+    from offerlens.models import clusters
+    e = spark.read.parquet(f"{sf}/embeddings.parquet")
+    want = clusters.silhouette_sq(e, "embedding", "label").first()["silhouette"]
+    monkeypatch.setattr(clusters, "BROADCAST_CLUSTERS", 3)
+    assert clusters.silhouette_sq(e, "embedding", "label").first()["silhouette"] == want
+
+
+def test_reports_without_a_class_scan_orders_once(spark, sf):
+    for name in ("count_by_contract", "count_by_cluster", "avg_salary_by_contract", "avg_salary_by_cluster", "kpis",
+                 "filtered_kpis_empty_filters", "salary_summary", "department_num", "text_all"):
+        plan = C.QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("o_orderkey#") and plan.count("Relation [o_orderkey") + plan.count("Relation[o_orderkey") == 1, name
+
+
+def test_features_see_unseen_and_null_categories(spark):
+    from offerlens.models.classify import LABEL, prepare_features
+    rows = [(i, "Bas" if i % 2 else "Haut", f"mot commun {i % 3}", float(i), 1.0, 0, ["a", "b"][i % 2], "c", "u") for i in range(12)]
+    cols = f"offer_id LONG, {LABEL} STRING, text_all STRING, department_num DOUBLE, experience_years DOUBLE, remote INT, category STRING, contract_type STRING, salary_unit STRING"
+    test = [(100, "Bas", "mot", 1.0, 1.0, 0, "never seen", "c", "u"), (101, "Bas", "mot", 1.0, 1.0, 0, None, "c", "u")]
+    f = prepare_features(spark.createDataFrame(rows, cols), spark.createDataFrame(test, cols))
+    seen, unseen = [r["features"].toArray() for r in f.train.limit(1).collect() + f.test.where("offer_id = 100").collect()]
+    null = f.test.where("offer_id = 101").first()["features"].toArray()
+    assert len(seen) == len(unseen) and (unseen == null).all()
