@@ -18,8 +18,7 @@ empty index; extra columns are not written.
 from __future__ import annotations
 
 import os
-import re
-import zlib
+from array import array
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -35,18 +34,18 @@ INDEX = "part int, doc_id long, at long, length long, width int, n_tokens long,
 #: Documents tokenised, and bytes read, at once.
 DOCS_AT_ONCE, READ_AT_ONCE = 512, 8 << 20
 #: Word pieces whose ids a worker keeps.
-KEPT = 400_000
-
-_UNEVEN = re.compile(r"\s\s|^\s|\s\Z")
+KEPT = 700_000
 
 
 class WordEncoder:
     """Ids of texts by the tokenizers library; words met before are looked up.
 
     The vocabulary's pattern never joins a white-space character with what
-    stands before it, so a text without neighbouring white space is the
-    sequence of its words, each with the white space in front of it.  Other
-    texts, and those with the special string, are encoded in one piece."""
+    stands before it, nor letters with a comma or full stop behind them.  So a
+    text whose words have one space or line break between them is the sequence
+    of its words, each with the separator in front of it, and a word with such
+    a mark behind its letters is the word and the mark.  Other texts, and those
+    with the special string, are encoded in one piece."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -54,22 +53,56 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         import numpy as np
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        small = self.tokenizer.get_vocab_size() <= 1 << 16
+        self.dtype, self.kind = np.dtype("<u2" if small else "<u4"), "H" if small else "I"
+        self.marks = dict(zip(",.\n", self._bytes([",", ".", "\n"])))
+        self.model = self.tokenizer.model
+        # the byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in plain]
+        self.alphabet = {b: b for b in plain} | {b: 256 + i for i, b in enumerate(rest)}
+        self.space = chr(self.alphabet[32])
         self.known: dict[str, bytes] = {}
 
     def _bytes(self, strings: list[str]) -> list[bytes]:
-        import numpy as np
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+        kind = self.kind
+        return [array(kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+
+    def _letters(self, word: str, space: str = "") -> bytes:
+        """Ids of letters with at most a space in front: one piece of the pattern, so the model alone decides."""
+        mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
+        return array(self.kind, [t.id for t in self.model.tokenize(space + mapped)]).tobytes()
+
+    def _words(self, text: str) -> list[str] | None:
+        """Words behind the first with the line break before them, if any; None for texts to encode in one piece."""
+        words, between = text.split(), text.count(" ") + text.count("\n")
+        if len(words) != between + 1 or sum(map(len, words)) + between != len(text) or any(s in text for s in self.special):
+            return None
+        return text.replace("\n", " \n").split(" ")
+
+    def _learn(self, new: set[str]) -> None:
+        known, marked = self.known, []
+        for w in [w for w in new if w[-1] in ",." and w[-2:-1].isalpha()]:
+            new.discard(w)
+            marked.append(w)
+            if w[:-1] not in known:
+                new.add(w[:-1])
+        listed = []
+        for w in new:
+            if w.isalpha():
+                known[w] = self._letters(w, self.space)
+            elif w[0] == "\n" and w[1:].isalpha():
+                known[w] = self.marks["\n"] + self._letters(w[1:])
+            else:
+                listed.append(w)
+        known.update(zip(listed, self._bytes([w if w[0] == "\n" else " " + w for w in listed])))
+        known.update((w, known[w[:-1]] + self.marks[w[-1]]) for w in marked)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > KEPT:
             self.known.clear()
-        cut: list[list[str] | None] = []
-        for t in texts:
-            even = not _UNEVEN.search(t) and not any(s in t for s in self.special)
-            cut.append(t.replace("\n", " \n").split(" ") if even else None)
-        new = list(set().union(*[c[1:] for c in cut if c]).difference(self.known))
-        self.known.update(zip(new, self._bytes([w if w[0] == "\n" else " " + w for w in new])))
+        cut = [self._words(t) for t in texts]
+        self._learn(set().union(*[c[1:] for c in cut if c]).difference(self.known))
         heads = iter(self._bytes([t if c is None else c[0] for t, c in zip(texts, cut)]))
         return [next(heads) + b"".join(map(self.known.__getitem__, c[1:] if c else ())) for c in cut]
 
