@@ -6,13 +6,16 @@ runs into another string.
 
 1. Triples of symbols at positions k = 1, 2 (mod 3) are sorted by range
    partitions and named by their order.
-2. Unless all names differ, or equal ones already cover ``depth`` units of
-   length, the names at k = 1 and at k = 2 (mod 3) are two strings each of a
-   smaller instance that gives the sampled suffixes' order.
+2. Strings where equal names cover less than ``depth`` units of length go to
+   a smaller instance: their names at k = 1 and at k = 2 (mod 3) are two
+   strings each, and its ranks order the suffixes of such a name.  All other
+   names are ranks already.
 3. The remaining suffixes k = 0 are merged: against k = 1 by (symbol, rank of
    k + 1), against k = 2 by (symbol, symbol, rank of k + 2).  Both are plain
    sorts; a suffix's rank is the number of suffixes smaller than it.
 
+An instance of at most ``LOCAL`` symbols is sorted by one task, by doubling.
+
 A sorted partition counts inside itself, offsets come from one total per
 partition.  Equal keys share a rank, so the result does not depend on how
 tasks order them.
@@ -30,6 +33,41 @@ from .common import Scratch
 #: Smaller than every symbol and rank.
 END = -(1 << 63)
 NO_LIMIT = 1 << 62
+#: Instances of so many symbols or fewer take one task: fewer rounds on small leftovers.
+LOCAL = 250_000
+
+
+def doubling(syms, off):
+    """For every suffix of the strings ``syms[off[i]:off[i+1]]`` the number of smaller suffixes."""
+    import numpy as np
+    n = len(syms)
+    last = np.repeat(off[1:], np.diff(off))                # end of each suffix's string
+    rank = np.unique(syms, return_inverse=True)[1].astype(np.int64) + 1
+    at, step = np.arange(n), 1
+    longest = int(np.diff(off).max()) if n else 0
+    while step < longest:
+        follow = np.where(at + step < last, np.concatenate([rank[step:], np.zeros(min(step, n), np.int64)])[:n], 0)
+        rank = np.unique(rank * (n + 2) + follow, return_inverse=True)[1].astype(np.int64) + 1
+        step *= 2
+    smaller = np.concatenate([[0], np.cumsum(np.bincount(rank, minlength=n + 1))])
+    return smaller[rank]
+
+
+def _local_ranks(strings: DataFrame) -> DataFrame:
+    import pyarrow as pa
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+        got = [b for b in batches if b.num_rows]
+        if not got:
+            return
+        rid = np.concatenate([b.column("rid").to_numpy() for b in got])
+        sizes = np.concatenate([np.diff(b.column("syms").offsets.to_numpy()) for b in got])
+        off = np.concatenate([[0], np.cumsum(sizes)])
+        ranks = doubling(np.concatenate([b.column("syms").flatten().to_numpy() for b in got]), off)
+        yield pa.RecordBatch.from_arrays([pa.array(rid), pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ranks))], names=["rid", "ranks"])
+
+    return strings.select("rid", "syms").coalesce(1).mapInArrow(run, "rid long, ranks array<long>")
 
 
 def _smaller(scratch: Scratch, rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -85,6 +123,9 @@ def suffix_ranks(scratch: Scratch, strings: DataFrame, depth: int) -> DataFrame:
     share a rank or stand in any order among themselves."""
     import pyarrow as pa
 
+    if (strings.agg(F.sum(F.size("syms"))).first()[0] or 0) <= LOCAL:
+        return scratch.keep(_local_ranks(strings))
+
     def triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
         for b in batches:
@@ -109,19 +150,26 @@ def suffix_ranks(scratch: Scratch, strings: DataFrame, depth: int) -> DataFrame:
 
     sampled = strings.mapInArrow(triples, "rid long, k int, a long, b long, c long, len long")
     named = _smaller(scratch, sampled.withColumn("kind", F.lit(1)), ["a", "b", "c"])
-    kept, named = named, named.select("rid", "k", "len", F.col("n1").alias("name"), "same")
-    short = named.where((F.col("same") > 1) & (F.col("len") < depth)).limit(1).count()
+    kept = named
     kind = F.col("k") % 3
-    if short:
-        below = named.select((F.col("rid") * 2 + kind - 1).alias("rid"), F.floor(F.col("k") / 3).cast("int").alias("k"), "name", "len")
+    named = kept.select((F.col("rid") * 2 + kind - 1).alias("rid"), F.floor(F.col("k") / 3).cast("int").alias("k"), F.col("n1").alias("name"), "len",
+                        ((F.col("same") > 1) & (F.col("len") < depth)).alias("short"))
+    open_ = named.where("short").select("rid").distinct()
+    if named.where("short").limit(1).count():
+        below = scratch.keep(named.join(open_, "rid"))
         listed = F.sort_array(F.collect_list(F.struct("k", "name", "len")))
         smaller = below.groupBy("rid").agg(listed.alias("l")).select("rid", F.transform("l", lambda x: x["name"]).alias("syms"), F.transform("l", lambda x: x["len"]).alias("lens"))
         smaller = scratch.keep(smaller)
-        got = suffix_ranks(scratch, smaller, depth)
-        scratch.drop(smaller)
+        inner = suffix_ranks(scratch, smaller, depth)
+        flat = scratch.keep(inner.select("rid", F.posexplode("ranks").alias("k", "order")).join(below, ["rid", "k"]))
+        # the suffixes of one name are neighbours in the smaller instance's order
+        base = flat.where("short").groupBy("name").agg(F.min("order").alias("least"))
+        better = flat.join(base, "name", "left").select("rid", "k", F.when(F.col("short"), F.col("name") + F.col("order") - F.col("least")).otherwise(F.col("name")).alias("name"))
+        rest = named.join(open_, "rid", "left_anti").select("rid", "k", "name")
+        got = scratch.keep(_by_string(rest.union(better), "name", "ranks"))
+        scratch.drop(below, smaller, inner, flat)
     else:
-        flat = named.select((F.col("rid") * 2 + kind - 1).alias("rid"), "k", "name")
-        got = scratch.keep(_by_string(flat, "name", "ranks"))
+        got = scratch.keep(_by_string(named, "name", "ranks"))
     scratch.drop(kept)
 
     pair = got.select(F.floor(F.col("rid") / 2).cast("long").alias("rid"), F.pmod("rid", F.lit(2)).alias("half"), "ranks")

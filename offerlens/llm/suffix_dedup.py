@@ -17,8 +17,9 @@
 4. Remaining suffixes, those that start between anchors.  An anchor's strings
    together are one stretch of bytes.  Where an equal stretch occurs in the
    run, all of them are repeats.  In runs of several different stretches one
-   of each is spread out into its strings, which are compared one by one.
-   Prefixes are compared by 128-bit hashes of all their bytes.
+   of each is spread out, first into stretches of ``PART`` strings, which are
+   compared in the same way, then those that still differ into single strings.
+   Stretches and strings are compared by 128-bit hashes of all their bytes.
 5. The covered bytes of every text are merged to spans and cut out.
 
 Anchors, runs and strings are rows; what is collected per key is bounded by
@@ -43,8 +44,9 @@ from .common import Scratch, null_free, table, without
 from .suffix_array import suffix_ranks
 
 LENGTH = 400
-WIDE, NARROW = 256, 64
+WIDE, NARROW = 256, 128
 GRAM = 8
+PART = 16
 
 
 def anchors(buf: bytes, window: int, length: int):
@@ -199,57 +201,93 @@ def runs(rows: DataFrame) -> DataFrame:
         if held is not None:
             yield from held.combine_chunks().to_batches()
 
-    ordered = rows.repartitionByRange("rank").sortWithinPartitions("rank", "prefix")
+    # equal prefixes may be many: they are dealt on by string, as a run may be cut anywhere
+    ordered = rows.repartitionByRange("rank", "prefix", "rid").sortWithinPartitions("rank", "prefix")
     return ordered.mapInArrow(adjacent, rows.schema)
 
 
+WHAT = ["prefix", "off", "more", "stretch"]
+
+
+def _kinds(scratch: Scratch, rows: DataFrame) -> DataFrame:
+    """The different stretches of every run with the number of places and one of them; rows may stand for several."""
+    n = F.sum("n") if "n" in rows.columns else F.count("*")
+    return scratch.keep(rows.groupBy(*WHAT).agg(n.alias("n"), F.min(F.struct("rid", "first", "last")).alias("one")))
+
+
+def _resolved(rows: DataFrame, kinds: DataFrame, length: int) -> DataFrame:
+    """(rid, s, e): stretches that occur twice or more."""
+    return rows.join(kinds.where("n > 1").select(*WHAT), WHAT).select("rid", F.col("first").alias("s"), (F.col("last") + length).alias("e"))
+
+
+def _mixed(kinds: DataFrame) -> DataFrame:
+    """One place of each stretch, from runs with several different ones."""
+    mixed = kinds.groupBy("prefix").agg(F.count("*").alias("kinds")).where("kinds > 1").select("prefix")
+    return kinds.join(mixed, "prefix").select("one.rid", F.struct("one.first", "one.last", "off", F.least("n", F.lit(2)).alias("n")).alias("a"))
+
+
+def _spread(regs: DataFrame, places: DataFrame, length: int, size: int) -> DataFrame:
+    """Rows of shorter stretches: an anchor's strings dealt by their distance to it, ``size`` distances to a
+    stretch.  prefix is the hash of the bytes that all strings at these distances hold, n is 2 where a stretch
+    is known to occur again."""
+    import pyarrow as pa
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_128_digest
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64())
+        names = ["rid", "first", "last", "off", "more", "prefix", "stretch", "n"]
+        for b in batches:
+            for k in range(0, b.num_rows, 256):
+                part = b.slice(k, 256)
+                rows: list = []
+                for rid, buf, found in zip(*(part.column(c).to_pylist() for c in ("rid", "bytes", "a"))):
+                    for x in found:
+                        anchor = x["first"] + x["off"]
+                        p = x["first"]
+                        while p <= x["last"]:
+                            low = (anchor - p) // size * size                    # distances low .. low + size - 1
+                            q = min(x["last"], anchor - low)
+                            # all strings at these distances hold the bytes from the nearest one's start on
+                            core = xxh3_128_digest(buf[anchor - low:anchor - low - size + 1 + length]) if size > 1 else b""
+                            rows.append((rid, p, q, anchor - p, q - p, core, xxh3_128_digest(buf[p:q + length]), x["n"]))
+                            p = q + 1
+                if rows:
+                    t = pa.Table.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows), kinds)], names=names)
+                    yield from t.to_batches(max_chunksize=1 << 16)
+
+    texts = regs.select("rid", "bytes").join(places.groupBy("rid").agg(F.collect_list("a").alias("a")), "rid")
+    return texts.mapInArrow(run, "rid long, first int, last int, off int, more int, prefix binary, stretch binary, n long")
+
+
 def repeated(scratch: Scratch, regs: DataFrame, length: int, window: int) -> DataFrame:
     """(key, s, e): stretches of the texts that repeated strings cover; they may overlap."""
     import pyarrow as pa
 
     strings = scratch.keep(phrases(regs, length, window))
-    ranks = suffix_ranks(scratch, strings.select("rid", "syms", "lens"), length)
+    # what equal strings share ends at the first anchor beyond length - 2 window - GRAM + 2: order matters up to there
+    ranks = suffix_ranks(scratch, strings.select("rid", "syms", "lens"), length - window - GRAM + 2)
     each = F.posexplode(F.arrays_zip("ranks", "first", "last", "off", "prefix", "stretch")).alias("k", "x")
     rows = strings.join(ranks, "rid").select("rid", each).select(F.col("x.ranks").alias("rank"), "rid", *[f"x.{c}" for c in ("first", "last", "off", "prefix", "stretch")])
     rows = rows.where("last >= first")
     found = scratch.keep(runs(rows))
     scratch.drop(strings, ranks)
 
-    # strings are told apart by their place before the anchor too: off bytes, and how many strings the anchor has
-    what = ["prefix", "off", "stretch"]
-    kinds = found.groupBy(*what, (F.col("last") - F.col("first")).alias("more")).agg(F.count("*").alias("n"), F.min(F.struct("rid", "first", "last")).alias("one"))
-    kinds = scratch.keep(kinds)
-    mixed = kinds.groupBy("prefix").agg(F.count("*").alias("kinds")).where("kinds > 1").select("prefix")
-    all_equal = found.join(kinds.where("n > 1").select(*what, F.col("more").alias("m")), what).where(F.col("last") - F.col("first") == F.col("m"))
-    sure = all_equal.select("rid", F.col("first").alias("s"), (F.col("last") + length).alias("e"))
-
-    spread = kinds.join(mixed, "prefix").select("one.rid", F.struct("one.first", "one.last", "off", F.least("n", F.lit(2)).alias("n")).alias("a"))
-    spread = regs.select("rid", "bytes").join(spread.groupBy("rid").agg(F.collect_list("a").alias("a")), "rid")
+    # an anchor's strings are told apart by their places before it: the first one's, and how many there are
+    rows = found.withColumn("more", F.col("last") - F.col("first"))
+    runs_of = _kinds(scratch, rows)
+    sure = _resolved(rows, runs_of, length)
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_128_digest
-        for b in batches:
-            for k in range(0, b.num_rows, 256):
-                part = b.slice(k, 256)
-                out: list = [[], [], [], [], []]
-                for rid, buf, found in zip(*(part.column(c).to_pylist() for c in ("rid", "bytes", "a"))):
-                    for x in found:
-                        places = range(x["first"], x["last"] + 1)
-                        out[0].extend([rid] * len(places))
-                        out[1].extend(places)
-                        out[2].extend([x["off"] - (p - x["first"]) for p in places])
-                        out[3].extend([xxh3_128_digest(buf[p:p + length]) for p in places])
-                        out[4].extend([x["n"]] * len(places))
-                t = pa.Table.from_arrays([pa.array(v, k) for v, k in zip(out, (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64()))], names=["rid", "s", "off", "h", "n"])
-                yield from t.to_batches(max_chunksize=1 << 16)
+    parts = scratch.keep(_spread(regs, _mixed(runs_of), length, PART))
+    parts_of = _kinds(scratch, parts)
+    close = _resolved(parts.where("n = 1"), parts_of, length)
 
-    single = scratch.keep(spread.mapInArrow(windows, "rid long, s int, off int, h binary, n long"))
-    twice = single.groupBy("h", "off").agg(F.sum("n").alias("all")).where("all > 1").select("h", "off")
-    some = single.where("n = 1").join(twice, ["h", "off"]).select("rid", "s", (F.col("s") + length).alias("e"))
-    spans = sure.union(some).groupBy("rid").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    single = scratch.keep(_spread(regs, _mixed(parts_of), length, 1))
+    twice = single.groupBy("stretch", "off").agg(F.sum("n").alias("all")).where("all > 1").select("stretch", "off")
+    some = single.where("n = 1").join(twice, ["stretch", "off"]).select("rid", F.col("first").alias("s"), (F.col("first") + length).alias("e"))
+    spans = sure.union(close).union(some).groupBy("rid").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
     out = regs.select("rid", "key", "start").join(spans, "rid")
     out = scratch.keep(out.select("key", F.transform("spans", lambda x: F.struct((x["s"] + F.col("start")).alias("s"), (x["e"] + F.col("start")).alias("e"))).alias("spans")))
-    scratch.drop(found, kinds, single)
+    scratch.drop(found, runs_of, parts, parts_of, single)
     return out
 
 

@@ -6,10 +6,11 @@ import hashlib
 import math
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from offerlens.llm import embedding_dedup, simhash, suffix_dedup
+from offerlens.llm import embedding_dedup, simhash, suffix_array, suffix_dedup
 from offerlens.llm.common import Scratch
 from offerlens.llm.components import components
 from offerlens.llm.suffix_array import suffix_ranks
@@ -136,7 +137,9 @@ def test_embeddings(spark):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
-def test_suffix_ranks(spark, rng):
+@pytest.mark.parametrize("local", [0, 40, 10 ** 6])
+def test_suffix_ranks(spark, rng, monkeypatch, local):
+    monkeypatch.setattr(suffix_array, "LOCAL", local)
     strings = [[rng.randint(1, 2) for _ in range(rng.randint(1, 14))] for _ in range(30)] + [[1] * 9, [1] * 10]
     df = spark.createDataFrame([(i, x, [1] * len(x)) for i, x in enumerate(strings)], "rid long, syms array<long>, lens array<long>")
     got = {r.rid: r.ranks for r in suffix_ranks(Scratch(spark, "ranks"), df, 1000).collect()}
