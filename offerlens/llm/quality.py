@@ -165,8 +165,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that the rules keep."""
-    return judge(docs).where("kept").select(docs.columns)
+    """Pipeline stage: documents that the rules keep.
+
+    The row number keeps Catalyst from pushing the filter below the verdict's
+    projections, where it would repeat their expressions once per use."""
+    judged = judge(docs).withColumn("_row", F.monotonically_increasing_id())
+    return judged.where(F.col("kept") & (F.col("_row") >= 0)).select(docs.columns)
 
 
 ORACLE_SQL = r"""
