@@ -9,8 +9,10 @@ Sampling (Pareto order sampling): a source at m copies per document takes
 floor(m) whole copies of each as certain; for the rest every document has the
 inclusion probability l = m - floor(m) and the rank (u / (1-u)) / (l / (1-l))
 with u from a hash of seed and id.  The sample's size is fixed in words: along
-the ranks documents are taken while they fit the words still wanted, and one
-document of those left closes the gap where its size brings the sum nearer.
+the ranks documents are taken while they fit the words still wanted, one that
+does not fit is passed over (``refill``), and one document of those left closes
+the gap where its size brings the sum nearer.  The query ``op4_mixing`` keeps
+the rule of its SQL instead, which stops at the first one that does not fit.
 
 Ranks are positions along u, found without one task per source: u is cut into
 buckets of about ``BUCKET`` documents, buckets are summed up first, and a
@@ -63,9 +65,42 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
     return s.select("source", "source_size", "n_docs", "sid", target.alias("target"))
 
 
-def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED) -> DataFrame:
+def refill(left: DataFrame, gap: DataFrame) -> DataFrame:
+    """(sid, rounds) for documents ``left`` (sid, size, position) and words wanted ``gap`` (sid, gap): going on
+    along the positions, a document that fits is taken and one that does not is passed over.  Those taken
+    have, in some round, a position up to ``until`` and a size up to ``half``, or the position ``until``.
+
+    A round goes on to the document that brings the gap below its half: the first larger than half of it
+    that fits, or the one with which the others exceed half.  So rounds grow with the logarithm of the gap.
+    """
+    fits = F.col("size") <= F.col("gap")
+    open_ = materialize(left.join(gap, "sid").where(fits), "mix-open")
+    small = F.col("size") <= F.col("gap") / 2
+    earlier = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("sid", "bucket").orderBy("position").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rounds = gap.limit(0).select("sid", F.lit(0).cast("long").alias("until"), F.col("gap").alias("half"))
+    while not open_.isEmpty():
+        d = open_.withColumns({"bucket": F.floor(F.col("position") / BUCKET), "add": F.when(small, F.col("size")).otherwise(0)})
+        full = d.groupBy("sid", "bucket").agg(F.sum("add").alias("words"))
+        full = full.select("sid", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("words_before"))
+        d = d.join(full, ["sid", "bucket"]).withColumn("words", F.col("words_before") + F.sum("add").over(upto))
+        used = F.when(small, F.col("words")).otherwise(F.col("words") + F.col("size"))
+        ends = F.when(small, F.col("words") > F.col("gap") / 2).otherwise(used <= F.col("gap"))
+        end = F.min(F.when(ends, F.struct(F.col("position").alias("until"), used.alias("used"))))
+        none = F.struct(F.lit(2 ** 63 - 1).alias("until"), F.max("words").alias("used"))
+        s = d.groupBy("sid", "gap").agg(F.coalesce(end, none).alias("end"))
+        s = materialize(s.select("sid", F.col("end.until").alias("until"), (F.col("gap") / 2).alias("half"),
+                                 (F.col("gap") - F.col("end.used")).alias("gap")), "mix-round")
+        rounds = rounds.union(s.drop("gap"))
+        open_ = open_.drop("gap").join(s.select("sid", "until", "gap"), "sid")
+        open_ = materialize(open_.where((F.col("position") > F.col("until")) & fits).drop("until"), "mix-open")
+    return rounds.groupBy("sid").agg(F.collect_list(F.struct("until", "half")).alias("rounds"))
+
+
+def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED, pass_over: bool = True) -> DataFrame:
     """Plan of the mix for ``rows`` (id, source, size and columns to carry; a written table, as it is read
-    again): the same with source_size, target, copies (int) and taken (words)."""
+    again): the same with source_size, target, copies (int) and taken (words).  Without ``pass_over`` a
+    source's documents end at the first one that does not fit."""
     carried = rows.columns
     sized = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     sources = materialize(targets(sized, weights, cap), "mix-sources")
@@ -92,8 +127,21 @@ def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, see
     d = d.withColumn("in", taken).drop("words_before", "docs_before", "bucket", "buckets", "u", "rank")
     ranked = materialize(d, "mix-ranked")
 
-    gap = ranked.groupBy("sid").agg((F.first("wanted") - F.coalesce(F.max(F.when(F.col("in"), F.col("words"))), F.lit(0))).alias("gap"))
-    left = ranked.where(~F.col("in") & (F.col("rest") > 0)).select("sid", "size", "position").join(gap, "sid")
+    def gaps(ranked: DataFrame) -> DataFrame:
+        return ranked.groupBy("sid").agg((F.first("wanted") - F.coalesce(F.sum(F.when(F.col("in"), F.col("size"))), F.lit(0))).alias("gap"))
+
+    def others(ranked: DataFrame) -> DataFrame:
+        return ranked.where(~F.col("in") & (F.col("rest") > 0)).select("sid", "size", "position")
+
+    if pass_over:
+        def fitted(r: Column) -> Column:
+            return ((F.col("position") <= r["until"]) & (F.col("size") <= r["half"])) | (F.col("position") == r["until"])
+
+        ranked = ranked.join(refill(others(ranked), gaps(ranked)), "sid", "left")
+        later = (F.col("rest") > 0) & F.coalesce(F.exists("rounds", fitted), F.lit(False))
+        ranked = materialize(ranked.withColumn("in", F.col("in") | later).drop("rounds"), "mix-refilled")
+
+    left = others(ranked).join(gaps(ranked), "sid")
     near = F.abs(F.col("gap") - F.col("size"))
     close = left.where(near < F.col("gap")).groupBy("sid").agg(F.min(F.struct(near.alias("d"), "position"))["position"].alias("closing"))
     out = ranked.join(close, "sid", "left")
@@ -111,7 +159,7 @@ def sizes(docs: DataFrame) -> DataFrame:
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     rows = materialize(sizes(table(spark, sf_dir, "documents")), "mix-sizes")
-    out = mix(rows)
+    out = mix(rows, pass_over=False)
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
 
 

@@ -53,6 +53,41 @@ def test_mix(spark, rng):
         assert abs(taken[s] - t) <= max(biggest[s] / 2, 1) if s else True
 
 
+def greedy(docs, wanted):
+    """Along the ranks what fits is taken; one of those left closes the gap where that is nearer."""
+    got, gap, left = set(), wanted, []
+    for k, (i, size) in enumerate(docs):
+        if size <= gap:
+            got.add(i)
+            gap -= size
+        else:
+            left.append((size, k, i))
+    near = min(((abs(gap - size), k, i) for size, k, i in left), default=(gap,))
+    return got | {near[2]} if near[0] < gap else got
+
+
+def test_long_document_is_passed_over(spark, rng):
+    """A document larger than its source's wanted words, at every tenth of the ranks."""
+    rows = []
+    for s in range(10):
+        ids = range(s * 1000, s * 1000 + 400)
+        u = dict(spark.createDataFrame([(i,) for i in ids], "id long").select("id", mixing.uniform(F.col("id").cast("string"))).collect())
+        long_one = sorted(ids, key=u.get)[s * 40]
+        rows += [(i, f"s{s}", 80_000 if i == long_one else rng.choice([0, 50, 100, 150, 3000 if s % 2 else 100]), u[i]) for i in ids]
+    rows.append((-1, "z", 2_000_000, 0.5))
+    docs = materialize(spark.createDataFrame(rows, "id long, source string, size long, place double"), "mix-long")
+    by = {}
+    for r in mixing.mix(docs, weights=(1,) * 10 + (150,)).collect():
+        by.setdefault(r.source, []).append(r)
+    assert len(by) == 11
+    for source, rs in by.items():
+        per = rs[0].target / rs[0].source_size
+        wanted = rs[0].target - math.floor(per) * rs[0].source_size
+        want = greedy([(r.id, r.size) for r in sorted(rs, key=lambda r: (r.place, r.id))], wanted) if per % 1 else set()
+        assert {r.id for r in rs if r.copies > math.floor(per)} == want
+        assert source == "z" or abs(sum(r.taken for r in rs) - rs[0].target) <= 50 and 40_000 > wanted > 10_000
+
+
 def test_mix_edges(spark, edge_docs, empty_docs):
     docs = edge_docs.withColumns({"size": F.lit(1), "target": F.lit("clash"), "copies": F.lit(0)})
     rows = materialize(mixing.sizes(docs), "mix-edge")
