@@ -7,9 +7,11 @@ without spaces, so each is first split into words: a unigram model of the
 words in the pages' visible text and Viterbi over the label.
 
 Words, tokens and labels are counted with Spark over all pages; the unigram
-table is a model of fixed size (``WORDS``).  Each distinct host label is
-segmented once, each distinct (host, path) judged once; token weights meet
-the tokens in an equi-join.
+table holds every word.  Each distinct host label is segmented once, from the
+counts of the words that it may hold: stretches of the label of up to
+``LONGEST`` letters meet the words in an equi-join, longer words by their first
+``LONGEST`` letters.  Each distinct (host, path) is judged once; token weights
+meet the tokens in an equi-join.
 
 Defined results: a null url, or one without ``://``, has empty host and path,
 no rule and no token, so the classes' prior decides; ties go to allow;
@@ -31,7 +33,6 @@ from .common import null_free, table
 
 #: (rule, verdict): host and path of a rule are cut at its first slash.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
-WORDS = 30_000
 LONGEST = 24
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -56,19 +57,24 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def unigrams(pages: DataFrame) -> DataFrame:
-    """(word, n): the most frequent ``WORDS`` words of the visible text."""
+    """(word, n): the words of the visible text."""
     text = F.regexp_replace(null_free(F.col("html")), r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>", " ")
     word = F.explode(F.array_remove(F.split(F.lower(text), r"[^a-z]+"), ""))
-    counts = pages.select(word.alias("word")).where(F.length("word") <= LONGEST).groupBy("word").agg(F.count("*").alias("n"))
-    return counts.orderBy(F.desc("n"), "word").limit(WORDS)
+    return pages.select(word.alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
 def segment(label: str, cost: dict[str, float], unknown: float) -> list[str]:
     """Cheapest split of ``label``; a word that is not in the model costs ``unknown`` and ln 10 per letter."""
+    letter = math.log(10)
+    longest = max(map(len, cost), default=0)
     best: list[tuple[float, int]] = [(0.0, 0)]
+    free = 0  # where an unknown word up to here begins cheapest, as each costs the same and ln 10 per letter
     for end in range(1, len(label) + 1):
-        options = ((best[at][0] + cost.get(label[at:end], unknown + (end - at) * math.log(10)), at) for at in range(max(0, end - LONGEST), end))
-        best.append(min(options))
+        if best[end - 1][0] - (end - 1) * letter < best[free][0] - free * letter:
+            free = end - 1
+        known = ((best[at][0] + cost[label[at:end]], at) for at in range(max(0, end - longest), end) if label[at:end] in cost)
+        best.append(min(known, default=(math.inf, 0)))
+        best[end] = min(best[end], (best[free][0] + unknown + (end - free) * letter, free))
     out, end = [], len(label)
     while end:
         out.append(label[best[end][1]:end])
@@ -77,20 +83,29 @@ def segment(label: str, cost: dict[str, float], unknown: float) -> list[str]:
 
 
 def segments(labels: DataFrame, words: DataFrame) -> DataFrame:
-    """(label, words) for distinct host labels; the model (at most ``WORDS`` rows) goes to every task."""
+    """(label, words) for distinct host labels and the model (word, n), a written table, as it is read again."""
     import pyarrow as pa
 
-    counted = words.collect()
-    total = sum(r["n"] for r in counted) or 1
-    model = labels.sparkSession.sparkContext.broadcast({r["word"]: math.log(total / r["n"]) for r in counted})
+    total = words.agg(F.sum("n")).first()[0] or 1
     unknown = math.log(total) + math.log(10)
+    labels = materialize(labels.select("label", F.monotonically_increasing_id().alias("no")), "host-labels")
+    # each place's next letters first, so that stretches do not carry the whole label
+    ahead = labels.select("no", F.col("label").alias("_l"), F.explode(F.sequence(F.lit(1), F.length("label"))).alias("at"))
+    ahead = ahead.select("no", (F.length("_l") - F.col("at") + 1).alias("room"), F.col("_l").substr(F.col("at"), F.lit(LONGEST)).alias("ahead"))
+    pieces = ahead.select("no", "room", "ahead", F.explode(F.sequence(F.lit(1), F.length("ahead"))).alias("k"))
+    pieces = pieces.select("no", F.substring("ahead", F.lit(1), F.col("k")).alias("piece"), "room")
+    pieces = pieces.groupBy("no", "piece").agg(F.max("room").alias("room"))
+    keyed = words.select(F.substring("word", 1, LONGEST).alias("piece"), "word", F.col("n").alias("count"))
+    hits = pieces.join(keyed, "piece").where(F.length("word") <= F.col("room"))
+    hits = hits.groupBy("no").agg(F.collect_list("word").alias("known"), F.collect_list("count").alias("counts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [segment(x, model.value, unknown) for x in b.column("label").to_pylist()]
+            rows = zip(*(b.column(c).to_pylist() for c in ("label", "known", "counts")))
+            got = [segment(x, {w: math.log(total / n) for w, n in zip(known or (), counts or ())}, unknown) for x, known, counts in rows]
             yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(got, pa.list_(pa.string()))], names=["label", "words"])
 
-    return labels.mapInArrow(run, "label string, words array<string>")
+    return labels.join(hits, "no", "left").select("label", "known", "counts").mapInArrow(run, "label string, words array<string>")
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -103,7 +118,7 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
 
     parts = F.array_remove(F.split("host", r"[^a-z]+"), "")
     labels = distinct.select(F.explode(parts).alias("label")).distinct()
-    words = segments(labels, unigrams(pages))
+    words = segments(labels, materialize(unigrams(pages), "unigrams"))
     in_host = distinct.select("key", "host", "path", F.explode(parts).alias("label")).join(words, "label")
     in_host = in_host.select("key", "host", "path", F.explode("words").alias("token")).withColumn("token", F.concat(F.lit("host:"), F.col("token")))
     clean = F.regexp_replace(F.lower("path"), r"[0-9]+", "0")

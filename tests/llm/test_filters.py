@@ -6,6 +6,7 @@ import zlib
 from pyspark.sql import functions as F
 
 from offerlens.llm import toxicity, url_filter
+from offerlens.session import materialize
 
 
 def test_held_out_rule(spark):
@@ -121,6 +122,31 @@ def test_segment_is_cheapest(rng):
         assert abs(got - brute_segment(label, cost, 9.0)[0]) < 1e-9
 
 
+def test_every_word_is_in_the_model(spark):
+    """More distinct words than the model once kept, the rare ones and one of more than 24 letters in a host."""
+    letters = "abcdefghij"
+    common = " ".join(w for k in range(31_000) for w in ["".join(letters[int(c)] for c in f"{k:05d}")] * 2)
+    long_word = "donaudampfschifffahrtsgesellschaft"
+    pages = spark.createDataFrame([(1, "http://www.example.org/", common), (2, "http://x.org/", f"zebrafish kettle {long_word}")], "page_id long, url string, html string")
+    words = materialize(url_filter.unigrams(pages), "unigrams-test")
+    assert words.count() == 31_003
+    labels = spark.createDataFrame([("zebrafishkettle",), (long_word + "kettle",), ("kettlequvwxyz",), ("q" * 90,)], "label string")
+    got = {r.label: r.words for r in url_filter.segments(labels, words).collect()}
+    assert got == {"zebrafishkettle": ["zebrafish", "kettle"], long_word + "kettle": [long_word, "kettle"],
+                   "kettlequvwxyz": ["kettle", "quvwxyz"], "q" * 90: ["q" * 90]}
+
+
+def test_segments_equal_whole_model(spark, sf, rng):
+    words = materialize(url_filter.unigrams(spark.read.parquet(f"{sf}/pages.parquet")), "unigrams-whole")
+    n = {r.word: r.n for r in words.collect()}
+    total = sum(n.values())
+    some = rng.sample(sorted(n), 60)
+    labels = sorted({"".join(rng.choices([*some, "xq"], k=k)) for k in (1, 2, 3, 4, 5) for _ in range(12)})
+    got = {r.label: r.words for r in url_filter.segments(spark.createDataFrame([(x,) for x in labels], "label string"), words).collect()}
+    cost = {w: math.log(total / k) for w, k in n.items()}
+    assert got == {x: url_filter.segment(x, cost, math.log(total) + math.log(10)) for x in labels}
+
+
 def test_verdicts_equal_plain_naive_bayes(spark, sf):
     """All verdicts again from the tokens, in plain Python."""
     pages = spark.read.parquet(f"{sf}/pages.parquet")
