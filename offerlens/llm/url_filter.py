@@ -56,10 +56,16 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
+def tokens_of(text: Column) -> Column:
+    """Runs of letters of any script and digits, lower-case; digits in a row are one 0."""
+    clean = F.regexp_replace(F.lower(text), r"[0-9]+", "0")
+    return F.array_remove(F.split(clean, r"[^\p{L}0]+"), "")
+
+
 def unigrams(pages: DataFrame) -> DataFrame:
     """(word, n): the words of the visible text."""
     text = F.regexp_replace(null_free(F.col("html")), r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>", " ")
-    word = F.explode(F.array_remove(F.split(F.lower(text), r"[^a-z]+"), ""))
+    word = F.explode(tokens_of(text))
     return pages.select(word.alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
@@ -116,13 +122,12 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     distinct = urls.groupBy("host", "path").agg(F.count("*").alias("n")).withColumns({"rule": rule, "ruled": verdict})
     distinct = materialize(distinct.withColumn("key", F.xxhash64("host", "path")), "distinct-urls")
 
-    parts = F.array_remove(F.split("host", r"[^a-z]+"), "")
+    parts = tokens_of(F.col("host"))
     labels = distinct.select(F.explode(parts).alias("label")).distinct()
     words = segments(labels, materialize(unigrams(pages), "unigrams"))
     in_host = distinct.select("key", "host", "path", F.explode(parts).alias("label")).join(words, "label")
     in_host = in_host.select("key", "host", "path", F.explode("words").alias("token")).withColumn("token", F.concat(F.lit("host:"), F.col("token")))
-    clean = F.regexp_replace(F.lower("path"), r"[0-9]+", "0")
-    in_path = distinct.select("key", "host", "path", F.explode(F.array_remove(F.split(clean, r"[^\p{L}0]+"), "")).alias("token"))
+    in_path = distinct.select("key", "host", "path", F.explode(tokens_of(F.col("path"))).alias("token"))
     tokens = in_host.union(in_path.withColumn("token", F.concat(F.lit("path:"), F.col("token"))))
     tokens = materialize(tokens.groupBy("key", "host", "path", "token").agg(F.count("*").alias("k")), "url-tokens")
 

@@ -147,6 +147,18 @@ def test_segments_equal_whole_model(spark, sf, rng):
     assert got == {x: url_filter.segment(x, cost, math.log(total) + math.log(10)) for x in labels}
 
 
+def test_hosts_of_any_script(spark):
+    """Only the part of the host outside a-z tells blocked from allowed ones."""
+    blocked, allowed = ["новости", "bücher24"], ["погода", "bäcker"]
+    rows = [(f"http://{h}.net/x", "block") for h in blocked] * 6 + [(f"http://{h}.org/fr/x", "allow") for h in allowed] * 6
+    rows += [(f"http://{h}.de/x", "block") for h in blocked] + [(f"http://{h}.de/x", "allow") for h in allowed]
+    text = "<p>" + " ".join([*blocked, *allowed, "net", "org", "de"] * 3) + "</p>"
+    pages = spark.createDataFrame([(i, u, text) for i, (u, _) in enumerate(rows)], "page_id long, url string, html string")
+    assert {r.word for r in url_filter.unigrams(pages).collect()} == {"новости", "bücher0", "погода", "bäcker", "net", "org", "de"}
+    got = {r.page_id: r.verdict for r in url_filter.judge(pages).collect()}
+    assert got == {i: v for i, (_, v) in enumerate(rows)}
+
+
 def test_verdicts_equal_plain_naive_bayes(spark, sf):
     """All verdicts again from the tokens, in plain Python."""
     pages = spark.read.parquet(f"{sf}/pages.parquet")
