@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, mixing, quality
+from . import embedding_dedup, hard_negatives, mixing, quality
 from .embedding_dedup import op2_embedding_dedup
+from .hard_negatives import op13_hard_negatives
 from .mixing import op4_mixing
 from .quality import op5_quality
 from .sentencepiece_codec import op1_sentencepiece
@@ -25,10 +26,12 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
     "op2_embedding_dedup": embedding_dedup.ORACLE_SQL,
     "op4_mixing": mixing.ORACLE_SQL,
     "op5_quality": quality.ORACLE_SQL,
+    "op13_hard_negatives": hard_negatives.ORACLE_SQL,
 }
