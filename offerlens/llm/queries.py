@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, hard_negatives, mixing, quality
+from . import collocations, embedding_dedup, hard_negatives, mixing, quality
+from .collocations import op11_collocations
 from .embedding_dedup import op2_embedding_dedup
 from .hard_negatives import op13_hard_negatives
 from .mixing import op4_mixing
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
+    "op11_collocations": op11_collocations,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
@@ -33,5 +35,6 @@ ORACLES: dict[str, str] = {
     "op2_embedding_dedup": embedding_dedup.ORACLE_SQL,
     "op4_mixing": mixing.ORACLE_SQL,
     "op5_quality": quality.ORACLE_SQL,
+    "op11_collocations": collocations.ORACLE_SQL,
     "op13_hard_negatives": hard_negatives.ORACLE_SQL,
 }
