@@ -4,19 +4,20 @@ A stripe is an associative counter: a prefix of k words keys the words that
 follow it and how often.  Level k counts the stripes of prefixes of k words
 inside chunks of the corpus (the empty prefix at level 0), and merges the
 chunks' stripes elementwise after a shuffle by prefix.  A merged stripe holds
-the extensions (phrases of k + 1 words), the prefix's own total (all its
-entries, those that lead nowhere included) and, as its largest entry, the most
-frequent longer phrase that begins with the prefix.
+the extensions (phrases of k + 1 words), of which the largest is the most
+frequent longer phrase that begins with the prefix; a prefix's total is its
+entry in the stripe of one word less.
 
-A phrase that occurs ``min_count`` times is made of parts that do, so level k
+A phrase that occurs ``MIN_COUNT`` times is made of parts that do, so level k
 only counts prefixes and next words that level k - 1 found frequent.  The
 frequent phrases of a level reach the tasks as a Bloom filter of at most
 ``FILTER_BITS`` bits; what it lets through wrongly is counted exactly and
-falls to ``min_count``, so its size never changes a result.
+falls to ``MIN_COUNT``, so its size never changes a result.  From level 2 on
+the texts are cut down to their runs of frequent word pairs.
 
 A stripe of a very frequent prefix is cut by the hash of the next word: prefixes with at least a thousandth of
 all words (a thousand at most, therefore) are known from the level before, and no piece of theirs has more than
-about a thousandth of the words.
+about a thousandth of the words.  Stripes travel in blocks: all that one chunk has for one bucket of prefixes.
 
 Defined results: a null text is empty, a null language is ``und``; repeated
 rows count as often as they occur; a separator inside a word ends the piece;
@@ -40,7 +41,9 @@ TOP = 2000
 #: Characters that end a piece; words are runs of anything but space and tab.
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 #: Bytes of text split at once, and words whose stripes are merged before they leave a task.
-BLOCK, CHUNK = 4 << 20, 3_000_000
+BLOCK, CHUNK = 4 << 20, 2_000_000
+#: Words of the corpus for each bucket of prefixes.
+BUCKET = 1_000_000
 FILTER_BITS, PROBES = 1 << 29, 4
 HOT = 1000
 MIX = 0x9E3779B97F4A7C15
@@ -99,8 +102,8 @@ def passes(filter_, h):
 class Stripes:
     """Counts the stripes of prefixes of ``k`` words in the texts it is given."""
 
-    def __init__(self, k: int, filters: list, hot: tuple):
-        self.k, self.filters, self.hot = k, filters, hot
+    def __init__(self, k: int, filters: list, hot: tuple, buckets: int):
+        self.k, self.filters, self.hot, self.buckets = k, filters, hot, buckets
         self.carry: list = []
         self.clear()
 
@@ -125,10 +128,14 @@ class Stripes:
 
     def add(self, tokens: list[bytes], langs: list[str], counts: list[int]) -> None:
         """Tokens of consecutive blocks: ``counts`` tokens of each of ``langs``."""
+        if tokens:
+            self.carry.append(self.encode(tokens, langs, counts))
+            self.size += len(tokens)
+
+    def encode(self, tokens: list[bytes], langs: list[str], counts: list[int]):
+        """Codes of the tokens; -1 where a piece ends and, above level 0, for words that are not frequent."""
         import numpy as np
         import pyarrow as pa
-        if not tokens:
-            return
         encoded = pa.array(tokens, pa.binary()).dictionary_encode()
         words = encoded.dictionary.to_pylist()
         distinct = sorted(set(langs))
@@ -145,119 +152,143 @@ class Stripes:
             present, h, keys = present[good], h[good], [x for x, ok in zip(keys, good) if ok]
         place = np.full(len(seen), -1, np.int64)
         place[present] = [self.code(*x, y) for x, y in zip(keys, h.tolist())]
-        self.carry.append(place[pair])
-        self.size += len(pair)
+        return place[pair]
 
-    def flush(self, last: bool = False):
-        """Arrow batches of the stripes counted so far: lang, prefix, salt, next, n."""
+    def frequent(self, c):
+        """(ok, hash): which places of the codes begin a frequent phrase of ``k`` words, and the phrases' hashes."""
         import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-        if last:
-            self.carry.append(np.array([-1], np.int64))
-        c = np.concatenate(self.carry)
-        k, none = self.k, 0xFFFFFFFF
-        if not self.names or len(c) <= k:
-            if not last:
-                self.clear()
-            return
         h = np.array(self.hashes, np.uint64)
-        n = len(c)
-        ok = c >= 0
-        for j in range(1, k):                       # ok: phrases of j + 1 words that are frequent
+        ok, grams = c >= 0, h[c]
+        for j in range(1, self.k):
             ok = ok[:-1] & ok[1:]
             at = np.flatnonzero(ok)
-            if j == 1:
-                grams = h[c]
             grams = longer(grams[:len(ok)], h[c[j:]])
             ok[at] = passes(self.filters[j], grams[at])
-        at = np.flatnonzero(ok[:n - k] if k else ok)
+        return ok, grams
+
+    def flush(self, last: bool = False):
+        """Arrow batches of the stripes counted so far, in blocks: bucket, lang, prefix, next, n (lists)."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        c, k = np.concatenate(self.carry), self.k
+        at = np.zeros(0, np.int64)
+        if self.names and len(c) > k:
+            ok, grams = self.frequent(c)
+            at = np.flatnonzero(ok[:-1] & ok[1:] if k else ok)      # a phrase and the one that begins a word later
         if not len(at):
-            if not last:
-                self.clear()
+            self.clear()
             return
+        h = np.array(self.hashes, np.uint64)
         lang_of = np.array([x[0] for x in self.names], object)
-        if k:
-            follows = np.zeros(n, bool)
-            follows[:len(ok)] = ok
-            next_ = np.where(follows[at + 1], c[at + k], none)
-            prefix = c[at]
-            for j in range(1, k):
-                prefix = np.unique(prefix << 32 | c[at + j], return_inverse=True)[1]
-        else:
-            kinds, lang_no = np.unique(lang_of, return_inverse=True)
-            next_, prefix = c[at], lang_no[c[at]]
+        prefix, next_ = (c[at] if k else np.unique(lang_of, return_inverse=True)[1][c[at]]), c[at + k]
+        for j in range(1, k):
+            prefix = np.unique(prefix << 32 | c[at + j], return_inverse=True)[1]
         entry, example, count = np.unique(prefix.astype(np.int64) << 32 | next_, return_index=True, return_counts=True)
-        prefix, next_, example = entry >> 32, entry & none, at[example]
-        void = next_ == none
-        # sub-stripes of frequent prefixes
-        if k:
-            own = h[c[example]]
-            for j in range(1, k):
-                own = longer(own, h[c[example + j]])
-            hot, pieces = self.hot
-            where = np.minimum(np.searchsorted(hot, own), max(len(hot) - 1, 0))
-            salts = np.where(hot[where] == own, pieces[where], 1) if len(hot) else np.ones(len(own), np.int64)
-        else:
-            salts = np.full(len(next_), HOT, np.int64)
-        salt = np.where(void, 0, (h[np.where(void, 0, next_)] >> np.uint64(11)).astype(np.int64) % salts)
-        order = np.lexsort((salt, prefix))
-        prefix, next_, example, void, salt, count = (x[order] for x in (prefix, next_, example, void, salt, count))
-        first = np.r_[True, (prefix[1:] != prefix[:-1]) | (salt[1:] != salt[:-1])]
-        start = np.r_[np.flatnonzero(first), len(prefix)].astype(np.int32)
+        next_, example = entry & 0xFFFFFFFF, at[example]
+        own = grams[example] if k else np.array([word_hash(x, b"") for x in lang_of[c[example]]], np.uint64)
+        hot, pieces = self.hot
+        where = np.minimum(np.searchsorted(hot, own), max(len(hot) - 1, 0))
+        salts = np.full(len(own), HOT, np.uint64) if not k else np.where(hot[where] == own, pieces[where], np.uint64(1)) if len(hot) else np.ones(len(own), np.uint64)
+        bucket = longer(own, (h[next_] >> np.uint64(11)) % salts) >> np.uint64(20)
+        bucket = (bucket % np.uint64(self.buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        bucket, next_, example, count = (x[order] for x in (bucket, next_, example, count))
+        start = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        lists = pa.array(np.r_[start, len(bucket)].astype(np.int32))
         words = pa.array([x[1] for x in self.names], pa.binary()).cast(pa.string())
-        head = example[start[:-1]]
-        parts = [words.take(pa.array(c[head + j])) for j in range(k)]
-        text = pc.binary_join_element_wise(*parts, " ") if k > 1 else parts[0] if k else pa.array([""] * len(head))
-        langs = pa.array(lang_of[c[head]].tolist(), pa.string())
-        next_ = words.take(pa.array(np.where(void, 0, next_), mask=void))
-        out = pa.RecordBatch.from_arrays(
-            [langs, text, pa.array(salt[start[:-1]].astype(np.int32)), pa.ListArray.from_arrays(pa.array(start), next_),
-             pa.ListArray.from_arrays(pa.array(start), pa.array(count.astype(np.int64)))], names=["lang", "prefix", "salt", "next", "n"])
+        parts = [words.take(pa.array(c[example + j])) for j in range(k)]
+        text = pc.binary_join_element_wise(*parts, " ") if k > 1 else parts[0] if k else pa.array([""] * len(example))
+        columns = [pa.array(lang_of[c[example]].tolist(), pa.string()), text, words.take(pa.array(next_)), pa.array(count.astype(np.int64))]
+        out = pa.RecordBatch.from_arrays([pa.array(bucket[start]), *(pa.ListArray.from_arrays(lists, x) for x in columns)],
+                                         names=["bucket", "lang", "prefix", "next", "n"])
         if not last:
             self.clear()
-        for s in range(0, out.num_rows, 1 << 14):
-            yield out.slice(s, 1 << 14)
+        for s in range(0, out.num_rows, 64):
+            yield out.slice(s, 64)
+
+
+def slices(batches) -> Iterator[tuple[list, list, list, bool]]:
+    """Tokens of about ``BLOCK`` bytes of consecutive texts, the language and number of the tokens of each block, and
+    whether the last document ends with them."""
+    tokens: list[bytes] = []
+    langs: list[str] = []
+    counts: list[int] = []
+    held = 0
+    for b in batches:
+        for i in range(b.num_rows):
+            lang = b.column("lang")[i].as_py()
+            for block in blocks(b.column("text")[i].as_py()):
+                if held > BLOCK:
+                    yield tokens, langs, counts, tokens[-1:] == [b"."]
+                    tokens, langs, counts, held = [], [], [], 0
+                found = split(block)
+                tokens += found
+                langs.append(lang)
+                counts.append(len(found))
+                held += len(block)
+            tokens.append(b".")
+            langs.append(lang)
+            counts.append(1)
+    yield tokens, langs, counts, True
 
 
-def stripes(docs: DataFrame, k: int, filters: list, hot: tuple) -> DataFrame:
-    """Merged stripes (lang, prefix, salt, next, n) of prefixes of ``k`` words: one row per next word that follows often
-    enough, and one with a null next word for all other occurrences of the prefix."""
+def stripes(docs: DataFrame, k: int, filters: list, hot: tuple, buckets: int) -> DataFrame:
+    """Merged stripes (lang, prefix, next, n) of prefixes of ``k`` words, without entries below ``MIN_COUNT``; at level 0
+    an entry with a null next word has what all these amount to."""
     import pyarrow as pa
     share = docs.sparkSession.sparkContext.broadcast((filters, hot))
+    chunk = CHUNK
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = Stripes(k, *share.value)
-        tokens: list[bytes] = []
-        langs: list[str] = []
-        counts: list[int] = []
-        held = 0
-        for b in batches:
-            for i in range(b.num_rows):
-                lang = b.column("lang")[i].as_py()
-                for block in blocks(b.column("text")[i].as_py()):
-                    found = split(block)
-                    tokens += found
-                    langs.append(lang)
-                    counts.append(len(found))
-                    held += len(block)
-                    if held > BLOCK:
-                        made.add(tokens, langs, counts)
-                        tokens, langs, counts, held = [], [], [], 0
-                        if made.size > CHUNK:
-                            yield from made.flush()
-                tokens.append(b".")
-                langs.append(lang)
-                counts.append(1)
-        made.add(tokens, langs, counts)
+        made = Stripes(k, *share.value, buckets)
+        for tokens, langs, counts, _ in slices(batches):
+            made.add(tokens, langs, counts)
+            if made.size > chunk:
+                yield from made.flush()
         yield from made.flush(last=True)
 
-    raw = docs.mapInArrow(count, "lang string, prefix string, salt int, next array<string>, n array<long>")
-    dealt = raw.repartition("lang", "prefix", "salt")
-    each = dealt.select("lang", "prefix", "salt", F.explode(F.arrays_zip("next", "n")).alias("e")).select("lang", "prefix", "salt", "e.next", "e.n")
-    each = each.groupBy("lang", "prefix", "salt", "next").agg(F.sum("n").alias("n"))
+    raw = docs.mapInArrow(count, "bucket long, lang array<string>, prefix array<string>, next array<string>, n array<long>")
+    each = raw.repartition("bucket").select("bucket", F.explode(F.arrays_zip("lang", "prefix", "next", "n")).alias("e")).select("bucket", "e.*")
+    each = each.groupBy("bucket", "lang", "prefix", "next").agg(F.sum("n").alias("n"))
+    if k:
+        return each.where(F.col("n") >= MIN_COUNT).drop("bucket")
     kept = F.when(F.col("n") >= MIN_COUNT, F.col("next"))
-    return each.groupBy("lang", "prefix", "salt", kept.alias("next")).agg(F.sum("n").alias("n"))
+    return each.groupBy("bucket", "lang", "prefix", kept.alias("next")).agg(F.sum("n").alias("n")).drop("bucket")
+
+
+def frequent_runs(docs: DataFrame, filters: list) -> DataFrame:
+    """(lang, text): the texts cut down to their runs of frequent word pairs, each run a piece."""
+    import pyarrow as pa
+    share = docs.sparkSession.sparkContext.broadcast(filters)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+        open_: list[bytes] = []                 # of a document that goes on: the run that may go on with it
+        lang = ""
+        for tokens, langs, counts, ends in slices(batches):
+            if open_:
+                tokens, langs, counts = open_ + tokens, [lang] + langs, [len(open_)] + counts
+            if not tokens:
+                continue
+            made = Stripes(2, share.value, ((), ()), 1)
+            c = made.encode(tokens, langs, counts)
+            pair = made.frequent(c)[0] if made.names and len(c) > 1 else np.zeros(len(c) - 1, bool)
+            lang, open_, stop = langs[-1], [], len(c)
+            if not ends:
+                stop = int(np.flatnonzero(~pair)[-1]) + 1 if not pair.all() else 0
+                open_ = tokens[stop:]
+            goes_on = np.r_[pair, False][:stop]
+            inside = np.flatnonzero(goes_on | np.r_[False, pair][:stop])
+            number = {x: i for i, x in enumerate(sorted(set(langs)))}
+            own = np.repeat([number[x] for x in langs], counts)[inside]
+            for name, i in number.items():
+                here = inside[own == i]
+                if len(here):
+                    text = b" ".join([tokens[j] if more else tokens[j] + b"." for j, more in zip(here.tolist(), goes_on[here].tolist())])
+                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([text.decode()])], names=["lang", "text"])
+
+    return docs.mapInArrow(cut, "lang string, text string")
 
 
 def frequent_filter(phrases: DataFrame, count: int):
@@ -299,7 +330,7 @@ def hot_prefixes(phrases: DataFrame, total: int) -> tuple:
             own = x if own is None else longer(own, x)
         found[int(own[0])] = -(-r["f"] * HOT // total)
     order = sorted(found)
-    return np.array(order, np.uint64), np.array([found[x] for x in order], np.int64)
+    return np.array(order, np.uint64), np.array([found[x] for x in order], np.uint64)
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", top: int = TOP) -> DataFrame:
@@ -309,34 +340,35 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     docs = docs.select(F.coalesce(F.col(f"`{lang_col}`"), F.lit("und")).alias("lang"), null_free(F.col(f"`{text_col}`")).alias("text"))
     filters: list = []
     hot: tuple = ((), ())
-    levels = []
+    levels: list[DataFrame] = []
+    total = 0
     for k in range(LONGEST):
-        made = scratch.keep(stripes(docs, k, filters, hot))
-        levels.append(made)
-        phrase = F.col("next") if k == 0 else F.concat_ws(" ", "prefix", "next")
-        found = made.where("next is not null").select("lang", phrase.alias("phrase"), F.col("n").alias("f"))
-        n_found = found.count()
+        if k == 2:
+            docs = scratch.keep(frequent_runs(docs, filters))
+        made = scratch.keep(stripes(docs, k, filters, hot, total // BUCKET + 1 if k else HOT))
         if k == 0:
             total = made.agg(F.sum("n")).first()[0] or 0
+        phrase = F.when(F.col("prefix") == "", F.col("next")).otherwise(F.concat_ws(" ", "prefix", "next"))
+        levels.append(made.select("lang", "prefix", phrase.alias("phrase"), F.col("n").alias("f")))
+        found = levels[-1].where("phrase is not null")
+        n_found = found.count()
         if not n_found or k == LONGEST - 1:
             break
         filters.append(frequent_filter(found, n_found))
         hot = hot_prefixes(found, total)
 
-    words = levels[0].groupBy("lang").agg(F.sum("n").alias("n"))
-    empty = levels[0].where("false")
-    longer_ = [x for x in levels[1:]] or [empty]
-    totals = [x.groupBy("lang", F.col("prefix").alias("phrase")).agg(F.sum("n").alias("f"), F.max(F.when(F.col("next").isNotNull(), F.col("n"))).alias("extended"))
-              for x in longer_]
-    entries = [x.where("next is not null").select("lang", F.concat_ws(" ", "prefix", "next").alias("phrase"), F.col("n").alias("a")) for x in longer_]
-    totals_, entries_ = totals[0], entries[0]
-    for t, e in zip(totals[1:], entries[1:]):
-        totals_, entries_ = totals_.unionByName(t), entries_.unionByName(e)
-    totals_, found = scratch.keep(totals_), scratch.keep(entries_)
+    words = levels[0].groupBy("lang").agg(F.sum("f").alias("n"))
+    entries = levels[0]
+    for x in levels[1:]:
+        entries = entries.unionByName(x)
+    entries = entries.where("phrase is not null")
+    found = entries.where("prefix <> ''").select("lang", "phrase", F.col("f").alias("a"))
+    extended = entries.groupBy("lang", F.col("prefix").alias("phrase")).agg(F.max("f").alias("extended"))
+    totals_ = entries.select("lang", "phrase", "f")
 
     tail = F.expr("substring(phrase, instr(phrase, ' ') + 1)")
     before = found.groupBy("lang", tail.alias("phrase")).agg(F.max("a").alias("preceded"))
-    whole = found.join(totals_.select("lang", "phrase", "extended"), ["lang", "phrase"], "left").join(before, ["lang", "phrase"], "left")
+    whole = found.join(extended, ["lang", "phrase"], "left").join(before, ["lang", "phrase"], "left")
     free = whole.where((F.coalesce("extended", F.lit(0)) < F.col("a")) & (F.coalesce("preceded", F.lit(0)) < F.col("a"))).select("lang", "phrase", "a")
     parts = free.withColumn("words", F.split("phrase", " "))
     parts = parts.withColumn("cut", F.explode(F.sequence(F.lit(1), F.size("words") - 1)))
@@ -347,7 +379,6 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     score = F.expr("(cast(1000 as decimal(4,0)) * cast(a as decimal(18,0)) * cast(n as decimal(18,0))) div (cast(l as decimal(19,0)) * cast(r as decimal(19,0)))")
     least = F.min(F.struct(score.cast("long").alias("score"), "cut", "l", "r")).alias("x")
     scored = scratch.keep(parts.groupBy("lang", "phrase", "a", "n").agg(least).select("lang", "phrase", "a", "x.l", "x.r", "n", "x.score"))
-    scratch.drop(*levels, totals_, found)
     order = (F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
     # a language's list is ranked in parts first, so that no task sorts all of its phrases
     parts = scored.count() // RANKED_AT_ONCE + 1

@@ -40,7 +40,7 @@ def rows(rng):
 
 @pytest.mark.parametrize("chunk,bits,hot", [(10, 64, 3), (3_000_000, 1 << 20, 1000)])
 def test_against_brute_force(spark, rng, monkeypatch, chunk, bits, hot):
-    for name, value in (("MIN_COUNT", 4), ("CHUNK", chunk), ("FILTER_BITS", bits), ("HOT", hot), ("BLOCK", 40 if chunk == 10 else 4 << 20), ("RANKED_AT_ONCE", chunk)):
+    for name, value in (("MIN_COUNT", 4), ("CHUNK", chunk), ("FILTER_BITS", bits), ("HOT", hot), ("BLOCK", 40 if chunk == 10 else 4 << 20), ("RANKED_AT_ONCE", chunk), ("BUCKET", 50)):
         monkeypatch.setattr(co, name, value)
     data = rows(rng)
     frame = spark.createDataFrame([(t, x, "clash", 1) for t, x in data], "text string, lang string, phrase string, n int").repartition(3)
