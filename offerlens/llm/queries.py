@@ -7,6 +7,7 @@ from .collocations import op11_collocations
 from .embedding_dedup import op2_embedding_dedup
 from .hard_negatives import op13_hard_negatives
 from .mixing import op4_mixing
+from .ngram_lm import op12_lm_score
 from .quality import op5_quality
 from .sentencepiece_codec import op1_sentencepiece
 from .simhash import op9_simhash
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
     "op11_collocations": op11_collocations,
+    "op12_lm_score": op12_lm_score,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
