@@ -12,7 +12,7 @@ the context of its start only.  a and g are rounded down to powers of
 (and of one unknown word) still sum to at most 1.
 
 Texts are encoded once, in chunks with a dictionary of their own; (chunk, word) rows meet the word counts in an
-equi-join.  Each chunk sends its distinct triples to the shards of the model, dealt by their first word (and, for
+equi-join.  Each chunk sends its distinct triples (compressed) to the shards of the model, dealt by their first word (and, for
 words with a thousandth of all tokens, by the second word as well).  A shard's task merges what the training texts
 sent, builds the trie of its words (``elias_fano``) and writes it to the shared folder; scoring maps the file into memory and finds the
 triples by successor searches.  The answers go back to the chunks, which add up their documents' tokens.  The number
@@ -46,10 +46,31 @@ HOT = 1000
 END, START, PAD, UNKNOWN, FIRST_WORD = 0, 1, 2, 3, 4
 NONE = 0xFFFF
 
+#: Tokens that are looked up at once.
+AT_ONCE = 400_000
+
 ENCODED = ("chunk long, words array<string>, trained array<long>, codes binary, rid array<long>, doc_id array<long>, held_out array<boolean>, "
            "size array<int>, skip array<int>, ahead array<int>")
 
 
+def squeeze(x) -> bytes:
+    """Integers as bytes, all first bytes before all second ones, compressed."""
+    import numpy as np
+    import zstandard
+    width = 2 if x.dtype == np.uint16 else 4 if not len(x) or max(int(x.max()), -int(x.min())) < 2 ** 31 else 8
+    raw = x.astype(f"<i{width}" if width > 2 else "<u2").view(np.uint8).reshape(len(x), width).T
+    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(raw.tobytes())
+
+
+def stretch(raw: bytes):
+    """The integers of ``squeeze``."""
+    import numpy as np
+    import zstandard
+    width = raw[0]
+    x = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw[1:]), np.uint8).reshape(width, -1).T
+    return np.ascontiguousarray(x).view("<u2" if width == 2 else f"<i{width}").ravel()
+
+
 def encode(docs: DataFrame, doc_id: Column, text: Column, held_out: Column, chunk: int | None = None) -> DataFrame:
     """Chunks of texts: distinct words with their counts in training rows, the codes (places among the words; -1 is the
     end, -2 the start), and per piece of a document: row, id, role, number of codes, codes known before and after it."""
@@ -63,30 +84,36 @@ def encode(docs: DataFrame, doc_id: Column, text: Column, held_out: Column, chun
         part = TaskContext.get().partitionId() << 33
         n_rows = n_chunks = held = 0
         index: dict[bytes, int] = {}
+        open_: list[bytes] = []         # tokens whose codes are not known yet
         made: list = []
-        pieces: list[tuple] = []
+        pieces: list[tuple] = []        # row, id, held out, words, whether it begins and ends the text, words before
 
-        def coded(tokens: list[bytes]):
-            a = pa.array(tokens, pa.binary()).dictionary_encode()
+        def look_up() -> None:
+            a = pa.array(open_, pa.binary()).dictionary_encode()
             own = np.array([index.setdefault(w, len(index)) for w in a.dictionary.to_pylist()], np.int32)
-            return own[a.indices.to_numpy()] if len(tokens) else np.zeros(0, np.int32)
+            made.append(own[a.indices.to_numpy()] if len(own) else np.zeros(0, np.int32))
+            open_.clear()
 
         def close() -> pa.RecordBatch:
             nonlocal n_chunks, held
-            codes = np.concatenate(made) if made else np.zeros(0, np.int32)
-            rid, ids, kept, size, skip, ahead = zip(*pieces)
-            own = np.ones(len(codes), bool)
-            at = np.r_[0, np.cumsum(size)]
-            for i in range(len(size)):
-                own[at[i]:at[i] + skip[i]] = False
-                own[at[i + 1] - ahead[i]:at[i + 1]] = False
-            own &= ~np.repeat(np.array(kept), size) & (codes >= 0)
+            look_up()
+            rid, ids, kept, n, begins, ends, before = zip(*pieces)
+            begins, ends = np.array(begins), np.array(ends)
+            size = np.array(n) + begins + ends
+            skip, ahead = np.where(begins, 1, before), np.where(ends, 0, 1)
+            stop = np.cumsum(size)
+            codes = np.zeros(int(stop[-1]), np.int32)
+            word = np.ones(len(codes), bool)
+            word[(stop - size)[begins]] = word[(stop - 1)[ends]] = False
+            codes[word] = np.concatenate(made)
+            codes[(stop - size)[begins]], codes[(stop - 1)[ends]] = -2, -1
+            inside = np.arange(len(codes)) - np.repeat(stop - size, size)
+            own = word & (inside >= np.repeat(skip, size)) & (inside < np.repeat(size - ahead, size)) & ~np.repeat(np.array(kept), size)
             trained = np.bincount(codes[own], minlength=len(index))
+            lists = ((rid, pa.int64()), (ids, pa.int64()), (kept, pa.bool_()), (size, pa.int32()), (skip, pa.int32()), (ahead, pa.int32()))
             out = pa.RecordBatch.from_arrays(
                 [pa.array([part + n_chunks]), pa.array([[w.decode() for w in index]], pa.list_(pa.string())), pa.array([trained], pa.list_(pa.int64())),
-                 pa.array([codes.tobytes()], pa.binary()), pa.array([rid], pa.list_(pa.int64())), pa.array([ids], pa.list_(pa.int64())),
-                 pa.array([kept], pa.list_(pa.bool_())), pa.array([size], pa.list_(pa.int32())), pa.array([skip], pa.list_(pa.int32())),
-                 pa.array([ahead], pa.list_(pa.int32()))],
+                 pa.array([squeeze(codes)], pa.binary()), *(pa.array([x], pa.list_(kind)) for x, kind in lists)],
                 names=["chunk", "words", "trained", "codes", "rid", "doc_id", "held_out", "size", "skip", "ahead"])
             n_chunks, held = n_chunks + 1, 0
             index.clear()
@@ -100,22 +127,19 @@ def encode(docs: DataFrame, doc_id: Column, text: Column, held_out: Column, chun
                 n_rows += 1
                 before: list[bytes] = []
                 tokens: list[bytes] = []
-                first = True
+                begins = True
                 for block in blocks(text_.as_py()):
                     tokens += block.split()
                     while len(tokens) > chunk:                  # a piece that goes on
-                        own, tokens = tokens[:chunk], tokens[chunk:]
-                        codes = coded(before + own + tokens[:1])
-                        head = [np.array([-2], np.int32)] if first else []
-                        made.extend([*head, codes])
-                        pieces.append((row, doc, out, len(codes) + len(head), len(before) or 1, 1))
-                        before, first = own[-2:], False
+                        open_.extend(before + tokens[:chunk + 1])
+                        pieces.append((row, doc, out, len(before) + chunk + 1, begins, False, len(before)))
+                        before, tokens, begins = tokens[chunk - 2:chunk], tokens[chunk:], False
                         yield close()
-                codes = coded(before + tokens)
-                head = [np.array([-2], np.int32)] if first else []
-                made.extend([*head, codes, np.array([-1], np.int32)])
-                pieces.append((row, doc, out, len(codes) + len(head) + 1, len(before) or 1, 0))
-                held += pieces[-1][3]
+                open_.extend(before + tokens)
+                pieces.append((row, doc, out, len(before) + len(tokens), begins, True, len(before)))
+                held += len(tokens) + 1
+                if len(open_) > AT_ONCE:
+                    look_up()
                 if held > chunk:
                     yield close()
         if pieces:
@@ -155,7 +179,7 @@ class Chunk:
 
     def __init__(self, row: dict, n_train: int):
         import numpy as np
-        codes = np.frombuffer(row["codes"], np.int32)
+        codes = stretch(row["codes"])
         ids, c = np.full(row["n_words"] + 2, UNKNOWN, np.int64), np.zeros(row["n_words"] + 2, np.int64)
         if row["at"] is not None:
             at = np.asarray(row["at"], np.int64)
@@ -274,21 +298,12 @@ def _blocks(chunks: DataFrame, shards: int, hot: tuple, n_train: int, training:
                 first, _, n = distinct(shard, u, v, w)
                 shard, u, v, w = shard[first], u[first], v[first], w[first]
                 cuts = np.r_[np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]), len(shard)] if len(shard) else np.zeros(1, np.int64)
-                lists = pa.array(cuts.astype(np.int32))
-                kind = np.int32 if max((int(x.max(initial=0)) for x in (u, v, w))) < 2 ** 31 else np.int64
-                raw = [pa.array([x[s:e].astype(kind).tobytes() for s, e in zip(cuts[:-1], cuts[1:])], pa.binary()) for x in (u, v, w)]
-                counts = pa.array([n[s:e].astype(np.int32).tobytes() for s, e in zip(cuts[:-1], cuts[1:])], pa.binary())
-                if len(lists) > 1:
-                    yield pa.RecordBatch.from_arrays([pa.array(shard[cuts[:-1]]), pa.array(np.full(len(cuts) - 1, row["chunk"])), pa.array(np.diff(cuts)), *raw, counts],
-                                                     names=["shard", "chunk", "size", "u", "v", "w", "n"])
+                raw = [pa.array([squeeze(x[s:e]) for s, e in zip(cuts[:-1], cuts[1:])], pa.binary()) for x in (u, v, w, n)]
+                yield pa.RecordBatch.from_arrays([pa.array(shard[cuts[:-1]]), pa.array(np.full(len(cuts) - 1, row["chunk"])), *raw],
+                                                 names=["shard", "chunk", "u", "v", "w", "n"])
 
     return chunks.select("chunk", "codes", "held_out", "size", "skip", "ahead", "n_words", "at", "id", "c") \
-        .mapInArrow(run, "shard long, chunk long, size long, u binary, v binary, w binary, n binary")
-
-
-def _numbers(raw: bytes, size: int):
-    import numpy as np
-    return np.frombuffer(raw, np.int32 if len(raw) == 4 * size else np.int64).astype(np.int64)
+        .mapInArrow(run, "shard long, chunk long, u binary, v binary, w binary, n binary")
 
 
 def fit(chunks: DataFrame, words: DataFrame, n_train: int, discount: float = DISCOUNT, shard: int | None = None) -> Model:
@@ -309,8 +324,7 @@ def fit(chunks: DataFrame, words: DataFrame, n_train: int, discount: float = DIS
     def build(key: tuple, t: pa.Table) -> pa.Table:
         from pyarrow import fs
         no = key[0].as_py()
-        size = t.column("size").to_pylist()
-        u, v, w, n = (np.concatenate([_numbers(x, s) for x, s in zip(t.column(k).to_pylist(), size)]) for k in ("u", "v", "w", "n"))
+        u, v, w, n = (np.concatenate([stretch(x) for x in t.column(k).to_pylist()]).astype(np.int64) for k in ("u", "v", "w", "n"))
         order = np.lexsort((w, v, u))
         u, v, w, n = (x[order] for x in (u, v, w, n))
         new = np.r_[True, (u[1:] != u[:-1]) | (v[1:] != v[:-1]) | (w[1:] != w[:-1])]
@@ -353,20 +367,20 @@ def score(chunks: DataFrame, model: Model) -> DataFrame:
     def answer(key: tuple, t: pa.Table) -> pa.Table:
         trie = open_trie(model.folder, key[0].as_py())
         out = []
-        for size, *raw in zip(*(t.column(k).to_pylist() for k in ("size", "u", "v", "w"))):
-            codes = np.full((4, size), NONE, np.uint16)
+        for raw in zip(*(t.column(k).to_pylist() for k in ("u", "v", "w"))):
+            u, v, w = (stretch(x).astype(np.int64) for x in raw)
+            codes = np.full((4, len(u)), NONE, np.uint16)
             if trie is not None:
-                u, v, w = (_numbers(x, size) for x in raw)
                 word, pair, triple = trie.find(u, v, w)
                 for row, name, at in ((0, "g2", word), (1, "a2", pair), (2, "g3", pair), (3, "a3", triple)):
                     codes[row, at >= 0] = trie.codes[name][at[at >= 0]]
                 for x, g in model.hot_g2.items() if len(model.hot_g2) else ():
                     codes[0, u == x] = g
-            out.append(codes.tobytes())
-        return pa.table({"chunk": t.column("chunk"), "shard": t.column("shard"), "size": t.column("size"), "codes": pa.array(out, pa.binary())})
+            out.append(squeeze(codes.ravel()))
+        return pa.table({"chunk": t.column("chunk"), "shard": t.column("shard"), "codes": pa.array(out, pa.binary())})
 
     asked = _blocks(chunks, model.shards, model.hot, model.texts, False).drop("n")
-    answers = asked.groupBy("shard").applyInArrow(answer, "chunk long, shard long, size long, codes binary")
+    answers = asked.groupBy("shard").applyInArrow(answer, "chunk long, shard long, codes binary")
 
     def add_up(own: pa.Table, got: pa.Table) -> pa.Table:
         row = row_of(own.combine_chunks().to_batches()[0], 0)
@@ -374,8 +388,8 @@ def score(chunks: DataFrame, model: Model) -> DataFrame:
         shard = shard_of(c.u, c.v, model.hot, model.shards)
         first, inverse, _ = distinct(shard, c.u, c.v, c.w)
         order = np.argsort(got.column("shard").to_numpy())
-        sizes, raw = got.column("size").to_pylist(), got.column("codes").to_pylist()
-        codes = np.concatenate([np.frombuffer(raw[i], np.uint16).reshape(4, sizes[i]) for i in order] or [np.zeros((4, 0), np.uint16)], axis=1)
+        raw = got.column("codes").to_pylist()
+        codes = np.concatenate([stretch(raw[i]).reshape(4, -1) for i in order] or [np.zeros((4, 0), np.uint16)], axis=1)
         each = np.full((4, len(c.x) + 2), NONE, np.uint16)              # two places ahead: nothing is known before a piece
         each[:, c.at + 2] = codes[:, inverse]
         n = len(c.x)
@@ -403,9 +417,11 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     pieces = raw.select(F.explode(F.arrays_zip("ahead", "held_out")).alias("e"))
     n_train = pieces.where("e.ahead = 0 and not e.held_out").count()
     words = word_table(raw, scratch)
+    scratch.drop()
     chunks = scratch.keep(with_ids(raw, words))
     scratch.drop(raw)
     model = fit(chunks, words, n_train, discount)
+    scratch.drop()
     scored = scratch.keep(score(chunks, model))
     scratch.drop(chunks)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
