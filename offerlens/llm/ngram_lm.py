@@ -11,8 +11,8 @@ the context of its start only.  a and g are rounded down to powers of
 2^(1 / ``STEPS``), kept as 16-bit codes, so that the probabilities of all words
 (and of one unknown word) still sum to at most 1.
 
-Texts are encoded once, in chunks with a dictionary of their own; (chunk, word) rows meet the word counts in an
-equi-join.  Each chunk sends its distinct triples (compressed) to the shards of the model, dealt by their first word (and, for
+Texts are encoded once, in chunks with a dictionary of their own.  Chunks send their words to buckets, which add up
+their counts and answer with ids and counts.  Each chunk sends its distinct triples (compressed) to the shards of the model, dealt by their first word (and, for
 words with a thousandth of all tokens, by the second word as well).  A shard's task merges what the training texts
 sent, builds the trie of its words (``elias_fano``) and writes it to the shared folder; scoring maps the file into memory and finds the
 triples by successor searches.  The answers go back to the chunks, which add up their documents' tokens.  The number
@@ -32,7 +32,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..session import scratch_path
 from .collocations import blocks
@@ -42,6 +41,8 @@ DISCOUNT = 0.75
 STEPS = 128
 #: Words of a chunk, and tokens of the corpus for each shard of the model.
 CHUNK, SHARD = 1_000_000, 2_000_000
+#: Words of the corpus for each bucket of the word counts.
+BUCKET = 4_000_000
 HOT = 1000
 END, START, PAD, UNKNOWN, FIRST_WORD = 0, 1, 2, 3, 4
 NONE = 0xFFFF
@@ -49,7 +50,7 @@ NONE = 0xFFFF
 #: Tokens that are looked up at once.
 AT_ONCE = 400_000
 
-ENCODED = ("chunk long, words array<string>, trained array<long>, codes binary, rid array<long>, doc_id array<long>, held_out array<boolean>, "
+ENCODED = ("chunk long, words binary, trained binary, tokens long, codes binary, rid array<long>, doc_id array<long>, held_out array<boolean>, "
            "size array<int>, skip array<int>, ahead array<int>")
 
 
@@ -71,8 +72,24 @@ def stretch(raw: bytes):
     return np.ascontiguousarray(x).view("<u2" if width == 2 else f"<i{width}").ravel()
 
 
+def squeeze_words(words: list[bytes]) -> bytes:
+    import zstandard
+    return zstandard.ZstdCompressor(level=1).compress(b"\n".join(words))
+
+
+def stretch_words(raw: bytes) -> list[bytes]:
+    import zstandard
+    return zstandard.ZstdDecompressor().decompress(raw).split()
+
+
+def word_hashes(words: list[bytes]):
+    import numpy as np
+    import xxhash
+    return np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+
+
 def encode(docs: DataFrame, doc_id: Column, text: Column, held_out: Column, chunk: int | None = None) -> DataFrame:
-    """Chunks of texts: distinct words with their counts in training rows, the codes (places among the words; -1 is the
+    """Chunks of texts: distinct words in the order of their hashes, their counts in training rows, the codes (places among the words; -1 is the
     end, -2 the start), and per piece of a document: row, id, role, number of codes, codes known before and after it."""
     import pyarrow as pa
     chunk = max(2, chunk or CHUNK)      # two words of a piece are the next one's context
@@ -105,16 +122,20 @@ def encode(docs: DataFrame, doc_id: Column, text: Column, held_out: Column, chun
             codes = np.zeros(int(stop[-1]), np.int32)
             word = np.ones(len(codes), bool)
             word[(stop - size)[begins]] = word[(stop - 1)[ends]] = False
-            codes[word] = np.concatenate(made)
+            words = list(index)
+            order = np.argsort(word_hashes(words), kind="stable")
+            place = np.empty(len(words), np.int32)
+            place[order] = np.arange(len(words))
+            codes[word] = place[np.concatenate(made)]
             codes[(stop - size)[begins]], codes[(stop - 1)[ends]] = -2, -1
             inside = np.arange(len(codes)) - np.repeat(stop - size, size)
             own = word & (inside >= np.repeat(skip, size)) & (inside < np.repeat(size - ahead, size)) & ~np.repeat(np.array(kept), size)
             trained = np.bincount(codes[own], minlength=len(index))
             lists = ((rid, pa.int64()), (ids, pa.int64()), (kept, pa.bool_()), (size, pa.int32()), (skip, pa.int32()), (ahead, pa.int32()))
             out = pa.RecordBatch.from_arrays(
-                [pa.array([part + n_chunks]), pa.array([[w.decode() for w in index]], pa.list_(pa.string())), pa.array([trained], pa.list_(pa.int64())),
-                 pa.array([squeeze(codes)], pa.binary()), *(pa.array([x], pa.list_(kind)) for x, kind in lists)],
-                names=["chunk", "words", "trained", "codes", "rid", "doc_id", "held_out", "size", "skip", "ahead"])
+                [pa.array([part + n_chunks]), pa.array([squeeze_words([words[i] for i in order])], pa.binary()), pa.array([squeeze(trained)], pa.binary()),
+                 pa.array([int(trained.sum())]), pa.array([squeeze(codes)], pa.binary()), *(pa.array([x], pa.list_(kind)) for x, kind in lists)],
+                names=["chunk", "words", "trained", "tokens", "codes", "rid", "doc_id", "held_out", "size", "skip", "ahead"])
             n_chunks, held = n_chunks + 1, 0
             index.clear()
             made.clear()
@@ -148,21 +169,65 @@ def encode(docs: DataFrame, doc_id: Column, text: Column, held_out: Column, chun
     return rows.mapInArrow(run, ENCODED)
 
 
-def word_table(chunks: DataFrame, scratch: Scratch) -> DataFrame:
-    """(word, id, c): the training words, ids dense and small for frequent words."""
-    counts = chunks.select(F.explode(F.arrays_zip("words", "trained")).alias("e")).groupBy(F.col("e.words").alias("word")).agg(F.sum("e.trained").alias("c"))
-    ordered = counts.where("c > 0").orderBy(F.col("c").desc(), "word")
-    local = scratch.keep(ordered.select("word", "c", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("no")))
-    parts = local.groupBy("part").agg(F.count("*").alias("n"))
-    base = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return local.join(parts.select("part", base.alias("base")), "part").select("word", (F.col("no") + F.col("base") + FIRST_WORD).alias("id"), "c")
+def count_words(chunks: DataFrame, tokens: int) -> DataFrame:
+    """What the buckets of words answer each chunk: ids (small for frequent words) and counts of its words, bucket by
+    bucket in the order of the chunk's words.  A row without a chunk has a bucket's number of training words and the
+    ids and counts of those with a share of 1 / ``HOT`` of all tokens."""
+    import pyarrow as pa
+    bits = max(0, (tokens // BUCKET).bit_length())
 
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+        for b in batches:
+            for i in range(b.num_rows):
+                words, trained = stretch_words(b.column("words")[i].as_py()), stretch(b.column("trained")[i].as_py())
+                bucket = (word_hashes(words) >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(words), np.int64)
+                cuts = np.r_[np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]), len(words)] if words else np.zeros(1, np.int64)
+                ends = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bucket[cuts[:-1]]), pa.array([b.column("chunk")[i].as_py()] * len(ends), pa.int64()),
+                     pa.array([squeeze_words(words[s:e]) for s, e in ends], pa.binary()), pa.array([squeeze(trained[s:e]) for s, e in ends], pa.binary())],
+                    names=["bucket", "chunk", "words", "trained"])
+
+    def answer(key: tuple, t: pa.Table) -> pa.Table:
+        import numpy as np
+        no = key[0].as_py()
+        parts = [stretch_words(x) for x in t.column("words").to_pylist()]
+        a = pa.array([w for p in parts for w in p], pa.binary()).dictionary_encode()
+        at = a.indices.to_numpy()
+        c = np.bincount(at, np.concatenate([stretch(x) for x in t.column("trained").to_pylist()]), len(a.dictionary)).astype(np.int64)
+        order = sorted(range(len(c)), key=lambda i: (-c[i], a.dictionary[i].as_py()))
+        rank = np.empty(len(c), np.int64)
+        rank[order] = np.arange(len(c))
+        ids = np.where(c > 0, FIRST_WORD + (rank << bits) + no, UNKNOWN)
+        cuts = np.cumsum([0, *map(len, parts)])
+        often = c * HOT >= max(tokens, 1)
+        pieces = [at[s:e] for s, e in zip(cuts[:-1], cuts[1:])]
+        return pa.table({"chunk": pa.array([*t.column("chunk").to_pylist(), None], pa.int64()), "bucket": pa.array([no] * (len(parts) + 1), pa.int64()),
+                         "ids": pa.array([*(squeeze(ids[p]) for p in pieces), squeeze(ids[often])], pa.binary()),
+                         "c": pa.array([*(squeeze(c[p]) for p in pieces), squeeze(c[often])], pa.binary()),
+                         "words": pa.array([None] * len(parts) + [int((c > 0).sum())], pa.int64())})
+
+    sent = chunks.select("chunk", "words", "trained").mapInArrow(send, "bucket long, chunk long, words binary, trained binary")
+    return sent.groupBy("bucket").applyInArrow(answer, "chunk long, bucket long, ids binary, c binary, words long")
+
+
+def with_ids(chunks: DataFrame, answers: DataFrame) -> DataFrame:
+    """``chunks`` with the ids and counts of their words in place of the words."""
+    import pyarrow as pa
 
-def with_ids(chunks: DataFrame, words: DataFrame) -> DataFrame:
-    """``chunks`` with known (places, ids and counts of their words that training has) in place of the words."""
-    asked = chunks.select("chunk", F.posexplode("words").alias("at", "word"))
-    known = asked.join(words, "word").groupBy("chunk").agg(F.collect_list("at").alias("at"), F.collect_list("id").alias("id"), F.collect_list("c").alias("c"))
-    return chunks.withColumn("n_words", F.size("words")).drop("words", "trained").join(known, "chunk", "left")
+    def join(own: pa.Table, got: pa.Table) -> pa.Table:
+        import numpy as np
+        order = np.argsort(got.column("bucket").to_numpy())
+        for name in ("ids", "c"):
+            raw = got.column(name).to_pylist()
+            x = np.concatenate([stretch(raw[i]) for i in order] or [np.zeros(0, np.int64)])
+            own = own.append_column(pa.field(name, pa.binary()), pa.array([squeeze(x)], pa.binary()))
+        return own
+
+    own = chunks.drop("words", "trained", "tokens")
+    schema = own.withColumns({"ids": F.lit(b""), "c": F.lit(b"")}).schema
+    return own.groupBy("chunk").cogroup(answers.where("chunk is not null").select("chunk", "bucket", "ids", "c").groupBy("chunk")).applyInArrow(join, schema)
 
 
 def row_of(batch, i: int) -> dict:
@@ -180,10 +245,7 @@ class Chunk:
     def __init__(self, row: dict, n_train: int):
         import numpy as np
         codes = stretch(row["codes"])
-        ids, c = np.full(row["n_words"] + 2, UNKNOWN, np.int64), np.zeros(row["n_words"] + 2, np.int64)
-        if row["at"] is not None:
-            at = np.asarray(row["at"], np.int64)
-            ids[at], c[at] = row["id"], row["c"]
+        ids, c = (np.r_[stretch(row[k]), 0, 0].astype(np.int64) for k in ("ids", "c"))
         ids[-1], ids[-2], c[-1] = END, START, n_train
         self.x, self.c = ids[codes], c[codes]
         size, skip, ahead = (np.asarray(row[k], np.int64) for k in ("size", "skip", "ahead"))
@@ -302,20 +364,22 @@ def _blocks(chunks: DataFrame, shards: int, hot: tuple, n_train: int, training:
                 yield pa.RecordBatch.from_arrays([pa.array(shard[cuts[:-1]]), pa.array(np.full(len(cuts) - 1, row["chunk"])), *raw],
                                                  names=["shard", "chunk", "u", "v", "w", "n"])
 
-    return chunks.select("chunk", "codes", "held_out", "size", "skip", "ahead", "n_words", "at", "id", "c") \
+    return chunks.select("chunk", "codes", "held_out", "size", "skip", "ahead", "ids", "c") \
         .mapInArrow(run, "shard long, chunk long, u binary, v binary, w binary, n binary")
 
 
-def fit(chunks: DataFrame, words: DataFrame, n_train: int, discount: float = DISCOUNT, shard: int | None = None) -> Model:
+def fit(chunks: DataFrame, answers: DataFrame, tokens: int, n_train: int, discount: float = DISCOUNT) -> Model:
     """Build and write the tries of the training rows of ``chunks`` (of ``with_ids``)."""
     import numpy as np
     import pyarrow as pa
     spark = chunks.sparkSession
     folder = scratch_path(spark, "ngram-lm")
-    n_words, of_words = words.agg(F.count("*"), F.sum("c")).first()
-    tokens = (of_words or 0) + n_train
-    shards = tokens // (shard or SHARD) + 1
-    totals = {r["id"]: r["c"] for r in words.where(F.col("c") * HOT >= tokens).collect()} if tokens else {}     # at most HOT rows
+    n_words = answers.agg(F.sum("words")).first()[0] or 0
+    shards = tokens // SHARD + 1
+    totals: dict[int, int] = {}         # of at most HOT words
+    often = F.length("ids") > len(squeeze(np.zeros(0, np.int64)))
+    for r in answers.where(F.col("chunk").isNull() & often).select("ids", "c").collect():
+        totals |= dict(zip(stretch(r["ids"]).tolist(), stretch(r["c"]).tolist()))
     if n_train * HOT >= tokens and n_train:
         totals[START] = n_train
     ids = sorted(totals)
@@ -416,12 +480,13 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     raw = scratch.keep(encode(docs, F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), held_out))
     pieces = raw.select(F.explode(F.arrays_zip("ahead", "held_out")).alias("e"))
     n_train = pieces.where("e.ahead = 0 and not e.held_out").count()
-    words = word_table(raw, scratch)
+    tokens = (raw.agg(F.sum("tokens")).first()[0] or 0) + n_train
+    answers = scratch.keep(count_words(raw, tokens))
     scratch.drop()
-    chunks = scratch.keep(with_ids(raw, words))
+    chunks = scratch.keep(with_ids(raw, answers))
     scratch.drop(raw)
-    model = fit(chunks, words, n_train, discount)
-    scratch.drop()
+    model = fit(chunks, answers, tokens, n_train, discount)
+    scratch.drop(answers)
     scored = scratch.keep(score(chunks, model))
     scratch.drop(chunks)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -82,7 +82,7 @@ def scored(frame):
 
 @pytest.mark.parametrize("chunk,shard,hot", [(1_000_000, 2_000_000, 1000), (4, 40, 8), (2, 100, 1000)])
 def test_against_plain_model(spark, rng, monkeypatch, chunk, shard, hot):
-    for name, value in (("CHUNK", chunk), ("SHARD", shard), ("HOT", hot)):
+    for name, value in (("CHUNK", chunk), ("SHARD", shard), ("HOT", hot), ("BUCKET", shard)):
         monkeypatch.setattr(lm, name, value)
     words = ["the", "The", "a", "b", "é", "漢字", "x\x00", "\x1c", "c.", "d"]
     rows = [(i, " ".join(rng.choice(words[:3] * 3 + words) for _ in range(rng.randint(0, 30)))) for i in range(50)]
