@@ -41,10 +41,12 @@ TOP = 2000
 #: Characters that end a piece; words are runs of anything but space and tab.
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 #: Bytes of text split at once, and words whose stripes are merged before they leave a task.
-BLOCK, CHUNK = 4 << 20, 2_000_000
+BLOCK, CHUNK = 4 << 20, 1_000_000
 #: Words of the corpus for each bucket of prefixes.
 BUCKET = 1_000_000
 FILTER_BITS, PROBES = 1 << 29, 4
+#: Blocks of stripes that are made at once.
+BLOCKS_AT_ONCE = 16
 HOT = 1000
 MIX = 0x9E3779B97F4A7C15
 #: Candidates that one task ranks before the languages' lists are merged.
@@ -195,17 +197,19 @@ class Stripes:
         order = np.argsort(bucket, kind="stable")
         bucket, next_, example, count = (x[order] for x in (bucket, next_, example, count))
         start = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-        lists = pa.array(np.r_[start, len(bucket)].astype(np.int32))
+        stop = np.r_[start[1:], len(bucket)]
         words = pa.array([x[1] for x in self.names], pa.binary()).cast(pa.string())
-        parts = [words.take(pa.array(c[example + j])) for j in range(k)]
-        text = pc.binary_join_element_wise(*parts, " ") if k > 1 else parts[0] if k else pa.array([""] * len(example))
-        columns = [pa.array(lang_of[c[example]].tolist(), pa.string()), text, words.take(pa.array(next_)), pa.array(count.astype(np.int64))]
-        out = pa.RecordBatch.from_arrays([pa.array(bucket[start]), *(pa.ListArray.from_arrays(lists, x) for x in columns)],
-                                         names=["bucket", "lang", "prefix", "next", "n"])
+        for i in range(0, len(start), BLOCKS_AT_ONCE):
+            some = slice(start[i], stop[i:i + BLOCKS_AT_ONCE][-1])
+            lists = pa.array(np.r_[start[i:i + BLOCKS_AT_ONCE], some.stop].astype(np.int32) - np.int32(some.start))
+            parts = [words.take(pa.array(c[example[some] + j])) for j in range(k)]
+            text = pc.binary_join_element_wise(*parts, " ") if k > 1 else parts[0] if k else pa.array([""] * len(example[some]))
+            columns = [pa.array(lang_of[c[example[some]]].tolist(), pa.string()), text, words.take(pa.array(next_[some])), pa.array(count[some].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[start[i:i + BLOCKS_AT_ONCE]]), *(pa.ListArray.from_arrays(lists, x) for x in columns)],
+                                             names=["bucket", "lang", "prefix", "next", "n"])
         if not last:
             self.clear()
-        for s in range(0, out.num_rows, 64):
-            yield out.slice(s, 64)
+        pa.default_memory_pool().release_unused()
 
 
 def slices(batches) -> Iterator[tuple[list, list, list, bool]]:

@@ -58,6 +58,10 @@ def in_word(words: np.ndarray, k: np.ndarray) -> np.ndarray:
     return out
 
 
+#: Words of the upper bits whose ones are counted together.
+COUNTED = 8
+
+
 class EliasFano:
     """Numbers that do not fall: ``arrays`` holds all of it."""
 
@@ -71,27 +75,40 @@ class EliasFano:
         top = int(values[-1]) + 1 if n else 1
         width = max(0, (top // max(n, 1)).bit_length() - 1)
         place = (values >> width) + np.arange(n)
-        bits = np.zeros(-(-(int(place[-1]) + 2 if n else 1) // 64) * 64, np.uint8)
+        bits = np.zeros(-(-(int(place[-1]) + 2 if n else 1) // (64 * COUNTED)) * 64 * COUNTED, np.uint8)
         bits[place] = 1
         high = np.packbits(bits, bitorder="little").view(np.uint64)
-        ones = np.r_[0, np.cumsum(np.bitwise_count(high), dtype=np.int64)]
+        ones = np.r_[0, np.cumsum(np.bitwise_count(high), dtype=np.int64)][::COUNTED].astype(np.uint32)
         return cls({"low": pack(values, width), "high": high, "ones": ones}, n, width)
 
+    def _place(self, k: np.ndarray, ones: bool) -> np.ndarray:
+        """Place of the k-th one or zero among the upper bits."""
+        before = self.ones.astype(np.int64)
+        if not ones:
+            before = np.arange(len(before), dtype=np.int64) * 64 * COUNTED - before
+        word = np.searchsorted(before, k, side="right") - 1
+        left = k - before[word]
+        word, out, open_ = word * COUNTED, np.empty(len(k), np.int64), np.arange(len(k))
+        for _ in range(COUNTED):
+            bits = self.high[word] if ones else ~self.high[word]
+            count = np.bitwise_count(bits).astype(np.int64)
+            here = left < count
+            out[open_[here]] = word[here] * 64 + in_word(bits[here], left[here])
+            open_, word, left = open_[~here], word[~here] + 1, (left - count)[~here]
+            if not len(open_):
+                break
+        return out
+
     def at(self, i: np.ndarray) -> np.ndarray:
         """Values at positions."""
-        word = np.searchsorted(self.ones, i, side="right") - 1
-        place = word * 64 + in_word(self.high[word], i - self.ones[word])
-        return (place - i) << self.width | unpack(self.low, self.width, i)
+        return (self._place(i, True) - i) << self.width | unpack(self.low, self.width, i)
 
     def _below(self, high: np.ndarray) -> np.ndarray:
-        """How many values have upper bits below ``high``."""
-        zeros = np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones
-        k = high - 1                                    # the k-th zero closes the upper bits k
-        known = (high > 0) & (k < zeros[-1])
+        """How many values have upper bits below ``high``: the zero before them closes the upper bits ``high - 1``."""
+        zeros = 64 * len(self.high) - int(self.ones[-1])
+        known = (high > 0) & (high <= zeros)
         out = np.where(high > 0, self.n, 0)
-        k = k[known]
-        word = np.searchsorted(zeros, k, side="right") - 1
-        out[known] = word * 64 + in_word(~self.high[word], k - zeros[word]) - k
+        out[known] = self._place(high[known] - 1, False) - high[known] + 1
         return out
 
     def successor(self, x: np.ndarray) -> np.ndarray:
@@ -139,10 +156,11 @@ class Siblings:
 
 
 class Trie:
-    """Words, pairs and triples with codes: ``g2`` of words as contexts, ``a2`` and ``g3`` of pairs (as events and as
-    contexts), ``a3`` of triples."""
+    """Words, pairs and triples with codes of ``WIDTH`` bits: ``g2`` of words as contexts, ``a2`` and ``g3`` of pairs (as
+    events and as contexts), ``a3`` of triples."""
 
     CODES = ("g2", "a2", "g3", "a3")
+    WIDTH = 12
 
     def __init__(self, words: EliasFano, pairs: Siblings, triples: Siblings, codes: dict):
         self.words, self.pairs, self.triples, self.codes = words, pairs, triples, codes
@@ -157,6 +175,9 @@ class Trie:
         pair = self.pairs.find(word, v)
         return word, pair, self.triples.find(pair, w)
 
+    def code(self, name: str, at: np.ndarray) -> np.ndarray:
+        return unpack(self.codes[name], self.WIDTH, at)
+
     def dump(self) -> bytes:
         """One file: a header that names the arrays, then the arrays at places divisible by 64."""
         arrays, meta = {}, {}

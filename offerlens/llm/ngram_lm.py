@@ -8,7 +8,7 @@ A trigram model with interpolated absolute discounting (``DISCOUNT`` d):
 
 A context that training never saw leaves a = 0, g = 1; a text's first word has
 the context of its start only.  a and g are rounded down to powers of
-2^(1 / ``STEPS``), kept as 16-bit codes, so that the probabilities of all words
+2^(1 / ``STEPS``), kept as 12-bit codes, so that the probabilities of all words
 (and of one unknown word) still sum to at most 1.
 
 Texts are encoded once, in chunks with a dictionary of their own.  Chunks send their words to buckets, which add up
@@ -38,19 +38,19 @@ from .collocations import blocks
 from .common import Scratch, null_free, table
 
 DISCOUNT = 0.75
-STEPS = 128
+STEPS = 64
 #: Words of a chunk, and tokens of the corpus for each shard of the model.
 CHUNK, SHARD = 1_000_000, 2_000_000
 #: Words of the corpus for each bucket of the word counts.
 BUCKET = 4_000_000
 HOT = 1000
 END, START, PAD, UNKNOWN, FIRST_WORD = 0, 1, 2, 3, 4
-NONE = 0xFFFF
+NONE = 4095
 
 #: Tokens that are looked up at once.
 AT_ONCE = 400_000
 
-ENCODED = ("chunk long, words binary, trained binary, tokens long, codes binary, rid array<long>, doc_id array<long>, held_out array<boolean>, "
+ENCODED = ("chunk long, words binary, trained binary, tokens long, rank binary, codes binary, rid array<long>, doc_id array<long>, held_out array<boolean>, "
            "size array<int>, skip array<int>, ahead array<int>")
 
 
@@ -89,7 +89,7 @@ def word_hashes(words: list[bytes]):
 
 
 def encode(docs: DataFrame, doc_id: Column, text: Column, held_out: Column, chunk: int | None = None) -> DataFrame:
-    """Chunks of texts: distinct words in the order of their hashes, their counts in training rows, the codes (places among the words; -1 is the
+    """Chunks of texts: distinct words in the order of their hashes, their counts in training rows, their ranks by frequency, the codes (ranks; -1 is the
     end, -2 the start), and per piece of a document: row, id, role, number of codes, codes known before and after it."""
     import pyarrow as pa
     chunk = max(2, chunk or CHUNK)      # two words of a piece are the next one's context
@@ -124,18 +124,19 @@ def encode(docs: DataFrame, doc_id: Column, text: Column, held_out: Column, chun
             word[(stop - size)[begins]] = word[(stop - 1)[ends]] = False
             words = list(index)
             order = np.argsort(word_hashes(words), kind="stable")
-            place = np.empty(len(words), np.int32)
-            place[order] = np.arange(len(words))
-            codes[word] = place[np.concatenate(made)]
+            seen = np.concatenate(made)
+            rank = np.empty(len(words), np.int32)
+            rank[np.argsort(-np.bincount(seen, minlength=len(words)), kind="stable")] = np.arange(len(words))
+            codes[word] = rank[seen]
             codes[(stop - size)[begins]], codes[(stop - 1)[ends]] = -2, -1
             inside = np.arange(len(codes)) - np.repeat(stop - size, size)
             own = word & (inside >= np.repeat(skip, size)) & (inside < np.repeat(size - ahead, size)) & ~np.repeat(np.array(kept), size)
             trained = np.bincount(codes[own], minlength=len(index))
             lists = ((rid, pa.int64()), (ids, pa.int64()), (kept, pa.bool_()), (size, pa.int32()), (skip, pa.int32()), (ahead, pa.int32()))
             out = pa.RecordBatch.from_arrays(
-                [pa.array([part + n_chunks]), pa.array([squeeze_words([words[i] for i in order])], pa.binary()), pa.array([squeeze(trained)], pa.binary()),
-                 pa.array([int(trained.sum())]), pa.array([squeeze(codes)], pa.binary()), *(pa.array([x], pa.list_(kind)) for x, kind in lists)],
-                names=["chunk", "words", "trained", "tokens", "codes", "rid", "doc_id", "held_out", "size", "skip", "ahead"])
+                [pa.array([part + n_chunks]), pa.array([squeeze_words([words[i] for i in order])], pa.binary()), pa.array([squeeze(trained[rank[order]])], pa.binary()),
+                 pa.array([int(trained.sum())]), pa.array([squeeze(rank[order])], pa.binary()), pa.array([squeeze(codes)], pa.binary()), *(pa.array([x], pa.list_(kind)) for x, kind in lists)],
+                names=["chunk", "words", "trained", "tokens", "rank", "codes", "rid", "doc_id", "held_out", "size", "skip", "ahead"])
             n_chunks, held = n_chunks + 1, 0
             index.clear()
             made.clear()
@@ -215,19 +216,24 @@ def count_words(chunks: DataFrame, tokens: int) -> DataFrame:
 def with_ids(chunks: DataFrame, answers: DataFrame) -> DataFrame:
     """``chunks`` with the ids and counts of their words in place of the words."""
     import pyarrow as pa
+    import pyarrow.compute as pc
 
-    def join(own: pa.Table, got: pa.Table) -> pa.Table:
+    def join(t: pa.Table) -> pa.Table:
         import numpy as np
-        order = np.argsort(got.column("bucket").to_numpy())
+        mine = pc.is_null(t.column("bucket"))
+        got, own = t.filter(pc.invert(mine)), t.filter(mine).drop_columns(["ids", "c", "bucket"])
+        order, rank = np.argsort(got.column("bucket").to_numpy()), stretch(own.column("rank")[0].as_py())
         for name in ("ids", "c"):
             raw = got.column(name).to_pylist()
-            x = np.concatenate([stretch(raw[i]) for i in order] or [np.zeros(0, np.int64)])
+            x = np.zeros(len(rank), np.int64)
+            x[rank] = np.concatenate([stretch(raw[i]) for i in order] or [x])
             own = own.append_column(pa.field(name, pa.binary()), pa.array([squeeze(x)], pa.binary()))
-        return own
+        return own.drop_columns(["rank"])
 
     own = chunks.drop("words", "trained", "tokens")
-    schema = own.withColumns({"ids": F.lit(b""), "c": F.lit(b"")}).schema
-    return own.groupBy("chunk").cogroup(answers.where("chunk is not null").select("chunk", "bucket", "ids", "c").groupBy("chunk")).applyInArrow(join, schema)
+    schema = own.drop("rank").withColumns({"ids": F.lit(b""), "c": F.lit(b"")}).schema
+    got = answers.where("chunk is not null").select("chunk", "bucket", "ids", "c")
+    return own.unionByName(got, allowMissingColumns=True).groupBy("chunk").applyInArrow(join, schema)
 
 
 def row_of(batch, i: int) -> dict:
@@ -303,7 +309,7 @@ def build_trie(u, v, w, n, totals: dict, discount: float):
     ``totals``: counts of words whose pairs lie in several tries, for which ``types`` has this trie's part."""
     import numpy as np
 
-    from .elias_fano import EliasFano, Siblings, Trie
+    from .elias_fano import EliasFano, Siblings, Trie, pack
     new2 = np.r_[True, (u[1:] != u[:-1]) | (v[1:] != v[:-1])] if len(u) else np.zeros(0, bool)
     pair = np.cumsum(new2) - 1
     pu, pv = u[new2], v[new2]
@@ -321,6 +327,7 @@ def build_trie(u, v, w, n, totals: dict, discount: float):
     codes = {"g2": code_of(discount * types1 / n1), "a2": code_of((n2 - discount) / n1[word]),
              "g3": np.where(n3 > 0, code_of(discount * np.maximum(types3, 1) / np.maximum(n3, 1)), NONE).astype(np.uint16),
              "a3": code_of((tn - discount) / n3[tp])}
+    codes = {k: pack(x, Trie.WIDTH) for k, x in codes.items()}
     trie = Trie(EliasFano.build(wu), Siblings.build(np.r_[np.flatnonzero(new1), len(pu)].astype(np.int64), pv),
                 Siblings.build(np.r_[0, np.cumsum(types3)].astype(np.int64), tw), codes)
     return trie, {int(wu[i]): int(types1[i]) for i in split}
@@ -427,6 +434,7 @@ def score(chunks: DataFrame, model: Model) -> DataFrame:
     """(rid, doc_id, held_out, n_tokens, n_known, base_score, score) of every document of ``chunks``."""
     import numpy as np
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     def answer(key: tuple, t: pa.Table) -> pa.Table:
         trie = open_trie(model.folder, key[0].as_py())
@@ -437,22 +445,24 @@ def score(chunks: DataFrame, model: Model) -> DataFrame:
             if trie is not None:
                 word, pair, triple = trie.find(u, v, w)
                 for row, name, at in ((0, "g2", word), (1, "a2", pair), (2, "g3", pair), (3, "a3", triple)):
-                    codes[row, at >= 0] = trie.codes[name][at[at >= 0]]
+                    codes[row, at >= 0] = trie.code(name, at[at >= 0])
                 for x, g in model.hot_g2.items() if len(model.hot_g2) else ():
                     codes[0, u == x] = g
             out.append(squeeze(codes.ravel()))
-        return pa.table({"chunk": t.column("chunk"), "shard": t.column("shard"), "codes": pa.array(out, pa.binary())})
+        return pa.table({"chunk": t.column("chunk"), "shard": t.column("shard"), "found": pa.array(out, pa.binary())})
 
     asked = _blocks(chunks, model.shards, model.hot, model.texts, False).drop("n")
-    answers = asked.groupBy("shard").applyInArrow(answer, "chunk long, shard long, codes binary")
+    answers = asked.groupBy("shard").applyInArrow(answer, "chunk long, shard long, found binary")
 
-    def add_up(own: pa.Table, got: pa.Table) -> pa.Table:
+    def add_up(t: pa.Table) -> pa.Table:
+        mine = pc.is_null(t.column("shard"))
+        got, own = t.filter(pc.invert(mine)), t.filter(mine)
         row = row_of(own.combine_chunks().to_batches()[0], 0)
         c = Chunk(row, model.texts)
         shard = shard_of(c.u, c.v, model.hot, model.shards)
         first, inverse, _ = distinct(shard, c.u, c.v, c.w)
         order = np.argsort(got.column("shard").to_numpy())
-        raw = got.column("codes").to_pylist()
+        raw = got.column("found").to_pylist()
         codes = np.concatenate([stretch(raw[i]).reshape(4, -1) for i in order] or [np.zeros((4, 0), np.uint16)], axis=1)
         each = np.full((4, len(c.x) + 2), NONE, np.uint16)              # two places ahead: nothing is known before a piece
         each[:, c.at + 2] = codes[:, inverse]
@@ -464,11 +474,11 @@ def score(chunks: DataFrame, model: Model) -> DataFrame:
         p = value_of(a3, 0.0) + value_of(g3, 1.0) * (value_of(a2, 0.0) + value_of(g2, 1.0) * base)
         piece = np.repeat(np.arange(len(c.size)), c.size)[c.owned]
         sums = [np.bincount(piece, x[c.owned], len(c.size)) for x in (np.ones(n), c.c > 0, np.log10(base), np.log10(p))]
-        return pa.table({"rid": pa.array(row["rid"], pa.int64()), "doc_id": own.column("doc_id").chunk(0)[0].values, "held_out": pa.array(row["held_out"], pa.bool_()),
+        return pa.table({"rid": pa.array(row["rid"], pa.int64()), "doc_id": own.combine_chunks().column("doc_id").chunk(0)[0].values, "held_out": pa.array(row["held_out"], pa.bool_()),
                          "n_tokens": pa.array(sums[0].astype(np.int64)), "n_known": pa.array(sums[1].astype(np.int64)),
                          "base_score": pa.array(sums[2]), "score": pa.array(sums[3])})
 
-    parts = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+    parts = chunks.unionByName(answers, allowMissingColumns=True).groupBy("chunk").applyInArrow(
         add_up, "rid long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     sums = [F.sum(k).alias(k) for k in ("n_tokens", "n_known", "base_score", "score")]
     return parts.groupBy("rid").agg(F.first("doc_id").alias("doc_id"), F.first("held_out").alias("held_out"), *sums)
