@@ -464,11 +464,11 @@ _ENRICHED_OUT = ["offer_id", "url", "title", "company", "location", "contract_ty
                  "days_since_publication", "remote_possible", "urgent"]
 
 
-def enr_cte() -> str:
+def enr_cte(source: str = "offers") -> str:
     cols = ", ".join(
         f"coalesce({Dk.null_marker(c)}, {Dk.q(etl.V2_DEFAULTS[c])}) AS {c}" if c in etl.V2_DEFAULTS
         else f"{Dk.null_marker(c)} AS {c}" for c in _STR_COLS)
-    return f"""enr0 AS (SELECT offer_id, cluster, {cols} FROM offers),
+    return f"""enr0 AS (SELECT offer_id, cluster, {cols} FROM {source}),
 enr1 AS (SELECT *, {Dk.clean_text('title', 'v2')} AS titre_clean, {Dk.clean_text('company', 'v2')} AS entreprise_clean,
   {Dk.clean_text('description', 'v2')} AS description_clean FROM enr0),
 enr2 AS (SELECT *, {Dk.location_v2('location')} AS loc, {Dk.parse_salary('salary', 'v2')} AS sal,
@@ -1010,6 +1010,28 @@ def page_fields(spark, sf):
     return pf(_blocks(spark, sf, FIELD_TAGS), _pages(spark, sf))
 
 
+def _detail(spark, sf):
+    from offerlens.operators.selectors import DETAIL_TAGS, detail_offers
+    from offerlens.sources.html import page_blocks
+    pages = FX.detail_pages(spark, sf)
+    return detail_offers(page_blocks(pages, DETAIL_TAGS), pages)
+
+
+@query("page_detail_offers", f"\nSELECT * RENAME (offer_id AS page_id) FROM ({FX.detail_offers_sql()})")
+def page_detail_offers(spark, sf):
+    """The ten raw columns of every offer's own page."""
+    return _detail(spark, sf)
+
+
+@query("page_offers_enriched", f""", detail AS (SELECT *, CAST(NULL AS INTEGER) AS cluster, CAST(NULL AS VARCHAR) AS category FROM ({FX.detail_offers_sql()})),
+{enr_cte("detail")}\nSELECT {', '.join(_ENRICHED_OUT)} FROM enr""")
+def page_offers_enriched(spark, sf):
+    """Pages to the enriched table: raw columns of each offer's page, then the v2 ETL."""
+    from offerlens.session import materialize
+    raw = materialize(_detail(spark, sf).withColumnRenamed("page_id", "offer_id"), "page-offers")
+    return etl.offers_enriched(raw, AS_OF).select(*_ENRICHED_OUT)
+
+
 # --------------------------------------------------------------------------
 # Text features and clustering (C1-C7, A11 on embeddings)
 # --------------------------------------------------------------------------

@@ -148,6 +148,57 @@ def offer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.col("o_orderkey").alias("page_id"), F.expr(OFFER_PAGE).alias("html"))
 
 
+# Offer pages (one per offer): the offer's fields where its own page shows them, lookalikes that no selector may
+# take, and the description under one of the extractor's selectors, or nowhere.
+INTRO = "Au sein de notre équipe, vous participez aux projets de la direction et travaillez avec les autres services du groupe "
+INTRO += "afin de suivre les résultats et de proposer des améliorations à la direction générale"
+
+
+def _esc(c: str) -> str:
+    return f"replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '\"', '&quot;')"
+
+
+def _shown(c: str, before: str, after: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '' ELSE concat('{before}', {_esc(c)}, '{after}') END"
+
+
+_DETAIL_TEXT = f"concat('<p>{INTRO}</p><div class=\"cookie-info\">Accepter</div><p>', coalesce({_esc('description')}, ''), '</p>')"
+DETAIL_PAGE = (
+    "concat('<html><head><title>Offre</title></head><body><nav><span data-cy=\"jobTitles\">Menu</span></nav>', "
+    + _shown("title", '<h1 class="t"><span class="a" data-cy="jobTitle"> ', " </span></h1>") + ", "
+    "CASE WHEN offer_id % 2 = 0 THEN '<a class=\"tw-link-underlined\" title=\"Leurre\">Voir</a>' ELSE '' END, "
+    + _shown("company", '<a href="/e" class="x tw-link-underline" title="', '">Voir</a>') + ", "
+    "'<ul><li class=\"tw-tag-grey-s\">Leurre</li>', "
+    + _shown("location", '<li class="tw-readonly  tw-tag-grey-s"><b>', "</b></li>") + ", "
+    + _shown("contract_type", '<li class="tw-tag-grey-s tw-readonly">', "</li>") + ", '</ul><ul>', "
+    + _shown("education", '<li class="tw-block tw-tag-secondary-s tw-border-0 tw-readonly">', "</li>") + ", "
+    + _shown("experience", '<li class="tw-readonly tw-border-0 tw-tag-secondary-s tw-block z">', "</li>") + ", '</ul>', "
+    + _shown("published_date", '<span class="tw-block tw-typo-xs tw-text-grey-500 tw-break-words">Publiée le ', " - Réf. 12</span>") + ", "
+    + _shown("salary", '<button type="button" data-cy="salary-tag-button"> ', " </button>") + ", "
+    "CASE offer_id % 4 "
+    f"WHEN 0 THEN concat('<div data-cy=\"jobDescription\">', {_DETAIL_TEXT}, '</div>') "
+    f"WHEN 1 THEN concat('<article class=\"job-detail\">', {_DETAIL_TEXT}, '</article>') "
+    f"WHEN 2 THEN concat('<section><p>Court</p></section><main><section>', {_DETAIL_TEXT}, '</section></main>') "
+    "ELSE '' END, '</body></html>')")
+
+
+def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, url, html): an own page for every offer."""
+    return offers(spark, sf_dir).select(F.col("offer_id").alias("page_id"), "url", F.expr(DETAIL_PAGE).alias("html"))
+
+
+def detail_offers_sql() -> str:
+    """What these pages hold, from the offers' columns alone."""
+    line = "CASE WHEN trim(coalesce(description, '')) = '' OR description LIKE 'Ces traceurs%' THEN '' ELSE concat(chr(10), trim(description)) END"
+    return f"""SELECT offer_id, coalesce(title, 'N/A') AS title, coalesce(company, 'N/A') AS company,
+  coalesce(location, contract_type, 'N/A') AS location,
+  CASE WHEN location IS NULL THEN 'N/A' ELSE coalesce(contract_type, 'N/A') END AS contract_type,
+  coalesce(education, experience, 'N/A') AS education,
+  CASE WHEN education IS NULL THEN 'N/A' ELSE coalesce(experience, 'N/A') END AS experience,
+  coalesce(published_date, 'N/A') AS published_date, coalesce(salary, 'N/A') AS salary, url,
+  CASE WHEN offer_id % 4 = 3 THEN 'Non renseignée' ELSE concat('{INTRO}', {line}) END AS description FROM offers"""
+
+
 def offer_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = spread(table(spark, sf_dir, "documents"), "doc_id")
     return d.select(
