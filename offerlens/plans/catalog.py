@@ -1217,8 +1217,7 @@ def svd_scores(spark, sf):
 def kmeans_text(spark, sf):
     """Offer texts -> TF-IDF -> SVD(200) -> k-means k=8 (best of 10 seeds);
     clusters written back to every offer, -1 without text."""
-    from pyspark.ml.functions import array_to_vector
-    from offerlens.models.clusters import kmeans_best, svd_scores as sv
+    from offerlens.models.clusters import assign, kmeans_best, svd_scores as sv
     from offerlens.models.tfidf import tfidf_vectors
     from offerlens.operators.joins import write_back
     from offerlens.session import materialize
@@ -1227,10 +1226,9 @@ def kmeans_text(spark, sf):
     t = allx.where(F.length("text_clean") > 0)
     m = tfidf_vectors(t, "text_clean", out="tfidf", max_features=30000)
     scores = sv(m.transform(t).select("offer_id", "tfidf"), "offer_id", "tfidf", k=200)
-    # cut the lineage once (10 k-means fits read it): a table in the shared folder
-    feats = materialize(scores, "svd").select("offer_id", array_to_vector("svd").alias("features"))
-    km = kmeans_best(feats, "features", k=8, seed=42, n_init=10, key="offer_id")
-    labels = km.transform(feats).select("offer_id", F.col("cluster").cast("int").alias("cluster"))
+    feats = materialize(scores, "svd")      # read by every pass of the starts
+    best = kmeans_best(feats, "svd", k=8, seed=42, n_init=10, key="offer_id")
+    labels = assign(feats, "offer_id", "svd", best["centres"])
     return write_back(allx.select("offer_id"), labels, "offer_id", "cluster", -1)
 
 
@@ -1330,6 +1328,31 @@ def stream_dedup(spark, sf):
     return spark.read.parquet(f"{base}/sink").select("job_id", "arrival")
 
 
+#: Span of the watermark query; arrivals are years, so an id is forgotten after the batch two years on.
+_WATERMARK = ("seen", "300 days")
+
+
+@query("stream_dedup_watermark", f"""SELECT job_id, unnest(list_reduce(list_transform(years, lambda y: [y]),
+    lambda kept, y: CASE WHEN y[1] - kept[-1] >= 3 THEN list_concat(kept, y) ELSE kept END)) AS arrival FROM (
+  SELECT job_id, list_sort(list(DISTINCT year(scraped_at))) AS years
+  FROM (SELECT {_JOB_ID_SQL} AS job_id, scraped_at FROM offer_cards) GROUP BY job_id)""")
+def stream_dedup_watermark(spark, sf):
+    """Dedup on event time (the start of the arrival's year): duplicates within the span are dropped, ids whose
+    state has expired come again, and rows planted four years late never come."""
+    from pyspark.sql.types import _parse_datatype_string
+    from offerlens.streaming.ingest import stream_dedup as sd
+    base, arrivals = _stage_arrivals(spark, sf)
+    schema = _parse_datatype_string("job_id STRING, seen TIMESTAMP, arrival INT")
+    staged = spark.read.schema(_parse_datatype_string(_CARD_STREAM_SCHEMA)).parquet(f"{base}/staged")
+    on_time = staged.select("job_id", F.make_timestamp("arrival", *[F.lit(x) for x in (1, 1, 0, 0, 0)]).alias("seen"), "arrival")
+    late = (on_time.where((F.col("arrival") > arrivals[0] + 1) & (F.pmod(F.xxhash64("job_id"), F.lit(10)) == 3))
+            .withColumns({"job_id": F.concat(F.lit("late_"), "job_id"), "seen": F.col("seen") - F.expr("INTERVAL 4 YEARS")}))
+    for a in arrivals:
+        on_time.unionByName(late).where(F.col("arrival") == a).write.mode("append").parquet(f"{base}/source")
+        sd(spark, f"{base}/source", schema, f"{base}/sink", f"{base}/ckpt", "job_id", _WATERMARK)
+    return spark.read.parquet(f"{base}/sink").select("job_id", "arrival")
+
+
 @query("ingest_report", f"""SELECT count(*) AS n_rows, count(DISTINCT job_id) AS n_ids,
   count(description) AS n_descriptions, avg(length(description)) AS mean_description_length
 FROM (SELECT {_JOB_ID_SQL} AS job_id, coalesce(full_description, substr(card_text, 1, 300)) AS description

@@ -158,10 +158,10 @@ def test_stream_batch_retry_is_idempotent(spark):
     """Re-running a micro-batch (executor loss, restart) leaves the sink unchanged."""
     from pyspark.sql.types import _parse_datatype_string
     from offerlens.session import scratch_path
-    from offerlens.streaming.ingest import _merge_batch, _with_batch
+    from offerlens.streaming.ingest import _merge_batch, _sink_schema
     schema = _parse_datatype_string("job_id STRING, offer_id BIGINT, title STRING, scraped_at TIMESTAMP")
     sink = scratch_path(spark, "idem")
-    spark.createDataFrame([], _with_batch(schema)).write.partitionBy("batch_id").parquet(sink)
+    spark.createDataFrame([], _sink_schema(schema)).write.partitionBy("id_bucket", "batch_id").parquet(sink)
     import datetime as dt
     t = dt.datetime(2020, 1, 1)
     b0 = spark.createDataFrame([("a", 1, "x", t), ("a", 2, "y", t + dt.timedelta(1)), ("b", 3, "", t)], schema)
