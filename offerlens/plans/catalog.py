@@ -1311,7 +1311,7 @@ def stream_offer_ingest(spark, sf):
     schema = None
     for a in arrivals:
         schema = _arrive(spark, base, a)
-        ingest_first_seen(spark, f"{base}/source", schema, f"{base}/sink", f"{base}/ckpt")
+        ingest_first_seen(spark, f"{base}/source", schema, f"{base}/sink", f"{base}/ckpt", buckets=8)
     return spark.read.parquet(f"{base}/sink").select("job_id", "offer_id", "title", "scraped_at")
 
 
