@@ -154,23 +154,24 @@ def suffix_ranks(scratch: Scratch, strings: DataFrame, depth: int) -> DataFrame:
     kind = F.col("k") % 3
     named = kept.select((F.col("rid") * 2 + kind - 1).alias("rid"), F.floor(F.col("k") / 3).cast("int").alias("k"), F.col("n1").alias("name"), "len",
                         ((F.col("same") > 1) & (F.col("len") < depth)).alias("short"))
-    open_ = named.where("short").select("rid").distinct()
-    if named.where("short").limit(1).count():
-        below = scratch.keep(named.join(open_, "rid"))
-        listed = F.sort_array(F.collect_list(F.struct("k", "name", "len")))
-        smaller = below.groupBy("rid").agg(listed.alias("l")).select("rid", F.transform("l", lambda x: x["name"]).alias("syms"), F.transform("l", lambda x: x["len"]).alias("lens"))
-        smaller = scratch.keep(smaller)
-        inner = suffix_ranks(scratch, smaller, depth)
-        flat = scratch.keep(inner.select("rid", F.posexplode("ranks").alias("k", "order")).join(below, ["rid", "k"]))
+    # a string whose names are all told apart is ranked by them and stays out of the smaller instance
+    listed = F.sort_array(F.collect_list(F.struct("k", "name", "len", "short")))
+    lists = scratch.keep(named.groupBy("rid").agg(listed.alias("l"), F.max("short").alias("open")))
+    scratch.drop(kept)
+    names = F.transform("l", lambda x: x["name"])
+    if lists.where("open").limit(1).count():
+        inner = suffix_ranks(scratch, lists.where("open").select("rid", names.alias("syms"), F.transform("l", lambda x: x["len"]).alias("lens")), depth)
+        each = F.posexplode(F.arrays_zip("l.name", "l.short", "ranks")).alias("k", "x")
+        flat = scratch.keep(lists.where("open").select("rid", "l").join(inner, "rid").select("rid", each)
+                            .select("rid", "k", F.col("x.name").alias("name"), F.col("x.short").alias("short"), F.col("x.ranks").alias("order")))
         # the suffixes of one name are neighbours in the smaller instance's order
         base = flat.where("short").groupBy("name").agg(F.min("order").alias("least"))
         better = flat.join(base, "name", "left").select("rid", "k", F.when(F.col("short"), F.col("name") + F.col("order") - F.col("least")).otherwise(F.col("name")).alias("name"))
-        rest = named.join(open_, "rid", "left_anti").select("rid", "k", "name")
-        got = scratch.keep(_by_string(rest.union(better), "name", "ranks"))
-        scratch.drop(below, smaller, inner, flat)
+        got = scratch.keep(lists.where("not open").select("rid", names.alias("ranks")).union(_by_string(better, "name", "ranks")))
+        scratch.drop(lists, inner, flat)
     else:
-        got = scratch.keep(_by_string(named, "name", "ranks"))
-    scratch.drop(kept)
+        got = lists.select("rid", names.alias("ranks"))
+        got._scratch = lists._scratch
 
     pair = got.select(F.floor(F.col("rid") / 2).cast("long").alias("rid"), F.pmod("rid", F.lit(2)).alias("half"), "ranks")
     halves = pair.groupBy("rid").agg(F.max(F.when(F.col("half") == 0, F.col("ranks"))).alias("r1"), F.max(F.when(F.col("half") == 1, F.col("ranks"))).alias("r2"))

@@ -1,7 +1,7 @@
 """Suffix-array dedup (operator 7): bytes in a repeated string of ``LENGTH`` bytes are removed.
 
 1. Narrowing, without loss.  The least hash of 8 bytes among the first ``WIDE``
-   places of a 400-byte string anchors it, wherever the string stands, and
+   (a share of ``LENGTH``) places of a string of ``LENGTH`` bytes anchors it, wherever the string stands, and
    the anchor's next ``LENGTH - WIDE + 1`` bytes are inside the string.  Only
    the surroundings of anchors whose bytes there occur at two places or more
    (equal texts count as one) can hold repeats; they become regions.
@@ -44,7 +44,10 @@ from .common import Scratch, null_free, table, without
 from .suffix_array import suffix_ranks
 
 LENGTH = 400
-WIDE, NARROW = 256, 128
+#: Windows of anchors for a length: 256 and 128 for 400 bytes.
+WIDE, NARROW = 16 / 25, 8 / 25
+#: What the pipeline's stage removes: passages of over 50 words, which may have fewer than 400 bytes.
+STAGE_LENGTH = 250
 GRAM = 8
 PART = 16
 
@@ -291,9 +294,10 @@ def repeated(scratch: Scratch, regs: DataFrame, length: int, window: int) -> Dat
     return out
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, wide: int = WIDE,
-            narrow: int = NARROW) -> DataFrame:
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, wide: int | None = None,
+            narrow: int | None = None) -> DataFrame:
     """(key, n, spans) for every different text: md5, number of rows, and covered stretches of its bytes (may overlap)."""
+    wide, narrow = wide or round(length * WIDE), narrow or round(length * NARROW)
     if length - wide + 1 < GRAM or length - 2 * narrow - GRAM + 2 < 1:
         raise ValueError("windows must leave room for an anchor's bytes")
     scratch = Scratch(docs.sparkSession, "suffix-dedup")
@@ -343,10 +347,10 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-def stage_suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: texts without repeated stretches. A cut may split a character: its rest becomes U+FFFD.
+def stage_suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str, length: int = STAGE_LENGTH) -> DataFrame:
+    """Pipeline stage: texts without repeated stretches of ``length`` bytes. A cut may split a character: its rest becomes U+FFFD.
     Documents of which nothing is left go; n_chars follows the text."""
-    out = remove_repeats(docs).withColumn("_text", F.make_valid_utf8(F.col("kept").cast("string")))
+    out = remove_repeats(docs, length=length).withColumn("_text", F.make_valid_utf8(F.col("kept").cast("string")))
     out = out.where((F.octet_length("kept") > 0) | (F.col("n_removed") == 0))
     new = F.when(F.col("n_removed") > 0, F.col("_text")).otherwise(F.col("text"))
     chars = F.when(F.col("n_removed") > 0, F.char_length("_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None

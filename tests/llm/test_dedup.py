@@ -160,7 +160,10 @@ def covered(texts, length):
     return out
 
 
-def test_suffix_dedup(spark, rng, empty_docs):
+@pytest.mark.parametrize("length,local", [(400, suffix_array.LOCAL), (suffix_dedup.STAGE_LENGTH, 0)])
+def test_suffix_dedup(spark, rng, empty_docs, monkeypatch, length, local):
+    monkeypatch.setattr(suffix_array, "LOCAL", local)
+
     def words(n):
         return " ".join("".join(rng.choice("abcdeé") for _ in range(rng.randint(2, 9))) for _ in range(n))
 
@@ -175,9 +178,9 @@ def test_suffix_dedup(spark, rng, empty_docs):
     rows += [(100, None), (101, ""), (102, "a" * 1500), (103, "ab" * 700), (104, rows[3][1]), (104, rows[3][1]), (105, words(150)), (106, "x" * 399), (107, "x" * 400),
              (108, "x" * 399), (None, passages[0])]
     df = spark.createDataFrame([(n, *r) for n, r in enumerate(rows)], "n int, doc_id long, text string").withColumn("kept", F.lit("clash"))
-    got = {r.n: r for r in suffix_dedup.remove_repeats(df).collect()}
+    got = {r.n: r for r in suffix_dedup.remove_repeats(df, length=length).collect()}
     texts = [(t or "").encode() for _, t in rows]
-    for n, (b, c) in enumerate(zip(texts, covered(texts, 400))):
+    for n, (b, c) in enumerate(zip(texts, covered(texts, length))):
         spans = sum(1 for k in range(len(c)) if c[k] and (k == 0 or not c[k - 1]))
         kept = bytes(x for x, y in zip(b, c) if not y)
         r = got[n]
