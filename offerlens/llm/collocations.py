@@ -28,6 +28,7 @@ other columns are not carried.  Products are decimals of 38 digits: 1000 a n bel
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,9 +75,15 @@ def split(block: bytes) -> list[bytes]:
     return block.translate(bytes.maketrans(SEPARATORS, b"." * len(SEPARATORS))).replace(b".", b" . ").split()
 
 
+@cache
+def seed_of(lang: str) -> int:
+    import xxhash
+    return xxhash.xxh32_intdigest(lang.encode())
+
+
 def word_hash(lang: str, word: bytes) -> int:
     import xxhash
-    return xxhash.xxh64_intdigest(word, seed=xxhash.xxh32_intdigest(lang.encode()))
+    return xxhash.xxh64_intdigest(word, seed=seed_of(lang))
 
 
 def longer(h, next_):
@@ -120,12 +127,11 @@ class Stripes:
         self.carry = [np.array([self.code(*x) if x else -1 for x in names], np.int64)]
         self.size = 0
 
-    def code(self, lang: str, word: bytes, h: int | None = None) -> int:
-        got = self.codes.get((lang, word))
-        if got is None:
-            got = self.codes[lang, word] = len(self.names)
+    def code(self, lang: str, word: bytes) -> int:
+        got = self.codes.setdefault((lang, word), len(self.names))
+        if got == len(self.names):
             self.names.append((lang, word))
-            self.hashes.append(word_hash(lang, word) if h is None else h)
+            self.hashes.append(word_hash(lang, word))
         return got
 
     def add(self, tokens: list[bytes], langs: list[str], counts: list[int]) -> None:
@@ -146,14 +152,20 @@ class Stripes:
         seen = np.zeros(len(distinct) * len(words), bool)
         seen[pair] = True
         present = np.flatnonzero(seen)
-        present = present[[words[x % len(words)] != b"." for x in present]] if b"." in words else present
-        keys = [(distinct[x // len(words)], words[x % len(words)]) for x in present]
-        h = np.array([word_hash(*x) for x in keys], np.uint64)
+        if b"." in words:
+            present = present[present % len(words) != words.index(b".")]
+        keys = [(distinct[i], words[j]) for i, j in zip((present // len(words)).tolist(), (present % len(words)).tolist())]
+        h = [word_hash(*x) for x in keys]
         if self.k:
-            good = passes(self.filters[0], h)
-            present, h, keys = present[good], h[good], [x for x, ok in zip(keys, good) if ok]
+            good = passes(self.filters[0], np.array(h, np.uint64))
+            present, keep = present[good], good.tolist()
+            h, keys = [x for x, ok in zip(h, keep) if ok], [x for x, ok in zip(keys, keep) if ok]
         place = np.full(len(seen), -1, np.int64)
-        place[present] = [self.code(*x, y) for x, y in zip(keys, h.tolist())]
+        known = len(self.codes)
+        place[present] = codes = [self.codes.setdefault(x, len(self.codes)) for x in keys]
+        fresh = [i for i, x in enumerate(codes) if x >= known]
+        self.names += [keys[i] for i in fresh]
+        self.hashes += [h[i] for i in fresh]
         return place[pair]
 
     def frequent(self, c):
@@ -182,13 +194,15 @@ class Stripes:
             self.clear()
             return
         h = np.array(self.hashes, np.uint64)
-        lang_of = np.array([x[0] for x in self.names], object)
-        prefix, next_ = (c[at] if k else np.unique(lang_of, return_inverse=True)[1][c[at]]), c[at + k]
+        langs = sorted({x[0] for x in self.names})
+        number = {x: i for i, x in enumerate(langs)}
+        lang_of = np.array([number[x[0]] for x in self.names], np.int64)
+        prefix, next_ = c[at] if k else lang_of[c[at]], c[at + k]
         for j in range(1, k):
             prefix = np.unique(prefix << 32 | c[at + j], return_inverse=True)[1]
         entry, example, count = np.unique(prefix.astype(np.int64) << 32 | next_, return_index=True, return_counts=True)
         next_, example = entry & 0xFFFFFFFF, at[example]
-        own = grams[example] if k else np.array([word_hash(x, b"") for x in lang_of[c[example]]], np.uint64)
+        own = grams[example] if k else np.array([word_hash(x, b"") for x in langs], np.uint64)[lang_of[c[example]]]
         hot, pieces = self.hot
         where = np.minimum(np.searchsorted(hot, own), max(len(hot) - 1, 0))
         salts = np.full(len(own), HOT, np.uint64) if not k else np.where(hot[where] == own, pieces[where], np.uint64(1)) if len(hot) else np.ones(len(own), np.uint64)
@@ -204,7 +218,7 @@ class Stripes:
             lists = pa.array(np.r_[start[i:i + BLOCKS_AT_ONCE], some.stop].astype(np.int32) - np.int32(some.start))
             parts = [words.take(pa.array(c[example[some] + j])) for j in range(k)]
             text = pc.binary_join_element_wise(*parts, " ") if k > 1 else parts[0] if k else pa.array([""] * len(example[some]))
-            columns = [pa.array(lang_of[c[example[some]]].tolist(), pa.string()), text, words.take(pa.array(next_[some])), pa.array(count[some].astype(np.int64))]
+            columns = [pa.array(langs, pa.string()).take(pa.array(lang_of[c[example[some]]])), text, words.take(pa.array(next_[some])), pa.array(count[some].astype(np.int64))]
             yield pa.RecordBatch.from_arrays([pa.array(bucket[start[i:i + BLOCKS_AT_ONCE]]), *(pa.ListArray.from_arrays(lists, x) for x in columns)],
                                              names=["bucket", "lang", "prefix", "next", "n"])
         if not last:

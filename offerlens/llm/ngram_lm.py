@@ -14,8 +14,8 @@ the context of its start only.  a and g are rounded down to powers of
 Texts are encoded once, in chunks with a dictionary of their own.  Chunks send their words to buckets, which add up
 their counts and answer with ids and counts.  Each chunk sends its distinct triples (compressed) to the shards of the model, dealt by their first word (and, for
 words with a thousandth of all tokens, by the second word as well).  A shard's task merges what the training texts
-sent, builds the trie of its words (``elias_fano``) and writes it to the shared folder; scoring maps the file into memory and finds the
-triples by successor searches.  The answers go back to the chunks, which add up their documents' tokens.  The number
+sent, builds the trie of its words (``elias_fano``), writes it to the shared folder, maps the file into memory and finds
+all chunks' triples by successor searches.  The answers go back to the chunks, which add up their documents' tokens.  The number
 of shards grows with the corpus, so that no task holds more than about ``SHARD`` tokens' triples.
 
 Defined results: a null text is empty and has the end token only; rows with a
@@ -335,22 +335,23 @@ def build_trie(u, v, w, n, totals: dict, discount: float):
 
 @dataclass
 class Model:
-    """The tries' folder and what all tasks know: numbers of tokens, words, texts and shards, hot words (ids, pieces), their g2."""
+    """The tries' folder and what all tasks know: numbers of tokens, words, texts and shards, hot words (ids, pieces), their counts."""
     folder: str
     tokens: int
     words: int
     texts: int
     shards: int
     hot: tuple
-    hot_g2: dict
+    totals: dict
+    discount: float
 
 
 def _place(folder: str, shard: int) -> str:
     return f"{folder}/shard-{shard:09d}.trie"
 
 
-def _blocks(chunks: DataFrame, shards: int, hot: tuple, n_train: int, training: bool) -> DataFrame:
-    """What each chunk sends to each shard: its distinct windows as sorted arrays, with counts when ``training``."""
+def _blocks(chunks: DataFrame, shards: int, hot: tuple, n_train: int) -> DataFrame:
+    """What each chunk sends to each shard: its distinct windows as sorted arrays, and how often training rows have them."""
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -359,13 +360,11 @@ def _blocks(chunks: DataFrame, shards: int, hot: tuple, n_train: int, training:
             for i in range(b.num_rows):
                 row = row_of(b, i)
                 c = Chunk(row, n_train)
-                u, v, w = c.u, c.v, c.w
-                if training:
-                    keep = c.owned[c.at + 1] & ~np.repeat(np.asarray(row["held_out"], bool), c.size)[c.at]
-                    u, v, w = u[keep], v[keep], w[keep]
-                shard = shard_of(u, v, hot, shards)
-                first, _, n = distinct(shard, u, v, w)
-                shard, u, v, w = shard[first], u[first], v[first], w[first]
+                trains = c.owned[c.at + 1] & ~np.repeat(np.asarray(row["held_out"], bool), c.size)[c.at]
+                shard = shard_of(c.u, c.v, hot, shards)
+                first, inverse, _ = distinct(shard, c.u, c.v, c.w)
+                n = np.bincount(inverse, trains, len(first)).astype(np.int64)
+                shard, u, v, w = (x[first] for x in (shard, c.u, c.v, c.w))
                 cuts = np.r_[np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]), len(shard)] if len(shard) else np.zeros(1, np.int64)
                 raw = [pa.array([squeeze(x[s:e]) for s, e in zip(cuts[:-1], cuts[1:])], pa.binary()) for x in (u, v, w, n)]
                 yield pa.RecordBatch.from_arrays([pa.array(shard[cuts[:-1]]), pa.array(np.full(len(cuts) - 1, row["chunk"])), *raw],
@@ -375,14 +374,10 @@ def _blocks(chunks: DataFrame, shards: int, hot: tuple, n_train: int, training:
         .mapInArrow(run, "shard long, chunk long, u binary, v binary, w binary, n binary")
 
 
-def fit(chunks: DataFrame, answers: DataFrame, tokens: int, n_train: int, discount: float = DISCOUNT) -> Model:
-    """Build and write the tries of the training rows of ``chunks`` (of ``with_ids``)."""
+def plan(spark: SparkSession, answers: DataFrame, tokens: int, n_train: int, discount: float = DISCOUNT) -> Model:
+    """A model whose tries are not built yet."""
     import numpy as np
-    import pyarrow as pa
-    spark = chunks.sparkSession
-    folder = scratch_path(spark, "ngram-lm")
     n_words = answers.agg(F.sum("words")).first()[0] or 0
-    shards = tokens // SHARD + 1
     totals: dict[int, int] = {}         # of at most HOT words
     often = F.length("ids") > len(squeeze(np.zeros(0, np.int64)))
     for r in answers.where(F.col("chunk").isNull() & often).select("ids", "c").collect():
@@ -391,29 +386,57 @@ def fit(chunks: DataFrame, answers: DataFrame, tokens: int, n_train: int, discou
         totals[START] = n_train
     ids = sorted(totals)
     hot = (np.array(ids, np.int64), np.array([-(-totals[x] * HOT // tokens) for x in ids], np.uint64))
+    return Model(scratch_path(spark, "ngram-lm"), tokens, n_words + bool(n_train), n_train, tokens // SHARD + 1, hot, totals, discount)
+
+
+def fit_and_answer(chunks: DataFrame, model: Model) -> DataFrame:
+    """(chunk, shard, found, id, types): each shard's task builds its trie from what training rows sent, writes it to
+    the model's folder, maps it, and answers every chunk with the codes of its windows (those of g2, a2, g3 and a3
+    one after the other).  Rows without a chunk have a hot word's number of followers in the shard."""
+    import numpy as np
+    import pyarrow as pa
 
-    def build(key: tuple, t: pa.Table) -> pa.Table:
+    def work(key: tuple, t: pa.Table) -> pa.Table:
         from pyarrow import fs
+        from pyspark import TaskContext
         no = key[0].as_py()
-        u, v, w, n = (np.concatenate([stretch(x) for x in t.column(k).to_pylist()]).astype(np.int64) for k in ("u", "v", "w", "n"))
+        blocks_ = [[stretch(x).astype(np.int64) for x in t.column(k).to_pylist()] for k in ("u", "v", "w", "n")]
+        u, v, w, n = (np.concatenate(x) for x in blocks_)
         order = np.lexsort((w, v, u))
-        u, v, w, n = (x[order] for x in (u, v, w, n))
-        new = np.r_[True, (u[1:] != u[:-1]) | (v[1:] != v[:-1]) | (w[1:] != w[:-1])]
-        n = np.add.reduceat(n, np.flatnonzero(new))
-        trie, types = build_trie(u[new], v[new], w[new], n, totals, discount)
-        store, root = fs.FileSystem.from_uri(folder)
-        store.create_dir(root, recursive=True)
-        from pyspark import TaskContext
-        own = f"{_place(root, no)}.{TaskContext.get().taskAttemptId()}"
-        with store.open_output_stream(own) as out:
-            out.write(trie.dump())
-        store.move(own, _place(root, no))
-        return pa.table({"id": pa.array(list(types), pa.int64()), "types": pa.array(list(types.values()), pa.int64())})
-
-    sent = _blocks(chunks, shards, hot, n_train, True)
-    types = sent.groupBy("shard").applyInArrow(build, "id long, types long").groupBy("id").agg(F.sum("types").alias("types")).collect()
-    g2 = {r["id"]: int(code_of(np.array([discount * r["types"] / totals[r["id"]]]))[0]) for r in types}
-    return Model(folder, tokens, n_words + bool(n_train), n_train, shards, hot, g2)
+        order = order[n[order] > 0]
+        types = {}
+        if len(order):
+            tu, tv, tw = u[order], v[order], w[order]
+            new = np.r_[True, (tu[1:] != tu[:-1]) | (tv[1:] != tv[:-1]) | (tw[1:] != tw[:-1])]
+            trie, types = build_trie(tu[new], tv[new], tw[new], np.add.reduceat(n[order], np.flatnonzero(new)), model.totals, model.discount)
+            store, root = fs.FileSystem.from_uri(model.folder)
+            store.create_dir(root, recursive=True)
+            own = f"{_place(root, no)}.{TaskContext.get().taskAttemptId()}"
+            with store.open_output_stream(own) as out:
+                out.write(trie.dump())
+            store.move(own, _place(root, no))
+        codes = look_up(open_trie(model.folder, no) if len(order) else None, u, v, w)
+        cuts = np.cumsum([0, *map(len, blocks_[0])])
+        found = [squeeze(codes[:, s:e].ravel()) for s, e in zip(cuts[:-1], cuts[1:])]
+        chunk = t.column("chunk").to_pylist()
+        return pa.table({"chunk": pa.array([*chunk, *[None] * len(types)], pa.int64()), "shard": pa.array([no] * (len(chunk) + len(types)), pa.int64()),
+                         "found": pa.array([*found, *[None] * len(types)], pa.binary()), "id": pa.array([*[None] * len(chunk), *types], pa.int64()),
+                         "types": pa.array([*[None] * len(chunk), *types.values()], pa.int64())})
+
+    sent = _blocks(chunks, model.shards, model.hot, model.texts)
+    return sent.groupBy("shard").applyInArrow(work, "chunk long, shard long, found binary, id long, types long")
+
+
+def look_up(trie, u, v, w):
+    """Codes of g2, a2, g3 and a3 of windows."""
+    import numpy as np
+    codes = np.full((4, len(u)), NONE, np.uint16)
+    if trie is not None:
+        word, pair, triple = trie.find(u, v, w)
+        for row, name, at in ((0, "g2", word), (1, "a2", pair), (2, "g3", pair), (3, "a3", triple)):
+            hit = np.flatnonzero(at >= 0)
+            codes[row, hit] = trie.code(name, at[hit])
+    return codes
 
 
 def open_trie(folder: str, shard: int):
@@ -430,29 +453,16 @@ def open_trie(folder: str, shard: int):
         return Trie.load(f.read_buffer())
 
 
-def score(chunks: DataFrame, model: Model) -> DataFrame:
-    """(rid, doc_id, held_out, n_tokens, n_known, base_score, score) of every document of ``chunks``."""
+def score(chunks: DataFrame, model: Model, answers: DataFrame) -> DataFrame:
+    """(rid, doc_id, held_out, n_tokens, n_known, base_score, score) of every document of ``chunks``;
+    ``answers``: a table of ``fit_and_answer``."""
     import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
-
-    def answer(key: tuple, t: pa.Table) -> pa.Table:
-        trie = open_trie(model.folder, key[0].as_py())
-        out = []
-        for raw in zip(*(t.column(k).to_pylist() for k in ("u", "v", "w"))):
-            u, v, w = (stretch(x).astype(np.int64) for x in raw)
-            codes = np.full((4, len(u)), NONE, np.uint16)
-            if trie is not None:
-                word, pair, triple = trie.find(u, v, w)
-                for row, name, at in ((0, "g2", word), (1, "a2", pair), (2, "g3", pair), (3, "a3", triple)):
-                    codes[row, at >= 0] = trie.code(name, at[at >= 0])
-                for x, g in model.hot_g2.items() if len(model.hot_g2) else ():
-                    codes[0, u == x] = g
-            out.append(squeeze(codes.ravel()))
-        return pa.table({"chunk": t.column("chunk"), "shard": t.column("shard"), "found": pa.array(out, pa.binary())})
-
-    asked = _blocks(chunks, model.shards, model.hot, model.texts, False).drop("n")
-    answers = asked.groupBy("shard").applyInArrow(answer, "chunk long, shard long, found binary")
+    types = answers.where("chunk is null").groupBy("id").agg(F.sum("types").alias("types")).collect()      # at most HOT rows
+    hot_g2 = {r["id"]: int(code_of(np.array([model.discount * r["types"] / model.totals[r["id"]]]))[0]) for r in types}
+    hot_ids = np.array(sorted(hot_g2), np.int64)
+    hot_codes = np.array([hot_g2[x] for x in sorted(hot_g2)], np.uint16)
 
     def add_up(t: pa.Table) -> pa.Table:
         mine = pc.is_null(t.column("shard"))
@@ -464,8 +474,12 @@ def score(chunks: DataFrame, model: Model) -> DataFrame:
         order = np.argsort(got.column("shard").to_numpy())
         raw = got.column("found").to_pylist()
         codes = np.concatenate([stretch(raw[i]).reshape(4, -1) for i in order] or [np.zeros((4, 0), np.uint16)], axis=1)
+        codes = codes[:, inverse]
+        if len(hot_ids):                        # words whose followers lie in several shards
+            at = np.minimum(np.searchsorted(hot_ids, c.u), len(hot_ids) - 1)
+            codes[0] = np.where(hot_ids[at] == c.u, hot_codes[at], codes[0])
         each = np.full((4, len(c.x) + 2), NONE, np.uint16)              # two places ahead: nothing is known before a piece
-        each[:, c.at + 2] = codes[:, inverse]
+        each[:, c.at + 2] = codes
         n = len(c.x)
         g2, a2 = each[0, 1:n + 1].copy(), each[1, 1:n + 1].copy()       # of the window that begins one token earlier
         g3, a3 = each[2, :n].copy(), each[3, :n].copy()                 # and of the one two tokens earlier
@@ -478,7 +492,8 @@ def score(chunks: DataFrame, model: Model) -> DataFrame:
                          "n_tokens": pa.array(sums[0].astype(np.int64)), "n_known": pa.array(sums[1].astype(np.int64)),
                          "base_score": pa.array(sums[2]), "score": pa.array(sums[3])})
 
-    parts = chunks.unionByName(answers, allowMissingColumns=True).groupBy("chunk").applyInArrow(
+    got = answers.where("chunk is not null").select("chunk", "shard", "found")
+    parts = chunks.unionByName(got, allowMissingColumns=True).groupBy("chunk").applyInArrow(
         add_up, "rid long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     sums = [F.sum(k).alias(k) for k in ("n_tokens", "n_known", "base_score", "score")]
     return parts.groupBy("rid").agg(F.first("doc_id").alias("doc_id"), F.first("held_out").alias("held_out"), *sums)
@@ -495,10 +510,11 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     scratch.drop()
     chunks = scratch.keep(with_ids(raw, answers))
     scratch.drop(raw)
-    model = fit(chunks, answers, tokens, n_train, discount)
+    model = plan(docs.sparkSession, answers, tokens, n_train, discount)
+    found = scratch.keep(fit_and_answer(chunks, model))
     scratch.drop(answers)
-    scored = scratch.keep(score(chunks, model))
-    scratch.drop(chunks)
+    scored = scratch.keep(score(chunks, model, found))
+    scratch.drop(chunks, found)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
