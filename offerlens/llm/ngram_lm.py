@@ -40,15 +40,15 @@ from .common import Scratch, null_free, table
 DISCOUNT = 0.75
 STEPS = 64
 #: Words of a chunk, and tokens of the corpus for each shard of the model.
-CHUNK, SHARD = 1_000_000, 2_000_000
+CHUNK, SHARD = 1_000_000, 500_000
 #: Words of the corpus for each bucket of the word counts.
 BUCKET = 4_000_000
 HOT = 1000
 END, START, PAD, UNKNOWN, FIRST_WORD = 0, 1, 2, 3, 4
 NONE = 4095
 
-#: Tokens that are looked up at once.
-AT_ONCE = 400_000
+#: Tokens and windows that are looked up at once.
+AT_ONCE = 250_000
 
 ENCODED = ("chunk long, words binary, trained binary, tokens long, rank binary, codes binary, rid array<long>, doc_id array<long>, held_out array<boolean>, "
            "size array<int>, skip array<int>, ahead array<int>")
@@ -400,8 +400,8 @@ def fit_and_answer(chunks: DataFrame, model: Model) -> DataFrame:
         from pyarrow import fs
         from pyspark import TaskContext
         no = key[0].as_py()
-        blocks_ = [[stretch(x).astype(np.int64) for x in t.column(k).to_pylist()] for k in ("u", "v", "w", "n")]
-        u, v, w, n = (np.concatenate(x) for x in blocks_)
+        u, v, w, n = (np.concatenate([stretch(x) for x in t.column(k).to_pylist()]).astype(np.int64) for k in ("u", "v", "w", "n"))
+        sizes = [len(stretch(x)) for x in t.column("n").to_pylist()]
         order = np.lexsort((w, v, u))
         order = order[n[order] > 0]
         types = {}
@@ -415,8 +415,9 @@ def fit_and_answer(chunks: DataFrame, model: Model) -> DataFrame:
             with store.open_output_stream(own) as out:
                 out.write(trie.dump())
             store.move(own, _place(root, no))
+            del trie, tu, tv, tw
         codes = look_up(open_trie(model.folder, no) if len(order) else None, u, v, w)
-        cuts = np.cumsum([0, *map(len, blocks_[0])])
+        cuts = np.cumsum([0, *sizes])
         found = [squeeze(codes[:, s:e].ravel()) for s, e in zip(cuts[:-1], cuts[1:])]
         chunk = t.column("chunk").to_pylist()
         return pa.table({"chunk": pa.array([*chunk, *[None] * len(types)], pa.int64()), "shard": pa.array([no] * (len(chunk) + len(types)), pa.int64()),
@@ -431,11 +432,12 @@ def look_up(trie, u, v, w):
     """Codes of g2, a2, g3 and a3 of windows."""
     import numpy as np
     codes = np.full((4, len(u)), NONE, np.uint16)
-    if trie is not None:
-        word, pair, triple = trie.find(u, v, w)
+    for s in range(0, len(u) if trie is not None else 0, AT_ONCE):
+        some = slice(s, s + AT_ONCE)
+        word, pair, triple = trie.find(u[some], v[some], w[some])
         for row, name, at in ((0, "g2", word), (1, "a2", pair), (2, "g3", pair), (3, "a3", triple)):
             hit = np.flatnonzero(at >= 0)
-            codes[row, hit] = trie.code(name, at[hit])
+            codes[row, s + hit] = trie.code(name, at[hit])
     return codes
 
 
