@@ -167,12 +167,18 @@ class Trie:
 
     def find(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> tuple:
         """Positions of the words u, the pairs and the triples; -1 where there is none."""
-        first = self.words.successor(u) if self.words.n else np.full(len(u), 0)
+        if not len(u):
+            return (np.zeros(0, np.int64),) * 3
+        new_u = np.r_[True, u[1:] != u[:-1]]            # neighbours with the same word or pair are looked up once
+        new_v = new_u | np.r_[True, v[1:] != v[:-1]]
+        asked = u[new_u]
+        first = self.words.successor(asked) if self.words.n else np.full(len(asked), 0)
         hit = np.flatnonzero(first < self.words.n)
-        word = np.full(len(u), -1, np.int64)
-        hit = hit[self.words.at(first[hit]) == u[hit]] if len(hit) else hit
-        word[hit] = first[hit]
-        pair = self.pairs.find(word, v)
+        found = np.full(len(asked), -1, np.int64)
+        hit = hit[self.words.at(first[hit]) == asked[hit]] if len(hit) else hit
+        found[hit] = first[hit]
+        word = found[np.cumsum(new_u) - 1]
+        pair = self.pairs.find(word[new_v], v[new_v])[np.cumsum(new_v) - 1]
         return word, pair, self.triples.find(pair, w)
 
     def code(self, name: str, at: np.ndarray) -> np.ndarray:

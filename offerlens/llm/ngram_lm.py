@@ -416,7 +416,12 @@ def fit_and_answer(chunks: DataFrame, model: Model) -> DataFrame:
                 out.write(trie.dump())
             store.move(own, _place(root, no))
             del trie, tu, tv, tw
-        codes = look_up(open_trie(model.folder, no) if len(order) else None, u, v, w)
+        order = np.lexsort((w, v, u))           # what several chunks ask is looked up once
+        u, v, w = u[order], v[order], w[order]
+        new = np.r_[True, (u[1:] != u[:-1]) | (v[1:] != v[:-1]) | (w[1:] != w[:-1])]
+        once = look_up(open_trie(model.folder, no) if (n > 0).any() else None, u[new], v[new], w[new])
+        codes = np.empty((4, len(u)), np.uint16)
+        codes[:, order] = once[:, np.cumsum(new) - 1]
         cuts = np.cumsum([0, *sizes])
         found = [squeeze(codes[:, s:e].ravel()) for s, e in zip(cuts[:-1], cuts[1:])]
         chunk = t.column("chunk").to_pylist()
