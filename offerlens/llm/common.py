@@ -11,8 +11,9 @@ from pyspark.sql.types import StructType
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
-#: Rows handled at once inside a Python task.
+#: Rows, and bytes of the column read, handled at once inside a Python task (a longer value is handled alone).
 SLICE = 1024
+SLICE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,9 +36,27 @@ def null_free(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
+def slices(batch, source: str) -> Iterator:
+    """An Arrow batch in slices of at most ``SLICE`` rows and ``SLICE_BYTES`` bytes of the column ``source``."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    col = batch.column(source)
+    lists = pa.types.is_list(col.type)
+    size = pc.list_value_length(col) if lists else pc.binary_length(col)
+    ends = np.cumsum(pc.fill_null(size, 0).to_numpy(zero_copy_only=False).astype(np.int64) * (4 if lists else 1))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        to = min(max(int(np.searchsorted(ends, before + SLICE_BYTES, "right")), at + 1), at + SLICE, batch.num_rows)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def add_columns(df: DataFrame, fields: StructType, source: str, fn: Callable[[list], list[list]]) -> DataFrame:
-    """``df`` with the columns ``fields``: ``fn`` maps a list of values of ``source`` to one list per field.
-    Rows travel as Arrow batches and are handled ``SLICE`` at a time."""
+    """``df`` with the columns ``fields``: ``fn`` maps a list of values of the string column ``source`` to one
+    list or Arrow array per field.  Rows travel as Arrow batches and are handled in ``slices``."""
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -47,10 +66,10 @@ def add_columns(df: DataFrame, fields: StructType, source: str, fn: Callable[[li
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, SLICE):
-                b = whole.slice(at, SLICE)
+            for b in slices(whole, source):
                 new = fn(b.column(source).to_pylist())
-                yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(v, k) for v, k in zip(new, kinds))], names=names)
+                arrays = [v if isinstance(v, pa.Array) else pa.array(v, k) for v, k in zip(new, kinds)]
+                yield pa.RecordBatch.from_arrays([*b.columns, *arrays], names=names)
 
     return base.mapInArrow(run, StructType(base.schema.fields + fields.fields))
 

@@ -15,17 +15,18 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from .common import add_columns, null_free, table, tokenizer_path, without
-from .wfst import SPACE, Machine, machine
+from .common import add_columns, null_free, slices, table, tokenizer_path, without
+from .wfst import SPACE, Machine, Model, machine
 
 MODEL = "piece_bpe_32k.model"
 #: Segments whose paths a worker keeps.
-KEPT = 250_000
+KEPT = 200_000
 
 
 def segment_pattern(m: Machine) -> re.Pattern:
@@ -50,8 +51,9 @@ class Paths(dict):
 
     def __missing__(self, segment: str) -> bytes:
         ids = array("i", self.machine.path(segment)).tobytes()
-        if len(self) < KEPT:
-            self[segment] = ids
+        if len(self) >= KEPT:
+            self.clear()    # frequent segments come back first
+        self[segment] = ids
         return ids
 
 
@@ -72,34 +74,69 @@ def encode_text(path: str, text: str | None):
     return np.frombuffer(b"".join(map(paths.__getitem__, segments.findall(normalise(m, text or "")))), dtype=np.int32)
 
 
+def encode_texts(path: str, texts: list):
+    """Ids of the texts as one Arrow array of lists."""
+    import numpy as np
+    import pyarrow as pa
+    ids = [encode_text(path, t) for t in texts]
+    ends = np.cumsum([0] + [len(i) for i in ids], dtype=np.int32)
+    values = np.concatenate(ids) if ids else np.empty(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+
+
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with the column ``ids_col`` (array of int)."""
     fields = StructType([StructField(ids_col, ArrayType(IntegerType(), False))])
-    return add_columns(docs, fields, text_col, lambda texts: [[encode_text(model_path, t) for t in texts]])
+    return add_columns(docs, fields, text_col, lambda texts: [encode_texts(model_path, texts)])
 
 
-_SURFACES: dict[str, list[bytes]] = {}
+_SURFACES: dict[str, tuple[list[bytes], bool]] = {}
 
 
 def decode_ids(path: str, ids) -> str:
-    """Text of a list of ids: bytes that are no UTF-8 become U+FFFD, control pieces vanish."""
+    """Text of a list of ids: bytes that are no UTF-8 become U+FFFD, control pieces vanish.  Reads the model
+    file only; no machine is compiled for it."""
     if path not in _SURFACES:
-        m = machine(path).model
+        m = Model.load(path)
         byte = {i: b for b, i in enumerate(m.byte_ids)}
         _SURFACES[path] = [bytes([byte[i]]) if i in byte else " ⁇ ".encode() if i == m.unk_id else b"" if m.control[i]
-                           else p.replace(SPACE, " ").encode() for i, p in enumerate(m.pieces)]
-    text = b"".join(map(_SURFACES[path].__getitem__, ids)).decode("utf-8", "replace")
-    return text[1:] if machine(path).model.dummy_prefix and text[:1] == " " else text
+                           else p.replace(SPACE, " ").encode() for i, p in enumerate(m.pieces)], m.dummy_prefix
+    surfaces, dummy_prefix = _SURFACES[path]
+    text = b"".join(map(surfaces.__getitem__, ids)).decode("utf-8", "replace")
+    return text[1:] if dummy_prefix and text[:1] == " " else text
+
+
+def decode_lists(path: str, ids) -> list:
+    """Texts of an Arrow array of lists of ids, one list at a time; null ids give null."""
+    return [None if i.values is None else decode_ids(path, i.values.to_numpy(zero_copy_only=False).tolist()) for i in ids]
 
 
 def decode(df: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``df`` with the decoded text; null ids give null."""
-    fields = StructType([StructField(out_col, StringType())])
+    import pyarrow as pa
+
+    base = without(df, [out_col])
+    names = [*base.columns, out_col]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in slices(whole, ids_col):
+                texts = pa.array(decode_lists(model_path, b.column(ids_col)), pa.string())
+                yield pa.RecordBatch.from_arrays([*b.columns, texts], names=names)
+
+    return base.mapInArrow(run, StructType(base.schema.fields + [StructField(out_col, StringType())]))
+
+
+def encode_decode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids",
+                  out_col: str = "decoded") -> DataFrame:
+    """``decode(encode(docs))`` in one pass: one Python worker a task instead of two."""
+    fields = StructType([StructField(ids_col, ArrayType(IntegerType(), False)), StructField(out_col, StringType())])
 
-    def run(rows: list) -> list[list]:
-        return [[None if ids is None else decode_ids(model_path, ids) for ids in rows]]
+    def run(texts: list) -> list:
+        ids = encode_texts(model_path, texts)
+        return [ids, decode_lists(model_path, ids)]
 
-    return add_columns(df, fields, ids_col, run)
+    return add_columns(docs, fields, text_col, run)
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +144,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     (A literal U+2581 is a space to the model and comes back as one.)"""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = tokenizer_path(MODEL)
-    out = decode(encode(docs, path), path)
+    out = encode_decode(docs, path)
     return out.select("doc_id", F.octet_length(null_free(F.col("text"))).cast("long").alias("n_bytes"),
                       F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"),
                       (F.col("decoded") == F.translate(null_free(F.col("text")), SPACE, " ")).alias("round_trip"))
@@ -116,6 +153,6 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents with their ids and the check of the round trip, without the text."""
     path = tokenizer_path(MODEL)
-    out = decode(encode(docs, path), path)
+    out = encode_decode(docs, path)
     same = F.col("decoded") == F.translate(null_free(F.col("text")), SPACE, " ")
     return without(out.withColumn("round_trip", same).withColumn("n_ids", F.size("ids").cast("long")), ["text", "decoded"])

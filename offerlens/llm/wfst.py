@@ -75,8 +75,8 @@ class Machine:
     """Lazy deterministic transducer of a ``Model``; one per worker process."""
 
     #: Bounds of what is learnt; past them the tables are learnt anew (results do not change).
-    MAX_STATES = 120_000
-    MAX_CLASSES = 400_000
+    MAX_STATES = 80_000
+    MAX_CLASSES = 200_000
     #: Grammar states are merged into classes where so many pieces or fewer lie below a node.
     LOOK_AHEAD = 32
 
@@ -109,8 +109,8 @@ class Machine:
         self._reset()
 
     def _reset(self) -> None:
-        self.classes: dict[tuple[int, int], int | None] = {}
-        self.stands_for: dict[tuple, int] = {}
+        self.classes: dict[int, int | None] = {}   # node and grammar state as one integer
+        self.stands_for: dict[int, int] = {}       # node and a bit per piece below it as one integer
         self.states: dict[tuple, dict] = {}
         self.start = self._state(((0, START, 0.0, 0),))
 
@@ -174,11 +174,14 @@ class Machine:
         below = self.below[node]
         if below is None or self.model.kind == "unigram":
             return last
-        if (node, last) not in self.classes:
-            ok = tuple(self._arc(last, t) is not None for t in below)
+        key = node * (len(self.lengths) + 2) + last + 2
+        if key not in self.classes:
+            ok = 0
+            for t in below:
+                ok = ok << 1 | (self._arc(last, t) is not None)
             # a known grammar state that allows the same stands for all of them
-            self.classes[node, last] = self.stands_for.setdefault((node, ok), last) if any(ok) else None
-        return self.classes[node, last]
+            self.classes[key] = self.stands_for.setdefault(node << self.LOOK_AHEAD | ok, last) if ok else None
+        return self.classes[key]
 
     # -- determinisation ---------------------------------------------------
     def step(self, state: dict, c: str) -> tuple[dict, int, int]:

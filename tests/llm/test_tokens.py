@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from offerlens.llm import sentencepiece_codec as codec
 from offerlens.llm import token_counts, token_records
-from offerlens.llm.common import tokenizer_path
+from offerlens.llm.common import SLICE, SLICE_BYTES, slices, table, tokenizer_path
 from offerlens.llm.crc32c import crc32c, masked
 from offerlens.llm.wfst import Machine, Model
 from offerlens.session import scratch_path
@@ -151,3 +151,28 @@ def test_records_round_trip(spark, edge_docs, empty_docs):
     assert sorted(zlib.crc32(r.ids) for r in shuffled) == sorted(zlib.crc32(r.ids) for r in back)
     empty = scratch_path(spark, "test-records-empty")
     assert token_records.read_records(token_records.write_records(empty_docs, empty, tokenizer_path(token_records.VOCABULARY)), empty).count() == 0
+
+
+def test_one_pass_equals_two_and_query_equals_library(spark, sf):
+    """Every document of a given table: the query's columns against the library, and the one pass against two."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    one = {r.doc_id: r for r in codec.encode_decode(docs, MODEL).collect()}
+    two = {r.doc_id: r for r in codec.decode(codec.encode(docs, MODEL), MODEL).collect()}
+    assert one == two
+    rows = [(r.doc_id, len((r.text or "").encode()), SP.encode(r.text or "")) for r in docs.collect()]
+    want = spark.createDataFrame(rows, "doc_id long, n_bytes long, ids array<int>")
+    want = want.select("doc_id", "n_bytes", F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"))
+    got = codec.op1_sentencepiece(spark, sf)
+    assert got.where("not round_trip").isEmpty()
+    assert sorted(got.select(want.columns).collect()) == sorted(want.collect())
+
+
+def test_slices_are_bounded_by_bytes():
+    import pyarrow as pa
+    texts = ["a" * SLICE_BYTES * 2, None, "", "b" * (SLICE_BYTES - 1), "cd"] + ["e"] * (2 * SLICE)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["t"]).slice(0)
+    parts = [s.column("t").to_pylist() for s in slices(batch, "t")]
+    assert sum(parts, []) == texts and max(map(len, parts)) <= SLICE
+    assert all(len(p) == 1 or sum(len(x or "") for x in p) <= SLICE_BYTES for p in parts)
+    assert [p for s in slices(batch.slice(3, 5), "t") for p in s.column("t").to_pylist()] == texts[3:8]
+    assert not list(slices(batch.slice(0, 0), "t"))
