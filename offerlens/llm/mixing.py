@@ -11,8 +11,7 @@ inclusion probability l = m - floor(m) and the rank (u / (1-u)) / (l / (1-l))
 with u from a hash of seed and id.  The sample's size is fixed in words: along
 the ranks documents are taken while they fit the words still wanted, one that
 does not fit is passed over (``refill``), and one document of those left closes
-the gap where its size brings the sum nearer.  The query ``op4_mixing`` keeps
-the rule of its SQL instead, which stops at the first one that does not fit.
+the gap where its size brings the sum nearer.
 
 Ranks are positions along u, found without one task per source: u is cut into
 buckets of about ``BUCKET`` documents, buckets are summed up first, and a
@@ -97,10 +96,9 @@ def refill(left: DataFrame, gap: DataFrame) -> DataFrame:
     return rounds.groupBy("sid").agg(F.collect_list(F.struct("until", "half")).alias("rounds"))
 
 
-def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED, pass_over: bool = True) -> DataFrame:
+def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED) -> DataFrame:
     """Plan of the mix for ``rows`` (id, source, size and columns to carry; a written table, as it is read
-    again): the same with source_size, target, copies (int) and taken (words).  Without ``pass_over`` a
-    source's documents end at the first one that does not fit."""
+    again): the same with source_size, target, copies (int) and taken (words)."""
     carried = rows.columns
     sized = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     sources = materialize(targets(sized, weights, cap), "mix-sources")
@@ -133,13 +131,12 @@ def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, see
     def others(ranked: DataFrame) -> DataFrame:
         return ranked.where(~F.col("in") & (F.col("rest") > 0)).select("sid", "size", "position")
 
-    if pass_over:
-        def fitted(r: Column) -> Column:
-            return ((F.col("position") <= r["until"]) & (F.col("size") <= r["half"])) | (F.col("position") == r["until"])
+    def fitted(r: Column) -> Column:
+        return ((F.col("position") <= r["until"]) & (F.col("size") <= r["half"])) | (F.col("position") == r["until"])
 
-        ranked = ranked.join(refill(others(ranked), gaps(ranked)), "sid", "left")
-        later = (F.col("rest") > 0) & F.coalesce(F.exists("rounds", fitted), F.lit(False))
-        ranked = materialize(ranked.withColumn("in", F.col("in") | later).drop("rounds"), "mix-refilled")
+    ranked = ranked.join(refill(others(ranked), gaps(ranked)), "sid", "left")
+    later = (F.col("rest") > 0) & F.coalesce(F.exists("rounds", fitted), F.lit(False))
+    ranked = materialize(ranked.withColumn("in", F.col("in") | later).drop("rounds"), "mix-refilled")
 
     left = others(ranked).join(gaps(ranked), "sid")
     near = F.abs(F.col("gap") - F.col("size"))
@@ -159,7 +156,7 @@ def sizes(docs: DataFrame) -> DataFrame:
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     rows = materialize(sizes(table(spark, sf_dir, "documents")), "mix-sizes")
-    out = mix(rows, pass_over=False)
+    out = mix(rows)
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
 
 
@@ -174,7 +171,7 @@ def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL = r"""
-WITH d AS (
+WITH RECURSIVE d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
     (('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
   FROM documents),
@@ -195,13 +192,19 @@ m AS (
 p AS (
   SELECT *, floor(per)::BIGINT AS whole, per - floor(per) AS rest, target - floor(per) * source_size AS wanted FROM m),
 r AS (
-  SELECT d.doc_id, d.size, p.*, row_number() OVER o AS position, sum(d.size) OVER (o ROWS UNBOUNDED PRECEDING) AS words
-  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
-  WINDOW o AS (PARTITION BY p.sid ORDER BY CASE WHEN rest > 0 THEN (u / (1 - u)) / (rest / (1 - rest)) END, u, doc_id, d.size)),
+  SELECT d.doc_id, d.size, p.*, row_number() OVER (
+    PARTITION BY p.sid ORDER BY CASE WHEN rest > 0 THEN (u / (1 - u)) / (rest / (1 - rest)) END, u, doc_id, d.size) AS position
+  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source),
+walk(sid, position, used, picked) AS (
+  SELECT sid, 0::BIGINT, 0::BIGINT, FALSE FROM p
+  UNION ALL
+  SELECT r.sid, r.position, CASE WHEN r.rest > 0 AND k.used + r.size <= r.wanted THEN k.used + r.size ELSE k.used END,
+    r.rest > 0 AND k.used + r.size <= r.wanted
+  FROM walk k JOIN r ON r.sid = k.sid AND r.position = k.position + 1),
 x AS (
-  SELECT *, rest > 0 AND words <= wanted AS picked FROM r),
+  SELECT r.*, k.picked FROM r JOIN walk k USING (sid, position)),
 g AS (
-  SELECT sid, any_value(wanted) - coalesce(max(words) FILTER (WHERE picked), 0) AS gap FROM x GROUP BY sid),
+  SELECT sid, any_value(wanted) - coalesce(sum(size) FILTER (WHERE picked), 0) AS gap FROM x GROUP BY sid),
 z AS (
   SELECT x.sid, arg_min(position, struct_pack(d := abs(gap - size), p := position)) AS closing
   FROM x JOIN g USING (sid) WHERE NOT picked AND rest > 0 AND abs(gap - size) < gap GROUP BY x.sid)

@@ -146,3 +146,18 @@ def test_distance(spark):
         quality.js_distance(F.array(F.lit(1.0), F.lit(0.0)), F.array(F.lit(0.0), F.lit(5.0)), F.lit(1.0), F.lit(5.0)).alias("far"),
         quality.js_distance(F.array(F.lit(2.0), F.lit(4.0)), F.array(F.lit(1.0), F.lit(2.0)), F.lit(6.0), F.lit(3.0)).alias("same")).first()
     assert row.far == 1.0 and row.same == 0.0
+
+
+def test_op4_query_takes_what_fits(spark, sf):
+    """The registered query over a whole given table against the walk along the ranks."""
+    u = mixing.uniform(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).alias("u")
+    source = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "source", u)
+    by = collections.defaultdict(list)
+    for r in mixing.op4_mixing(spark, sf).join(source, "doc_id").collect():
+        by[r.source].append(r)
+    for rs in by.values():
+        per = rs[0].target / rs[0].source_size if rs[0].source_size else 0.0
+        wanted = rs[0].target - math.floor(per) * rs[0].source_size
+        want = greedy([(r.doc_id, r.size) for r in sorted(rs, key=lambda r: (r.u, r.doc_id))], wanted) if per % 1 else set()
+        assert {r.doc_id for r in rs if r.copies > math.floor(per)} == want
+        assert all(r.taken == r.copies * r.size for r in rs)
