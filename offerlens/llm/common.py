@@ -90,12 +90,13 @@ class Scratch:
         back._scratch = path
         return back
 
-    def drop(self, *tables: DataFrame) -> None:
-        """Delete kept tables; the shuffle files of plans that nothing refers to any more go with them."""
+    def drop(self, *tables: DataFrame | str) -> None:
+        """Delete kept tables or folders; the shuffle files of plans that nothing refers to any more go with them."""
         import gc
         jvm = self.spark._jvm
         for t in tables:
-            path = jvm.org.apache.hadoop.fs.Path(t._scratch)
+            path = jvm.org.apache.hadoop.fs.Path(t if isinstance(t, str) else t._scratch)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
         gc.collect()
+        self.spark.range(1).count()     # Spark's listeners refer to the last query's plan until the next one ends
         jvm.System.gc()

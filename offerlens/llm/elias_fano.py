@@ -19,8 +19,8 @@ import json
 import numpy as np
 
 ONE = np.uint64(1)
-#: Ones below each bit of a byte's zeros and ones: the place of the k-th one in a byte.
-_BYTE_ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
+_EACH_BYTE, _TOP_BITS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+#: The place of the k-th one in a byte.
 _PLACE = np.array([[([i for i in range(8) if b >> i & 1] + [8] * 8)[k] for k in range(8)] for b in range(256)], np.uint8)
 
 
@@ -46,20 +46,18 @@ def unpack(words: np.ndarray, width: int, at: np.ndarray) -> np.ndarray:
 
 
 def in_word(words: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """Place of the k-th one (from 0) of each 64-bit word."""
-    left, out, done = k.copy(), np.zeros(len(k), np.int64), np.zeros(len(k), bool)
-    for i in range(8):
-        byte = (words >> np.uint64(8 * i) & np.uint64(255)).astype(np.int64)
-        ones = _BYTE_ONES[byte].astype(np.int64)
-        here = ~done & (left < ones)
-        out[here] = 8 * i + _PLACE[byte[here], left[here]]
-        done |= here
-        left -= ones
-    return out
+    """Place of the k-th one (from 0) of each 64-bit word: counts of ones up to each byte side by side in a word, then a table."""
+    upto = words - (words >> ONE & np.uint64(0x5555555555555555))
+    upto = (upto & np.uint64(0x3333333333333333)) + (upto >> np.uint64(2) & np.uint64(0x3333333333333333))
+    upto = (upto + (upto >> np.uint64(4)) & np.uint64(0x0F0F0F0F0F0F0F0F)) * _EACH_BYTE
+    k = k.astype(np.uint64)
+    byte = np.bitwise_count((k * _EACH_BYTE | _TOP_BITS) - upto & _TOP_BITS).astype(np.uint64) << np.uint64(3)
+    left = k - (upto << np.uint64(8) >> byte & np.uint64(255))
+    return byte.astype(np.int64) + _PLACE[(words >> byte & np.uint64(255)).astype(np.int64), left.astype(np.int64)]
 
 
 #: Words of the upper bits whose ones are counted together.
-COUNTED = 8
+COUNTED = 2
 
 
 class EliasFano:
@@ -111,10 +109,22 @@ class EliasFano:
         out[known] = self._place(high[known] - 1, False) - high[known] + 1
         return out
 
-    def successor(self, x: np.ndarray) -> np.ndarray:
-        """Position of the first value that is not below ``x`` (n if there is none)."""
+    def find(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(successor, whether it is ``x``): only values with the upper bits of ``x`` are compared, so their lower bits tell."""
         high, low = x >> self.width, x & ((1 << self.width) - 1)
         s, e = self._below(high), self._below(high + 1)
+        got = self._least(s.copy(), e.copy(), low)
+        same = np.flatnonzero(got < e)
+        found = np.zeros(len(x), bool)
+        found[same] = unpack(self.low, self.width, got[same]) == low[same]
+        return got, found
+
+    def successor(self, x: np.ndarray) -> np.ndarray:
+        """Position of the first value that is not below ``x`` (n if there is none)."""
+        return self.find(x)[0]
+
+    def _least(self, s: np.ndarray, e: np.ndarray, low: np.ndarray) -> np.ndarray:
+        """The first position from ``s`` to ``e`` whose lower bits are not below ``low``."""
         while True:                                     # halves all open stretches at once
             open_ = np.flatnonzero(s < e)
             if not len(open_):
@@ -146,11 +156,12 @@ class Siblings:
         if not len(there) or not self.values.n:
             return out
         parent, ids = parent[there], ids[there]
-        start, end = self.starts.at(parent), self.starts.at(parent + 1)
+        new = np.r_[True, parent[1:] != parent[:-1]]    # neighbours with the same parent share its place
+        own, asked = np.cumsum(new) - 1, parent[new]
+        start, end = self.starts.at(asked), self.starts.at(asked + 1)
         base = np.where(start > 0, self.values.at(np.maximum(start - 1, 0)) + 1, 0)
-        got = self.values.successor(base + ids)
-        hit = np.flatnonzero((got >= start) & (got < end))
-        hit = hit[self.values.at(got[hit]) == (base + ids)[hit]]
+        got, found = self.values.find(base[own] + ids)
+        hit = np.flatnonzero(found & (got >= start[own]) & (got < end[own]))
         out[there[hit]] = got[hit]
         return out
 

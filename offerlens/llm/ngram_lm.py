@@ -280,10 +280,18 @@ def shard_of(u, v, hot: tuple, shards: int):
     return ((h >> np.uint64(24)) % np.uint64(shards)).astype(np.int64)
 
 
+def in_order(*keys):
+    """The order by several keys, the first one first; two that fit into one number are compared at once."""
+    import numpy as np
+    if all(not len(k) or 0 <= k.min() and k.max() < 2 ** 31 for k in keys):
+        keys = [keys[i] << 32 | keys[i + 1] if i + 1 < len(keys) else keys[i] for i in range(0, len(keys), 2)]
+    return np.lexsort(keys[::-1])
+
+
 def distinct(shard, u, v, w):
     """(first, inverse, count): the distinct windows in the order of (shard, u, v, w)."""
     import numpy as np
-    order = np.lexsort((w, v, u, shard))
+    order = in_order(shard, u, v, w)
     s = [x[order] for x in (shard, u, v, w)]
     new = np.r_[True, np.logical_or.reduce([x[1:] != x[:-1] for x in s])] if len(order) else np.zeros(0, bool)
     number = np.cumsum(new) - 1
@@ -374,8 +382,8 @@ def _blocks(chunks: DataFrame, shards: int, hot: tuple, n_train: int) -> DataFra
         .mapInArrow(run, "shard long, chunk long, u binary, v binary, w binary, n binary")
 
 
-def plan(spark: SparkSession, answers: DataFrame, tokens: int, n_train: int, discount: float = DISCOUNT) -> Model:
-    """A model whose tries are not built yet."""
+def plan(spark: SparkSession, answers: DataFrame, tokens: int, n_train: int, discount: float = DISCOUNT, folder: str | None = None) -> Model:
+    """A model whose tries are not built yet; ``folder``: where they will be."""
     import numpy as np
     n_words = answers.agg(F.sum("words")).first()[0] or 0
     totals: dict[int, int] = {}         # of at most HOT words
@@ -386,7 +394,7 @@ def plan(spark: SparkSession, answers: DataFrame, tokens: int, n_train: int, dis
         totals[START] = n_train
     ids = sorted(totals)
     hot = (np.array(ids, np.int64), np.array([-(-totals[x] * HOT // tokens) for x in ids], np.uint64))
-    return Model(scratch_path(spark, "ngram-lm"), tokens, n_words + bool(n_train), n_train, tokens // SHARD + 1, hot, totals, discount)
+    return Model(folder or scratch_path(spark, "ngram-lm"), tokens, n_words + bool(n_train), n_train, tokens // SHARD + 1, hot, totals, discount)
 
 
 def fit_and_answer(chunks: DataFrame, model: Model) -> DataFrame:
@@ -400,26 +408,24 @@ def fit_and_answer(chunks: DataFrame, model: Model) -> DataFrame:
         from pyarrow import fs
         from pyspark import TaskContext
         no = key[0].as_py()
-        u, v, w, n = (np.concatenate([stretch(x) for x in t.column(k).to_pylist()]).astype(np.int64) for k in ("u", "v", "w", "n"))
-        sizes = [len(stretch(x)) for x in t.column("n").to_pylist()]
-        order = np.lexsort((w, v, u))
-        order = order[n[order] > 0]
-        types = {}
-        if len(order):
-            tu, tv, tw = u[order], v[order], w[order]
-            new = np.r_[True, (tu[1:] != tu[:-1]) | (tv[1:] != tv[:-1]) | (tw[1:] != tw[:-1])]
-            trie, types = build_trie(tu[new], tv[new], tw[new], np.add.reduceat(n[order], np.flatnonzero(new)), model.totals, model.discount)
+        u, v, w = (np.concatenate([stretch(x) for x in t.column(k).to_pylist()]).astype(np.int64) for k in ("u", "v", "w"))
+        parts = [stretch(x) for x in t.column("n").to_pylist()]
+        sizes, n = [len(x) for x in parts], np.concatenate(parts).astype(np.int64)
+        order = in_order(u, v, w)               # what several chunks ask is looked up once
+        u, v, w = u[order], v[order], w[order]
+        new = np.r_[True, (u[1:] != u[:-1]) | (v[1:] != v[:-1]) | (w[1:] != w[:-1])] if len(u) else np.zeros(0, bool)
+        n = np.add.reduceat(n[order], np.flatnonzero(new)) if len(u) else n
+        asked, known, types = (u[new], v[new], w[new]), n > 0, {}
+        if known.any():
+            trie, types = build_trie(*(x[known] for x in asked), n[known], model.totals, model.discount)
             store, root = fs.FileSystem.from_uri(model.folder)
             store.create_dir(root, recursive=True)
             own = f"{_place(root, no)}.{TaskContext.get().taskAttemptId()}"
             with store.open_output_stream(own) as out:
                 out.write(trie.dump())
             store.move(own, _place(root, no))
-            del trie, tu, tv, tw
-        order = np.lexsort((w, v, u))           # what several chunks ask is looked up once
-        u, v, w = u[order], v[order], w[order]
-        new = np.r_[True, (u[1:] != u[:-1]) | (v[1:] != v[:-1]) | (w[1:] != w[:-1])]
-        once = look_up(open_trie(model.folder, no) if (n > 0).any() else None, u[new], v[new], w[new])
+            del trie
+        once = look_up(open_trie(model.folder, no) if known.any() else None, *asked)
         codes = np.empty((4, len(u)), np.uint16)
         codes[:, order] = once[:, np.cumsum(new) - 1]
         cuts = np.cumsum([0, *sizes])
@@ -506,8 +512,10 @@ def score(chunks: DataFrame, model: Model, answers: DataFrame) -> DataFrame:
     return parts.groupBy("rid").agg(F.first("doc_id").alias("doc_id"), F.first("held_out").alias("held_out"), *sums)
 
 
-def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", discount: float = DISCOUNT) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document; all others than ``held_out`` train the model."""
+def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", discount: float = DISCOUNT,
+                    folder: str | None = None) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document; all others than ``held_out`` train the model.
+    The model's tries stay in ``folder``; without one they are deleted when all windows are answered."""
     scratch = Scratch(docs.sparkSession, "lm-texts")
     raw = scratch.keep(encode(docs, F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), held_out))
     pieces = raw.select(F.explode(F.arrays_zip("ahead", "held_out")).alias("e"))
@@ -517,9 +525,10 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     scratch.drop()
     chunks = scratch.keep(with_ids(raw, answers))
     scratch.drop(raw)
-    model = plan(docs.sparkSession, answers, tokens, n_train, discount)
-    found = scratch.keep(fit_and_answer(chunks, model))
+    model = plan(docs.sparkSession, answers, tokens, n_train, discount, folder)
     scratch.drop(answers)
+    found = scratch.keep(fit_and_answer(chunks, model))
+    scratch.drop(*[] if folder else [model.folder])
     scored = scratch.keep(score(chunks, model, found))
     scratch.drop(chunks, found)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
