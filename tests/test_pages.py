@@ -2,7 +2,7 @@
 
 import re
 
-import pyarrow as pa
+import pandas as pd
 import pytest
 
 from offerlens.sources import html
@@ -13,22 +13,20 @@ def _plan(df):
 
 
 def test_parser_hands_on_bounded_batches():
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
     page = "<body>" + "<div><p>a</p></div>" * 40 + "</body>"
-    batch = pa.RecordBatch.from_pydict({"page_id": list(range(500)), "html": [page] * 499 + [None]})
-    out = list(html._blocks_fn(None, to_arrow_schema(_parse_datatype_string(html.BLOCK_SCHEMA)))(iter([batch])))
-    assert sum(b.num_rows for b in out) == 499 * 81
-    assert max(b.num_rows for b in out) <= html.OUT_ROWS + 81
+    batch = pd.DataFrame({"page_id": list(range(500)), "html": [page] * 499 + [None]})
+    out = list(html._blocks_fn(None)(iter([batch])))
+    assert sum(len(b) for b in out) == 499 * 81
+    assert max(len(b) for b in out) <= html.OUT_ROWS + 81
 
 
 @pytest.mark.parametrize("name", ["page_cards", "page_sections", "page_description_collected", "category_match", "fill_defaults"])
 def test_pages_are_parsed_once(spark, sf, name):
     from offerlens.plans.catalog import QUERIES
-    assert "MapInArrow" not in _plan(QUERIES[name](spark, sf))      # reads the table of blocks
+    assert "MapInPandas" not in _plan(QUERIES[name](spark, sf))      # reads the table of blocks
 
 
 def test_page_text_rules_parse_once(spark, sf):
     from offerlens.plans.catalog import QUERIES
     for name in ("page_main_text", "page_text_fallback", "page_fields"):
-        assert len(re.findall("MapInArrow", _plan(QUERIES[name](spark, sf)))) == 1, name
+        assert len(re.findall("MapInPandas", _plan(QUERIES[name](spark, sf)))) == 1, name
