@@ -30,3 +30,57 @@ def test_page_text_rules_parse_once(spark, sf):
     from offerlens.plans.catalog import QUERIES
     for name in ("page_main_text", "page_text_fallback", "page_fields"):
         assert len(re.findall("MapInPandas", _plan(QUERIES[name](spark, sf)))) == 1, name
+
+
+PLAIN = ["<html><head><title>T &amp; t</title></head><body><nav><a href='/x?a=1&amp;b' title=\"q'r\">un</a></nav><p class=\"a  b\">deux<br>trois"
+         " <b>quatre</b></p><hr><main><h2>Cinq</h2><input disabled></main></body></html>",
+         "<!DOCTYPE html><DIV ID='cookie-x'>a<div/>b</div><!-- c -->d<template><p>e</p>f</template></i>g<style>p {}</style>", "", "texte &lt; seul"]
+ODD = ["<p>a < b</p>", "<a href=x>y</a>", "<script>if (a<b) c()</script><p>d", "<!-- a <b> --><p>c</p>", "<p a=\"x>y\">z</p>", "<noscript><p>a</p></noscript>"]
+
+
+def _rows(page, columns=tuple(html._COLS)):
+    frames = html._blocks_fn(None, columns)(iter([pd.DataFrame({"page_id": [1], "html": [page]})]))
+    return [tuple(r) for f in frames for r in f.itertuples(index=False, name=None)]
+
+
+def test_plain_pages_give_the_rows_of_the_full_parser(monkeypatch):
+    got = [_rows(p) for p in PLAIN]
+    monkeypatch.setattr(html, "_plain", lambda page, to: False)
+    assert got == [_rows(p) for p in PLAIN]
+
+
+def test_plain_pages_do_not_pass_the_full_parser(monkeypatch):
+    asked = []
+    monkeypatch.setattr(html._Parser, "feed", lambda self, page: asked.append(page))
+    for p in PLAIN + ODD:
+        _rows(p)
+    assert asked == ODD
+
+
+def test_only_named_columns_are_made():
+    page = PLAIN[0]
+    whole = [dict(zip(html._COLS, r)) for r in _rows(page)]
+    assert _rows(page, ("page_id", "tag", "href")) == [(r["page_id"], r["tag"], r["href"]) for r in whole]
+    assert [p for p, h in _rows(page, ("pos", "holds_heading")) if h] == [r["parent"] for r in whole if r["tag"] == "h2"]
+
+
+@pytest.mark.parametrize("rule,keep,columns", [
+    ("sections", "section_blocks", ["page_id", "pos", "parent", "tag", "sibling", "rendered", "holds_heading"]),
+    ("collected_description", "collected_blocks",
+     ["page_id", "pos", "parent", "tag", "cls", "data_testid", "sibling", "rendered", "holds_heading"]),
+    ("page_cards", "card_blocks", ["page_id", "pos", "tag", "cls", "data_testid", "href", "ancestors"])])
+def test_rules_read_few_blocks(spark, rule, keep, columns):
+    """The blocks that a rule can read give the rows of all blocks, and are fewer."""
+    from offerlens.operators import pages as P
+    cards = "<div class='job-card'>c</div>" * 6
+    filler = "<ul><li>x</li><li>y</li></ul>" * 5
+    side = f"<p>{'long texte ' * 8}</p>"
+    bodies = [cards + filler, f"<div class='tw-group'><div><a href='/fr-fr/emplois/1.html'>o</a></div></div>{filler}", "<a href='/fr-fr/emplois/2.html'>o</a>",
+              f"<div><div><h2>Profil</h2></div>{side}<p>court</p>{side}</div>{filler}", f"<h3>Mission</h3>{side}", f"<main>{filler}{'z ' * 150}</main>",
+              f"<div class='content'>{'mot ' * 40}</div>{filler}", filler]
+    pages = spark.createDataFrame([(i, f"<body>{b}</body>") for i, b in enumerate(bodies)], "page_id BIGINT, html STRING")
+    blocks = html.page_blocks(pages)
+    few = html.page_blocks(pages, columns=columns).where(getattr(P, keep)())
+    f = getattr(P, rule)
+    assert sorted(map(repr, f(few).collect())) == sorted(map(repr, f(blocks).collect())) and f(few).count() > 0
+    assert few.count() < blocks.count() / 2
