@@ -84,3 +84,12 @@ def test_rules_read_few_blocks(spark, rule, keep, columns):
     f = getattr(P, rule)
     assert sorted(map(repr, f(few).collect())) == sorted(map(repr, f(blocks).collect())) and f(few).count() > 0
     assert few.count() < blocks.count() / 2
+
+
+def test_short_elements_that_no_rule_reads_are_not_handed_on():
+    page = f"<body><ul><li>a</li><li>b</li></ul><div><h2>c</h2></div><p>{'d ' * 40}</p><p>court</p></body>"
+    whole = [dict(zip(html._COLS, r)) for r in _rows(page)]
+    frames = html._blocks_fn(frozenset({"h2"}), ("page_id", "pos", "rendered"), 50)(iter([pd.DataFrame({"page_id": [1], "html": [page]})]))
+    got = [tuple(r) for f in frames for r in f.itertuples(index=False, name=None)]
+    need = [r for r in whole if r["pos"] == 1 or r["tag"] in ("h2", "div") or len(r["rendered"]) > 50]
+    assert got == [(1, r["pos"], r["rendered"]) for r in need] and len(got) == 4
