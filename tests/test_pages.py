@@ -93,3 +93,21 @@ def test_short_elements_that_no_rule_reads_are_not_handed_on():
     got = [tuple(r) for f in frames for r in f.itertuples(index=False, name=None)]
     need = [r for r in whole if r["pos"] == 1 or r["tag"] in ("h2", "div") or len(r["rendered"]) > 50]
     assert got == [(1, r["pos"], r["rendered"]) for r in need] and len(got) == 4
+
+
+def test_columns_of_the_tag_alone_build_no_tree(monkeypatch):
+    columns = ("page_id", "pos", "tag", "cls", "elem_id", "data_cy", "data_testid", "href", "title_attr")
+    pages = PLAIN + ODD + ["<a data-cy='offerTitle' href='/x'>y</a><a>z</a>"]
+    want = [[r[:2] + r[4:11] for r in _rows(p)] for p in pages]
+    monkeypatch.setattr(html, "_Elements", None)
+    assert [_rows(p, columns) for p in pages] == want
+    batch = pd.DataFrame({"page_id": [1], "html": [pages[-1]]})
+    marked = list(html._blocks_fn(frozenset({"a"}), ("page_id", "href"), attrs=("data-cy",))(iter([batch])))
+    assert [list(f["href"]) for f in marked] == [["/x"]]
+
+
+def test_texts_of_unread_tags_are_not_made():
+    batch = pd.DataFrame({"page_id": [1], "html": ["<div>a<span>b</span></div>"]})
+    shown = {"text": {"div"}, "rendered": {"span"}}
+    f = pd.concat(html._blocks_fn(None, ("page_id", "tag", "text", "rendered"), shown_of=shown)(iter([batch])))
+    assert f[["tag", "text", "rendered"]].values.tolist() == [["div", "a\nb", None], ["span", None, "b"]]
