@@ -4,6 +4,7 @@ import bisect
 import collections
 import hashlib
 import math
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -203,3 +204,24 @@ def test_query_digest_is_of_the_remaining_bytes(spark, sf):
     cover = covered([docs[i] for i in ids], 400)
     want = {i: hashlib.sha256(bytes(x for x, y in zip(docs[i], c) if not y)).hexdigest() for i, c in zip(ids, cover)}
     assert {r.doc_id: r.kept_sha256 for r in rows} == want
+
+
+def test_suffix_counts_need_no_driver_table_and_no_sort_aggregate(spark):
+    """Offsets of sorted partitions are constants of the plan, and a run's stretches are counted by a hash aggregate."""
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    scratch = Scratch(spark, "plans")
+    rows = spark.createDataFrame([(i, 0, i % 2, 1, i % 5) for i in range(50)], "rid long, k int, kind int, len long, a long")
+    got = suffix_array._smaller(scratch, rows, ["a"])
+    assert "Join" not in plan(got)
+    assert {(r.rid, r.n0, r.n1, r.same) for r in got.collect()} == {(i, i % 5 * 5, i % 5 * 5, 10) for i in range(50)}
+    assert suffix_array._smaller(scratch, rows.where("rid < 0"), ["a"]).count() == 0
+    found = spark.createDataFrame([(b"p", 0, 3, b"s", i, 2 * i, 2 * i + 3) for i in range(1, 9)] + [(b"p", 0, 3, b"t", 9, 18, 21)],
+                                  "prefix binary, off int, more int, stretch binary, rid long, first int, last int")
+    seen = []
+    kinds = suffix_dedup._kinds(SimpleNamespace(keep=lambda df: seen.append(df) or df), found)
+    assert "SortAggregate" not in plan(seen[0])
+    out = {bytes(r.stretch): r for r in kinds.collect()}
+    assert [out[s].n for s in (b"s", b"t")] == [8, 1]
+    assert all(r.first == 2 * r.rid and r.last == 2 * r.rid + 3 for r in out.values())      # one row's own columns
