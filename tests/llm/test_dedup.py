@@ -189,6 +189,48 @@ def test_suffix_dedup(spark, rng, empty_docs, monkeypatch, length, local):
     assert suffix_dedup.remove_repeats(empty_docs).count() == 0
 
 
+def test_suffix_heads_keep_the_order(rng):
+    """Bytes of a head sort as its symbols do, equal ones in a row too; what is cut is marked."""
+    import numpy as np
+    strings = [[rng.choice([1, 2, 2 ** 63, 2 ** 64 - 1]) for _ in range(rng.randint(1, 9))] for _ in range(60)] + [[2] * 9, [1] * 8 + [2], []]
+    syms = np.array([x for s in strings for x in s], np.uint64)
+    suffixes = [s[k:k + 5] for s in strings for k in range(len(s))]          # what counts ends after 5 symbols or with the string
+    until = np.arange(len(syms)) + np.array([len(x) for x in suffixes])
+    got, deep = suffix_dedup.heads(syms, until, 5)
+    pairs = sorted(zip(got.to_pylist(), suffixes))
+    assert not deep.any() and [x for _, x in pairs] == sorted(suffixes)
+    assert all((a == b) == (x == y) for (a, x), (b, y) in zip(pairs, pairs[1:]))
+    cut, deep = suffix_dedup.heads(syms, until, 2)
+    assert deep.tolist() == [1 + sum(a != b for a, b in zip(x, x[1:])) > 2 for x in suffixes]
+    assert all(len(x) <= 24 for x in cut.to_pylist())
+    assert len(suffix_dedup.heads(syms[:0], until[:0], 2)[0]) == 0
+
+
+@pytest.mark.parametrize("head", [suffix_dedup.HEAD, 1])
+def test_suffix_dedup_sorts_by_heads(spark, rng, monkeypatch, head):
+    """Ordinary and periodic texts need no round of the difference cover; with heads of one phrase it gives the same."""
+    monkeypatch.setattr(suffix_array, "LOCAL", 0)
+    monkeypatch.setattr(suffix_dedup, "HEAD", head)
+    sizes = []
+
+    def ranks(scratch, strings, depth):
+        sizes.append(strings.count())
+        return suffix_ranks(scratch, strings, depth)
+
+    monkeypatch.setattr(suffix_dedup, "suffix_ranks", ranks)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefghijk") for _ in range(rng.randint(4, 9))) for _ in range(n))
+
+    passages = [words(120) for _ in range(2)]
+    texts = [words(30) + passages[i % 2][i * 7:600] + words(20) for i in range(6)] + [words(40), "La " * 300 + words(30), words(9) + "La " * 250, "x" * 900]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: bytes(r.kept) for r in suffix_dedup.remove_repeats(df).collect()}
+    raw = [t.encode() for t in texts]
+    assert got == {i: bytes(x for x, y in zip(b, c) if not y) for i, (b, c) in enumerate(zip(raw, covered(raw, 400)))}
+    assert sizes == [0] if head > 1 else sizes[0] > 0
+
+
 def test_suffix_stage(spark, edge_docs):
     out = suffix_dedup.stage_suffix_dedup(spark, edge_docs, "")
     assert out.columns == edge_docs.columns
