@@ -1,20 +1,21 @@
-"""Embedding near-duplicates by a subspace pigeonhole join (operator 2).
+"""Embedding near-duplicates by an exact cosine join in tiles (operator 2).
 
-Unit vectors with cosine >= c are at most 2 (1 - c) apart in squared distance.
-Vectors are rotated by a fixed orthogonal matrix and split into blocks of
-``BLOCK`` dimensions; in at least one block a linked pair is within that
-block's share of the squared distance.  Each block is range-joined by itself:
-the first ``GRID`` coordinates of the block deal a vector to the cell of a
-grid as wide as the block's radius, and to the neighbouring cells that come
-behind it, so that two vectors in neighbouring cells meet in one cell only.  A
-cell beyond ``TILE`` vectors is cut into chunks, every pair of chunks a tile.
+Vectors of one label and length are a group.  A group beyond a tile's size is
+cut into chunks by a hash, every pair of chunks a tile; the size is one of
+bytes, so that a vector is copied as seldom as memory allows.  Tiles are dealt
+out in rounds by their first chunk: a round's copies are at most
+``2 * ROUND`` times the vectors, and its shuffle files go before the next one.
 
-Inside a tile pairs within the block's budget are candidates, and candidates
-are verified by their cosine in double precision.  A linked pair that fits the
-budget of several blocks counts in the first of them.  A tile hands on link
-counts per vector and a spanning forest of its links, never the pairs.
+Inside a tile vectors lie in the order of their nearest pivots, in blocks with
+a centre and an angle around it.  Angles obey the triangle inequality: two
+blocks whose centres are further apart than their angles and the link's allow
+are skipped.  The others are multiplied in single precision; a product within
+the error of such a sum of the threshold is decided in double precision.  A
+tile hands on link counts per vector and a spanning forest of its links, never
+the pairs.
 
-Vectors that are equal, with equal labels, are one class with a multiplicity.
+Vectors that are equal, with equal labels, are one class with a multiplicity;
+a row finds its class by the label and 128 bits of hashes of its vector.
 
 Defined results: a null label, a null or empty vector, zero vectors and
 vectors with null or non-finite components link with nothing and are kept;
@@ -27,153 +28,126 @@ carried.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import table
+from .common import Scratch, table
 from .components import components
 from .simhash import forest
 
 COSINE = 0.93
-BLOCK, GRID = 8, 2
-TILE = 4096
-ROWS_AT_ONCE = 512       # rows of a tile whose distances are held at once
-SLACK = 1e-9             # rounding of the rotation; budgets are that much wider
-SEED = 20
+TILE = 65536
+TILE_BYTES = 16 << 20    # of a tile's vectors in single precision
+ROUND = 2                # chunks whose tiles are dealt out at once
+BLOCK = 1024             # vectors of a tile that are compared with as many others at once
+SLACK = 1e-3             # rounding of the blocks' angles
 
 
-def rotation(d: int):
-    """A fixed orthogonal matrix."""
+def unit_rows(x):
+    """Unit vectors of the rows of a matrix, in double precision."""
     import numpy as np
-    q, r = np.linalg.qr(np.random.default_rng(SEED).standard_normal((d, d)))
-    return q * np.sign(np.diag(r))
+    x = x.astype(np.float64)
+    x = x / np.abs(x).max(axis=1, keepdims=True)         # no overflow or underflow of squares
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
+def matrix(batch, name: str):
+    """An Arrow list column whose lists have equal length, as a matrix."""
+    return batch.column(name).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
 
 
-def rotate(units, turn):
-    """Rows times ``turn``, summed in an order that does not depend on the other rows, so that every task gets
-    the same numbers for the same vector."""
+def near_order(u):
+    """The rows of ``u`` by their nearest pivots (rows at even distances), so that a block's rows lie close together."""
     import numpy as np
-    out = np.zeros_like(units)
-    for k in range(units.shape[1]):
-        out += units[:, k, None] * turn[k][None, :]
-    return out
+    pivots = u[:: max(1, len(u) // max(1, len(u) // BLOCK))]
+    nearest = np.concatenate([(u[s:s + 8192] @ pivots.T).argmax(axis=1) for s in range(0, len(u), 8192)])
+    return np.argsort(nearest, kind="stable")
 
 
-def blocks_of(d: int) -> list[slice]:
-    return [slice(a, min(a + BLOCK, d)) for a in range(0, d, BLOCK)]
+def caps(u):
+    """(start, end, centre, angle) of the blocks of the rows of ``u``."""
+    import numpy as np
+    out = []
+    for s in range(0, len(u), BLOCK):
+        rows = u[s:s + BLOCK]
+        centre = rows.sum(axis=0, dtype=np.float64)
+        size = np.sqrt(centre @ centre)
+        centre = centre / size if size > 1e-6 else rows[0].astype(np.float64)
+        out.append((s, s + len(rows), centre, np.arccos(np.clip((rows @ centre).min(), -1, 1))))
+    return out
 
 
-def unit_rows(batch, name: str):
-    """Unit vectors of an Arrow list column whose lists have equal length."""
+def tile_links(x, m, left: int, cosine: float):
+    """(links, root) of the vectors in the rows of ``x`` (multiplicities ``m``): how many vectors each is linked with and
+    the smallest row reachable over those links.  Rows before ``left`` meet those from there on, or each other if it is 0."""
     import numpy as np
-    col = batch.column(name)
-    x = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
-    big = np.abs(x).max(axis=1, keepdims=True)
-    x = x / big                                          # no overflow or underflow of squares
-    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    n, d = x.shape
+    u = np.concatenate([unit_rows(x[s:s + 8192]).astype(np.float32) for s in range(0, n, 8192)])
+    cut = left or n
+    order = np.concatenate([near_order(u[:cut]), cut + near_order(u[cut:])]) if cut < n else near_order(u)
+    u = u[order]
+    x, m = x[order], m[order].astype(np.float64)
+    error = (d + 8) * 2.0 ** -22
+    reach = np.arccos(cosine) if -1 <= cosine <= 1 else np.pi
+    ours = caps(u[:cut])
+    theirs = [(a + cut, b + cut, c, r) for a, b, c, r in caps(u[cut:])] if left else ours
+    links, pairs = np.zeros(n), []
+    for a, b, centre, angle in ours:
+        for e, f, other, width in theirs:
+            if e < a and not left or np.arccos(np.clip(centre @ other, -1, 1)) > angle + width + reach + SLACK:
+                continue
+            product = u[a:b] @ u[e:f].T
+            near = product >= cosine - error
+            if not left and e == a:
+                near &= np.arange(e, f)[None, :] > np.arange(a, b)[:, None]         # a pair once
+            if not near.any():
+                continue
+            p, q = np.nonzero(near & (product < cosine + error))
+            for s in range(0, len(p), 1 << 16):
+                i, j = p[s:s + (1 << 16)], q[s:s + (1 << 16)]
+                near[i, j] = np.einsum("ij,ij->i", unit_rows(x[a + i]), unit_rows(x[e + j])) >= cosine
+            p, q = np.nonzero(near)
+            if not len(p):
+                continue
+            links[a:b] += np.bincount(p, m[e + q], b - a)
+            links[e:f] += np.bincount(q, m[a + p], f - e)
+            tied = forest(n, [(a + p, e + q)]) if len(p) > BLOCK else None           # many links: few of them are kept
+            p, q = (a + p, e + q) if tied is None else ((k := np.flatnonzero(tied != np.arange(n))), tied[k])
+            pairs.append((p, q))
+    if pairs:
+        pairs = [(np.concatenate([p for p, _ in pairs]), np.concatenate([q for _, q in pairs]))]
+    back = np.empty(n, np.int64)
+    back[order] = np.arange(n)
+    return links.astype(np.int64)[back], order[forest(n, pairs)[back]]
 
 
 def link_tiles(classes: DataFrame, cosine: float = COSINE, tile: int = TILE) -> DataFrame:
     """(a, b, n): links a-b of a spanning forest (n null), and partial link counts n of a (b null).
-    classes: cid, label, vec (valid vectors), m (multiplicity), d (dimensions)."""
+    classes: cid, label, vec (valid vectors), m (multiplicity), d (dimensions), a written table."""
     import pyarrow as pa
 
-    total = 2 * (1 - cosine)
-
-    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-        turns: dict = {}
-        for b in batches:
-            for s in range(0, b.num_rows, 256):
-                part = b.slice(s, 256)
-                ds = part.column("d").to_numpy()
-                for d in np.unique(ds):
-                    rows = part.filter(pa.array(ds == d))
-                    if d not in turns:
-                        turns[d] = rotation(int(d))
-                    x = rotate(unit_rows(rows, "vec"), turns[d])
-                    out: dict[str, list] = {"at": [], "block": [], "cell": [], "visits": []}
-                    for k, cut in enumerate(blocks_of(int(d))):
-                        radius = np.sqrt(total * (cut.stop - cut.start) / d) * (1 + SLACK) + SLACK
-                        home = np.floor(x[:, cut][:, :GRID] / radius).astype(np.int64)
-                        for step in product((-1, 0, 1), repeat=home.shape[1]):
-                            if step < (0,) * home.shape[1]:
-                                continue
-                            to = home + np.array(step)
-                            out["at"].append(np.arange(len(x)))
-                            out["block"].append(np.full(len(x), k))
-                            out["cell"].append((to + 4096) @ (8192 ** np.arange(home.shape[1])))
-                            out["visits"].append(np.full(len(x), any(step)))
-                    at = np.concatenate(out["at"])
-                    copies = rows.take(pa.array(at))
-                    yield pa.RecordBatch.from_arrays(
-                        [copies.column("cid"), copies.column("label"), copies.column("d"), copies.column("m"), copies.column("vec"),
-                         pa.array(np.concatenate(out["block"]).astype(np.int32)), pa.array(np.concatenate(out["cell"])), pa.array(np.concatenate(out["visits"]))],
-                        names=["cid", "label", "d", "m", "vec", "block", "cell", "visits"])
-
-    kind = classes.schema["label"].dataType.simpleString()
-    shape = f"cid long, label {kind}, d int, m long, vec {classes.schema['vec'].dataType.simpleString()}, block int, cell long, visits boolean"
-    dealt = classes.select("cid", "label", "d", "m", "vec").mapInArrow(cells, shape)
-    where = ["label", "d", "block", "cell"]
-    chunks = F.ceil(F.col("n") / (tile // 2)).cast("int")
-    # the sizes come from the narrow columns; the vectors are computed again rather than kept
-    hot = dealt.groupBy(*where).agg(F.count("*").alias("n")).where(F.col("n") > tile).select(*where, chunks.alias("chunks"))
-    own = F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int")
-    tiles = F.when(F.col("chunks").isNull(), F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(
-        F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.struct(F.least(c, own).alias("i"), F.greatest(c, own).alias("j"))))
-    tiled = dealt.join(materialize(hot, "hot-cells"), where, "left").withColumn("own", F.coalesce(own, F.lit(0)))
-    tiled = tiled.withColumn("tile", F.explode(tiles)).select(*where, "tile.i", "tile.j", "own", "cid", "m", "visits", "vec")
+    where = ["label", "d"]
+    room = F.greatest(F.lit(2), F.least(F.lit(tile), F.lit(TILE_BYTES) / (4 * F.col("d"))).cast("int"))
+    chunks = F.when(F.col("n") <= room, F.lit(1)).otherwise(F.ceil(F.col("n") / F.floor(room / 2)))
+    sizes = materialize(classes.groupBy(*where).agg(F.count("*").alias("n")).select(*where, chunks.cast("int").alias("chunks")), "vector-chunks")
+    most = sizes.agg(F.max("chunks")).first()[0] or 0
     keys = [*where, "i", "j"]
-    tiled = tiled.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
-        turns: dict = {}
-
-        def run(rows: pa.Table) -> pa.RecordBatch:
-            b = rows.combine_chunks().to_batches()[0]
-            d, block, i, j = (b.column(k)[0].as_py() for k in ("d", "block", "i", "j"))
-            cid, m, visits, own = (b.column(k).to_numpy(zero_copy_only=False) for k in ("cid", "m", "visits", "own"))
-            if d not in turns:
-                turns[d] = rotation(d)
-            u = unit_rows(b, "vec")
-            x = rotate(u, turns[d])
-            cuts = blocks_of(d)
-            budget = [total * (c.stop - c.start) / d * (1 + SLACK) + SLACK for c in cuts]
-            homes = np.flatnonzero(~visits)
-            links = np.zeros(len(cid), np.int64)
-            pairs = []
-            for s in range(0, len(homes), ROWS_AT_ONCE):
-                h = homes[s:s + ROWS_AT_ONCE]
-                y = x[:, cuts[block]]
-                square = (y * y).sum(axis=1)
-                near = square[h][:, None] + square[None, :] - 2 * (y[h] @ y.T) <= budget[block] + 1e-7
-                near &= visits[None, :] | (np.arange(len(cid))[None, :] > h[:, None])      # a pair of homes once
-                if i != j:
-                    near &= own[h][:, None] != own[None, :]                                # within a chunk: in its own tile
-                if near.mean() > 0.02:
-                    near &= u[h] @ u.T >= cosine - 1e-12
-                a, c = np.nonzero(near)
-                a = h[a]
-                for k in range(0, len(a), 1 << 16):
-                    p, q = a[k:k + (1 << 16)], c[k:k + (1 << 16)]
-                    ok = np.einsum("ij,ij->i", u[p], u[q]) >= cosine
-                    p, q = p[ok], q[ok]
-                    fits = ((x[p][:, cuts[block]] - x[q][:, cuts[block]]) ** 2).sum(axis=1) <= budget[block]
-                    for e in range(block):                                                 # the first block that fits has the pair
-                        fits &= ~(((x[p][:, cuts[e]] - x[q][:, cuts[e]]) ** 2).sum(axis=1) <= budget[e])
-                    p, q = p[fits], q[fits]
-                    links += np.bincount(p, m[q], len(cid)).astype(np.int64) + np.bincount(q, m[p], len(cid)).astype(np.int64)
-                    label = forest(len(cid), [(p, q)]) if len(p) else np.arange(len(cid))
-                    tied = np.flatnonzero(label != np.arange(len(cid)))
-                    pairs.append((tied, label[tied]))
-            label = forest(len(cid), pairs)
-            tied, counted = np.flatnonzero(label != np.arange(len(cid))), np.flatnonzero(links)
+
+        def run(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            x = np.concatenate([matrix(b, "vec") for b in held])
+            cid, m, own = (np.concatenate([b.column(k).to_numpy(zero_copy_only=False) for b in held]) for k in ("cid", "m", "own"))
+            i, j = (held[0].column(k)[0].as_py() for k in ("i", "j"))
+            held.clear()
+            left = int(np.searchsorted(own, j)) if i != j else 0
+            links, root = tile_links(x, m, left, cosine) if i == j or 0 < left < len(x) else (np.zeros(len(x), np.int64), np.arange(len(x)))
+            tied, counted = np.flatnonzero(root != np.arange(len(cid))), np.flatnonzero(links)
             a = np.concatenate([cid[tied], cid[counted]])
-            other = pa.array(np.concatenate([cid[label[tied]], cid[counted]]), mask=np.arange(len(a)) >= len(tied))
+            other = pa.array(np.concatenate([cid[root[tied]], cid[counted]]), mask=np.arange(len(a)) >= len(tied))
             n = pa.array(np.concatenate([tied, links[counted]]), mask=np.arange(len(a)) < len(tied))
             return pa.RecordBatch.from_arrays([pa.array(a), other, n], names=["a", "b", "n"])
 
@@ -185,14 +159,24 @@ def link_tiles(classes: DataFrame, cosine: float = COSINE, tile: int = TILE) ->
             for e in range(1, len(ids) + 1):
                 if e == len(ids) or ids[e] != ids[s]:
                     if held and ids[s] != last:
-                        yield run(pa.Table.from_batches(held))
-                        held = []
+                        yield run(held)
                     held.append(whole.slice(s, e - s))
                     last, s = ids[s], e
         if held:
-            yield run(pa.Table.from_batches(held))
-
-    return tiled.mapInArrow(compare, "a long, b long, n long")
+            yield run(held)
+
+    scratch, found = Scratch(classes.sparkSession, "vector-links"), []
+    placed = classes.select("cid", "m", "vec", *where).join(sizes, where).withColumn("own", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int"))
+    for first in range(0, max(most, 1), ROUND):
+        others = F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.least(c, "own").between(first, first + ROUND - 1))
+        pair = F.transform(others, lambda c: F.struct(F.least(c, "own").alias("i"), F.greatest(c, "own").alias("j")))
+        tiled = placed.withColumn("tile", F.explode(pair)).select(*where, "tile.i", "tile.j", "own", "cid", "m", "vec")
+        tiled = tiled.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, "own")
+        found.append(scratch.keep(tiled.mapInArrow(compare, "a long, b long, n long")))
+        if first + ROUND < most:
+            del tiled
+            scratch.drop()
+    return classes.sparkSession.read.schema(found[0].schema).parquet(*[f._scratch for f in found])
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
@@ -203,17 +187,19 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     usable = F.col("label").isNotNull() & F.col("vec").isNotNull() & finite & F.exists("vec", lambda x: x != 0)
     rows = rows.withColumn("usable", F.coalesce(usable, F.lit(False)))
     classes = rows.where("usable").groupBy("label", "vec").agg(F.min("vec_id").alias("first"), F.count("*").alias("m"))
-    classes = classes.withColumns({"cid": F.monotonically_increasing_id(), "d": F.size("vec")})
+    hashes = [F.xxhash64(F.lit(k), "vec").alias(f"h{k}") for k in (1, 2)]       # equal for 0.0 and -0.0, as the groups' keys are
+    classes = classes.select("*", F.monotonically_increasing_id().alias("cid"), F.size("vec").alias("d"), *hashes)
     classes = materialize(classes, "vector-classes")
-    found = materialize(link_tiles(classes, cosine, tile), "vector-links")
+    found = link_tiles(classes, cosine, tile)
     counts = found.where("n is not null").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("links"))
     groups = components(found.where("n is null").select("a", "b")).select(F.col("node").alias("cid"), "component")
-    named = classes.join(counts, "cid", "left").join(groups, "cid", "left")
-    named = named.select("label", "vec", "first", "m", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "cid").alias("component"))
+    # vectors stay behind: from here on a class goes by its number and hashes
+    named = classes.select("cid", "label", "h1", "h2", "first", "m").join(counts, "cid", "left").join(groups, "cid", "left")
+    named = named.select("label", "h1", "h2", "first", "m", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "cid").alias("component"))
     named = materialize(named, "vector-groups")
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = named.join(least, "component").select("label", "vec", (F.col("links") + F.col("m") - 1).alias("n_links"), "component_id")
-    good = rows.where("usable").drop("usable").join(named, ["label", "vec"]).select("vec_id", "n_links", "component_id")
+    named = named.join(least, "component").select("label", "h1", "h2", (F.col("links") + F.col("m") - 1).alias("n_links"), "component_id")
+    good = rows.where("usable").select("vec_id", "label", *hashes).join(named, ["label", "h1", "h2"]).select("vec_id", "n_links", "component_id")
     rest = rows.where("not usable").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return good.union(rest).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 

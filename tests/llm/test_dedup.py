@@ -138,6 +138,38 @@ def test_embeddings(spark):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_tiles_of_vectors_equal_all_pairs():
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal((12, 16))
+    x = np.float32(base[rng.integers(0, 12, 3000)] + rng.standard_normal((3000, 16)) * rng.choice([0.05, 0.3, 0.8], 3000)[:, None])
+    u = embedding_dedup.unit_rows(x)
+    m = rng.integers(1, 4, 3000)
+    for left in (0, 1300):
+        links = np.einsum("ik,jk->ij", u, u) >= 0.93
+        np.fill_diagonal(links, False)
+        if left:
+            links[:left, :left] = links[left:, left:] = False
+        got, root = embedding_dedup.tile_links(x, m, left, 0.93)
+        assert got.tolist() == (links * m[None, :]).sum(axis=1).tolist()
+        at = reach(3000, zip(*np.nonzero(np.triu(links))))
+        assert len(set(zip(root.tolist(), at))) == len(set(at)) == len(set(root.tolist()))
+
+
+def test_vectors_are_copied_seldom(spark, monkeypatch):
+    """A vector goes into one tile where its label fits one, else into one per chunk of its label, and in rounds."""
+    rng = np.random.default_rng(4)
+    rows = [(i, i % 2, rng.standard_normal(8).tolist(), 1, 8) for i in range(6000)]
+    classes = spark.createDataFrame(rows, "cid long, label int, vec array<double>, m long, d int")
+    copies, run = [], type(classes).mapInArrow
+    monkeypatch.setattr(type(classes), "mapInArrow", lambda self, *a, **k: copies.append(self.count()) or run(self, *a, **k))
+    whole = embedding_dedup.link_tiles(classes).where("n is not null").groupBy("a").agg(F.sum("n")).collect()
+    assert sum(copies) <= 2 * 6000
+    copies.clear()
+    cut = embedding_dedup.link_tiles(classes, tile=2000).where("n is not null").groupBy("a").agg(F.sum("n")).collect()
+    assert sorted(whole) == sorted(cut) and len(whole) > 1000
+    assert sum(copies) == 3 * 6000 and max(copies) <= 2 * embedding_dedup.ROUND * 6000
+
+
 @pytest.mark.parametrize("local", [0, 40, 10 ** 6])
 def test_suffix_ranks(spark, rng, monkeypatch, local):
     monkeypatch.setattr(suffix_array, "LOCAL", local)
