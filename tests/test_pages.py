@@ -111,3 +111,50 @@ def test_texts_of_unread_tags_are_not_made():
     shown = {"text": {"div"}, "rendered": {"span"}}
     f = pd.concat(html._blocks_fn(None, ("page_id", "tag", "text", "rendered"), shown_of=shown)(iter([batch])))
     assert f[["tag", "text", "rendered"]].values.tolist() == [["div", "a\nb", None], ["span", None, "b"]]
+
+
+TOGETHER = ["page_cards", "page_offers", "page_sections", "page_text_fallback", "page_description_collected", "category_match", "fill_defaults",
+            "page_detail_offers"]
+
+
+@pytest.mark.parametrize("name", TOGETHER)
+def test_a_page_stays_in_its_row(spark, sf, name):
+    """Pages are dealt out before they are made; no rule joins or sorts them, or writes them as a table, afterwards."""
+    from offerlens.plans.catalog import QUERIES
+    plan = str(_plan(QUERIES[name](spark, sf)))
+    pages = plan[:re.search("MapInArrow|MapInPandas", plan).start()]
+    assert "Join" not in pages and "Window" not in pages
+    assert len(re.findall("Exchange", pages)) == (1 if name in ("page_offers", "category_match") else 0)
+
+
+def test_elements_of_pages_equal_blocks(spark, monkeypatch):
+    monkeypatch.setattr(html, "OUT_ROWS", 7)
+    pages = [(1, PLAIN[0]), (1, PLAIN[1]), (2, None), (3, ""), (4, ODD[3]), (4, ODD[3]), (4, None), (None, None), (None, PLAIN[0])]
+    df = spark.createDataFrame([(k, f"u{i}", p) for i, (k, p) in enumerate(pages)], "page_id long, url string, html string").coalesce(1)
+    columns = ["pos", "parent", "tag", "cls", "href", "noise", "text", "ancestors", "sibling", "rendered"]
+    for frames in (False, True):
+        got = html.page_elements(df, columns, carry="url", frames=frames).collect()
+        assert [r.page_id for r in got] == [1, 2, 3, 4, None]
+        assert [r.copies for r in got] == [["u0", "u1"], ["u2"], ["u3"], ["u4", "u5", "u6"], ["u7", "u8"]]
+        for r in got:
+            want = [row for k, p in pages if k == r.page_id for row in _rows(p, tuple(columns))]
+            assert [tuple(e) for e in r.els] == want
+
+
+def test_cards_with_equal_page_ids_are_one_page(spark):
+    from offerlens.operators import pages as P
+    card = '<div class="{c}"><a href="/fr-fr/emplois/{n}.html"><h3><p>T{n}</p><p>C</p></h3></a><div class="tw-typo-s-bold">1 €</div></div>'
+    page = "<body>" + "".join(card.format(c="job-card", n=n) for n in range(3)) + '<div class="tw-group">' + card.format(c="x", n=9) + "</div></body>"
+    df = spark.createDataFrame([(1, page), (1, page), (2, page)], "page_id long, html string").coalesce(1)
+    blocks = html.page_blocks(df)
+    rows = html.page_elements(df, [c for c in html._COLS if c != "page_id"])
+    cards, in_row = P.page_cards(blocks), P.page_cards(rows)
+    got = sorted(tuple(r) for r in cards.collect())
+    assert got == sorted((r.page_id, *c) for r in in_row.collect() for c in r._cards)
+    assert {c for c in got if c[0] == 1} == {(1, 3, p) for p in (2, 8, 14)} and len([c for c in got if c[0] == 1]) == 6
+    assert [c[:2] for c in got if c[0] == 2] == [(2, 0)] * 4
+    fields = sorted(P.card_fields(blocks, cards).drop("tags").collect(), key=str)
+    assert fields == sorted(P.card_fields(rows, in_row).drop("tags").collect(), key=str)
+    # a link that is no group's own card holds the heading alone
+    want = [("T0", "C", None), ("T1", "C", None), ("T2", "C", None), ("T9", "C", "1 €")]
+    assert sorted((r.title_p, r.company_p, r.salary) for r in fields if r.page_id == 2) == want
